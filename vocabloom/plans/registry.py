@@ -1,15 +1,393 @@
-"""All queries over the driver's tables, with their SQL."""
+"""All queries over the driver's tables, with their SQL.
+
+A query is a library operator applied to the stand-in tables of :mod:`vocabloom.plans.standins`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vocabloom.operators import edges as J
+from vocabloom.operators import flows as A
+from vocabloom.operators import hierarchy as G
+from vocabloom.operators import lenses as L
+from vocabloom.operators import normalize as N
+from vocabloom.operators import quality as Q
+from vocabloom.operators import senses as C
+from vocabloom.operators import text as T
+from vocabloom.operators import validation as V
+from vocabloom.plans import standins as S
+from vocabloom.plans.standins import t, with_ctes
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+#: Weights of the example lens over part types.
+LENS = {"ECONOMY": 0.95, "STANDARD": 0.4, "PROMO": 0.25}
+LENS_SQL = "CASE discipline WHEN 'ECONOMY' THEN 0.95 WHEN 'STANDARD' THEN 0.4 WHEN 'PROMO' THEN 0.25 ELSE 0.1 END"
+BOOST_SQL = "CASE tier WHEN 1 THEN 2.0 WHEN 2 THEN 1.5 WHEN 3 THEN 1.0 ELSE 0.5 END"
+SCORE_SQL = f"round(({LENS_SQL})::DOUBLE * confidence * ({BOOST_SQL})::DOUBLE, 6)"
+TYPED_SQL = "CASE WHEN {0} THEN 'equivalent_sense' ELSE 'cross_domain_bridge' END AS relationship_type, CASE WHEN {0} THEN 'toward' ELSE 'across' END AS direction"
+
+
+def query(name: str, ctes: str = "", sql: str | None = None) -> Callable:
+    def add(f: Callable) -> Callable:
+        _QUERIES[name] = f
+        if sql is not None:
+            _SQL[name] = with_ctes(ctes, sql) if ctes else sql
+        return f
+
+    return add
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# Search, replacement and quality
+
+query("search_label", "kw", "SELECT id, label, source FROM kw WHERE label ILIKE '%00%' AND source = 'geo'")(
+    lambda s, d: Q.search_label(S.keywords(s, d), "00", "geo").select("id", "label", "source"))
+query("by_source", "kw", "SELECT id, label FROM kw WHERE source = 'catalog'")(
+    lambda s, d: Q.by_source(S.keywords(s, d), "catalog").select("id", "label"))
+query("upsert_replace", "kw", "SELECT * FROM kw WHERE source <> 'catalog' UNION ALL SELECT * FROM kw WHERE source = 'catalog' AND level < 2")(
+    lambda s, d: Q.upsert_replace(S.keywords(s, d), S.keywords(s, d).where("source = 'catalog' AND level < 2")))
+query("upsert_stats", "kw", """SELECT source, count(*) FILTER (level < 2) AS inserted, count(*) AS previous,
+  count(*) FILTER (level < 2) - count(*) AS delta FROM kw WHERE source = 'catalog' GROUP BY 1""")(
+    lambda s, d: Q.upsert_stats(S.keywords(s, d), S.keywords(s, d).where("source = 'catalog' AND level < 2")))
+query("overwrite_raw", "kw", "SELECT id, label, CAST(NULL AS VARCHAR) AS parent_id, source, CAST(NULL AS INT) AS level FROM kw")(
+    lambda s, d: Q.overwrite_columns(S.keywords(s, d), S.keywords(s, d).select("id", "label", "source")))
+query("validate_source", "kw", """SELECT a.source, count(*) AS row_count,
+  CAST(sum(CASE WHEN a.parent_id IS NOT NULL AND b.id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS orphan_parents,
+  CAST(sum(CASE WHEN trim(coalesce(a.label, '')) = '' THEN 1 ELSE 0 END) AS BIGINT) AS empty_labels,
+  count(*) - count(DISTINCT a.id) AS duplicate_ids,
+  sum(CASE WHEN a.parent_id IS NOT NULL AND b.id IS NULL THEN 1 ELSE 0 END) + sum(CASE WHEN trim(coalesce(a.label, '')) = '' THEN 1 ELSE 0 END) + count(*) - count(DISTINCT a.id) = 0 AS valid
+  FROM kw a LEFT JOIN (SELECT DISTINCT id, source FROM kw) b ON a.parent_id = b.id AND a.source = b.source GROUP BY 1""")(
+    lambda s, d: Q.validate_source(S.keywords(s, d)))
+query("source_stats", "kw", "SELECT source, count(*) AS n FROM kw GROUP BY 1")(lambda s, d: Q.source_stats(S.keywords(s, d)))
+query("field_audit", "senses", """SELECT field, filled, round(filled / n, 6) AS share, round(filled / n, 6) >= 0.9 AS enough FROM (
+  SELECT 'label' AS field, count(label) AS filled, count(*) AS n FROM senses UNION ALL SELECT 'level', count(level), count(*) FROM senses
+  UNION ALL SELECT 'tier', count(tier), count(*) FROM senses)""")(
+    lambda s, d: Q.field_audit(S.senses(s, d), ["label", "level", "tier"], 0.9))
+query("coverage_stats", "pubs", """SELECT journal, count(*) AS pubs, round(count(*) FILTER (status = 'F') / count(*), 6) AS share_f,
+  min(year) AS first_year, max(year) AS last_year FROM pubs GROUP BY 1""")(
+    lambda s, d: S.pubs(s, d).groupBy("journal").agg(
+        F.count("*").alias("pubs"), F.round(F.sum(F.when(F.col("status") == "F", 1).otherwise(0)) / F.count("*"), 6).alias("share_f"),
+        F.min("year").alias("first_year"), F.max("year").alias("last_year")))
+query("insert_new_edges", "senses rels", """SELECT DISTINCT source_sense_id, target_sense_id, relationship_type FROM rels
+  WHERE NOT (relationship_type = 'equivalent_sense')""")(
+    lambda s, d: (lambda r: Q.insert_new_edges(r.where("relationship_type = 'equivalent_sense'"), r.union(r), ["source_sense_id", "target_sense_id", "relationship_type"]))(
+        S.rels(s, d).select("source_sense_id", "target_sense_id", "relationship_type")))
+query("merge_priority", "", """SELECT label, source, priority FROM (SELECT *, row_number() OVER (PARTITION BY lower(label) ORDER BY priority, label) AS rn FROM (
+  SELECT DISTINCT p_brand AS label, 'brand' AS source, 0 AS priority FROM part
+  UNION ALL SELECT DISTINCT upper(p_brand), 'gap', 1 FROM part UNION ALL SELECT DISTINCT p_type, 'gap', 1 FROM part)) WHERE rn = 1""")(
+    lambda s, d: Q.merge_priority(
+        t(s, d, "part").select(F.col("p_brand").alias("label"), F.lit("brand").alias("source")).distinct(),
+        t(s, d, "part").select(F.upper("p_brand").alias("label"), F.lit("gap").alias("source")).union(t(s, d, "part").select("p_type", F.lit("gap"))).distinct()))
+query("resume_pending", "", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")(
+    lambda s, d: Q.pending(t(s, d, "orders").select("o_orderkey"), t(s, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey"))
+query("true_orphans", "", """SELECT id, label, 'true_orphan:' || CASE WHEN length(label) <= 2 THEN 'short' ELSE 'numeric_code' END AS tag FROM (
+  SELECT p_partkey AS id, CAST(p_size AS VARCHAR) || CASE WHEN p_size % 3 = 0 THEN '.10' WHEN p_size % 3 = 1 THEN '' ELSE ' kg' END AS label FROM part)
+  WHERE length(label) <= 2 OR regexp_matches(label, '^[0-9.\\-]+$')""")(
+    lambda s, d: Q.true_orphans(t(s, d, "part").select(
+        F.col("p_partkey").alias("id"),
+        F.concat(F.col("p_size").cast("string"), F.when(F.col("p_size") % 3 == 0, ".10").when(F.col("p_size") % 3 == 1, "").otherwise(" kg")).alias("label"))))
+query("category_breakdown", "kw", "SELECT substr(id, 1, 1) AS letter, count(*) AS n FROM kw GROUP BY 1")(
+    lambda s, d: T.field_counts(S.keywords(s, d).select(F.substring("id", 1, 1).alias("letter")), "letter"))
+query("category_gaps", "", """SELECT c.p_brand AS idx, count(*) AS categories, count(o.p_type) AS in_our_data, round(count(o.p_type) / count(*), 6) AS covered
+  FROM (SELECT DISTINCT p_brand, p_type FROM part) c LEFT JOIN (SELECT DISTINCT p_type FROM part WHERE p_size = 1) o USING (p_type) GROUP BY 1""")(
+    lambda s, d: Q.category_gaps(t(s, d, "part").select(F.col("p_brand").alias("idx"), "p_type").distinct(), t(s, d, "part").where("p_size = 1"), "p_type", "idx"))
+
+# Hierarchies
+
+query("graph_build", "kw", "SELECT id, max(r) AS has_record FROM (SELECT id, true AS r FROM kw UNION ALL SELECT parent_id, false FROM kw WHERE parent_id IS NOT NULL) GROUP BY 1")(
+    lambda s, d: G.build_graph(S.keywords(s, d)))
+query("roots", "kw", "SELECT id FROM kw WHERE parent_id IS NULL")(lambda s, d: G.roots(S.keywords(s, d)))
+query("leaves", "kw", "SELECT id FROM kw WHERE id NOT IN (SELECT parent_id FROM kw WHERE parent_id IS NOT NULL)")(lambda s, d: G.leaves(S.keywords(s, d)))
+query("ancestors", "kw closure", "SELECT id, ancestor, hops FROM closure")(lambda s, d: G.closure(S.keywords(s, d)))
+query("full_path", "kw", """SELECT a.id, concat_ws(' > ', c.label, b.label, a.label) AS full_path FROM kw a
+  LEFT JOIN kw b ON a.parent_id = b.id LEFT JOIN kw c ON b.parent_id = c.id""")(lambda s, d: G.full_paths(S.keywords(s, d)))
+query("descendants", "kw closure", "SELECT id, hops FROM closure WHERE ancestor = 'R1'")(lambda s, d: G.descendants(S.keywords(s, d), "R1"))
+query("children", "kw", "SELECT parent_id AS id, count(*) AS children FROM kw WHERE parent_id IS NOT NULL GROUP BY 1")(lambda s, d: G.children(S.keywords(s, d)))
+query("siblings", "kw", "SELECT a.id, b.id AS sibling FROM kw a JOIN kw b ON a.parent_id = b.parent_id AND a.id <> b.id WHERE a.level < 2")(
+    lambda s, d: G.siblings(S.keywords(s, d).where("level < 2")))
+query("subtree", "kw closure", "SELECT id, label, parent_id FROM kw WHERE id = 'R2' OR id IN (SELECT id FROM closure WHERE ancestor = 'R2')")(
+    lambda s, d: G.subtree(S.keywords(s, d), "R2").select("id", "label", "parent_id"))
+query("depth", "kw", "SELECT id, level AS depth FROM kw")(lambda s, d: G.depths(S.keywords(s, d)))
+query("graph_stats", "kw", """SELECT count(*) AS nodes, max(level) AS max_depth, count(parent_id) AS edges, count(*) FILTER (parent_id IS NULL) AS roots,
+  count(*) FILTER (id NOT IN (SELECT parent_id FROM kw WHERE parent_id IS NOT NULL)) AS leaves FROM kw""")(lambda s, d: G.graph_stats(S.keywords(s, d)))
+query("depth_histogram", "kw", "SELECT level AS depth, count(*) AS n FROM kw GROUP BY 1")(lambda s, d: G.depth_histogram(S.keywords(s, d)))
+query("lca", "kw", """SELECT a.id AS a, b.id AS b, CASE WHEN a.parent_id = b.parent_id THEN a.parent_id ELSE na.parent_id END AS ancestor
+  FROM kw a JOIN kw b ON b.id = 'S' || substr(a.id, 2) JOIN kw na ON na.id = a.parent_id JOIN kw nb ON nb.id = b.parent_id
+  WHERE a.id LIKE 'C%' AND (a.parent_id = b.parent_id OR na.parent_id = nb.parent_id)""")(
+    lambda s, d: G.common_ancestors(S.keywords(s, d), t(s, d, "supplier").select(F.concat(F.lit("C"), "s_suppkey").alias("a"), F.concat(F.lit("S"), "s_suppkey").alias("b"))))
+query("find_label", "kw", "SELECT id, label FROM kw WHERE contains(lower(label), 'an')")(lambda s, d: G.find_label(S.keywords(s, d), "AN").select("id", "label"))
+query("reachable", "kw closure", "SELECT DISTINCT id, level FROM (SELECT id, hops AS level FROM closure WHERE ancestor IN ('R0', 'R3') UNION ALL SELECT id, 0 FROM kw WHERE id IN ('R0', 'R3'))")(
+    lambda s, d: G.reach(S.keywords(s, d).where("parent_id IS NOT NULL").select(F.col("parent_id").alias("src"), F.col("id").alias("dst")), S.keywords(s, d).where("id IN ('R0', 'R3')")))
+query("bfs_levels", "kw", "SELECT level, count(*) AS n FROM kw GROUP BY 1")(
+    lambda s, d: G.reach(S.keywords(s, d).where("parent_id IS NOT NULL").select(F.col("parent_id").alias("src"), F.col("id").alias("dst")), G.roots(S.keywords(s, d))).groupBy("level").agg(F.count("*").alias("n")))
+query("filtered_parent", "kw", """SELECT a.id, CASE WHEN a.level = 2 THEN b.parent_id WHEN a.level = 1 THEN a.parent_id END AS parent FROM kw a LEFT JOIN kw b ON a.parent_id = b.id""")(
+    lambda s, d: G.filtered_parent(S.keywords(s, d).withColumn("rank", F.when(F.col("level") == 0, "top").otherwise("no rank")), ["top"]))
+query("rank_filter", "kw", "SELECT id, CASE level WHEN 0 THEN 0 ELSE 1 END AS rank_level FROM kw WHERE level IN (0, 2)")(
+    lambda s, d: S.keywords(s, d).where(F.col("level").isin(0, 2)).select("id", F.when(F.col("level") == 0, 0).otherwise(1).alias("rank_level")))
+query("envelope", "", """SELECT coalesce(o_orderpriority, 'all') || '/' || coalesce(o_orderstatus, 'all') AS node, count(*) AS pub_count FROM orders
+  GROUP BY ROLLUP (o_orderpriority, o_orderstatus)""")(
+    lambda s, d: t(s, d, "orders").rollup("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("pub_count")).select(
+        F.concat(F.coalesce("o_orderpriority", F.lit("all")), F.lit("/"), F.coalesce("o_orderstatus", F.lit("all"))).alias("node"), "pub_count"))
+query("orphans", "senses rels", "SELECT sense_id FROM senses WHERE sense_id NOT IN (SELECT source_sense_id FROM rels WHERE confidence > 0.5 UNION ALL SELECT target_sense_id FROM rels WHERE confidence > 0.5)")(
+    lambda s, d: G.unconnected(S.senses(s, d).select("sense_id"), S.rels(s, d).where("confidence > 0.5")))
+query("density", "senses rels", "SELECT relationship_type, count(*) AS n, round(count(*) / (SELECT count(*) FROM senses), 6) AS per_sense FROM rels GROUP BY 1")(
+    lambda s, d: S.rels(s, d).groupBy("relationship_type").agg(F.count("*").alias("n")).crossJoin(F.broadcast(S.senses(s, d).agg(F.count("*").alias("_n")))).select(
+        "relationship_type", "n", F.round(F.col("n") / F.col("_n"), 6).alias("per_sense")))
+query("degree", "senses rels", "SELECT sense_id, count(*) AS degree FROM (SELECT source_sense_id AS sense_id FROM rels UNION ALL SELECT target_sense_id FROM rels WHERE target_sense_id <> source_sense_id) GROUP BY 1")(
+    lambda s, d: G.degrees(S.rels(s, d)))
+
+# Senses
+
+RULES = [("economy", ["economy"]), ("premium", ["promo", "standard"]), ("metal", ["steel", "brass", "tin"])]
+query("classify_source", "", "SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN 'economy' WHEN p_type IN ('PROMO', 'STANDARD') THEN 'premium' ELSE 'other' END AS class FROM part")(
+    lambda s, d: t(s, d, "part").select("p_partkey", C.classify("p_type", RULES, "other").alias("class")))
+query("classify_text", "", """SELECT doc_id, CASE WHEN regexp_matches(lower(text), 'license|copyright') THEN 'legal' WHEN regexp_matches(lower(text), 'idiot|stupid|loser') THEN 'abuse' ELSE 'general' END AS class FROM documents""")(
+    lambda s, d: t(s, d, "documents").select("doc_id", C.classify("text", [("legal", ["license", "copyright"]), ("abuse", ["idiot", "stupid", "loser"])], "general").alias("class")))
+query("senses", "senses", "SELECT * FROM senses")(lambda s, d: S.senses(s, d))
+query("sense_tiers", "senses disc", "SELECT sense_id, coalesce(d.tier, 4) AS resolution_tier FROM senses s LEFT JOIN disc d ON s.discipline = d.discipline_id AND d.tier <= 3")(
+    lambda s, d: C.with_tier(S.senses(s, d), S.disciplines(s, d).where("tier <= 3")).select("sense_id", "resolution_tier"))
+query("polysemy", "senses", """SELECT s.sense_id, s.label, sources, s.label || ' (' || split_part(source, ' ', 1) || ')' AS disambiguation,
+  CASE WHEN sources >= 3 THEN 0.7 ELSE 0.75 END::DOUBLE AS polysemy_confidence FROM senses s JOIN (SELECT label, count(DISTINCT source) AS sources FROM senses GROUP BY 1) g USING (label) WHERE sources >= 2""")(
+    lambda s, d: C.polysemy(S.senses(s, d)))
+query("secondary_disciplines", "senses", """SELECT s.sense_id, coalesce(string_agg(f.discipline, ',' ORDER BY f.discipline), '') AS secondary FROM senses s
+  LEFT JOIN (SELECT label, discipline, min(sense_id) AS first_id FROM senses GROUP BY 1, 2) f ON f.label = s.label AND f.discipline <> s.discipline AND f.first_id >= s.sense_id GROUP BY 1""")(
+    lambda s, d: C.secondary_disciplines(S.senses(s, d)))
+query("pub_senses", "pubkw", """SELECT label, count(DISTINCT pub) AS pubs, CAST(sum(CASE WHEN kind = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS kind_r,
+  CAST(sum(CASE WHEN kind <> 'R' THEN 1 ELSE 0 END) AS BIGINT) AS kind_other, round(least(0.95::DOUBLE, 0.5 + count(DISTINCT pub) / 100), 6) AS pub_confidence FROM pubkw GROUP BY 1""")(
+    lambda s, d: C.pub_senses(S.pub_keywords(s, d)))
+query("label_links", "senses", f"""SELECT a.sense_id AS source_sense_id, b.sense_id AS target_sense_id, {TYPED_SQL.format('a.discipline = b.discipline')}
+  FROM senses a JOIN senses b ON lower(a.label) = lower(b.label) WHERE a.level = 0 AND b.level = 1""")(
+    lambda s, d: C.label_links(S.senses(s, d).where("level = 0"), S.senses(s, d).where("level = 1")))
+query("category_senses", "", "SELECT value, count(*) AS n FROM (SELECT DISTINCT o_orderkey, unnest([o_orderpriority, o_orderstatus]) AS value FROM orders) GROUP BY 1")(
+    lambda s, d: C.unpivot_fields(t(s, d, "orders"), "o_orderkey", ["o_orderpriority", "o_orderstatus"]).groupBy("value").agg(F.count("*").alias("n")))
+query("modal_category", "pubs", "SELECT journal, category, n FROM (SELECT journal, category, count(*) AS n, row_number() OVER (PARTITION BY journal ORDER BY count(*) DESC, category) AS rn FROM pubs GROUP BY 1, 2) WHERE rn = 1")(
+    lambda s, d: C.modal_value(S.pubs(s, d), "journal", "category"))
+query("agency_senses", "pubkw", "SELECT label, count(*) AS mentions FROM pubkw GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100")(
+    lambda s, d: C.top_counts(S.pub_keywords(s, d), "label", 100))
+query("vocab_gap", "senses", "SELECT DISTINCT p_brand AS label FROM part WHERE lower(p_brand) NOT IN (SELECT lower(label) FROM senses)")(
+    lambda s, d: C.missing_labels(t(s, d, "part").select(F.col("p_brand").alias("label")).distinct(), S.senses(s, d)))
+query("new_pub_senses", "pubkw", """SELECT label, count(DISTINCT pub) AS pubs, round(avg(relevance), 6) AS avg_relevance, round(least(avg(relevance) * 0.8, 0.9), 6) AS new_confidence
+  FROM pubkw WHERE relevance >= 0.3 AND lower(label) NOT IN (SELECT lower(p_name || ' ' || p_brand) FROM part WHERE p_size < 25) GROUP BY 1""")(
+    lambda s, d: C.new_pub_senses(S.pub_keywords(s, d), t(s, d, "part").where("p_size < 25").select(F.concat_ws(" ", "p_name", "p_brand").alias("label")), 0.3))
+query("majority_vote", "senses rels", """SELECT sense_id, discipline, votes FROM (SELECT e.sense_id, s.discipline, count(*) AS votes,
+    row_number() OVER (PARTITION BY e.sense_id ORDER BY count(*) DESC, s.discipline) AS rn
+  FROM (SELECT source_sense_id AS sense_id, target_sense_id AS n FROM rels UNION ALL SELECT target_sense_id, source_sense_id FROM rels) e JOIN senses s ON s.sense_id = e.n GROUP BY 1, 2) WHERE rn = 1""")(
+    lambda s, d: C.majority_vote(S.senses(s, d), S.rels(s, d)))
+query("field_provenance", "", """SELECT value, string_agg(DISTINCT field, ',' ORDER BY field) AS fields, count(DISTINCT p_partkey) AS n FROM (
+  SELECT p_partkey, p_type AS value, 'p_type' AS field FROM part UNION ALL SELECT p_partkey, p_brand, 'p_brand' FROM part) GROUP BY 1""")(
+    lambda s, d: C.field_provenance(t(s, d, "part"), "p_partkey", ["p_type", "p_brand"]))
+query("meta_senses", "", "SELECT DISTINCT field, value FROM (SELECT 'p_type' AS field, p_type AS value FROM part UNION ALL SELECT 'p_brand', p_brand FROM part UNION ALL SELECT 'p_size', CAST(p_size AS VARCHAR) FROM part)")(
+    lambda s, d: C.unpivot_fields(t(s, d, "part"), "p_partkey", ["p_type", "p_brand", "p_size"]).select("field", "value").distinct())
+
+# Relationships
+
+query("alignment_edges", "senses", f"""SELECT DISTINCT a.sense_id AS source_sense_id, b.sense_id AS target_sense_id, {TYPED_SQL.format('a.discipline = b.discipline')}
+  FROM senses a JOIN senses b ON CAST(b.keyword_id AS INT) = CAST(a.keyword_id AS INT) + 7""")(
+    lambda s, d: J.alignment_edges(t(s, d, "part").select(F.col("p_partkey").cast("string").alias("source_id"), (F.col("p_partkey") + 7).cast("string").alias("target_id")), S.senses(s, d)))
+query("label_alignment", "senses", """SELECT a.key, a.source, b.source AS target, CASE WHEN g.n >= 3 THEN 0.9 ELSE 0.75 END::DOUBLE AS confidence,
+  CASE WHEN g.n >= 3 THEN 'label_match_3plus' ELSE 'label_match_2' END AS method FROM (SELECT DISTINCT lower(label) AS key, source FROM senses) a
+  JOIN (SELECT DISTINCT lower(label) AS key, source FROM senses) b ON a.key = b.key AND a.source < b.source JOIN (SELECT lower(label) AS key, count(DISTINCT source) AS n FROM senses GROUP BY 1) g ON g.key = a.key""")(
+    lambda s, d: J.label_alignment(S.senses(s, d)))
+query("hierarchy_edges", "kw", "SELECT id || '#0' AS source_sense_id, parent_id || '#0' AS target_sense_id FROM kw WHERE parent_id IS NOT NULL")(
+    lambda s, d: (lambda k: J.hierarchy_edges(k, k.select(F.col("id").alias("keyword_id"), F.concat("id", F.lit("#0")).alias("sense_id"))))(S.keywords(s, d)))
+query("containment", "", """SELECT DISTINCT a.label AS narrower, b.w AS broader FROM (SELECT DISTINCT p_name AS label, unnest(string_split(lower(p_name), ' ')) AS word FROM part WHERE contains(p_name, ' ')) a
+  JOIN (SELECT DISTINCT split_part(p_name, ' ', 1) AS w FROM part) b ON a.word = lower(b.w) AND length(b.w) >= 4 AND NOT contains(b.w, ' ')""")(
+    lambda s, d: J.containment(t(s, d, "part").select(F.col("p_name").alias("label")).union(t(s, d, "part").select(F.split_part("p_name", F.lit(" "), F.lit(1))).distinct()).distinct()))
+PAIRS = "(SELECT a.label AS a, b.label AS b, count(*) AS pubs FROM (SELECT DISTINCT pub, label FROM pubkw WHERE relevance >= {0}) a JOIN (SELECT DISTINCT pub, label FROM pubkw WHERE relevance >= {0}) b ON a.pub = b.pub AND a.label < b.label GROUP BY 1, 2 HAVING count(*) >= {1})"
+query("cooccurrence", "pubkw", f"SELECT a, b, pubs FROM {PAIRS.format(0.3, 2)}")(lambda s, d: J.cooccurrence(S.pub_keywords(s, d), 2, 0.3))
+FINE = "fine AS (SELECT sense_id, label || ' ' || source AS label, discipline, confidence FROM senses)"
+for _name, _per, _conf, _csql in (("cooccurrence_sets", 2, F.least(F.lit(0.9), 0.5 + F.col("pubs") * 0.02), "least(0.9::DOUBLE, 0.5 + pubs * 0.02::DOUBLE)"), ("cooccurrence_single", 1, F.least(F.lit(0.9), 0.5 + F.col("pubs") * 0.01), "least(0.9::DOUBLE, 0.5 + pubs * 0.01::DOUBLE)")):
+    query(_name, "senses pubkw", f""", {FINE}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY confidence DESC, sense_id) AS rn FROM fine) WHERE rn <= {_per})
+      SELECT x.sense_id AS source_sense_id, y.sense_id AS target_sense_id, pubs, round({_csql}, 6) AS edge_confidence, CASE WHEN x.discipline = y.discipline THEN 'toward' ELSE 'across' END AS direction
+      FROM {PAIRS.format(0, 3)} p JOIN best x ON x.label = p.a JOIN best y ON y.label = p.b""")(
+        lambda s, d, n=_per, c=_conf: J.cooccurrence_edges(J.cooccurrence(S.pub_keywords(s, d), 3), S.fine_senses(s, d), c, n))
+POLY = f"SELECT a.sense_id AS source_sense_id, b.sense_id AS target_sense_id, {TYPED_SQL.format('a.discipline = b.discipline')} FROM senses a JOIN senses b ON a.label = b.label AND a.sense_id < b.sense_id"
+query("polysemy_edges", "senses", POLY)(lambda s, d: J.polysemy_edges(S.senses(s, d)))
+query("polysemy_edges_v2", "senses", POLY + " WHERE a.label IN (SELECT label FROM senses GROUP BY 1 HAVING count(DISTINCT source) >= 2)")(lambda s, d: J.polysemy_edges(S.senses(s, d), 2))
+query("category_pairs", "pubs", "SELECT category, status, count(*) AS pubs FROM pubs GROUP BY 1, 2 HAVING count(*) >= 5")(lambda s, d: J.category_pairs(S.pubs(s, d), "category", "status", 5))
+query("doi_bridge", "", "SELECT o_orderkey AS our_id, o_orderkey + 1 AS work_id, '10.1/a' || o_orderkey AS doi FROM orders WHERE o_orderkey % 2 = 0")(
+    lambda s, d: J.doi_bridge(t(s, d, "orders").select(F.col("o_orderkey").alias("our_id"), F.concat(F.lit("https://doi.org/10.1/A"), "o_orderkey").alias("doi")),
+                              t(s, d, "orders").select((F.col("o_orderkey") + 1).alias("work_id"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("10.1/a"), "o_orderkey")).otherwise("").alias("doi"))))
+query("citation_edges", "cites pubs", "SELECT citing, cited, cited IN (SELECT pub FROM pubs WHERE status = 'F') AS in_corpus FROM cites")(
+    lambda s, d: J.citation_edges(S.cites(s, d), S.pubs(s, d).where("status = 'F'")))
+query("citation_tree", "cites pubs", """SELECT side, x.pub, year, cited_by FROM (SELECT 'root' AS side, cited AS pub FROM cites WHERE citing = (SELECT max(citing) FROM cites)
+  UNION ALL SELECT 'branch', citing FROM cites WHERE cited = (SELECT max(citing) FROM cites)) x LEFT JOIN pubs p ON p.pub = x.pub""")(
+    lambda s, d: (lambda c: J.citation_tree(c, S.pubs(s, d), c.agg(F.max("citing")).first()[0]))(S.cites(s, d)))
+query("citation_tree_2hop", "cites pubs", """, mid AS (SELECT min(cited) AS m FROM cites WHERE cited IN (SELECT citing FROM cites)),
+  one AS (SELECT 'root' AS side, cited AS via FROM cites, mid WHERE citing = m UNION ALL SELECT 'branch', citing FROM cites, mid WHERE cited = m)
+  SELECT o.side, via, CASE o.side WHEN 'root' THEN r.cited ELSE b.citing END AS pub, p.cited_by FROM one o LEFT JOIN cites r ON o.side = 'root' AND r.citing = via LEFT JOIN cites b ON o.side = 'branch' AND b.cited = via
+  LEFT JOIN pubs p ON p.pub = CASE o.side WHEN 'root' THEN r.cited ELSE b.citing END WHERE CASE o.side WHEN 'root' THEN r.cited ELSE b.citing END IS NOT NULL""")(
+    lambda s, d: (lambda c: J.citation_tree_2hop(c, S.pubs(s, d), c.join(c.select(F.col("citing").alias("cited")), "cited", "left_semi").agg(F.min("cited")).first()[0], 50, 20))(S.cites(s, d)))
+query("year_anomaly", "cites pubs", """SELECT cited AS citing, citing AS cited, a.year AS citing_year, b.year AS cited_year FROM cites JOIN pubs a ON a.pub = cited JOIN pubs b ON b.pub = citing WHERE b.year > a.year""")(
+    lambda s, d: J.year_anomalies(S.cites(s, d).select(F.col("cited").alias("citing"), F.col("citing").alias("cited")), S.pubs(s, d)))
+query("citation_list", "cites pubs", "SELECT cited, count(*) AS citing_works, min(year) AS first_year, max(year) AS last_year FROM cites JOIN pubs ON pub = citing GROUP BY 1")(
+    lambda s, d: S.cites(s, d).join(S.pubs(s, d), F.col("citing") == F.col("pub")).groupBy("cited").agg(F.count("*").alias("citing_works"), F.min("year").alias("first_year"), F.max("year").alias("last_year")))
+query("tfidf_edges", "", """WITH words AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM benchmark),
+  tf AS (SELECT item_id, term, count(*) AS tf FROM words WHERE length(term) > 1 GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM benchmark),
+  df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), w AS (SELECT item_id, tf.term, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM tf JOIN df USING (term), n WHERE df <= greatest(n * 0.5, 2)),
+  nw AS (SELECT item_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS w FROM w),
+  c AS (SELECT a.item_id AS a, b.item_id AS b, round(sum(a.w * b.w), 6) AS cosine FROM nw a JOIN nw b ON a.term = b.term AND a.item_id <> b.item_id GROUP BY 1, 2)
+  SELECT a, b, cosine, rank FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY cosine DESC, b) AS rank FROM c WHERE cosine >= 0.2) WHERE rank <= 20""")(
+    lambda s, d: J.tfidf_edges(J.tfidf(t(s, d, "benchmark"), "item_id", "text"), "item_id", 0.2, 20))
+
+# Lenses
+
+query("disciplines", "disc", "SELECT * FROM disc")(lambda s, d: S.disciplines(s, d))
+LENSES_SQL = "SELECT l.discipline_id AS lens, x.discipline_id AS discipline, CASE WHEN l.discipline_id = x.discipline_id THEN 0.95 WHEN l.tier = x.tier THEN 0.4 WHEN abs(l.tier - x.tier) = 1 THEN 0.25 ELSE 0.1 END::DOUBLE AS weight FROM disc l, disc x"
+query("template_lenses", "disc", LENSES_SQL)(lambda s, d: L.template_lenses(S.disciplines(s, d)))
+query("lens_list", "disc", "SELECT discipline_id, tier FROM disc WHERE tier >= 2")(lambda s, d: S.disciplines(s, d).where("tier >= 2").orderBy("discipline_id", F.desc("tier")))
+query("lens_query", "senses", f"SELECT sense_id, label, discipline, {SCORE_SQL} AS score FROM senses WHERE level IS NULL OR level <= 4 ORDER BY 4 DESC, 1 LIMIT 50")(
+    lambda s, d: L.lens_query(S.senses(s, d), LENS, 50, max_level=4).select("sense_id", "label", "discipline", "score"))
+query("lens_query_full", "senses rels", f""", deg AS (SELECT sense_id, count(*) AS degree FROM (SELECT source_sense_id AS sense_id FROM rels UNION ALL SELECT target_sense_id FROM rels) GROUP BY 1)
+  SELECT s.sense_id, score, coalesce(degree, 0) AS rel_count FROM (SELECT sense_id, {SCORE_SQL} AS score FROM senses WHERE discipline IN ('ECONOMY', 'STANDARD', 'PROMO') ORDER BY 2 DESC, 1 LIMIT 40) s LEFT JOIN deg USING (sense_id)""")(
+    lambda s, d: L.lens_query_full(S.senses(s, d), LENS, G.degrees(S.rels(s, d)), 40).select("sense_id", "score", "rel_count"))
+query("discipline_query", "senses", "SELECT sense_id, label, confidence FROM senses WHERE discipline = 'PROMO' ORDER BY confidence DESC, label, sense_id LIMIT 50")(
+    lambda s, d: L.discipline_query(S.senses(s, d), "PROMO", 50).select("sense_id", "label", "confidence"))
+query("bridges", "senses", """SELECT sense_id FROM senses s WHERE (discipline = 'PROMO' AND EXISTS (SELECT 1 FROM (SELECT label, discipline, min(sense_id) AS f FROM senses GROUP BY 1, 2) x WHERE x.label = s.label AND x.discipline = 'ECONOMY' AND f >= s.sense_id))
+  OR (discipline = 'ECONOMY' AND EXISTS (SELECT 1 FROM (SELECT label, discipline, min(sense_id) AS f FROM senses GROUP BY 1, 2) x WHERE x.label = s.label AND x.discipline = 'PROMO' AND f >= s.sense_id))""")(
+    lambda s, d: L.bridges(S.senses(s, d).join(C.secondary_disciplines(S.senses(s, d)), "sense_id").withColumn("secondary", F.split("secondary", ",")), "PROMO", "ECONOMY").select("sense_id"))
+query("lens_summary", "senses", "SELECT source, CAST(sum(CASE WHEN discipline IN ('PROMO', 'ECONOMY') THEN 1 ELSE 0 END) AS BIGINT) AS visible, CAST(sum(CASE WHEN discipline IN ('PROMO', 'ECONOMY') AND level IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS without_level, count(*) AS n FROM senses GROUP BY 1")(
+    lambda s, d: L.lens_summary(S.senses(s, d), ["PROMO", "ECONOMY"]))
+query("explore", "senses rels", f""", centre AS (SELECT min(label) AS l FROM senses), c AS (SELECT sense_id FROM senses, centre WHERE lower(label) = lower(l)),
+  e AS (SELECT source_sense_id AS s, target_sense_id AS n, confidence AS ec FROM rels UNION ALL SELECT target_sense_id, source_sense_id, confidence FROM rels),
+  b AS (SELECT n, label, discipline, ec, row_number() OVER (PARTITION BY lower(label) || '|' || source ORDER BY ec DESC, n) AS rn FROM e JOIN senses x ON x.sense_id = e.n WHERE s IN (SELECT sense_id FROM c))
+  SELECT n AS neighbour, label, discipline, round(({LENS_SQL.replace('0.1 END', '0.05 END')})::DOUBLE * ec, 6) AS score FROM b WHERE rn = 1 ORDER BY 4 DESC, 1 LIMIT 15""")(
+    lambda s, d: L.explore(S.senses(s, d), S.rels(s, d), S.senses(s, d).agg(F.min("label")).first()[0], LENS, 15))
+query("compare_lenses", "senses disc", f""", lens AS ({LENSES_SQL})
+  SELECT lens, place, sense_id, score FROM (SELECT lens, sense_id, score, row_number() OVER (PARTITION BY lens ORDER BY score DESC, sense_id) AS place FROM (
+  SELECT lens, sense_id, round(weight * confidence * ({BOOST_SQL})::DOUBLE, 6) AS score FROM senses s JOIN lens l USING (discipline))) WHERE place <= 15""")(
+    lambda s, d: L.compare_lenses(S.senses(s, d), L.template_lenses(S.disciplines(s, d)), 15))
+query("papers_through_lens", "senses pubkw", f""", {FINE}, j AS (SELECT pub, sense_id, discipline, relevance * confidence AS rc FROM pubkw p JOIN fine f ON lower(p.label) = lower(f.label) WHERE relevance >= 0.3),
+  g AS (SELECT pub, count(DISTINCT sense_id) AS senses, sum(rc) AS raw FROM j GROUP BY 1 HAVING count(DISTINCT sense_id) >= 2),
+  w AS (SELECT pub, string_agg(discipline, ',' ORDER BY discipline) AS disciplines, avg(({LENS_SQL.replace('0.1 END', '0.05 END')})::DOUBLE) AS m FROM (SELECT DISTINCT pub, discipline FROM j) GROUP BY 1)
+  SELECT pub, senses, disciplines, round(raw * m, 6) AS score FROM g JOIN w USING (pub) ORDER BY 4 DESC, 1 LIMIT 50""")(
+    lambda s, d: L.papers_through_lens(S.pub_keywords(s, d), S.fine_senses(s, d), LENS, 0.3, 2, 50))
+
+# Validation
+
+query("stratified_sample")(lambda s, d: V.stratified_sample(S.senses(s, d), [F.col("discipline"), F.floor(F.col("confidence") * 3)], "sense_id", 5).select("sense_id", "discipline", "confidence"))
+query("edge_sample")(lambda s, d: V.edge_sample(S.rels(s, d), ["source_sense_id", "target_sense_id"], 0.1))
+query("kappa", "", """WITH c AS (SELECT quality AS a, toxic AS b, count(*) AS n FROM labels GROUP BY 1, 2), s AS (SELECT sum(n) AS n, sum(n) FILTER (a = b) AS agree FROM c),
+  e AS (SELECT sum(na * nb) AS e FROM (SELECT a, sum(n) AS na FROM c GROUP BY 1) x JOIN (SELECT b, sum(n) AS nb FROM c GROUP BY 1) y ON a = b)
+  SELECT CAST(n AS BIGINT) AS n, round(agree / n, 6) AS observed, round(e / (n * n), 6) AS expected, round((agree / n - e / (n * n)) / (1 - e / (n * n)), 6) AS kappa FROM s, e""")(
+    lambda s, d: V.kappa(t(s, d, "labels"), "quality", "toxic"))
+query("prf", "", """WITH p AS (SELECT p_type AS t, CASE WHEN p_size % 5 = 0 THEN 'PROMO' ELSE p_type END AS p FROM part), c AS (SELECT t AS category FROM p UNION SELECT p FROM p),
+  m AS (SELECT category, count(*) FILTER (t = category AND p = category) AS tp, count(*) FILTER (p = category) AS pp, count(*) FILTER (t = category) AS sup FROM c, p GROUP BY 1)
+  SELECT category, round(CASE WHEN pp > 0 THEN tp / pp ELSE 0 END, 6) AS precision, round(CASE WHEN sup > 0 THEN tp / sup ELSE 0 END, 6) AS recall,
+  round(CASE WHEN tp > 0 THEN 2 * (tp / pp) * (tp / sup) / (tp / pp + tp / sup) ELSE 0 END, 6) AS f1, sup AS support FROM m""")(
+    lambda s, d: V.per_category(t(s, d, "part").select(F.col("p_type").alias("truth"), F.when(F.col("p_size") % 5 == 0, "PROMO").otherwise(F.col("p_type")).alias("predicted")), "truth", "predicted"))
+query("sensitivity", "senses rels", """, b AS (SELECT discipline, sense_id, count(*) AS k FROM senses JOIN rels ON source_sense_id = sense_id GROUP BY 1, 2),
+  a AS (SELECT discipline, sense_id, count(*) AS k FROM senses JOIN rels ON source_sense_id = sense_id WHERE CAST(split_part(source_sense_id, '@', 1) AS INT) % 10 <> 3 GROUP BY 1, 2),
+  tb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY discipline ORDER BY k DESC, sense_id) AS r FROM b) WHERE r <= 50), ta AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY discipline ORDER BY k DESC, sense_id) AS r FROM a) WHERE r <= 50)
+  SELECT discipline, round(count(*) FILTER (tb.sense_id IS NOT NULL AND ta.sense_id IS NOT NULL) / count(*), 6) AS jaccard FROM tb FULL JOIN ta USING (discipline, sense_id) GROUP BY 1""")(
+    lambda s, d: (lambda top: V.top_set_jaccard(top(S.rels(s, d)), top(S.rels(s, d).where(F.split_part("source_sense_id", F.lit("@"), F.lit(1)).cast("int") % 10 != 3)), "discipline", "sense_id"))(
+        lambda r: V.top_by(S.senses(s, d).join(r.select(F.col("source_sense_id").alias("sense_id")), "sense_id").groupBy("discipline", "sense_id").agg(F.count("*").alias("k")), ["discipline"], [F.desc("k"), "sense_id"], 50)))
+query("npmi", "pubkw", f""", one AS (SELECT label, count(DISTINCT pub) AS n FROM pubkw GROUP BY 1), tot AS (SELECT count(DISTINCT pub) AS t FROM pubkw)
+  SELECT p.a, p.b, p.pubs, round(ln((p.pubs / t) / ((x.n / t) * (y.n / t))) / -ln(p.pubs / t), 6) AS npmi FROM {PAIRS.format(0, 3)} p JOIN one x ON x.label = p.a JOIN one y ON y.label = p.b, tot""")(
+    lambda s, d: (lambda k: V.npmi(J.cooccurrence(k, 3), k.groupBy("label").agg(F.countDistinct("pub").alias("pubs")), F.lit(k.select("pub").distinct().count())))(S.pub_keywords(s, d)))
+query("lens_divergence", "senses disc", f""", lens AS ({LENSES_SQL}), sc AS (SELECT lens, label, round(sum(weight * confidence), 6) AS v FROM senses JOIN lens USING (discipline) GROUP BY 1, 2),
+  r AS (SELECT lens, label, rank() OVER (PARTITION BY lens ORDER BY v) + (count(*) OVER (PARTITION BY lens, v) - 1) / 2 AS r FROM sc)
+  SELECT x.lens AS a, y.lens AS b, round(corr(x.r, y.r), 6) AS spearman FROM r x JOIN r y ON x.label = y.label AND x.lens < y.lens GROUP BY 1, 2""")(
+    lambda s, d: V.spearman(S.senses(s, d).join(L.template_lenses(S.disciplines(s, d)), "discipline").groupBy("lens", "label").agg(F.round(F.sum(F.col("weight") * F.col("confidence")), 6).alias("v")), "lens", "label", "v"))
+query("paper_sets", "pubkw", "SELECT pub, string_agg(DISTINCT label, '|' ORDER BY label) AS labels FROM pubkw GROUP BY 1")(
+    lambda s, d: S.pub_keywords(s, d).groupBy("pub").agg(F.array_join(F.array_sort(F.collect_set("label")), "|").alias("labels")))
+_SETS = "sets AS (SELECT pub, list_distinct(list(label)) AS items FROM pubkw GROUP BY 1)"
+query("citation_coherence", "pubkw cites", f""", {_SETS}
+  SELECT citing AS a, cited AS b, round(len(list_intersect(x.items, y.items)) / len(list_distinct(list_concat(x.items, y.items))), 6) AS similarity FROM cites JOIN sets x ON x.pub = citing JOIN sets y ON y.pub = cited""")(
+    lambda s, d: V.linked_similarity(S.pub_keywords(s, d).groupBy("pub").agg(F.collect_set("label").alias("items")), S.cites(s, d).select(F.col("citing").alias("a"), F.col("cited").alias("b"))))
+query("mann_whitney", "", """WITH c AS (SELECT p_retailprice AS v, count(*) AS t, count(*) FILTER (p_type = 'PROMO') AS g FROM part GROUP BY 1),
+  r AS (SELECT *, coalesce(sum(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (t + 1) / 2 AS rk FROM c),
+  s AS (SELECT sum(g * rk)::DOUBLE AS r, sum(g)::DOUBLE AS n1, sum(t)::DOUBLE AS n, sum(t::DOUBLE ** 3 - t) AS ties FROM r)
+  SELECT round(r - n1 * (n1 + 1) / 2, 3) AS u, round((r - n1 * (n1 + 1) / 2 - n1 * (n - n1) / 2) / sqrt(n1 * (n - n1) / 12 * (n + 1 - ties / (n * (n - 1)))), 6) AS z FROM s""")(
+    lambda s, d: V.mann_whitney(t(s, d, "part").select((F.col("p_type") == "PROMO").alias("g"), "p_retailprice"), "g", "p_retailprice"))
+
+# Texts
+
+query("vocab_in_text", "", """WITH v AS (SELECT DISTINCT p_brand, lower(split_part(p_name, ' ', 1)) AS label FROM part UNION SELECT 'x', unnest(['license', 'the public', 'of the', 'under the', 'apache license'])),
+  tok AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9\\-]+'), lambda x: x <> '') AS ts FROM documents),
+  g AS (SELECT doc_id, unnest(list_distinct(list_concat(ts, list_transform(range(1, len(ts)), lambda i: ts[i] || ' ' || ts[i + 1])))) AS gram FROM tok)
+  SELECT label, count(DISTINCT doc_id) AS documents FROM g JOIN (SELECT DISTINCT label FROM v) ON label = gram GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2""")(
+    lambda s, d: T.vocabulary_matches(t(s, d, "documents"), "doc_id", "text", t(s, d, "part").select(F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("label")).union(
+        s.createDataFrame([(x,) for x in ("license", "the public", "of the", "under the", "apache license")], "label string")).distinct(), 2, 2))
+query("pub_frequency", "pubkw", "SELECT label, 'pub_freq:' || count(DISTINCT pub) AS tag FROM pubkw GROUP BY 1")(
+    lambda s, d: S.pub_keywords(s, d).groupBy("label").agg(F.concat(F.lit("pub_freq:"), F.countDistinct("pub").cast("string")).alias("tag")))
+query("new_terms", "", """WITH tok AS (SELECT DISTINCT item_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9\\-]+')) AS gram FROM benchmark)
+  SELECT gram, count(*) AS documents FROM tok WHERE length(gram) > 2 AND gram NOT IN ('the', 'and') GROUP BY 1 HAVING count(*) >= 3 AND count(*) <= (SELECT count(*) FROM benchmark) * 0.7 ORDER BY 2 DESC, 1 LIMIT 100""")(
+    lambda s, d: T.new_terms(t(s, d, "benchmark"), "item_id", "text", s.createDataFrame([("the",), ("and",)], "label string"), 3, 0.7, 100))
+query("grants", "", """SELECT doc_id, CAST(1000000 + doc_id AS VARCHAR) AS number, 'NSF' AS agency FROM documents
+  UNION ALL SELECT doc_id, 'R01GM' || (100000 + doc_id), 'NIH' FROM documents WHERE doc_id % 2 = 0""")(
+    lambda s, d: T.grants(t(s, d, "documents").select("doc_id", F.concat(
+        F.lit("Funded by NSF "), (1000000 + F.col("doc_id")).cast("string"),
+        F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" and NIH R01GM"), (100000 + F.col("doc_id")).cast("string"))).otherwise("")).alias("text")), "doc_id", "text"))
+query("field_counts", "pubs", "SELECT journal, count(*) AS n FROM pubs GROUP BY 1")(lambda s, d: T.field_counts(S.pubs(s, d), "journal"))
+query("markup_labels", "", "SELECT page_id FROM pages WHERE regexp_matches(html, '</?[a-zA-Z]+[^>]*>|&[a-z]+;')")(lambda s, d: T.markup_labels(t(s, d, "pages"), "html").select("page_id"))
+query("html_clean", "", "SELECT page_id, md5(trim(regexp_replace(html, '</?[a-zA-Z]+[^>]*>', '', 'g'))) AS clean_md5 FROM pages")(
+    lambda s, d: t(s, d, "pages").select("page_id", F.md5(N.clean_markup("html")).alias("clean_md5")))
+query("journal_dedup", "", "SELECT coalesce(nullif(p_brand, ''), p_name) AS key, min(p_partkey) AS first_id, count(*) AS n FROM part GROUP BY 1")(
+    lambda s, d: t(s, d, "part").groupBy(F.coalesce(F.nullif("p_brand", F.lit("")), "p_name").alias("key")).agg(F.min("p_partkey").alias("first_id"), F.count("*").alias("n")))
+
+# Projections
+
+query("path_build", "", "SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN p_type WHEN p_size % 7 = 0 THEN p_type || ' > ' || p_brand ELSE p_type || ' > ' || p_brand || ' > ' || p_name END AS path FROM part")(
+    lambda s, d: t(s, d, "part").withColumn("b", F.when(F.col("p_size") % 5 == 0, "NOT APPLICABLE").otherwise(F.col("p_brand"))).withColumn("c", F.when(F.col("p_size") % 7 == 0, " ").otherwise(F.col("p_name"))).select(
+        "p_partkey", N.path_of(["p_type", "b", "c"]).alias("path")))
+query("synthetic_ancestors", "", "SELECT substr(sha256(path), 1, 16) AS id, path, parts FROM (SELECT DISTINCT p_type AS path, 1 AS parts FROM part UNION SELECT DISTINCT p_type || ' > ' || p_brand, 2 FROM part)")(
+    lambda s, d: N.synthetic_ancestors(t(s, d, "part").select(F.concat_ws(" > ", "p_type", "p_brand", "p_name").alias("path"))))
+query("parent_by_path", "kw", """SELECT id, path, parent_id FROM (SELECT a.id, concat_ws(' > ', c.label, b.label, a.label) AS path, a.parent_id FROM kw a LEFT JOIN kw b ON a.parent_id = b.id LEFT JOIN kw c ON b.parent_id = c.id WHERE a.level < 2)""")(
+    lambda s, d: N.parent_by_path(G.full_paths(S.keywords(s, d).where("level < 2")).withColumnRenamed("full_path", "path")))
+query("alias_list", "", "SELECT p_partkey, p_brand || CASE WHEN p_size % 2 = 0 THEN '' ELSE ',' || p_type END AS aliases FROM part")(
+    lambda s, d: t(s, d, "part").withColumn("x", F.when(F.col("p_size") % 2 == 0, "NOT PROVIDED").otherwise(F.col("p_type"))).select("p_partkey", F.array_join(N.alias_list("p_name", ["p_brand", "p_name", "x", "p_brand"]), ",").alias("aliases")))
+query("split_comma", "", "SELECT o_orderkey, o_orderstatus || '|' || o_orderpriority AS parts FROM orders")(
+    lambda s, d: t(s, d, "orders").withColumn("x", F.concat(F.lit(" "), "o_orderstatus", F.lit(" ,, "), "o_orderpriority", F.lit(","))).select("o_orderkey", F.array_join(N.split_list("x"), "|").alias("parts")))
+query("vocab_normalize", "", "SELECT DISTINCT p_name AS raw, lower(p_name) AS term FROM part")(
+    lambda s, d: t(s, d, "part").select(F.col("p_name").alias("raw"), F.concat("p_name", F.lit("()")).alias("x")).distinct().select("raw", N.vocabulary_term("x").alias("term")))
+query("null_tokens", "", "SELECT p_partkey, CASE WHEN p_size % 3 <> 0 THEN p_brand END AS brand FROM part")(
+    lambda s, d: t(s, d, "part").withColumn("x", F.when(F.col("p_size") % 3 == 0, "#N/A").otherwise(F.col("p_brand"))).select("p_partkey", N.null_tokens("x").alias("brand")))
+query("doi_normalize", "", "SELECT o_orderkey, '10.5/x' || o_orderkey AS doi FROM orders")(
+    lambda s, d: t(s, d, "orders").withColumn("x", F.concat(F.lit("http://dx.doi.org/10.5/X"), "o_orderkey")).select("o_orderkey", N.doi_key("x").alias("doi")))
+query("uri_vocab", "", "SELECT page_id, CASE WHEN contains(url, 'example.com') THEN 'Com' WHEN contains(url, 'example.org') THEN 'Org' ELSE 'Unknown (' || split_part(split_part(url, '://', 2), '/', 1) || ')' END AS vocabulary FROM pages")(
+    lambda s, d: t(s, d, "pages").select("page_id", N.uri_vocabulary("url", {"example.com": "Com", "example.org": "Org"}).alias("vocabulary")))
+query("path_columns", "", "SELECT p_partkey, p_type AS category, p_brand AS topic, CAST(NULL AS VARCHAR) AS term FROM part")(
+    lambda s, d: t(s, d, "part").withColumn("x", F.concat_ws(" > ", "p_type", "p_brand")).select("p_partkey", *N.path_columns("x", ["category", "topic", "term"])))
+query("backfill", "", "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN 'NEW' ELSE o_orderpriority END AS o_orderpriority FROM orders")(
+    lambda s, d: N.backfill(t(s, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), t(s, d, "orders").where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("NEW").alias("o_orderpriority")), "o_orderkey", ["o_orderpriority"]))
+query("dedup_anti_load", "", "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1")(
+    lambda s, d: N.load_new(t(s, d, "orders").select("o_custkey", "o_orderkey"), "o_custkey", ["o_orderkey"], t(s, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))))
+query("tree_facts", "", "SELECT p_partkey, 1 AS depth, 'A' || p_size || ',B.' || p_size AS parents, 'A' AS category FROM part")(
+    lambda s, d: t(s, d, "part").withColumn("x", F.array(F.concat(F.lit("A"), "p_size", F.lit(".1")), F.concat(F.lit("B."), "p_size", F.lit(".22")))).select("p_partkey", *N.tree_facts("x")))
+
+# Charts
+
+query("source_flow", "senses", "SELECT source, discipline, count(DISTINCT label) AS labels FROM senses GROUP BY 1, 2")(lambda s, d: A.source_flow(S.senses(s, d)))
+_SHARED = "SELECT x.{0} AS a, y.{0} AS b, count(*) AS labels FROM (SELECT DISTINCT lower(label) AS l, {0} FROM senses) x JOIN (SELECT DISTINCT lower(label) AS l, {0} FROM senses) y ON x.l = y.l AND x.{0} < y.{0} GROUP BY 1, 2"
+query("discipline_links", "senses", _SHARED.format("discipline"))(lambda s, d: A.shared_labels(S.senses(s, d), "discipline"))
+query("source_links", "senses", _SHARED.format("source"))(lambda s, d: A.shared_labels(S.senses(s, d), "source"))
+query("subcategories", "senses", """SELECT discipline, sub, n, place FROM (SELECT discipline, split_part(label, ' ', 2) AS sub, count(*) AS n, row_number() OVER (PARTITION BY discipline ORDER BY count(*) DESC, split_part(label, ' ', 2)) AS place
+  FROM senses WHERE split_part(label, ' ', 2) <> '' GROUP BY 1, 2 HAVING count(*) >= 5) WHERE place <= 3""")(lambda s, d: A.subcategories(S.senses(s, d), 2, 5, 3))
+query("polysemy_counts", "senses", "SELECT CAST(sum(CASE WHEN dn > 1 THEN 1 ELSE 0 END) AS BIGINT) AS multi_discipline, CAST(sum(CASE WHEN sn > 1 THEN 1 ELSE 0 END) AS BIGINT) AS multi_source, count(*) AS labels FROM (SELECT lower(label) AS l, count(DISTINCT discipline) AS dn, count(DISTINCT source) AS sn FROM senses GROUP BY 1)")(
+    lambda s, d: A.polysemy_counts(S.senses(s, d)))
+query("flow_matrix", "senses", f", x AS ({_SHARED.format('discipline')}) SELECT a, b, labels FROM x UNION ALL SELECT b, a, labels FROM x")(
+    lambda s, d: A.symmetric(A.shared_labels(S.senses(s, d), "discipline")))
+query("top_per_group", "senses rels", """, deg AS (SELECT sense_id, count(*) AS degree FROM (SELECT source_sense_id AS sense_id FROM rels UNION ALL SELECT target_sense_id FROM rels) GROUP BY 1)
+  SELECT discipline, label, edges, place FROM (SELECT discipline, label, CAST(sum(degree) AS BIGINT) AS edges, row_number() OVER (PARTITION BY discipline ORDER BY sum(degree) DESC, label) AS place FROM senses JOIN deg USING (sense_id) GROUP BY 1, 2) WHERE place <= 100""")(
+    lambda s, d: A.top_labels(S.senses(s, d), G.degrees(S.rels(s, d)), 100))
+query("cross_edges", "senses rels", """SELECT DISTINCT least(a.discipline || '/' || a.label, b.discipline || '/' || b.label) AS a, greatest(a.discipline || '/' || a.label, b.discipline || '/' || b.label) AS b
+  FROM rels JOIN senses a ON a.sense_id = source_sense_id JOIN senses b ON b.sense_id = target_sense_id WHERE a.discipline <> b.discipline""")(lambda s, d: A.cross_edges(S.rels(s, d), S.senses(s, d)))
+query("lens_members", "senses", "SELECT label, min(discipline) AS discipline, count(*) AS n FROM senses GROUP BY 1")(
+    lambda s, d: S.senses(s, d).groupBy("label").agg(F.min("discipline").alias("discipline"), F.count("*").alias("n")))
+query("program_flow", "pubs", "SELECT journal, category, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY journal), 6) AS share FROM pubs GROUP BY 1, 2")(
+    lambda s, d: C.share_of_group(S.pubs(s, d), "journal", "category"))
+query("radial_layout")(lambda s, d: A.radial_layout(S.senses(s, d), 100))
