@@ -106,6 +106,14 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return shift + np.arange(total, dtype=np.int64)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def add_columns(batch: pa.RecordBatch, keep: list[str], **new: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [*(batch.column(c) for c in keep), *new.values()], names=[*keep, *new]

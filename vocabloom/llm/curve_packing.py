@@ -81,7 +81,14 @@ class WordTokenizer:
         return plain
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of different words end to end, and the length of each."""
+        """Ids of different words end to end, and the length of each; an empty word has none."""
+        if "" in words:
+            ids, some = self.encode([w for w in words if w])
+            lengths = np.zeros(len(words), np.int64)
+            lengths[[i for i, w in enumerate(words) if w]] = some
+            return ids, lengths
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         given = pa.array(words, pa.string())
         plain = self._plain(given)
         text = pc.utf8_lower(given)

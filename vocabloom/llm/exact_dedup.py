@@ -113,13 +113,13 @@ def keep_first_copies(docs: DataFrame) -> DataFrame:
     A row that repeats both doc_id and text of a kept row is a copy too.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    kept = exact_dedup(docs).where("kept").select(key.alias("_key"))
-    same = Window.partitionBy("_key", F.xxhash64("text")).orderBy(F.lit(0))
+    kept = exact_dedup(docs).where("kept").select(key.alias("_own_key"))
+    same = Window.partitionBy("_own_key", F.xxhash64("text")).orderBy(F.lit(0))
     return (
-        docs.withColumn("_key", key)
-        .join(kept.hint("merge"), "_key", "left_semi")
-        .withColumn("_copy", F.row_number().over(same))
-        .where("_copy = 1")
+        docs.withColumn("_own_key", key)
+        .join(kept.hint("merge"), "_own_key", "left_semi")
+        .withColumn("_own_copy", F.row_number().over(same))
+        .where("_own_copy = 1")
         .select(*docs.columns)
     )
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vocabloom.llm._common import add_columns, ship, table, text_slices
+from vocabloom.llm._common import add_columns, ship, table, text_slices, unused
 
 BINS, LENGTHS = 1 << 14, (2, 3, 4)
 #: Rows of each language for the fit, landmarks in all, ridge, and the softness of the score.
@@ -141,19 +141,21 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, landma
     )
 
 
-def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with lang_pred and score (a softmax of the margins)."""
+def predict(
+    docs: DataFrame, model: LanguageModel | None, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """The columns ``keep`` with the predicted language and its score (a softmax of the margins), under ``names``."""
     ship(docs.sparkSession)
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     text = "text" if "text" in keep else None
     rows = docs.select(*keep) if text else docs.select(*keep, F.col("text").cast("string"))
-    names = np.array([*(model.languages if model else []), UNKNOWN], dtype=object)
+    languages = np.array([*(model.languages if model else []), UNKNOWN], dtype=object)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for part in text_slices(batch, "text", 4 << 20):
                 texts = pc.fill_null(part.column("text"), "").to_pylist()
-                best = np.full(len(texts), len(names) - 1)
+                best = np.full(len(texts), len(languages) - 1)
                 score = np.zeros(len(texts))
                 known = np.array([i for i, t in enumerate(texts) if model and has_letter(t)], np.int64)
                 if len(known):
@@ -161,7 +163,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str]) -> Da
                     e = np.exp(m - m.max(axis=1, keepdims=True))
                     best[known] = m.argmax(axis=1)
                     score[known] = e.max(axis=1) / e.sum(axis=1)
-                yield add_columns(part, keep, lang_pred=pa.array(names[best], pa.string()), score=pa.array(score))
+                yield add_columns(part, keep, **{names[0]: pa.array(languages[best], pa.string()), names[1]: pa.array(score)})
 
     return rows.mapInArrow(batches, schema)
 
@@ -169,8 +171,8 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str]) -> Da
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents in an identified language, with all their columns; those without a letter go."""
     model = fit(docs, F.lit(True))
-    inner = docs.columns
-    return predict(docs, model, inner).where(F.col("lang_pred") != UNKNOWN).select(*inner)
+    names = unused(docs, "lang_pred"), unused(docs, "score")
+    return predict(docs, model, docs.columns, names).where(F.col(names[0]) != UNKNOWN).select(*docs.columns)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

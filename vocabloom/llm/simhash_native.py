@@ -108,10 +108,10 @@ def with_edits(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Texts with their edited texts, and the order of documents (rank, next_rank).
 
     The edit replaces the last half of a text by the start of the next document, so only the
-    needed starts are shuffled to their receivers, beside one shuffle of the texts.
+    needed starts are shuffled to their receivers, beside one shuffle of the texts (both joins
+    read the same columns, so the second takes the first one's exchange again).
     """
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_k"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("_h", F.xxhash64("text"))
@@ -126,13 +126,14 @@ def with_edits(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         order.select(F.col("rank").alias("next_rank"), "_k", "_h"), "next_rank"
     ).drop("next_rank")
     pieces = (
-        rows.select("_k", "_h", "text").join(needs.hint("merge"), ["_k", "_h"])
+        rows.join(needs.hint("merge"), ["_k", "_h"])
         .select(F.col("_tk").alias("_k"), F.col("_th").alias("_h"), F.expr("left(text, int(take))").alias("piece"))
         .dropDuplicates(["_k", "_h"])
     )
     texts = rows.join(pieces.hint("merge"), ["_k", "_h"]).withColumn("n", F.char_length("text").cast("long"))
     edited = F.concat(F.expr("left(text, int(n - floor(n / 2)))"), F.col("piece"))
-    return texts.withColumn("edited", edited).drop("piece"), order
+    own_id = F.when(F.col("_k") != NO_ID, F.col("_k"))
+    return texts.withColumn("edited", edited).withColumn("doc_id", own_id).drop("piece"), order
 
 
 def fingerprint_report(docs: DataFrame, radius: int = 3, every: int = 100) -> DataFrame:

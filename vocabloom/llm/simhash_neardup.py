@@ -232,13 +232,13 @@ def keep_one_of_each(docs: DataFrame, radius: int = 2) -> DataFrame:
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     found = neighbours_components(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(key.alias("_key"))
-    first = Window.partitionBy("_key").orderBy(F.xxhash64("text"))
+    kept = found.select(key.alias("_own_key"))
+    first = Window.partitionBy("_own_key").orderBy(F.xxhash64("text"))
     return (
-        docs.withColumn("_key", key)
-        .join(kept.hint("merge"), "_key", "left_semi")
-        .withColumn("_copy", F.row_number().over(first))
-        .where("_copy = 1")
+        docs.withColumn("_own_key", key)
+        .join(kept.hint("merge"), "_own_key", "left_semi")
+        .withColumn("_own_copy", F.row_number().over(first))
+        .where("_own_copy = 1")
         .select(*docs.columns)
     )
 
