@@ -10,15 +10,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 8 << 20
 _own_dirs: dict[str, str] = {}
 _PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package where the cluster has not installed it."""
+    """Lets Python workers import this package where the cluster has not installed it, and keeps
+    the Arrow batches that they get small, since a row may be a long text."""
+    most = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(most) == "67108864b":  # Spark's own value; a session's setting stays
+        spark.conf.set(most, f"{BATCH_BYTES}b")
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(":")
     if _PACKAGE_ROOT not in paths:
@@ -44,6 +50,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The store that holds ``uri``, and the path in it; for tasks that write or read files themselves."""
+    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: writes to the shared folder and reads back, so that lost executors cost nothing."""
     path = scratch_path(df.sparkSession, name)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vocabloom.llm._common import gapless, scratch_path, ship, staged, table
+from vocabloom.llm._common import filesystem, gapless, scratch_path, ship, staged, table
 
 SHARD_RECORDS, ROLL_BYTES, LEVEL = 8192, 64 << 20, 3
 CRLF = b"\r\n"
@@ -94,10 +94,6 @@ def records_in(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         raise ValueError("truncated archive")
 
 
-def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
-
-
 def _page_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests, sizes = [], []
@@ -171,7 +167,7 @@ def write_archive(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, out, now, shard = [], None, None, -1
         folder = f"{temporary}/{uuid.uuid4().hex}"
-        store, place = _filesystem(folder)
+        store, place = filesystem(folder)
 
         def close() -> None:
             nonlocal out
@@ -222,15 +218,15 @@ def write_archive(
 
 def _commit(path: str, temporary: str, files: list[dict]) -> list[dict]:
     """Gives the files their final names and writes the manifest last. The list has one entry for each file, not record."""
-    store, place = _filesystem(path)
+    store, place = filesystem(path)
     store.create_dir(place, recursive=True)
     for f in files:
         f["name"] = f"shard-{f['shard']:06d}-{f['number']:04d}.warc.gz"
-        store.move(_filesystem(f.pop("temporary"))[1], f"{place}/{f['name']}")
+        store.move(filesystem(f.pop("temporary"))[1], f"{place}/{f['name']}")
     with store.open_output_stream(f"{place}/{MANIFEST}.tmp", compression=None) as out:
         out.write(json.dumps({"files": files}, indent=1).encode())
     store.move(f"{place}/{MANIFEST}.tmp", f"{place}/{MANIFEST}")
-    gone = _filesystem(temporary)[1]
+    gone = filesystem(temporary)[1]
     if store.get_file_info(gone).type == pafs.FileType.Directory:
         store.delete_dir(gone)
     return files
@@ -242,7 +238,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     One task streams each file that the manifest names, record by record.
     """
     ship(spark)
-    store, place = _filesystem(path)
+    store, place = filesystem(path)
     with store.open_input_stream(f"{place}/{MANIFEST}") as f:
         files = json.loads(f.read())["files"]
     schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
@@ -255,7 +251,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         ])
         for batch in batches:
             for name in batch.column("name").to_pylist():
-                store, place = _filesystem(name)
+                store, place = filesystem(name)
                 rows, held = [], 0
                 with store.open_input_stream(place, compression=None) as stream:
                     for heads, block in records_in(stream):
