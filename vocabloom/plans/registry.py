@@ -209,11 +209,11 @@ query("containment", "", """SELECT DISTINCT a.label AS narrower, b.w AS broader
 PAIRS = "(SELECT a.label AS a, b.label AS b, count(*) AS pubs FROM (SELECT DISTINCT pub, label FROM pubkw WHERE relevance >= {0}) a JOIN (SELECT DISTINCT pub, label FROM pubkw WHERE relevance >= {0}) b ON a.pub = b.pub AND a.label < b.label GROUP BY 1, 2 HAVING count(*) >= {1})"
 query("cooccurrence", "pubkw", f"SELECT a, b, pubs FROM {PAIRS.format(0.3, 2)}")(lambda s, d: J.cooccurrence(S.pub_keywords(s, d), 2, 0.3))
 FINE = "fine AS (SELECT sense_id, label || ' ' || source AS label, discipline, confidence FROM senses)"
-for _name, _per, _conf, _csql in (("cooccurrence_sets", 2, F.least(F.lit(0.9), 0.5 + F.col("pubs") * 0.02), "least(0.9::DOUBLE, 0.5 + pubs * 0.02::DOUBLE)"), ("cooccurrence_single", 1, F.least(F.lit(0.9), 0.5 + F.col("pubs") * 0.01), "least(0.9::DOUBLE, 0.5 + pubs * 0.01::DOUBLE)")):
+for _name, _per, _step in (("cooccurrence_sets", 2, 0.02), ("cooccurrence_single", 1, 0.01)):
     query(_name, "senses pubkw", f""", {FINE}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY confidence DESC, sense_id) AS rn FROM fine) WHERE rn <= {_per})
-      SELECT x.sense_id AS source_sense_id, y.sense_id AS target_sense_id, pubs, round({_csql}, 6) AS edge_confidence, CASE WHEN x.discipline = y.discipline THEN 'toward' ELSE 'across' END AS direction
+      SELECT x.sense_id AS source_sense_id, y.sense_id AS target_sense_id, pubs, round(least(0.9::DOUBLE, 0.5 + pubs * {_step}::DOUBLE), 6) AS edge_confidence, CASE WHEN x.discipline = y.discipline THEN 'toward' ELSE 'across' END AS direction
       FROM {PAIRS.format(0, 3)} p JOIN best x ON x.label = p.a JOIN best y ON y.label = p.b""")(
-        lambda s, d, n=_per, c=_conf: J.cooccurrence_edges(J.cooccurrence(S.pub_keywords(s, d), 3), S.fine_senses(s, d), c, n))
+        lambda s, d, n=_per, step=_step: J.cooccurrence_edges(J.cooccurrence(S.pub_keywords(s, d), 3), S.fine_senses(s, d), F.least(F.lit(0.9), 0.5 + F.col("pubs") * step), n))
 POLY = f"SELECT a.sense_id AS source_sense_id, b.sense_id AS target_sense_id, {TYPED_SQL.format('a.discipline = b.discipline')} FROM senses a JOIN senses b ON a.label = b.label AND a.sense_id < b.sense_id"
 query("polysemy_edges", "senses", POLY)(lambda s, d: J.polysemy_edges(S.senses(s, d)))
 query("polysemy_edges_v2", "senses", POLY + " WHERE a.label IN (SELECT label FROM senses GROUP BY 1 HAVING count(DISTINCT source) >= 2)")(lambda s, d: J.polysemy_edges(S.senses(s, d), 2))
