@@ -62,3 +62,19 @@ def radial_layout(senses: DataFrame, n: int) -> DataFrame:
     return node.join(F.broadcast(sectors), "discipline").crossJoin(F.broadcast(count)).select(
         "sense_id", "discipline", F.round(r * F.cos(angle), 6).alias("x"), F.round(r * F.sin(angle), 6).alias("y")
     )
+
+
+def paper_positions(topics: DataFrame, index: DataFrame) -> DataFrame:
+    """The mean position of each publication's topics (pub, topic) in an index (label, x, y).
+
+    A topic takes the position of its own label, else of its first word (over three letters) that is a
+    label; a publication without any takes the centre of the index.
+    """
+    place = index.select(F.lower("label").alias("_l"), "x", "y")
+    t = topics.where("topic IS NOT NULL").select(F.lower("topic").alias("topic")).distinct()
+    words = t.select("topic", F.posexplode(F.split("topic", " ")).alias("pos", "_l")).where("length(_l) > 3")
+    tried = t.select("topic", F.lit(-1).alias("pos"), F.col("topic").alias("_l")).unionByName(words)
+    placed = tried.join(place, "_l").groupBy("topic").agg(F.min_by("x", "pos").alias("x"), F.min_by("y", "pos").alias("y"))
+    centre = index.agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    per = topics.select("pub", F.lower("topic").alias("topic")).join(placed, "topic", "left").groupBy("pub").agg(F.avg("x").alias("x"), F.avg("y").alias("y"), F.count("x").alias("matched"))
+    return per.crossJoin(centre).select("pub", F.round(F.coalesce("x", "cx"), 6).alias("x"), F.round(F.coalesce("y", "cy"), 6).alias("y"), "matched")  # one row

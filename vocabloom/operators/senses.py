@@ -120,3 +120,31 @@ def capped_links(links: DataFrame, key: str, order: list, most: int) -> DataFram
 def share_of_group(df: DataFrame, group: str, value: str) -> DataFrame:
     w = Window.partitionBy(group)
     return df.groupBy(group, value).agg(F.count("*").alias("n")).withColumn("share", F.round(F.col("n") / F.sum("n").over(w), 6))
+
+
+def lab_senses(pubs: DataFrame, key: str, fields: list[str], category: str, senses: DataFrame) -> DataFrame:
+    """Values of several fields of publications, once for each publication and longer than two characters.
+
+    Per label: publications, first category, and whether a sense has the label already.
+    """
+    values = F.array_distinct(F.flatten(F.array(*(F.coalesce(F.array(F.col(f).cast("string")), F.array().cast("array<string>")) for f in fields))))
+    each = pubs.select(key, F.col(category).alias("_c"), F.explode(values).alias("label")).where(F.length("label") > 2)
+    counted = each.groupBy("label").agg(F.countDistinct(key).alias("pubs"), F.min("_c").alias("category"))
+    have = senses.select(F.lower("label").alias("_l")).distinct()
+    return counted.join(have, F.lower("label") == F.col("_l"), "left").select("label", "pubs", "category", F.col("_l").isNotNull().alias("matching"))
+
+
+def lab_links(labels: DataFrame, senses: DataFrame, most: int = 3) -> DataFrame:
+    """At most ``most`` senses of each matching label."""
+    per = top_by(senses.select("sense_id", F.lower("label").alias("_l")), ["_l"], ["sense_id"], most, "place")
+    return labels.where("matching").join(per, F.lower("label") == F.col("_l")).select("label", F.col("sense_id").alias("target_sense_id"), "place")
+
+
+def resolve_entities(names: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(name, canonical): by the alias table (variant, canonical), else the smallest name that differs
+    only in case, blanks and punctuation."""
+    key = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
+    n = names.select("name").where("name IS NOT NULL").distinct().withColumn("_key", key("name"))
+    known = aliases.select(key("variant").alias("_key"), "canonical").groupBy("_key").agg(F.min("canonical").alias("_given"))
+    own = n.groupBy("_key").agg(F.min("name").alias("_own"))
+    return n.join(own, "_key").join(known, "_key", "left").select("name", F.coalesce("_given", "_own").alias("canonical"))

@@ -104,3 +104,40 @@ def mann_whitney(df: DataFrame, group: str, value: str) -> DataFrame:
     n2 = F.col("n") - F.col("n1")
     sd = F.sqrt(F.col("n1") * n2 / 12 * (F.col("n") + 1 - F.col("ties") / (F.col("n") * (F.col("n") - 1))))
     return s.select(F.round(u, 3).alias("u"), F.round((u - F.col("n1") * n2 / 2) / sd, 6).alias("z"))
+
+
+def coverage(senses: DataFrame, shares: DataFrame, universe: float) -> DataFrame:
+    """Labels of each discipline over the expected number (universe x share), at most 1; null without a share."""
+    ours = senses.groupBy("discipline").agg(F.countDistinct("label").alias("labels"))
+    expected = F.col("share") * universe
+    return ours.join(shares, "discipline", "left").select(
+        "discipline", "labels", F.round(expected, 6).alias("expected"), F.round(F.least(F.lit(1.0), F.when(expected > 0, F.col("labels") / expected)), 6).alias("coverage_raw")
+    ).withColumn("coverage", F.when(F.col("expected").isNotNull(), F.col("coverage_raw"))).drop("coverage_raw")
+
+
+def scorecard(senses: DataFrame, edges: DataFrame) -> DataFrame:
+    """Quality measures of a sense graph as rows (metric, value)."""
+    ends = edges.select(F.col("source_sense_id").alias("sense_id")).union(edges.select("target_sense_id")).distinct().withColumn("_on", F.lit(1))
+    s = senses.join(ends, "sense_id", "left").agg(
+        F.count("*").alias("n"), F.count("_on").alias("on"), F.count("level").alias("level"), F.count("discipline").alias("disc"), F.avg("confidence").alias("conf"),
+        F.countDistinct("sense_id").alias("ids"), F.countDistinct(F.lower("label")).alias("labels"), F.countDistinct("source").alias("sources"),
+    )
+    e = edges.agg(F.count("*").alias("e"), F.countDistinct("source_sense_id", "target_sense_id", "relationship_type").alias("triples"))
+    share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
+    metrics = {
+        "senses": F.col("n").cast("double"), "edges": F.col("e").cast("double"), "edges_per_sense": share("e", "n"), "connected": share("on", "n"), "with_level": share("level", "n"),
+        "with_discipline": share("disc", "n"), "mean_confidence": F.col("conf"), "unique_ids": share("ids", "n"), "unique_edges": share("triples", "e"), "labels": F.col("labels").cast("double"),
+        "sources": F.col("sources").cast("double"),
+    }
+    rows = F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), F.round(v, 6).alias("value")) for k, v in metrics.items())))
+    return s.crossJoin(e).select(rows.alias("r")).select("r.*")  # one row each
+
+
+def consensus(mappings: DataFrame) -> DataFrame:
+    """Experts' mappings (expert, category, source, confidence) merged: experts for each pair, and the
+    chance that at least one is right (noisy or) from each expert's surest mapping."""
+    per = mappings.groupBy("category", "source", "expert").agg(F.max("confidence").alias("c"))
+    return per.groupBy("category", "source").agg(
+        F.count("*").alias("experts"),
+        F.round(F.when(F.max("c") >= 1, 1.0).otherwise(1 - F.exp(F.sum(F.log1p(-F.col("c"))))), 6).alias("confidence"),
+    )
