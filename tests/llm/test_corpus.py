@@ -239,3 +239,16 @@ def test_pipeline_stages(spark, docs, tmp_path):
         assert kept.columns == docs.columns, name
     assert {r.doc_id for r in kept.collect()} >= {1, 6, 7}
     assert corpus_pipeline.STAGES[-1][1](spark, kept, str(tmp_path)).count() >= kept.count()
+
+
+def test_stages_keep_every_group_once(spark):
+    """Null and shared ids: each group of equal or near texts keeps exactly one row, and no other text goes."""
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six seven", "uno dos tres cuatro cinco seis siete")
+    rows = [(None, a), (None, b), (None, b), (1, c), (1, a + " "), (2, c), (3, None), (3, "other words in this text here"), (3, "other words in this text  here")]
+    df = spark.createDataFrame([(i, t, None, "s", 0, "own", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, _own_key string, _own_copy int")
+    for stage in (exact_dedup.keep_first_copies, simhash_neardup.keep_one_of_each):
+        out = stage(df)
+        assert out.columns == df.columns
+        got = sorted(((r.doc_id, "".join((r.text or "").split())) for r in out.collect()), key=str)
+        assert got == sorted([(1, a.replace(" ", "")), (None, b.replace(" ", "")), (1, c.replace(" ", "")), (3, ""), (3, "otherwordsinthistexthere")], key=str)
+        assert stage(df.limit(0)).count() == 0

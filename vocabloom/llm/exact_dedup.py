@@ -19,9 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vocabloom.llm._common import scratch_path, ship, staged, table
+from vocabloom.llm._common import scratch_path, ship, staged, table, unused
 
 BLANKS = b" \t\n\x0b\x0c\r"
+#: Stands for a null doc_id in joins.
+NO_ID = -(2**63)
 
 
 def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,16 +112,20 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, batch: str =
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """The documents without the exact copies; all columns stay.
 
-    A row that repeats both doc_id and text of a kept row is a copy too.
+    Of the rows that share the kept row's doc_id and digest (repeated rows, also those without an id) the longest stays.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    kept = exact_dedup(docs).where("kept").select(key.alias("_own_key"))
-    same = Window.partitionBy("_own_key", F.xxhash64("text")).orderBy(F.lit(0))
+    names = [unused(docs, n) for n in ("_own_key", "_own_digest", "_own_copy")]
+    key, digest, copy = names
+    kept = exact_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_kept_key"), F.col("text_sha256").alias("_kept_digest"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(
+        digest, F.sha2(F.translate(text, BLANKS.decode(), ""), 256)
+    )
+    order = [F.desc(F.char_length(text)), F.xxhash64(text)]
     return (
-        docs.withColumn("_own_key", key)
-        .join(kept.hint("merge"), "_own_key", "left_semi")
-        .withColumn("_own_copy", F.row_number().over(same))
-        .where("_own_copy = 1")
+        keyed.join(kept.hint("merge"), (keyed[key] == F.col("_kept_key")) & (keyed[digest] == F.col("_kept_digest")), "left_semi")
+        .withColumn(copy, F.row_number().over(Window.partitionBy(key, digest).orderBy(*order)))
+        .where(F.col(copy) == 1)
         .select(*docs.columns)
     )
 

@@ -31,10 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vocabloom.llm._common import ship, staged, table
+from vocabloom.llm._common import ship, staged, table, unused
 from vocabloom.llm.components import components
 
 SEED = 42
+#: Stands for a null doc_id in joins.
+NO_ID = -(2**63)
 #: Points that one task searches; a shard above CROWD_ROWS takes the linear way.
 SHARD_ROWS, CROWD_ROWS = 8192, 65536
 #: Sampled points for each shard of the top tree, and at most so many on the driver (8 bytes each).
@@ -57,19 +59,23 @@ def fingerprint(raw: bytes, words: int = 3) -> int:
     return int(np.packbits(2 * set_bits > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id and fp (a long with the 64 bits) for every row."""
+def fingerprints(docs: DataFrame, words: int = 3, hashed: bool = False) -> DataFrame:
+    """doc_id and fp (a long with the 64 bits) for every row, and text_hash (of the whole text) if ``hashed``."""
+    extra = ["text_hash"] if hashed else []
     ship(docs.sparkSession)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             fps = [fingerprint(t.as_buffer().to_pybytes(), words) if t.is_valid else 0 for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"]
+                [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64)), *map(batch.column, extra)],
+                names=["doc_id", "fp", *extra],
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(batches, "doc_id long, fp long")
+    if hashed:
+        rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    return rows.mapInArrow(batches, "doc_id long, fp long" + (", text_hash long" if hashed else ""))
 
 
 def _distance(points: np.ndarray, centre: np.uint64) -> np.ndarray:
@@ -210,17 +216,21 @@ def links(points: DataFrame, radius: int = 2, shard_rows: int = SHARD_ROWS, crow
     return found
 
 
-def neighbours_components(docs: DataFrame, radius: int = 2, words: int = 3, **limits: int) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id (its smallest doc_id) for every row."""
-    prints = staged(fingerprints(docs, words), "fingerprints")
+def _roots(prints: DataFrame, radius: int, **limits: int) -> DataFrame:
+    """fp, its component's root (a fingerprint) and component_id for each distinct fingerprint of ``prints``."""
     points = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "points")
     roots = components(links(points, radius, **limits), "near-links")
     named = points.join(roots, points["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_print = named.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(of_print, F.col("fp") == F.col("_fp")).select(
+    return named.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
+
+
+def neighbours_components(docs: DataFrame, radius: int = 2, words: int = 3, **limits: int) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (its smallest doc_id) for every row."""
+    prints = staged(fingerprints(docs, words), "fingerprints")
+    return prints.join(_roots(prints, radius, **limits), F.col("fp") == F.col("_fp")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -228,17 +238,21 @@ def neighbours_components(docs: DataFrame, radius: int = 2, words: int = 3, **li
 def keep_one_of_each(docs: DataFrame, radius: int = 2) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id; all columns stay.
 
-    Of rows that repeat that doc_id one stays.
+    Of rows that share that doc_id the one with the smallest fingerprint, then text hash, stays; a
+    null doc_id stays only where its group has no other.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    found = neighbours_components(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(key.alias("_own_key"))
-    first = Window.partitionBy("_own_key").orderBy(F.xxhash64("text"))
+    prints = staged(fingerprints(docs, hashed=True), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_hash")).alias("first")
+    kept = prints.join(_roots(prints, radius), F.col("fp") == F.col("_fp")).groupBy("root").agg(first).select(
+        F.coalesce("first.doc_id", F.lit(NO_ID)).alias("_kept_key"), F.col("first.text_hash").alias("_kept_hash")
+    )
+    own, text = unused(docs, "_own_key"), unused(docs, "_own_hash")
+    copy = unused(docs, "_own_copy")
+    keyed = docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(text, F.xxhash64(F.col("text").cast("string")))
     return (
-        docs.withColumn("_own_key", key)
-        .join(kept.hint("merge"), "_own_key", "left_semi")
-        .withColumn("_own_copy", F.row_number().over(first))
-        .where("_own_copy = 1")
+        keyed.join(kept.hint("merge"), (keyed[own] == F.col("_kept_key")) & (keyed[text] == F.col("_kept_hash")), "left_semi")
+        .withColumn(copy, F.row_number().over(Window.partitionBy(own, text).orderBy(F.lit(0))))
+        .where(F.col(copy) == 1)
         .select(*docs.columns)
     )
 
