@@ -119,16 +119,21 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, landma
     sample = sample.sort_values(["doc_id", "lang", "grams"]).reset_index(drop=True)
     if sample.empty:
         return None
-    grams = np.unpackbits(np.stack([np.frombuffer(g, np.uint8) for g in sample["grams"]]), axis=1).astype(np.float32)
-    grams /= np.sqrt(np.maximum(grams.sum(axis=1, keepdims=True), 1))
+    packed = np.stack([np.frombuffer(g, np.uint8) for g in sample["grams"]])
+
+    def unit(bits: np.ndarray) -> np.ndarray:
+        grams = np.unpackbits(bits, axis=1).astype(np.float32)
+        return grams / np.sqrt(np.maximum(grams.sum(axis=1, keepdims=True), 1))
+
     lang = sample["lang"].to_numpy()
     share = max(1, landmarks // len(languages))
     marks = np.concatenate([np.flatnonzero(lang == name)[:share] for name in languages])
-    z = grams[marks]
+    z = unit(packed[marks])
     values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    features = (grams @ z.T).astype(np.float64) @ root
+    # Rows are unpacked a few at a time: all of them would take 64 KB each on the driver.
+    features = np.concatenate([unit(packed[k : k + 256]) @ z.T for k in range(0, len(packed), 256)]).astype(np.float64) @ root
     centre = features.mean(axis=0)
     # Languages weigh the same, so that a rare one is not lost.
     weight = np.array([1 / (lang == name).sum() for name in lang])
