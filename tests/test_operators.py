@@ -1,7 +1,9 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
-from vocabloom.operators import edges, hierarchy, lenses, normalize, quality, text, validation
+from vocabloom.operators import edges, flows, hierarchy, lenses, normalize, quality, text, validation
 
 
 @pytest.fixture(scope="module")
@@ -80,6 +82,23 @@ def test_statistics(spark):
     assert validation.mann_whitney(u, "g", "v").first()["u"] == 3.5
 
 
+def test_samples_and_layout(spark):
+    rows = [(f"s{i:02d}", "ab"[i % 2], i / 40, i % 5 if i % 3 else None) for i in range(40)]
+    s = spark.createDataFrame(rows, "sense_id string, discipline string, confidence double, level int")
+    sample = validation.stratified_sample(s, [F.col("discipline")], "sense_id", 5)
+    hashes = {r.sense_id: r.h for r in s.select("sense_id", F.xxhash64("sense_id", F.lit(1)).alias("h")).collect()}
+    want = {x for d in "ab" for x in sorted((r[0] for r in rows if r[1] == d), key=lambda i: (hashes[i], i))[:5]}
+    assert {r.sense_id for r in sample.collect()} == want
+    assert ids(validation.edge_sample(s, ["sense_id"], 0.3), "sense_id") == {i for i, h in hashes.items() if h % 1_000_000 < 300_000}
+    got = {r.sense_id: (r.x, r.y) for r in flows.radial_layout(s, 10).collect()}
+    for sector, d in enumerate("ab"):
+        best = sorted((r for r in rows if r[1] == d), key=lambda r: (-r[2], r[0]))[:10]
+        for place, (sense, _, _, level) in enumerate(best, 1):
+            angle, radius = 2 * math.pi * (sector + place / 11) / 2, min(math.tanh(((level or 0) + 1) / 2), 0.97)
+            assert got.pop(sense) == pytest.approx((radius * math.cos(angle), radius * math.sin(angle)), abs=1e-6)
+    assert not got and flows.radial_layout(s.limit(0), 10).count() == 0
+
+
 def test_projections(spark):
     df = spark.createDataFrame([("A", "B", "", "x"), ("A", None, "C", "y"), ("A", "Not Applicable", "C", "z"), ("A", "B", "C", "w")], "a string, b string, c string, k string")
     got = {r.k: r.p for r in df.select("k", normalize.path_of(["a", "b", "c"]).alias("p")).collect()}

@@ -89,10 +89,10 @@ def test_vectors(spark):
 
 def test_links_entities_and_positions(spark):
     s = spark.createDataFrame([("s1", "artificial intelligence", "cs", 0.9), ("s2", "energy", "eng", 0.8), ("s3", "solar cell", "eng", 0.95)], "sense_id string, label string, discipline string, confidence double")
-    o = spark.createDataFrame([("o1", "AI", "cs"), ("o2", "green energy", "eng"), ("o3", "solar", "bio"), ("o4", "zzz", "eng"), ("o5", "zzz", "bio")], "sense_id string, label string, discipline string")
+    o = spark.createDataFrame([("o1", "AI", "cs"), ("o2", "green energy", "eng"), ("o3", "solar", "bio"), ("o4", "zzz", "eng"), ("o5", "zzz", "bio"), ("o6", "AI tools", "bio")], "sense_id string, label string, discipline string")
     ab = spark.createDataFrame([("ai", "Artificial Intelligence")], "short string, full string")
     got = {r.source_sense_id: (r.target_sense_id, r.confidence) for r in edges.orphan_links(o, s, ab).collect()}
-    assert got == {"o1": ("s1", 0.85), "o2": ("s2", 0.6), "o3": ("s3", 0.55), "o4": ("s3", 0.3)}
+    assert got == {"o1": ("s1", 0.85), "o2": ("s2", 0.6), "o3": ("s3", 0.55), "o4": ("s3", 0.3), "o6": ("s1", 0.7)}
     names = spark.createDataFrame([("N.S.F.",), ("nsf",), ("D O E",), (None,)], "name string")
     known = spark.createDataFrame([("DOE", "Department of Energy")], "variant string, canonical string")
     assert {tuple(r) for r in senses.resolve_entities(names, known).collect()} == {("N.S.F.", "N.S.F."), ("nsf", "N.S.F."), ("D O E", "Department of Energy")}

@@ -149,22 +149,25 @@ def surest(edges: DataFrame, n: int) -> DataFrame:
 def orphan_links(orphans: DataFrame, senses: DataFrame, abbreviations: DataFrame) -> DataFrame:
     """One link for each orphan that any strategy can place; the first strategy wins.
 
-    1 an abbreviation table (short, full), 0.85; 2 a word of the orphan is a label, 0.60; 3 the orphan is a
-    word of a label, 0.55; 4 the surest sense of its discipline, 0.30. Labels stand for their surest sense, so
-    that joins are by equality and no label fans out. Within a strategy the longest label goes first.
+    1 an abbreviation table (short, full), 0.85; 2 a word of the orphan is in that table, 0.70; 3 a word of the
+    orphan is a label, 0.60; 4 the orphan is a word of a label, 0.55; 5 the surest sense of its discipline, 0.30.
+    Labels stand for their surest sense, so that joins are by equality and no label fans out. Within a strategy
+    the longest label goes first.
     """
     best = first_by(senses.withColumn("_l", F.lower("label")), ["_l"], [F.desc("confidence"), "sense_id"]).select("_l", F.col("sense_id").alias("target_sense_id"))
     o = orphans.select(F.col("sense_id").alias("source_sense_id"), F.lower("label").alias("_o"), "discipline")
     word = lambda c: F.explode(F.array_distinct(F.split(c, " ")))
+    short = abbreviations.select(F.lower("short").alias("_s"), F.lower("full").alias("_l"))
     found = [
-        o.join(abbreviations.select(F.lower("short").alias("_o"), F.lower("full").alias("_l")), "_o").join(best, "_l").withColumn("strategy", F.lit(1)),
-        o.withColumn("_l", word("_o")).where("length(_l) > 3").join(best, "_l").withColumn("strategy", F.lit(2)),
-        o.join(first_by(best.withColumn("_o", word("_l")), ["_o"], [F.desc(F.length("_l")), "_l"]), "_o").withColumn("strategy", F.lit(3)),
-        o.join(first_by(senses, ["discipline"], [F.desc("confidence"), "sense_id"]).select("discipline", F.col("sense_id").alias("target_sense_id"), F.lower("label").alias("_l")), "discipline").withColumn("strategy", F.lit(4)),
+        o.withColumn("_s", F.col("_o")).join(short, "_s").drop("_s").join(best, "_l").withColumn("strategy", F.lit(1)),
+        o.withColumn("_s", word("_o")).where("_s <> _o").join(short, "_s").drop("_s").join(best, "_l").withColumn("strategy", F.lit(2)),
+        o.withColumn("_l", word("_o")).where("length(_l) > 3").join(best, "_l").withColumn("strategy", F.lit(3)),
+        o.join(first_by(best.withColumn("_o", word("_l")), ["_o"], [F.desc(F.length("_l")), "_l"]), "_o").withColumn("strategy", F.lit(4)),
+        o.join(first_by(senses, ["discipline"], [F.desc("confidence"), "sense_id"]).select("discipline", F.col("sense_id").alias("target_sense_id"), F.lower("label").alias("_l")), "discipline").withColumn("strategy", F.lit(5)),
     ]
     every = found[0]
     for f in found[1:]:
         every = every.unionByName(f)
     every = every.where("source_sense_id <> target_sense_id")
-    confidence = F.element_at(F.array(F.lit(0.85), F.lit(0.60), F.lit(0.55), F.lit(0.30)), F.col("strategy"))
+    confidence = F.element_at(F.array(*map(F.lit, (0.85, 0.70, 0.60, 0.55, 0.30))), F.col("strategy"))
     return first_by(every, ["source_sense_id"], ["strategy", F.desc(F.length("_l")), "_l", "target_sense_id"]).select("source_sense_id", "target_sense_id", "strategy", confidence.alias("confidence"))

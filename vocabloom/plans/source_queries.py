@@ -181,17 +181,18 @@ query("entity_resolution", "", """WITH n AS (SELECT DISTINCT unnest([p_name, upp
   LEFT JOIN (SELECT regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS key, min(p_type) AS canonical FROM part WHERE p_name LIKE 'a%' GROUP BY 1) g USING (key)""".replace(" COLLATE C", ""))(
     lambda s, d: C.resolve_entities(t(s, d, "part").select(F.explode(F.array("p_name", F.upper("p_name"), F.replace("p_name", F.lit(" "), F.lit("-")))).alias("name")),
                                     t(s, d, "part").where("p_name LIKE 'a%'").select(F.col("p_name").alias("variant"), F.col("p_type").alias("canonical"))))
-query("orphan_links", "senses", """, o AS (SELECT sense_id AS s, discipline, CASE WHEN keyword_id::INT % 3 = 0 THEN 'abc' WHEN keyword_id::INT % 3 = 1 THEN split_part(label, ' ', 1) ELSE discipline END AS l FROM senses WHERE level IS NULL),
+query("orphan_links", "senses", """, o AS (SELECT sense_id AS s, discipline, CASE WHEN keyword_id::INT % 6 = 0 THEN 'abc' WHEN keyword_id::INT % 3 = 0 THEN 'abc x' WHEN keyword_id::INT % 3 = 1 THEN split_part(label, ' ', 1) ELSE discipline END AS l FROM senses WHERE level IS NULL),
   c AS (SELECT sense_id, label, discipline, confidence FROM senses WHERE level IS NOT NULL UNION ALL SELECT sense_id || 'x', split_part(label, ' ', 2), discipline, confidence FROM senses WHERE level = 0),
   best AS (SELECT l, t FROM (SELECT lower(label) AS l, sense_id AS t, row_number() OVER (PARTITION BY lower(label) ORDER BY confidence DESC, sense_id) AS rn FROM c) WHERE rn = 1),
   f AS (SELECT s, t, 1 AS strategy, l AS tl FROM (SELECT s FROM o WHERE lower(l) = 'abc'), best WHERE l = (SELECT min(lower(label)) FROM senses WHERE level IS NOT NULL)
-    UNION ALL SELECT s, t, 2, w FROM (SELECT s, unnest(string_split(lower(l), ' ')) AS w FROM o) x JOIN best ON best.l = w WHERE length(w) > 3
-    UNION ALL SELECT s, t, 3, tl FROM o JOIN (SELECT w, t, tl FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY length(tl) DESC, tl) AS rn FROM (SELECT DISTINCT unnest(string_split(l, ' ')) AS w, t, l AS tl FROM best)) WHERE rn = 1) b ON lower(o.l) = b.w
-    UNION ALL SELECT s, t, 4, tl FROM o JOIN (SELECT discipline, sense_id AS t, lower(label) AS tl, row_number() OVER (PARTITION BY discipline ORDER BY confidence DESC, sense_id) AS rn FROM c) y ON y.discipline = o.discipline AND rn = 1)
-  SELECT s AS source_sense_id, t AS target_sense_id, strategy, CASE strategy WHEN 1 THEN 0.85 WHEN 2 THEN 0.6 WHEN 3 THEN 0.55 ELSE 0.3 END::DOUBLE AS confidence FROM (
+    UNION ALL SELECT s, t, 2, l FROM (SELECT s FROM o WHERE lower(l) LIKE '% abc %' OR lower(l) LIKE 'abc %' OR lower(l) LIKE '% abc'), best WHERE l = (SELECT min(lower(label)) FROM senses WHERE level IS NOT NULL)
+    UNION ALL SELECT s, t, 3, w FROM (SELECT s, unnest(string_split(lower(l), ' ')) AS w FROM o) x JOIN best ON best.l = w WHERE length(w) > 3
+    UNION ALL SELECT s, t, 4, tl FROM o JOIN (SELECT w, t, tl FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY length(tl) DESC, tl) AS rn FROM (SELECT DISTINCT unnest(string_split(l, ' ')) AS w, t, l AS tl FROM best)) WHERE rn = 1) b ON lower(o.l) = b.w
+    UNION ALL SELECT s, t, 5, tl FROM o JOIN (SELECT discipline, sense_id AS t, lower(label) AS tl, row_number() OVER (PARTITION BY discipline ORDER BY confidence DESC, sense_id) AS rn FROM c) y ON y.discipline = o.discipline AND rn = 1)
+  SELECT s AS source_sense_id, t AS target_sense_id, strategy, CASE strategy WHEN 1 THEN 0.85 WHEN 2 THEN 0.7 WHEN 3 THEN 0.6 WHEN 4 THEN 0.55 ELSE 0.3 END::DOUBLE AS confidence FROM (
     SELECT *, row_number() OVER (PARTITION BY s ORDER BY strategy, length(tl) DESC, tl, t) AS rn FROM f WHERE s <> t) WHERE rn = 1""")(
     lambda s, d: (lambda x: J.orphan_links(
-        x.where("level IS NULL").withColumn("label", F.when(F.col("keyword_id").cast("int") % 3 == 0, "abc").when(F.col("keyword_id").cast("int") % 3 == 1, F.split_part("label", F.lit(" "), F.lit(1))).otherwise(F.col("discipline"))),
+        x.where("level IS NULL").withColumn("label", F.when(F.col("keyword_id").cast("int") % 6 == 0, "abc").when(F.col("keyword_id").cast("int") % 3 == 0, "abc x").when(F.col("keyword_id").cast("int") % 3 == 1, F.split_part("label", F.lit(" "), F.lit(1))).otherwise(F.col("discipline"))),
         x.where("level IS NOT NULL").select("sense_id", "label", "discipline", "confidence").union(x.where("level = 0").select(F.concat("sense_id", F.lit("x")), F.split_part("label", F.lit(" "), F.lit(2)), "discipline", "confidence")),
         x.where("level IS NOT NULL").agg(F.min(F.lower("label")).alias("full")).select(F.lit("ABC").alias("short"), "full")))(S.senses(s, d)))
 COSINE = "SELECT a.vec_id AS source, b.vec_id AS target, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0"
