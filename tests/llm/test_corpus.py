@@ -278,3 +278,16 @@ def test_toxicity_counts_all_labelled_rows(spark):
     for g, (a, b) in want.items():
         above.setdefault(g[:5], np.zeros(5, int))[:] += [a, b, a > 0, b > 0, 1]
     assert (tables.contexts[5](toxicity.hashes(pa.array(list(above)))) == np.array(list(above.values()))).all()
+
+
+def test_languages_train_on_whole_texts(spark):
+    """A long text that opens in another language teaches its own, and texts that are null use up no quota."""
+    en = "the river runs over the stone and through the quiet town while people are walking home "
+    de = "der schnelle Fuchs springt über den faulen Hund und läuft weg in die dunkle Nacht hinein "
+    rows = [(i, en * 30, "en") for i in range(8)] + [(i, en * 25 + de * 150, "de") for i in range(8, 16)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    asked = spark.createDataFrame([(0, en), (1, de)], "doc_id long, text string")
+    assert [r.lang_pred for r in language_id.predict(asked, model, ["doc_id"]).orderBy("doc_id").collect()] == ["en", "de"]
+    rows = [(i, en * 2, "en") for i in range(8)] + [(i, None if i % 10 else de * 2, "de") for i in range(10, 210)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), per_language=2)
+    assert [r.lang_pred for r in language_id.predict(asked, model, ["doc_id"]).orderBy("doc_id").collect()] == ["en", "de"]

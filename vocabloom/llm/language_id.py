@@ -7,9 +7,10 @@ texts gives each language a weight vector. Scoring is a chain of matrix products
 batches of texts. A long text is scored in windows of ``WINDOW`` characters, whose margins are averaged by
 length, so a passage in another language weighs as much as it takes up; the whole text counts.
 
-The model is fitted on at most ``per_language`` labelled rows of each language (chosen by the
-hash of doc_id; of a text its first window), of which each language gives an equal share of the landmarks. It is a few
-hundred kilobytes whatever the size of the corpus.
+The model is fitted on at most ``per_language`` labelled rows with a text of each language (chosen by the
+hash of doc_id). Every window of such a text is a training row, weighted by its length, so a text counts once; tasks
+return only sums over their rows. Each language gives an equal share of the landmarks, one window of a text each. The model
+is a few hundred kilobytes whatever the size of the corpus.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0. Languages are compared
 in alphabetical order, so ties go to the first. Without labelled rows every text is ``und``.
@@ -18,13 +19,14 @@ Rows that repeat are scored each; other columns are passed on where asked for.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +36,8 @@ BINS, LENGTHS = 1 << 14, (2, 3, 4)
 #: Rows of each language for the fit, landmarks in all, ridge, and the softness of the score.
 PER_LANGUAGE, LANDMARKS, RIDGE, SOFTNESS = 1000, 128, 0.05, 8.0
 WINDOW = 2000
+#: Tasks that sum over the sampled texts.
+SUM_TASKS = 32
 UNKNOWN = "und"
 
 
@@ -76,9 +80,13 @@ def margins(model: LanguageModel, grams: np.ndarray) -> np.ndarray:
     return (grams @ model.landmarks) @ model.weights + model.bias
 
 
+def windows_of(text: str) -> list[str]:
+    return [text[k : k + WINDOW] for k in range(0, max(1, len(text)), WINDOW)]
+
+
 def text_margins(model: LanguageModel, texts: list[str]) -> np.ndarray:
     """For each text the mean of its windows' margins, weighted by length."""
-    windows = [(i, t[k : k + WINDOW]) for i, t in enumerate(texts) for k in range(0, max(1, len(t)), WINDOW)]
+    windows = [(i, w) for i, t in enumerate(texts) for w in windows_of(t)]
     total, length = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts))
     for k in range(0, len(windows), 128):
         at, parts = zip(*windows[k : k + 128])
@@ -89,60 +97,90 @@ def text_margins(model: LanguageModel, texts: list[str]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> LanguageModel | None:
-    """Fits on the rows of ``docs`` where ``learn`` holds and lang is not null."""
-    labelled = docs.where(learn & F.col("lang").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"))
-    languages = sorted(r[0] for r in labelled.select("lang").distinct().collect())
+    """Fits on the rows of ``docs`` where ``learn`` holds and lang, doc_id and text are not null."""
+    ship(docs.sparkSession)
+    known = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = known.select("doc_id", F.col("lang").cast("string").alias("lang")).withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_language)
+    ids = [(r["doc_id"], r["lang"], r["_place"]) for r in chosen.collect()]  # at most per_language for each language
+    languages = sorted({lang for _, lang, _ in ids})
     if not languages:
         return None
-    chosen = None
-    for lang in languages:
-        some = labelled.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language)
-        chosen = some if chosen is None else chosen.union(some)
-    ids = [(r["doc_id"],) for r in chosen.collect()]  # at most per_language for each language
-    picked = docs.sparkSession.createDataFrame(ids, "doc_id long").distinct()
-    rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+    share = max(1, landmarks // len(languages))
+    picked = docs.sparkSession.createDataFrame(ids, "doc_id long, lang string, place int").groupBy("doc_id", "lang").agg((F.min("place") <= share).alias("mark"))
+    rows = known.select(
         F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")
-    ).join(F.broadcast(picked), "doc_id")
+    ).join(F.broadcast(picked), ["doc_id", "lang"])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One window of each text, chosen by the hash of doc_id."""
         for batch in batches:
             for part in text_slices(batch, "text", 4 << 20):
                 for i in range(0, part.num_rows, 128):
                     rows = part.slice(i, 128)
-                    bits = np.packbits(presence([t[:WINDOW] for t in rows.column("text").to_pylist()]) > 0, axis=1)
+                    some = []
+                    for doc, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()):
+                        windows = windows_of(text)
+                        some.append(windows[zlib.crc32(str(doc).encode()) % len(windows)])
+                    bits = np.packbits(presence(some) > 0, axis=1)
                     yield pa.RecordBatch.from_arrays(
                         [rows.column("doc_id"), rows.column("lang"), pa.array([x.tobytes() for x in bits], pa.binary())],
                         names=["doc_id", "lang", "grams"],
                     )
 
-    sample = rows.mapInArrow(packed, "doc_id long, lang string, grams binary").toPandas()
-    sample = sample.sort_values(["doc_id", "lang", "grams"]).reset_index(drop=True)
-    if sample.empty:
-        return None
-    packed = np.stack([np.frombuffer(g, np.uint8) for g in sample["grams"]])
+    sample = rows.where("mark").select("doc_id", "lang", "text").mapInArrow(packed, "doc_id long, lang string, grams binary").toPandas()
+    sample = sample.sort_values(["lang", "doc_id", "grams"]).groupby("lang").head(share)
+    marks = np.stack([np.frombuffer(g, np.uint8) for g in sample["grams"]])
 
     def unit(bits: np.ndarray) -> np.ndarray:
         grams = np.unpackbits(bits, axis=1).astype(np.float32)
         return grams / np.sqrt(np.maximum(grams.sum(axis=1, keepdims=True), 1))
 
-    lang = sample["lang"].to_numpy()
-    share = max(1, landmarks // len(languages))
-    marks = np.concatenate([np.flatnonzero(lang == name)[:share] for name in languages])
-    z = unit(packed[marks])
+    z = unit(marks)
     values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    # Rows are unpacked a few at a time: all of them would take 64 KB each on the driver.
-    features = np.concatenate([unit(packed[k : k + 256]) @ z.T for k in range(0, len(packed), 256)]).astype(np.float64) @ root
-    centre = features.mean(axis=0)
+    size = root.shape[1]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each language the weights, the weighted features and their products, over every window of a task's texts."""
+        columns = unit(marks).T
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for part in text_slices(batch, "text", 4 << 20):
+                windows = [
+                    (lang, len(w) / len(text) if text else 1.0, w)
+                    for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist())
+                    for w in windows_of(text)
+                ]
+                for i in range(0, len(windows), 128):
+                    langs, weights, some = zip(*windows[i : i + 128])
+                    x = np.hstack([np.ones((len(some), 1)), (presence(list(some)) @ columns).astype(np.float64) @ root])
+                    of, weights = np.array(langs, dtype=object), np.array(weights)
+                    for lang in set(langs):
+                        mine = x[of == lang]
+                        total[lang] = total.get(lang, 0) + (mine * weights[of == lang][:, None]).T @ mine
+        if total:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(total), pa.string()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["lang", "sums"]
+            )
+
+    gathered = {lang: np.zeros((size + 1, size + 1)) for lang in languages}
+    # The sampled texts go to a fixed number of tasks, so the driver gets as many sums whatever the size of the corpus.
+    for r in rows.repartition(SUM_TASKS, "doc_id").select("lang", "text").mapInArrow(sums, "lang string, sums binary").collect():
+        gathered[r["lang"]] += np.frombuffer(bytes(r["sums"])).reshape(size + 1, size + 1)
+    centre = sum(g[0, 1:] for g in gathered.values()) / sum(g[0, 0] for g in gathered.values())
+    y = 2 * np.eye(len(languages)) - 1
     # Languages weigh the same, so that a rare one is not lost.
-    weight = np.array([1 / (lang == name).sum() for name in lang])
-    x = (features - centre) * np.sqrt(weight)[:, None]
-    y = np.where(lang[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    solved = np.linalg.solve(x.T @ x + RIDGE * np.trace(x.T @ x) / x.shape[1] * np.eye(x.shape[1]), x.T @ (y * np.sqrt(weight)[:, None]))
-    mean = (y * weight[:, None]).sum(axis=0) / weight.sum()
+    products, targets = np.zeros((size, size)), np.zeros((size, len(languages)))
+    for k, lang in enumerate(languages):
+        g = gathered[lang] / gathered[lang][0, 0]
+        mean = g[0, 1:]
+        products += g[1:, 1:] - np.outer(mean, centre) - np.outer(centre, mean) + np.outer(centre, centre)
+        targets += np.outer(mean - centre, y[k])
+    solved = np.linalg.solve(products + RIDGE * np.trace(products) / size * np.eye(size), targets)
     return LanguageModel(
-        languages, np.ascontiguousarray(z.T), (root @ solved).astype(np.float32), (mean - centre @ solved).astype(np.float32)
+        languages, np.ascontiguousarray(z.T), (root @ solved).astype(np.float32), (y.mean(axis=0) - centre @ solved).astype(np.float32)
     )
 
 
