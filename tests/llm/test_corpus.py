@@ -291,3 +291,18 @@ def test_languages_train_on_whole_texts(spark):
     rows = [(i, en * 2, "en") for i in range(8)] + [(i, None if i % 10 else de * 2, "de") for i in range(10, 210)]
     model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), per_language=2)
     assert [r.lang_pred for r in language_id.predict(asked, model, ["doc_id"]).orderBy("doc_id").collect()] == ["en", "de"]
+
+
+def test_licences_side_by_side():
+    """Notices that are wrapped, that follow each other without a blank line, or that share a line are all found."""
+    model = licences.train(["the river runs over the stone", "a cloud of green"] * 40)
+    bsd = "Redistribution and use in source and binary forms, with or\nwithout modification, are permitted provided that\nthe following conditions are met"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License\nas published by the Free Software Foundation"
+
+    def got(text):
+        return [f[:3] for f in licences.find_licences(model, text)]
+
+    assert got("Licensed under the MIT license.\n" + bsd) == [(0, 0, "mit"), (1, 3, "bsd")]
+    assert got(bsd + "\n" + gpl) == [(0, 2, "bsd"), (3, 5, "gpl")]
+    assert got("Licensed under the MIT license. This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.") == [(0, 0, "mit"), (0, 0, "mpl")]
+    assert got("Licensed under the GNU Lesser General Public License, version 2.1.") == [(0, 0, "lgpl")]

@@ -1,7 +1,8 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line; lines that follow each other and have model features are tried as one
-paragraph too, so hard-wrapped notices count. Features are word n-grams of lengths 1 to 3. The
+A paragraph is a line; in lines that follow each other and have model features, every span of words that has most of a
+template's n-grams is tried as a paragraph too, so hard-wrapped notices, notices next to each other and several licences in
+a line each count. Features are word n-grams of lengths 1 to 3. The
 classifier is a sparse multinomial logistic regression over the licence families and an
 unknown class. It is trained on the templates of the families, cut and embedded in other words,
 against paragraphs of the corpus (a bounded sample of ``NEGATIVES`` documents, chosen by the hash of
@@ -168,6 +169,37 @@ def train(negatives: list[str], steps: int = 300, rate: float = 0.5) -> LicenceM
     return model
 
 
+def confirmed_spans(model: LicenceModel, words: list[str]) -> list[tuple[int, int, int, float, float]]:
+    """First and last word, family, probability and similarity of spans that a template and the classifier confirm.
+
+    Spans grow word by word up to twice a template's words; of spans that overlap the most similar one stays.
+    """
+    all_grams, spans = grams_of(words), []
+    for k, t in model.templates:
+        if len(t & all_grams) < CONFIRMED * len(t):
+            continue
+        ends = [[(e - n + 1, g) for n in (1, 2, 3) if n <= e + 1 and (g := " ".join(words[e - n + 1 : e + 1])) in t] for e in range(len(words))]
+        most = 2 * sum(" " not in g for g in t)
+        for start, word in enumerate(words):
+            if word not in t:
+                continue
+            seen, best, last = set(), 0, start
+            for e in range(start, min(len(words), start + most)):
+                seen.update(g for s, g in ends[e] if s >= start)
+                if len(seen) > best:
+                    best, last = len(seen), e
+            if best >= CONFIRMED * len(t):
+                spans.append((-best / len(t), last - start, start, last, k))
+    taken, found = np.zeros(len(words), bool), []
+    for similar, _, start, last, k in sorted(spans):
+        if not taken[start : last + 1].any():
+            p = _probabilities(model, grams_of(words[start : last + 1]))
+            if p[k] >= model.threshold:
+                taken[start : last + 1] = True
+                found.append((start, last, k, float(p[k]), -similar))
+    return sorted(found)
+
+
 def find_licences(model: LicenceModel, text: str) -> list[tuple[int, int, str, float, float]]:
     """First and last line, family, probability and similarity of every confirmed paragraph of a text."""
     found, run = [], []
@@ -183,10 +215,15 @@ def find_licences(model: LicenceModel, text: str) -> list[tuple[int, int, str, f
         return None
 
     def close() -> None:
-        single = [j for n, w in run if (j := judge(n, n, w))]
-        if not single and len(run) > 1 and (j := judge(run[0][0], run[-1][0], [x for _, w in run for x in w])):
-            single = [j]
-        found.extend(single)
+        mine = [j for n, w in run if (j := judge(n, n, w))]
+        words, at = [x for _, w in run for x in w], [n for n, w in run for _ in w]
+        for first, last, k, p, similar in confirmed_spans(model, words):
+            first, last, family = at[first], at[last], model.families[k]
+            if not any(f[2] == family and f[0] <= last and first <= f[1] for f in mine):
+                mine.append((first, last, family, p, similar))
+        if not mine and len(run) > 1 and (j := judge(run[0][0], run[-1][0], words)):
+            mine = [j]
+        found.extend(sorted(mine))
         run.clear()
 
     for n, line in enumerate(lines):
