@@ -306,3 +306,15 @@ def test_licences_side_by_side():
     assert got(bsd + "\n" + gpl) == [(0, 2, "bsd"), (3, 5, "gpl")]
     assert got("Licensed under the MIT license. This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.") == [(0, 0, "mit"), (0, 0, "mpl")]
     assert got("Licensed under the GNU Lesser General Public License, version 2.1.") == [(0, 0, "lgpl")]
+
+
+def test_licence_calibration_covers_all_paragraphs(spark):
+    """Words are counted, and the threshold is set, over every line of every text; the sample has whole texts."""
+    lines = ["the river runs over the stone"] * 60 + ["the permission of the publisher", "Licensed under the MIT license."]
+    d = spark.createDataFrame([(i, "\n".join(lines)) for i in range(5)] + [(9, None)], "doc_id long, text string")
+    counts, paragraphs = licences.word_frequencies(d)
+    assert paragraphs == 5 * 61 and counts["permission"] == 5 and counts["the"] == 5 * 61 and "mit" not in counts
+    assert len(licences.sample_paragraphs(d, 2)) == 2 * 62
+    model = licences.train(["the river runs over the stone"] * 40, frequencies=(counts, paragraphs))
+    score = float(licences._probabilities(model, licences.grams_of("the permission of the publisher".split()))[:-1].max())
+    assert licences.calibrated(d, model).threshold == pytest.approx(min(max(0.5, score + 0.01), 0.9), abs=0.0011)

@@ -5,11 +5,13 @@ template's n-grams is tried as a paragraph too, so hard-wrapped notices, notices
 a line each count. Features are word n-grams of lengths 1 to 3. The
 classifier is a sparse multinomial logistic regression over the licence families and an
 unknown class. It is trained on the templates of the families, cut and embedded in other words,
-against paragraphs of the corpus (a bounded sample of ``NEGATIVES`` documents, chosen by the hash of
-doc_id, without the few that a template explains). Features with small weights are dropped; a
+against paragraphs of the corpus (all of a bounded sample of ``NEGATIVES`` documents, chosen by the hash of
+doc_id, without the few that a template explains). Which words are common, and so start no feature, is counted over
+all paragraphs of the corpus. Features with small weights are dropped; a
 paragraph without any feature is unknown by definition and costs only a dictionary lookup for
 each different word of a batch. The unknown class is calibrated: the family's probability must
-exceed what the most similar sampled corpus paragraph reaches, and at least one half. A prediction is
+exceed what all but a thousandth of the corpus' paragraphs reach that have a feature and that no template
+explains, and at least one half. A prediction is
 confirmed when a template of the family has most of its n-grams in the paragraph.
 
 Defined results: a null or empty text has no paragraph and no licence. Rows that repeat a doc_id are
@@ -19,8 +21,10 @@ scanned each. The columns that are kept come first; extra columns do not matter.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,8 @@ from pyspark.sql import functions as F
 from vocabloom.llm._common import ship, table, text_slices
 
 NEGATIVES, SPARSE, CONFIRMED = 400, 0.05, 0.6
+#: Quantile and steps of the scores that calibrate the unknown class.
+QUANTILE, STEPS = 0.999, 1000
 UNKNOWN = "unknown"
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 
@@ -116,21 +122,88 @@ def _similarity(templates: list[tuple[int, frozenset]], family: int, grams: set[
     return max((len(t & grams) / len(t) for f, t in templates if f == family), default=0.0)
 
 
-def train(negatives: list[str], steps: int = 300, rate: float = 0.5) -> LicenceModel:
-    """The model from the templates and sampled corpus paragraphs."""
+@lru_cache(maxsize=1)
+def _templates() -> list[tuple[int, frozenset]]:
+    return [(k, frozenset(grams_of(words_in(t)))) for k, f in enumerate(TEMPLATES) for t in TEMPLATES[f]]
+
+
+@lru_cache(maxsize=1 << 16)
+def _explainable(known: frozenset) -> bool:
+    """Whether the template words that a paragraph has can make up most n-grams of a template."""
+    return any(sum(known.issuperset(g.split(" ")) for g in t) >= CONFIRMED * len(t) for _, t in _templates())
+
+
+def _explained(templates: list[tuple[int, frozenset]], vocabulary: frozenset, words: list[str]) -> bool:
+    """Whether a template has most of its n-grams in the paragraph."""
+    if not _explainable(vocabulary.intersection(words)):
+        return False
+    grams = grams_of(words)
+    return any(len(t & grams) >= CONFIRMED * len(t) for _, t in templates)
+
+
+def word_frequencies(docs: DataFrame) -> tuple[dict[str, int], int]:
+    """In how many paragraphs of all documents each word of the templates is, and how many paragraphs
+    there are; without those that a template explains."""
+    ship(docs.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        templates, seen = _templates(), Counter()
+        vocabulary = frozenset(g for _, t in templates for g in t if " " not in g)
+        for batch in batches:
+            for text in batch.column("text"):
+                for line in (text.as_py() or "").split("\n"):
+                    words = words_in(line)
+                    if words and not _explained(templates, vocabulary, words):
+                        seen.update(vocabulary.intersection(words))
+                        seen[""] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    counts = {r["word"]: r["n"] for r in rows}
+    return counts, counts.pop("", 0)
+
+
+def calibrated(docs: DataFrame, model: LicenceModel) -> LicenceModel:
+    """Sets the threshold from the scores of all paragraphs that have a feature and that no template explains."""
+    spark = ship(docs.sparkSession)
+    sent = spark.sparkContext.broadcast(model)  # as large as the templates
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, seen = sent.value, np.zeros(STEPS + 1, np.int64)
+        vocabulary = frozenset(g for _, t in model.templates for g in t if " " not in g)
+        for batch in batches:
+            for text in batch.column("text"):
+                for line in (text.as_py() or "").split("\n"):
+                    words = words_in(line)
+                    if not model.firsts.isdisjoint(words) and not _explained(model.templates, vocabulary, words):
+                        seen[int(np.ceil(_probabilities(model, grams_of(words))[:-1].max() * STEPS))] += 1
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["step", "n"])
+
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(score, "step int, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()
+    upto, total, reached = 0, sum(r["n"] for r in rows), 0.0
+    for step, n in sorted((r["step"], r["n"]) for r in rows):
+        upto, reached = upto + n, step / STEPS
+        if upto >= QUANTILE * total:
+            break
+    model.threshold = float(min(max(0.5, reached + 0.01), 0.9))
+    return model
+
+
+def train(negatives: list[str], steps: int = 300, rate: float = 0.5, frequencies: tuple[dict[str, int], int] | None = None) -> LicenceModel:
+    """The model from the templates and sampled corpus paragraphs; ``frequencies`` are those of the whole corpus,
+    else of the sample."""
     families = list(TEMPLATES)
     rng = np.random.default_rng(11)
-    templates = [(k, frozenset(grams_of(words_in(t)))) for k, f in enumerate(families) for t in TEMPLATES[f]]
-    plain = [w for w in map(words_in, negatives) if w]
-    plain = [w for w in plain if max(_similarity(templates, k, grams_of(w)) for k in range(len(families))) < CONFIRMED]
-    frequent: dict[str, int] = {}
-    for w in plain:
-        for x in set(w):
-            frequent[x] = frequent.get(x, 0) + 1
+    templates = _templates()
+    words_of_templates = frozenset(g for _, t in templates for g in t if " " not in g)
+    plain = [w for w in map(words_in, negatives) if w and not _explained(templates, words_of_templates, w)]
+    frequent, paragraphs = frequencies or (Counter(x for w in plain for x in set(w)), len(plain))
     # A word that is common in the corpus tells nothing by itself and starts no feature.
-    common = {x for x, n in frequent.items() if n > 0.01 * len(plain)}
+    common = {x for x, n in frequent.items() if n > 0.01 * paragraphs}
     pool = [x for w in plain[:2000] for x in w] or ["text"]
-    samples: list[tuple[set, int]] = [(grams_of(w), len(families)) for w in plain]
+    known = frozenset(g for _, t in templates for g in t)
+    samples: list[tuple[set, int]] = [(known.intersection(grams_of(w)), len(families)) for w in plain]
     for k, f in enumerate(families):
         for t in TEMPLATES[f]:
             w = words_in(t)
@@ -140,15 +213,16 @@ def train(negatives: list[str], steps: int = 300, rate: float = 0.5) -> LicenceM
                 samples.append((grams_of([*before, *some, *after]), k))
     vocabulary = sorted({g for _, t in templates for g in t if any(x not in common for x in g.split(" "))})
     rows = {g: i for i, g in enumerate(vocabulary)}
-    at = [[rows[g] for g in s if g in rows] for s, _ in samples]
-    # Corpus paragraphs without a feature are all alike: they count together in the last row.
+    # Samples with the same features and class are one weighted row.
+    alike = Counter((tuple(sorted(rows[g] for g in s if g in rows)), c) for s, c in samples)
     classes = len(families) + 1
-    x = np.zeros((len(samples), len(rows)), np.float32)
-    for i, hit in enumerate(at):
-        x[i, hit] = 1
-    y = np.zeros((len(samples), classes), np.float32)
-    y[np.arange(len(samples)), [c for _, c in samples]] = 1
-    weight = 1 / np.maximum(y.sum(axis=0), 1) @ y.T
+    x = np.zeros((len(alike), len(rows)), np.float32)
+    y = np.zeros((len(alike), classes), np.float32)
+    for i, (hit, c) in enumerate(alike):
+        x[i, list(hit)] = 1
+        y[i, c] = 1
+    times = np.array(list(alike.values()), np.float32)
+    weight = times * (1 / np.maximum(times @ y, 1) @ y.T)
     weight = (weight / weight.sum())[:, None]
     w, b = np.zeros((len(rows), classes), np.float32), np.zeros(classes, np.float32)
     for _ in range(steps):
@@ -237,12 +311,12 @@ def find_licences(model: LicenceModel, text: str) -> list[tuple[int, int, str, f
 
 
 def sample_paragraphs(docs: DataFrame, documents: int = NEGATIVES) -> list[str]:
-    """Paragraphs of at most ``documents`` documents, chosen by the hash of doc_id; of a long text 50 lines."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    """Paragraphs of at most ``documents`` documents, chosen by the hash of doc_id."""
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"))
     ids = [(r[0],) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents).collect()]
     picked = docs.sparkSession.createDataFrame(ids, "_id long").distinct()
     lines = docs.join(F.broadcast(picked), F.col("doc_id").cast("long") == F.col("_id")).select(
-        "_id", F.slice(F.split(F.col("text").cast("string"), "\n"), 1, 50).alias("lines")
+        "_id", F.split(F.col("text").cast("string"), "\n").alias("lines")
     )
     return [line for r in sorted(lines.collect(), key=lambda r: (r["_id"], r["lines"] or [])) for line in r["lines"] or []]
 
@@ -290,7 +364,7 @@ def scan(docs: DataFrame, model: LicenceModel, keep: list[str] | None = None) ->
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its paragraphs, confirmed licence paragraphs, families, and the surest one."""
     docs = table(spark, sf_dir, "documents")
-    found = scan(docs, train(sample_paragraphs(docs)))
+    found = scan(docs, calibrated(docs, train(sample_paragraphs(docs), frequencies=word_frequencies(docs))))
     best = F.element_at(F.sort_array(F.transform("licences", lambda x: F.struct(x["probability"], x["similarity"], x["family"])), False), 1)
     return found.select(
         "doc_id", "paragraphs", F.size("licences").alias("licence_paragraphs"),
