@@ -117,3 +117,12 @@ def test_registry(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert "lens_query" in entry.queries()
+
+
+def test_walks_deeper_than_a_hundred_hops(spark):
+    n = 103
+    chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(n)], "id long, parent_id long").coalesce(1)
+    top = hierarchy.closure(chain).where(f"id = {n - 1} AND ancestor = 0").collect()
+    assert [r.hops for r in top] == [n - 1]
+    edges = chain.where("parent_id IS NOT NULL").selectExpr("parent_id AS src", "id AS dst")
+    assert hierarchy.reach(edges, chain.where("id = 0")).agg(F.max("level")).first()[0] == n - 1

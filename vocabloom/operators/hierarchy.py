@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocabloom.functions.frame import checkpointed, first_by
 
 
+#: Rounds of a walk after which what is known becomes one table again, so that a deep walk's plan stays short.
+COMPACT = 8
+
+
 def edges_of(nodes: DataFrame) -> DataFrame:
     return nodes.where("parent_id IS NOT NULL").select("id", "parent_id").distinct()
 
@@ -28,20 +34,22 @@ def leaves(nodes: DataFrame) -> DataFrame:
     return build_graph(nodes).select("id").join(edges_of(nodes).select(F.col("parent_id").alias("id")), "id", "left_anti")
 
 
-def closure(nodes: DataFrame, most: int = 100) -> DataFrame:
+def closure(nodes: DataFrame) -> DataFrame:
     """(id, ancestor, hops): every ancestor once, at its fewest hops; a cycle ends where it closes.
 
-    A frontier loop: each round joins the last pairs with the edges and drops pairs that are known.
+    A frontier loop: each round joins the last pairs with the edges and drops pairs that are known, until none is new.
     """
     up = checkpointed(edges_of(nodes).select("id", F.col("parent_id").alias("ancestor")))
     parents = up.select(F.col("id").alias("_at"), F.col("ancestor").alias("_next"))
     known = frontier = up.where("id <> ancestor").withColumn("hops", F.lit(1))
-    for hops in range(2, most + 1):
+    for hops in count(2):
         step = frontier.join(parents, F.col("ancestor") == F.col("_at")).select("id", F.col("_next").alias("ancestor")).where("id <> ancestor").distinct()
         frontier = checkpointed(step.join(known.select("id", "ancestor"), ["id", "ancestor"], "left_anti").withColumn("hops", F.lit(hops)))
         if frontier.isEmpty():
             break
         known = known.union(frontier)
+        if hops % COMPACT == 0:
+            known = checkpointed(known.repartition("id"))
     return known
 
 
@@ -112,15 +120,17 @@ def find_label(nodes: DataFrame, text: str, exact: bool = False) -> DataFrame:
     return nodes.where(hit)
 
 
-def reach(edges: DataFrame, start: DataFrame, most: int = 100) -> DataFrame:
+def reach(edges: DataFrame, start: DataFrame) -> DataFrame:
     """(id, level): fewest hops from the start nodes along edges (src, dst)."""
     known = frontier = checkpointed(start.select("id").distinct().withColumn("level", F.lit(0)))
-    for level in range(1, most + 1):
+    for level in count(1):
         step = frontier.join(edges, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct()
         frontier = checkpointed(step.join(known.select("id"), "id", "left_anti").withColumn("level", F.lit(level)))
         if frontier.isEmpty():
             break
         known = known.union(frontier)
+        if level % COMPACT == 0:
+            known = checkpointed(known.repartition("id"))
     return known
 
 
