@@ -3,168 +3,193 @@
 Documents with equal texts are one group and stay together. Every group has integer
 coordinates (text size, source, language, age by document id) and a weight in bytes. Each
 tree node splits its groups at the weighted median, or at the fraction that its number of leaves asks for,
-along its widest dimension. The medians are found by distributed histograms that are
-refined 12 bits at a time: a round brings at most 4,096 sums for each node to the driver,
-whatever the number of documents. Ties along a dimension are split by the hash of the text,
-so shards come out even however coarse the metadata is; a group is never split.
+along its widest dimension; ties along a dimension are split by the hash of the text, so shards come out even
+however coarse the metadata is, and a group is never split. All nodes of a level that have more than
+NODE_GROUPS groups are split at once: groups are range-sorted by node and coordinate, tasks add up the weights before each
+group, and one start for each task and node makes them the node's. A node of fewer groups goes through the same
+splits in one task. A group carries its node, so no tree is kept anywhere, and thousands of leaves cost a few levels
+more; the driver sees one row for each node that is split, or task. Groups that outweigh a fair share get shards of
+their own first (there are fewer of them than shards), and the tree divides the rest.
 
-The law is ``bytes``: shard sizes are near equal (as near as the largest group allows).
+The law is ``bytes``: shard sizes are near equal (as near as the largest groups allow).
 
 Defined results: a null text has size 8 and the CRC of the empty text, and is in one group with the
-empty text only if both are equal in that sense (no bytes). Null metadata is a value of its
-own. Rows that repeat a doc_id stay rows. An empty table gives no rows. Only ``doc_id``,
-``text``, ``source`` and ``lang`` are read; the last two may be missing.
+empty text. Null metadata is a value of its own. Rows that repeat a doc_id stay rows. An empty table gives no rows.
+With more shards than groups some shards are empty. Only ``doc_id``, ``text``, ``source`` and ``lang`` are read; the
+last two may be missing.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vocabloom.llm._common import gapless, staged, table
+from vocabloom.llm._common import gapless, ship, staged, table
 
-COORD_BITS, TIE_BITS, ROUND_BITS = 20, 40, 12
-KEY_BITS = COORD_BITS + TIE_BITS
+COORD_BITS, TIE_BITS = 20, 40
 DIMENSIONS = ("d_size", "d_source", "d_lang", "d_age")
-#: A median is exact enough when the histogram cell that holds it weighs less than this share of a leaf.
-ENOUGH = 0.0005
-
-
-@dataclass
-class Node:
-    leaves: int
-    first: int  # the number of its first leaf
-    weight: int = 0
-    dim: str = ""
-    cut: int = 0  # keys of at most this go left
-    left: Node | None = None
-    right: Node | None = None
-
-
-def _key(dim: str) -> Column:
-    """Coordinate and tie-breaking hash as one number."""
-    return F.shiftleft(F.col(dim), TIE_BITS).bitwiseOR(F.col("tie"))
-
-
-def _place(node: Node, ends: dict[int, int]) -> Column:
-    """The number of the open node (by its first leaf) or leaf that a group belongs to."""
-    if node.left is None:
-        return F.lit(ends[node.first])
-    return F.when(_key(node.dim) <= node.cut, _place(node.left, ends)).otherwise(_place(node.right, ends))
-
-
-def _open(node: Node) -> list[Node]:
-    if node.left:
-        return _open(node.left) + _open(node.right)
-    return [node]
-
-
-def _pick(by_node: dict[int, object], default: object = None) -> Column:
-    out = F.lit(default)
-    for k, v in by_node.items():
-        out = F.when(F.col("node") == k, v).otherwise(out)
-    return out
-
-
-def grow(groups: DataFrame, leaves: int) -> Node:
-    """The tree over ``groups`` (weight, tie and one long column for each dimension)."""
-    root = Node(leaves, 0)
-    while todo := [n for n in _open(root) if n.leaves > 1]:
-        placed = groups.withColumn("node", _place(root, {n.first: n.first for n in _open(root)}))
-        stats = {
-            r["node"]: r
-            for r in placed.groupBy("node").agg(
-                F.sum("weight").alias("w"),
-                *(f(d).alias(f"{at}_{d}") for d in DIMENSIONS for f, at in ((F.min, "lo"), (F.max, "hi"))),
-            ).collect()
-        }
-        for n in todo:
-            s = stats.get(n.first)
-            n.weight = int(s["w"]) if s else 0
-            n.dim = max(DIMENSIONS, key=lambda d: s[f"hi_{d}"] - s[f"lo_{d}"]) if s else DIMENSIONS[0]
-        want = {n.first: n.weight * (n.leaves // 2) / n.leaves for n in todo}
-        enough = {n.first: ENOUGH * n.weight / n.leaves for n in todo}
-        prefix, below, shift = {n.first: 0 for n in todo}, {n.first: 0 for n in todo}, KEY_BITS
-        pending = {n.first: n for n in todo}
-        while pending and shift:
-            keyed = placed.where(F.col("node").isin(list(pending))).withColumn(
-                "key", _pick({k: _key(n.dim) for k, n in pending.items()})
-            )
-            cells = keyed.where(F.shiftright("key", shift) == _pick({k: F.lit(prefix[k]) for k in pending}))
-            shift -= ROUND_BITS
-            found: dict[int, list] = {k: [] for k in pending}
-            for r in cells.groupBy("node", F.shiftright("key", shift).alias("cell")).agg(F.sum("weight").alias("w")).collect():
-                found[r["node"]].append((r["cell"], int(r["w"])))
-            for k, node in list(pending.items()):
-                for cell, w in sorted(found[k]):
-                    # The cell that holds the wanted weight; after the last round it is one group.
-                    if below[k] + w >= want[k] or cell == max(found[k])[0]:
-                        prefix[k] = cell
-                        break
-                    below[k] += w
-                else:
-                    w = 0
-                if w <= enough[k] or not shift:
-                    whole = below[k] + w - want[k] <= want[k] - below[k]
-                    node.cut = ((prefix[k] + 1) << shift) - 1 if whole else (prefix[k] << shift) - 1
-                    del pending[k]
-        for n in todo:
-            half = n.leaves // 2
-            n.left, n.right = Node(half, n.first), Node(n.leaves - half, n.first + half)
-    return root
+TEXT_KEY = ("size", "text_crc32", "text_hash")
+#: Groups up to which one task finishes a node (some 100 bytes each).
+NODE_GROUPS = 16_384
+#: Nodes up to which a level's table of them (some 40 bytes each) is broadcast.
+NODES_BROADCAST = 100_000
+
+
+def _before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to each group the weight of its node's groups before it in its task."""
+    node, total = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        first, weight = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("first", "weight"))
+        starts = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
+        upto = np.cumsum(weight) - weight
+        shift = -upto[starts]
+        if first[0] == node:
+            shift[0] += total
+        before = upto + np.repeat(shift, np.diff(np.concatenate([starts, [len(first)]])))
+        node, total = first[-1], int(before[-1] + weight[-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before)], names=[*batch.schema.names, "before"])
+
+
+def _local(spark: SparkSession, **columns: list) -> DataFrame:
+    """A table of numbers that the driver holds; its rows are bounded by the number of shards or tasks."""
+    return spark.createDataFrame(pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()}))
+
+
+def _small(df: DataFrame, leaves: int) -> DataFrame:
+    return F.broadcast(df) if leaves <= NODES_BROADCAST else df
+
+
+def _split_level(groups: DataFrame, nodes: list, leaves: int) -> DataFrame:
+    """``groups`` with the nodes (first leaf and number of leaves) of the next level; ``nodes`` are the ones to split."""
+    spark = groups.sparkSession
+    dims = _local(
+        spark, _node=[r["first"] for r in nodes], _weight=[r["weight"] for r in nodes], _dim=[int(np.argmax(r["spans"])) + 1 for r in nodes]
+    )
+    along = F.element_at(F.array(*DIMENSIONS), F.coalesce(F.col("_dim").cast("int"), F.lit(1)))
+    order = ["first", "_key", *TEXT_KEY]
+    placed = groups.join(_small(dims, leaves), F.col("first") == F.col("_node"), "left").select(
+        *groups.columns, "_weight", F.shiftleft(along, TIE_BITS).bitwiseOR(F.col("tie")).alias("_key")
+    ).repartitionByRange(*order).sortWithinPartitions(*order).select(*groups.columns, "_weight", F.spark_partition_id().cast("long").alias("_task"))
+    summed = staged(placed.mapInArrow(_before, T.StructType([*placed.schema.fields, T.StructField("before", T.LongType())])), "shard-level")
+    sums = summed.groupBy("_task", "first").agg(F.sum("weight").alias("sum")).collect()
+    start, upto = [], {}
+    for r in sorted(sums, key=lambda r: (r["first"], r["_task"])):
+        start.append(upto.get(r["first"], 0))
+        upto[r["first"]] = start[-1] + r["sum"]
+    sums.sort(key=lambda r: (r["first"], r["_task"]))
+    starts = _local(spark, _at=[r["_task"] for r in sums], _node=[r["first"] for r in sums], _start=start)
+    half = F.expr("leaves div 2")
+    left = F.col("_start") + F.col("before") + F.col("weight") / 2 <= F.col("_weight") * half / F.col("leaves")
+    split = F.col("_weight").isNotNull()
+    joined = summed.join(_small(starts, leaves), (F.col("_task") == F.col("_at")) & (F.col("first") == F.col("_node")))
+    kept = [c for c in groups.columns if c not in ("first", "leaves")]
+    return joined.select(
+        *kept, F.when(split & ~left, F.col("first") + half).otherwise(F.col("first")).alias("first"),
+        F.when(~split, F.col("leaves")).when(left, half).otherwise(F.col("leaves") - half).alias("leaves"),
+    )
 
 
-def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot and grown_shard for every row.
+def _finish(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The leaves of one node, which has at most :data:`NODE_GROUPS` groups."""
+    weight, tie = pdf["weight"].to_numpy(), pdf["tie"].to_numpy()
+    coordinates = [pdf[d].to_numpy() for d in DIMENSIONS]
+    key = [pdf[c].to_numpy() for c in reversed(TEXT_KEY)]
+    leaf = np.zeros(len(pdf), np.int64)
+    todo = [(np.arange(len(pdf)), int(pdf["first"].iloc[0]), int(pdf["leaves"].iloc[0]))]
+    while todo:
+        rows, first, leaves = todo.pop()
+        if leaves == 1 or not len(rows):
+            leaf[rows] = first
+            continue
+        along = coordinates[int(np.argmax([np.ptp(c[rows]) for c in coordinates]))]
+        rows = rows[np.lexsort([*(k[rows] for k in key), along[rows] << TIE_BITS | tie[rows]])]
+        w, half = weight[rows], leaves // 2
+        left = np.cumsum(w) - w + w / 2 <= w.sum() * half / leaves
+        todo += [(rows[left], first, half), (rows[~left], first + half, leaves - half)]
+    return pdf[list(TEXT_KEY)].assign(first=leaf)
+
+
+def assign(groups: DataFrame, shards: int, node_groups: int | None = None) -> DataFrame:
+    """``groups`` (from :func:`text_groups`) with the number of their shard."""
+    spark, node_groups = ship(groups.sparkSession), node_groups or NODE_GROUPS
+    total = groups.agg(F.sum("weight")).first()[0] or 0
+    # Fewer groups than shards can weigh more than a fair share.
+    large = groups.where(F.col("weight") * shards > total).orderBy(F.desc("weight"), *TEXT_KEY).limit(shards).select(*TEXT_KEY, "weight").collect()
+    alone = []
+    for r in large:
+        if shards - len(alone) < 2 or r["weight"] * (shards - len(alone)) <= total:
+            break
+        alone.append(r)
+        total -= r["weight"]
+    leaves = shards - len(alone)
+    own = _local(spark, **{c: [r[c] for r in alone] for c in TEXT_KEY}, first=list(range(len(alone))))
+    rest = groups.join(_small(own, shards), list(TEXT_KEY), "left_anti") if alone else groups
+    rest = rest.withColumn("first", F.lit(len(alone)).cast("long")).withColumn("leaves", F.lit(leaves).cast("long"))
+    while leaves > 1:
+        nodes = rest.where("leaves > 1").groupBy("first").agg(
+            F.count("*").alias("n"), F.sum("weight").alias("weight"), F.array(*(F.max(d) - F.min(d) for d in DIMENSIONS)).alias("spans")
+        ).where(F.col("n") > node_groups).collect()
+        if not nodes:
+            break
+        rest = _split_level(rest, nodes, leaves)
+    whole = rest.where("leaves = 1").select(*TEXT_KEY, "first").unionByName(
+        rest.where("leaves > 1").groupBy("first").applyInPandas(_finish, "size long, text_crc32 long, text_hash long, first long")
+    )
+    return (whole.unionByName(own) if alone else whole).select(*TEXT_KEY, F.col("first").cast("int").alias("shard"))
 
-    Give the number of shards, or the bytes that a shard should have.
-    """
+
+def _rows(docs: DataFrame) -> DataFrame:
     has = set(docs.columns)
-    text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "utf-8")
-    rows = staged(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            (F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) + 8).cast("long").alias("size"),
-            F.crc32(text).alias("text_crc32"),
-            F.xxhash64(text).alias("text_hash"),
-            *(
-                (F.col(c).cast("string") if c in has else F.lit(None).cast("string")).alias(c)
-                for c in ("source", "lang")
-            ),
-        ),
-        "shard-rows",
+    text = F.col("text").cast("string")
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("size"),
+        F.crc32(F.encode(F.coalesce(text, F.lit("")), "utf-8")).alias("text_crc32"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
+        *((F.col(c).cast("string") if c in has else F.lit(None).cast("string")).alias(c) for c in ("source", "lang")),
     )
-    text_key = ["size", "text_crc32", "text_hash"]
-    merged = rows.groupBy(*text_key).agg(
-        F.sum("size").alias("weight"), F.min("doc_id").alias("first_id"),
-        F.min("source").alias("source"), F.min("lang").alias("lang"),
+
+
+def text_groups(rows: DataFrame) -> DataFrame:
+    """Weight, coordinates and tie-breaking hash of each different text of ``rows``."""
+    merged = rows.groupBy(*TEXT_KEY).agg(
+        F.sum("size").alias("weight"), F.min("doc_id").alias("first_id"), F.min("source").alias("source"), F.min("lang").alias("lang")
     )
-    ids = rows.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.sum("size").alias("total")).first()
+    ids = rows.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
     top, base = (1 << COORD_BITS) - 1, ids["lo"] or 0
     span = max(1, (ids["hi"] or 0) - base)
 
     def hashed(name: str) -> Column:
         return F.pmod(F.xxhash64(name), F.lit(top)).cast("long")
 
-    groups = staged(
-        merged.select(
-            *text_key, "weight",
-            F.least(F.lit(top), F.floor(F.log2(F.col("size").cast("double")) / 40 * top)).cast("long").alias("d_size"),
-            hashed("source").alias("d_source"), hashed("lang").alias("d_lang"),
-            F.coalesce(F.floor((F.col("first_id") - base).cast("double") / span * top), F.lit(0)).cast("long").alias("d_age"),
-            F.shiftrightunsigned(F.xxhash64("text_hash", "text_crc32"), 64 - TIE_BITS).alias("tie"),
-        ),
-        "shard-groups",
+    return merged.select(
+        *TEXT_KEY, "weight",
+        F.least(F.lit(top), F.floor(F.log2(F.col("size").cast("double")) / 40 * top)).cast("long").alias("d_size"),
+        hashed("source").alias("d_source"), hashed("lang").alias("d_lang"),
+        F.coalesce(F.floor((F.col("first_id") - base).cast("double") / span * top), F.lit(0)).cast("long").alias("d_age"),
+        F.shiftrightunsigned(F.xxhash64("text_hash", "text_crc32"), 64 - TIE_BITS).alias("tie"),
     )
+
+
+def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot and grown_shard for every row.
+
+    Give the number of shards, or the bytes that a shard should have.
+    """
+    rows = staged(_rows(docs), "shard-rows")
+    groups = staged(text_groups(rows), "shard-groups")
     if shards is None:
-        shards = max(1, -(-(ids["total"] or 0) // (target_bytes or 1 << 30)))
-    root = grow(groups, shards) if ids["total"] else Node(1, 0)
-    leaf = _place(root, {n.first: n.first for n in _open(root)}).cast("int")
-    placed = rows.join(groups.select(*text_key, leaf.alias("shard")), text_key).select(
-        "doc_id", "size", "text_crc32", "shard"
-    )
+        total = groups.agg(F.sum("weight")).first()[0] or 0
+        shards = max(1, -(-total // (target_bytes or 1 << 30)))
+    placed = rows.join(assign(groups, shards), list(TEXT_KEY)).select("doc_id", "size", "text_crc32", "shard")
     return gapless(placed, "shard", [F.asc("doc_id"), F.asc("text_crc32")], "shard-slots").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
