@@ -5,7 +5,7 @@ would make, ties to the left; the best pair is merged until none is left, and wh
 piece falls back to bytes. No piece runs from a visible character into a space mark or across a
 line end (checked when a vocabulary is loaded), so the units between those places have
 agendas of their own: a task works through the agendas of all units that are new in a batch
-together (:class:`PairAgenda`) and keeps the results. Every new unit is checked against the
+together, those of long units one by one from a heap (:class:`PairAgenda`), and keeps the results. Every new unit is checked against the
 sentencepiece library in the Arrow batch that brought it; a difference is an error. Decoding
 is the library's.
 

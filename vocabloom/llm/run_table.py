@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
+from heapq import heapify, heappop, heappush
 from itertools import repeat
 
 import numpy as np
@@ -10,13 +12,16 @@ import numpy as np
 from vocabloom.llm._common import spread
 
 NONE = np.int32(2**31 - 1)
+#: Symbols above which a word has an agenda of its own.
+LONG = 64
 
 
 class PairAgenda:
     """Merges adjacent symbols, the best-ranked pair of a word first and of equal ranks the leftmost.
 
-    ``pairs`` maps (left, right) to (rank, merged symbol). All words of a batch take their next
-    merge together, and only the two pairs beside a merge are looked up again.
+    ``pairs`` maps (left, right) to (rank, merged symbol). Words of a batch take their next
+    merge together, and only the two pairs beside a merge are looked up again. A word of more than LONG symbols
+    has an agenda of its own, a heap in the same order, so its time grows with its length times the logarithm.
     """
 
     def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]]):
@@ -33,11 +38,48 @@ class PairAgenda:
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, at, len(self.keys) - 1)
 
+    @cached_property
+    def _table(self) -> dict[int, tuple[int, int]]:
+        return dict(zip(self.keys[:-1].tolist(), zip(self.ranks.tolist(), self.merged.tolist())))
+
+    def _alone(self, symbols: np.ndarray) -> np.ndarray:
+        """What is left of one word's symbols."""
+        sym, n, find = symbols.tolist(), len(symbols), self._table.get
+        after, before, gone = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray(n)
+        ranks = self.ranks[self._find(symbols[:-1], symbols[1:])].astype(np.int64)
+        at = np.flatnonzero(ranks != NONE)
+        agenda = (ranks[at] << 32 | at).tolist()
+        heapify(agenda)
+        while agenda:
+            entry = heappop(agenda)
+            at = entry & 0xFFFFFFFF
+            right = after[at]
+            if gone[at] or right == n or (pair := find(sym[at] << 32 | sym[right])) is None or pair[0] != entry >> 32:
+                continue  # a neighbour has been merged since
+            sym[at], gone[right], far, left = pair[1], 1, after[right], before[at]
+            after[at] = far
+            if far < n:
+                before[far] = at
+                if pair := find(sym[at] << 32 | sym[far]):
+                    heappush(agenda, pair[0] << 32 | at)
+            if left >= 0 and (pair := find(sym[left] << 32 | sym[at])):
+                heappush(agenda, pair[0] << 32 | left)
+        return np.array(sym, np.int64)[np.frombuffer(gone, np.uint8) == 0]
+
     def run(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of words laid end to end; returns what is left of them and the new lengths."""
         last_pair = len(self.keys) - 1
         done_symbols, done_words = [], []
         sym, word = symbols.astype(np.int64), np.repeat(np.arange(len(lengths)), lengths)
+        alone = np.flatnonzero(lengths > LONG)
+        if len(alone):
+            ends = np.cumsum(lengths)
+            for k in alone.tolist():
+                left = self._alone(sym[ends[k] - lengths[k] : ends[k]])
+                done_symbols.append(left)
+                done_words.append(np.full(len(left), k))
+            short = np.repeat(lengths <= LONG, lengths)
+            sym, word = sym[short], word[short]
         pair = np.full(len(sym), last_pair)
         inner = np.flatnonzero(word[:-1] == word[1:]) if len(sym) else np.zeros(0, np.int64)
         pair[inner] = self._find(sym[inner], sym[inner + 1])
@@ -72,13 +114,13 @@ class PairAgenda:
 
 
 class RunTable:
-    """Encodes each different word once; forgets all when it holds ``most`` words.
+    """Encodes each different word once; forgets all when it holds ``most`` words or ``most_tokens`` of their tokens.
 
     ``encode`` takes new words and returns their runs end to end and the length of each.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000):
-        self.encode, self.most = encode, most
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000, most_tokens: int = 16_000_000):
+        self.encode, self.most, self.most_tokens = encode, most, most_tokens
         self._clear()
 
     def _clear(self) -> None:
@@ -107,7 +149,7 @@ class RunTable:
         rows = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(rows < 0)
         if len(missing):
-            if len(self.rows) + len(missing) > self.most:
+            if len(self.rows) + len(missing) > self.most or self.used > self.most_tokens:
                 self._clear()
                 missing = np.arange(len(words))
             rows[missing] = len(self.rows) + np.arange(len(missing))
