@@ -36,9 +36,9 @@ COORD_BITS, TIE_BITS = 20, 40
 DIMENSIONS = ("d_size", "d_source", "d_lang", "d_age")
 TEXT_KEY = ("size", "text_crc32", "text_hash")
 #: Groups up to which one task finishes a node (some 100 bytes each).
-NODE_GROUPS = 16_384
-#: Nodes up to which a level's table of them (some 40 bytes each) is broadcast.
-NODES_BROADCAST = 100_000
+NODE_GROUPS = 65_536
+#: Groups of a shard of their own (some 40 bytes each) up to which their table is broadcast.
+MOST_BROADCAST = 100_000
 
 
 def _before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,43 +58,56 @@ def _before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before)], names=[*batch.schema.names, "before"])
 
 
-def _local(spark: SparkSession, **columns: list) -> DataFrame:
-    """A table of numbers that the driver holds; its rows are bounded by the number of shards or tasks."""
-    return spark.createDataFrame(pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()}))
+def _columns(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
 
 
-def _small(df: DataFrame, leaves: int) -> DataFrame:
-    return F.broadcast(df) if leaves <= NODES_BROADCAST else df
+def _keyed(groups: DataFrame, nodes: list) -> DataFrame:
+    """Adds the weight of a group's node, if that is one of ``nodes``, and the group's place along the node's widest dimension."""
+    nodes = sorted((r["first"], r["weight"], int(np.argmax(r["spans"]))) for r in nodes)
+    node, node_weight, dim = (np.array(c, np.int64) for c in zip(*nodes))
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, tie, *coordinates = _columns(batch, "first", "tie", *DIMENSIONS)
+            at = np.minimum(np.searchsorted(node, first), len(node) - 1)
+            split = node[at] == first
+            along = np.choose(np.where(split, dim[at], 0), coordinates)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(node_weight[at], mask=~split), pa.array(along << TIE_BITS | tie)], names=[*batch.schema.names, "node_weight", "place"]
+            )
 
-def _split_level(groups: DataFrame, nodes: list, leaves: int) -> DataFrame:
+    return groups.mapInArrow(each, T.StructType([*groups.schema.fields, T.StructField("node_weight", T.LongType()), T.StructField("place", T.LongType())]))
+
+
+def _split_level(groups: DataFrame, nodes: list) -> DataFrame:
     """``groups`` with the nodes (first leaf and number of leaves) of the next level; ``nodes`` are the ones to split."""
-    spark = groups.sparkSession
-    dims = _local(
-        spark, _node=[r["first"] for r in nodes], _weight=[r["weight"] for r in nodes], _dim=[int(np.argmax(r["spans"])) + 1 for r in nodes]
-    )
-    along = F.element_at(F.array(*DIMENSIONS), F.coalesce(F.col("_dim").cast("int"), F.lit(1)))
-    order = ["first", "_key", *TEXT_KEY]
-    placed = groups.join(_small(dims, leaves), F.col("first") == F.col("_node"), "left").select(
-        *groups.columns, "_weight", F.shiftleft(along, TIE_BITS).bitwiseOR(F.col("tie")).alias("_key")
-    ).repartitionByRange(*order).sortWithinPartitions(*order).select(*groups.columns, "_weight", F.spark_partition_id().cast("long").alias("_task"))
+    order = ["first", "place", *TEXT_KEY]
+    placed = _keyed(groups, nodes).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("task", F.spark_partition_id().cast("long"))
     summed = staged(placed.mapInArrow(_before, T.StructType([*placed.schema.fields, T.StructField("before", T.LongType())])), "shard-level")
-    sums = summed.groupBy("_task", "first").agg(F.sum("weight").alias("sum")).collect()
-    start, upto = [], {}
-    for r in sorted(sums, key=lambda r: (r["first"], r["_task"])):
+    sums = sorted(summed.groupBy("first", "task").agg(F.sum("weight").alias("sum")).collect())
+    upto: dict[int, int] = {}
+    start = []
+    for r in sums:
         start.append(upto.get(r["first"], 0))
         upto[r["first"]] = start[-1] + r["sum"]
-    sums.sort(key=lambda r: (r["first"], r["_task"]))
-    starts = _local(spark, _at=[r["_task"] for r in sums], _node=[r["first"] for r in sums], _start=start)
-    half = F.expr("leaves div 2")
-    left = F.col("_start") + F.col("before") + F.col("weight") / 2 <= F.col("_weight") * half / F.col("leaves")
-    split = F.col("_weight").isNotNull()
-    joined = summed.join(_small(starts, leaves), (F.col("_task") == F.col("_at")) & (F.col("first") == F.col("_node")))
-    kept = [c for c in groups.columns if c not in ("first", "leaves")]
-    return joined.select(
-        *kept, F.when(split & ~left, F.col("first") + half).otherwise(F.col("first")).alias("first"),
-        F.when(~split, F.col("leaves")).when(left, half).otherwise(F.col("leaves") - half).alias("leaves"),
-    )
+    # A run is the part of a node in a task; there are at most as many as tasks and nodes together.
+    run, start = np.array([r["first"] << 32 | r["task"] for r in sums], np.int64), np.array(start, np.int64)
+    names = groups.columns
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, leaves, task, before, weight = _columns(batch, "first", "leaves", "task", "before", "weight")
+            total = batch.column("node_weight")
+            split, half = total.is_valid().to_numpy(zero_copy_only=False), leaves // 2
+            middle = start[np.searchsorted(run, first << 32 | task)] + before + weight / 2
+            left = middle <= total.fill_null(0).to_numpy(zero_copy_only=False) * half / leaves
+            moved = {
+                "first": np.where(split & ~left, first + half, first), "leaves": np.where(split, np.where(left, half, leaves - half), leaves)
+            }
+            yield pa.RecordBatch.from_arrays([pa.array(moved[c]) if c in moved else batch.column(c) for c in names], names=names)
+
+    return summed.mapInArrow(route, groups.schema)
 
 
 def _finish(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -130,8 +143,8 @@ def assign(groups: DataFrame, shards: int, node_groups: int | None = None) -> Da
         alone.append(r)
         total -= r["weight"]
     leaves = shards - len(alone)
-    own = _local(spark, **{c: [r[c] for r in alone] for c in TEXT_KEY}, first=list(range(len(alone))))
-    rest = groups.join(_small(own, shards), list(TEXT_KEY), "left_anti") if alone else groups
+    own = spark.createDataFrame([(*(r[c] for c in TEXT_KEY), i) for i, r in enumerate(alone)], "size long, text_crc32 long, text_hash long, first long")
+    rest = groups.join(F.broadcast(own) if len(alone) <= MOST_BROADCAST else own, list(TEXT_KEY), "left_anti") if alone else groups
     rest = rest.withColumn("first", F.lit(len(alone)).cast("long")).withColumn("leaves", F.lit(leaves).cast("long"))
     while leaves > 1:
         nodes = rest.where("leaves > 1").groupBy("first").agg(
@@ -139,7 +152,7 @@ def assign(groups: DataFrame, shards: int, node_groups: int | None = None) -> Da
         ).where(F.col("n") > node_groups).collect()
         if not nodes:
             break
-        rest = _split_level(rest, nodes, leaves)
+        rest = _split_level(rest, nodes)
     whole = rest.where("leaves = 1").select(*TEXT_KEY, "first").unionByName(
         rest.where("leaves > 1").groupBy("first").applyInPandas(_finish, "size long, text_crc32 long, text_hash long, first long")
     )
