@@ -3,16 +3,36 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+_own_dirs: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; on one machine without it, a new temporary folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("a cluster needs spark.checkpoint.dir, a folder that all of its machines share")
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _own_dirs[app]
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the checkpoint folder, so that a loop's plan stays short and survives lost executors."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
 

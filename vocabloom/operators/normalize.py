@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,8 +82,8 @@ def path_columns(path: str, names: list[str]) -> list[Column]:
 
 
 def backfill(stored: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Values of ``source`` replace those of ``stored`` where they are not null."""
-    new = source.select(F.col(key).alias("_key"), *(F.col(c).alias(f"_{c}") for c in columns))
+    """Values of ``source`` replace those of ``stored`` where they are not null and fit the stored type."""
+    new = source.select(F.col(key).alias("_key"), *(F.col(c).try_cast(stored.schema[c].dataType).alias(f"_{c}") for c in columns))
     joined = stored.join(new, stored[key] == F.col("_key"), "left")
     return joined.select(*(F.coalesce(f"_{c}", c).alias(c) if c in columns else F.col(c) for c in stored.columns))
 
@@ -104,3 +108,40 @@ def alias_merge(stored: DataFrame, found: DataFrame, key: str) -> DataFrame:
         key, F.array_distinct(F.concat(F.coalesce("aliases", empty), F.coalesce("_a", empty))).alias("aliases"),
         F.coalesce("_d", "definition").alias("definition"),
     )
+
+
+def rename_dedup(df: DataFrame, names: dict[str, str], key: str, order: list, lists: list[str] = (), numbers: list[str] = ()) -> DataFrame:
+    """The columns in ``names`` under their new names, the first row of each key that is not null; comma lists as arrays (null if empty)
+    and numbers as longs (null if they are none)."""
+    kept = first_by(df.where(F.col(key).isNotNull()), [key], order).select(*(F.col(c).alias(n) for c, n in names.items() if c in df.columns))
+    for c in lists:
+        kept = kept.withColumn(c, F.when(F.size(split_list(c)) > 0, split_list(c)))
+    return kept.withColumns({c: F.trim(F.col(c).cast("string")).try_cast("bigint") for c in numbers})
+
+
+def assemble(parts: dict[str, Callable[[], DataFrame]], version: str) -> tuple[DataFrame | None, list[str]]:
+    """One source from its parts, by name of columns and with one version on all rows, and the names of parts that cannot be read."""
+    read, failed = [], []
+    for name, part in parts.items():
+        try:
+            read.append(part())
+        except AnalysisException:
+            failed.append(name)
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read) if read else None
+    return whole and whole.withColumn("version", F.lit(version)), failed
+
+
+def category_lookup(
+    rows: DataFrame, gaps: DataFrame, pairs: dict[tuple[str, str], str], categories: dict[str, str], override: dict[str, list[str]], default: str
+) -> DataFrame:
+    """Discipline of each subject: rows (subject, main, sub) by their pair of categories; of ``gaps`` (subject, main, sub) those
+    that rows lack, by the subject itself where ``override`` (discipline to subjects) has it, else by main category."""
+    at = F.create_map(*(F.lit(x) for (m, s), v in pairs.items() for x in (f"{m}\x1f{s}", v)))
+    by_main = F.create_map(*(F.lit(x) for kv in categories.items() for x in kv))
+    own = rows.select("subject", "main", "sub", F.coalesce(F.element_at(at, F.concat_ws("\x1f", F.trim("main"), F.trim("sub"))), F.lit(default)).alias("discipline"))
+    fallback = F.coalesce(F.element_at(by_main, F.trim("main")), F.lit(default))
+    for discipline, subjects in override.items():
+        fallback = F.when(F.lower(F.trim("subject")).isin(subjects), discipline).otherwise(fallback)
+    have = rows.select(F.lower(F.trim("subject")).alias("_s")).distinct()
+    more = gaps.join(have, F.lower(F.trim("subject")) == F.col("_s"), "left_anti")
+    return own.unionByName(more.select("subject", "main", "sub", fallback.alias("discipline")))

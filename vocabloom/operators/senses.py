@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +20,40 @@ def classify(text: str, rules: list[tuple[str, list[str]]], default: str) -> Col
     return F.lit(default) if out is None else out.otherwise(default)
 
 
+def classify_keyword(
+    label: str, category: str, exact: dict[str, list[str]], rules: list[tuple[str, list[str]]], categories: dict[str, str],
+    category_rules: list[tuple[str, list[str]]], default: str,
+) -> Column:
+    """The class of a keyword: by the exact sets, else the first rule whose text is in the label, else the exact category, else
+    the first category rule, else ``default``; all ignoring case. The tables are parameters."""
+    low, cat = F.lower(F.trim(F.col(label))), F.lower(F.trim(F.col(category)))
+
+    def first(text: Column, ordered: list[tuple[str, list[str]]]) -> Column:
+        out = F.lit(None).cast("string")
+        for name, words in reversed(ordered):
+            out = F.when(F.coalesce(text.rlike("|".join(re.escape(w) for w in words)), F.lit(False)), name).otherwise(out)
+        return out
+
+    sets = F.lit(None).cast("string")
+    for name, labels in reversed(exact.items()):
+        sets = F.when(low.isin(labels), name).otherwise(sets)
+    known = F.element_at(F.create_map(*(F.lit(x) for k, v in categories.items() for x in (k.lower(), v))), cat) if categories else F.lit(None).cast("string")
+    return F.coalesce(sets, first(low, rules), known, first(cat, category_rules), F.lit(default))
+
+
+def journal_disciplines(pubs: DataFrame, classifier: Callable[[str, str], Column]) -> DataFrame:
+    """(journal, category, discipline): the class of each journal by its name and its commonest category."""
+    named = pubs.where("journal IS NOT NULL AND category IS NOT NULL").select(F.trim("journal").alias("journal"), F.trim("category").alias("category"))
+    return modal_value(named, "journal", "category").select("journal", "category", classifier("journal", "category").alias("discipline"))
+
+
+def update_disciplines(senses: DataFrame, found: DataFrame, sources: list[str]) -> DataFrame:
+    """Senses of the given sources take the discipline that ``found`` (journal, discipline) has for their label, ignoring case."""
+    by_label = found.groupBy(F.lower("journal").alias("_l")).agg(F.min("discipline").alias("_d"))
+    joined = senses.join(by_label, (F.lower("label") == F.col("_l")) & F.col("source").isin(sources), "left")
+    return joined.select(*(F.coalesce("_d", "discipline").alias(c) if c == "discipline" else F.col(c) for c in senses.columns))
+
+
 def with_tier(senses: DataFrame, disciplines: DataFrame, default: int = 4) -> DataFrame:
     """Adds the tier of the discipline (a small dimension)."""
     tiers = disciplines.select(F.col("discipline_id").alias("discipline"), F.col("tier").alias("resolution_tier"))

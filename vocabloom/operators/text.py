@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vocabloom.functions.frame import first_by
+
 TOKEN_BREAK = r"[^a-z0-9\-]+"
 
 
@@ -12,57 +14,110 @@ def tokens(text: str) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda x: x != "")
 
 
-def ngrams(df: DataFrame, key: str, text: str, most: int) -> DataFrame:
-    """(key, gram) for every run of up to ``most`` tokens, once each."""
-    t = df.select(key, tokens(text).alias("_t"))
-
-    def of_length(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size("_t") - n + 1)
-        grams = F.transform(starts, lambda i: F.array_join(F.slice("_t", i, n), " "))
-        return F.when(F.size("_t") >= n, grams).otherwise(F.array().cast("array<string>"))
-
-    runs = F.flatten(F.array(*map(of_length, range(1, most + 1))))
-    return t.select(key, F.explode(F.array_distinct(runs)).alias("gram"))
-
-
-def vocabulary_matches(docs: DataFrame, key: str, text: str, labels: DataFrame, most_words: int, least: int) -> DataFrame:
-    """Documents per label, by equality of token n-grams; labels in fewer than ``least`` are dropped."""
-    vocabulary = labels.select(F.array_join(tokens("label"), " ").alias("gram"), "label").distinct()
-    hits = ngrams(docs, key, text, most_words).join(vocabulary, "gram")
-    return hits.groupBy("label").agg(F.countDistinct(key).alias("documents")).where(F.col("documents") >= least)
-
-
-def new_terms(docs: DataFrame, key: str, text: str, known: DataFrame, least: int, max_share: float, n: int) -> DataFrame:
-    """Frequent terms outside the vocabulary."""
+def _runs(df: DataFrame, key: str, text: str, most: int, stops: list[str] = ()) -> DataFrame:
+    """(key, _w1 .. _w``most``): one row for each token, with those that follow it (null beyond the end)."""
+    words = tokens(text)
+    if stops:
+        words = F.filter(words, lambda x: ~x.isin(list(stops)))
+    t = df.select(key, words.alias("_t"))
+    ahead = [F.slice("_t", F.lit(k), F.greatest(F.size("_t") - k + 1, F.lit(0))).alias(f"_w{k}") for k in range(1, most + 1)]
+    return t.select(key, F.explode(F.arrays_zip(*ahead)).alias("_r")).select(key, "_r.*")
+
+
+def vocabulary_matches(docs: DataFrame, key: str, text: str, labels: DataFrame, most_words: int, least: int, single: bool = True) -> DataFrame:
+    """Documents per label, by equality of token runs; labels in fewer than ``least`` are dropped.
+
+    Labels of several words need more than 5 characters, single words (left out unless ``single``) more than 3; labels of more than
+    ``most_words`` words are not sought. Tokens meet the first words of the labels before any run is spelled out.
+    """
+    words = tokens("label")
+    several = F.size(words) > 1
+    fits = F.when(several, F.length("label") > 5).otherwise((F.length("label") > 3) if single else F.lit(False))
+    vocabulary = labels.where(fits & (F.size(words) <= most_words)).select(
+        F.array_join(words, " ").alias("_gram"), "label", words[0].alias("_w1"), F.size(words).alias("_n")
+    ).distinct()
+    starts = vocabulary.select("_w1", "_n").distinct()
+    run = F.concat_ws(" ", *(F.when(F.col("_n") >= k, F.col(f"_w{k}")) for k in range(1, most_words + 1)))
+    long_enough = F.lit(True)
+    for k in range(2, most_words + 1):
+        long_enough = long_enough & ((F.col("_n") < k) | F.col(f"_w{k}").isNotNull())
+    met = _runs(docs, key, text, most_words).join(starts, "_w1").where(long_enough).select(key, run.alias("_gram"))
+    hits = met.join(vocabulary.select("_gram", "label"), "_gram").select("label", key).distinct()
+    return hits.groupBy("label").agg(F.count("*").alias("documents")).where(F.col("documents") >= least)
+
+
+def frequency_tags(matches: DataFrame, kind: str) -> DataFrame:
+    """(label, tag) like ``abstract_freq:12``."""
+    return matches.select("label", F.concat(F.lit(f"{kind}_freq:"), F.col("documents").cast("string")).alias("tag"))
+
+
+def add_tags(senses: DataFrame, found: DataFrame) -> DataFrame:
+    """Senses with the tags of their lower-cased label after their own, repeats left out; those without tags (null) get none."""
+    more = found.groupBy(F.lower("label").alias("_l")).agg(F.array_sort(F.collect_set("tag")).alias("_more"))
+    return senses.join(more, F.lower("label") == F.col("_l"), "left").select(
+        *(F.array_union("tags", F.coalesce("_more", F.array().cast("array<string>"))).alias("tags") if c == "tags" else F.col(c) for c in senses.columns)
+    )
+
+
+def new_terms(docs: DataFrame, key: str, text: str, known: DataFrame, least: int, max_share: float, n: int, stops: list[str] = (), features: int = 20_000) -> DataFrame:
+    """The ``n`` best runs of one to three words outside the vocabulary: gram, documents and score.
+
+    Runs in at least ``least`` documents and at most ``max_share`` of all; of these the ``features`` with most occurrences; the score is
+    occurrences · (ln((1 + n) / (1 + documents)) + 1). Stop words are taken out first, and words of one or two characters are no gram.
+    """
     total = docs.agg(F.count("*").alias("_n"))
-    df = ngrams(docs, key, text, 1).where(F.length("gram") > 2).groupBy("gram").agg(F.count("*").alias("documents"))
-    fresh = df.join(known.select(F.lower("label").alias("gram")).distinct(), "gram", "left_anti")
-    return fresh.crossJoin(F.broadcast(total)).where(  # total is one row
+    parts = [F.concat_ws(" ", *(f"_w{j}" for j in range(1, k + 1))) for k in (1, 2, 3)]
+    grams = F.array(*(F.when(F.col(f"_w{k}").isNotNull(), p) for k, p in enumerate(parts, 1)))
+    each = _runs(docs, key, text, 3, stops).select(key, F.explode(F.filter(grams, lambda x: x.isNotNull() & (F.length(x) > 2))).alias("gram"))
+    counted = each.groupBy("gram", key).agg(F.count("*").alias("_tf")).groupBy("gram").agg(F.count("*").alias("documents"), F.sum("_tf").alias("_tf"))
+    usual = counted.crossJoin(F.broadcast(total)).where(  # total is one row
         (F.col("documents") >= least) & (F.col("documents") <= F.col("_n") * max_share)
-    ).select("gram", "documents").orderBy(F.desc("documents"), "gram").limit(n)
+    ).orderBy(F.desc("_tf"), "gram").limit(features)
+    fresh = usual.join(known.select(F.lower("label").alias("gram")).distinct(), "gram", "left_anti")
+    score = F.round(F.col("_tf") * (F.log((1 + F.col("_n")) / (1 + F.col("documents"))) + 1), 6)
+    return fresh.select("gram", "documents", score.alias("score")).orderBy(F.desc("score"), "gram").limit(n)
 
 
-#: Agencies and the patterns of their grant numbers, in order of precedence (fixed values).
+#: Names, agencies and patterns of grant numbers, in order of precedence (fixed values).
 GRANTS = [
-    ("NSF", r"\b([0-9]{7})\b"),
-    ("NIH", r"\b([A-Z][0-9]{2}[ \-]?[A-Z]{2}[ \-]?[0-9]{6})\b"),
-    ("DOE", r"\b(DE-[A-Z]{2}[0-9]{2}-[0-9]{2}[A-Z]{2}[0-9]{5})\b"),
-    ("NASA", r"\b((?:NNX[0-9]{2}[A-Z]{2}[0-9]{2}[A-Z])|(?:80NSSC[0-9]{2}[A-Z][0-9]{4}))\b"),
-    ("EPSRC", r"\b(EP/[A-Z][0-9]{6}/[0-9])\b"),
+    ("NSF Award", "NSF", r"\b(?:NSF[- ]?)?(?:Award\s*(?:No\.?\s*)?)?(\d{7})\b"),
+    ("NIH Grant", "NIH", r"\b([RKUPFTSDM]\d{2})\s*[-]?\s*([A-Z]{2})\s*[-]?\s*(\d{6,7})\b"),
+    ("DOE Contract", "DOE", r"\b(DE-[A-Z]{2}\d{2}-\d{2}[A-Z]{2}\d{5})\b"),
+    ("DOE Award", "DOE", r"\b(DE-[A-Z]{2,4}\d{7,10})\b"),
+    ("NASA Grant", "NASA", r"\b(NN[XGHM]\d{2}[A-Z]{2}\d{2,5}[A-Z]?)\b"),
+    ("NASA Award", "NASA", r"\b(80NSSC\d{2}[A-Z]\d{4})\b"),
+    ("EU Grant", "EU", r"(?i)\b(?:grant\s*(?:agreement\s*)?(?:no\.?\s*)?|project\s*(?:no\.?\s*)?)(\d{6})\b"),
+    ("EPSRC Grant", "EPSRC", r"\b(EP/[A-Z]\d{6}/\d)\b"),
+    ("DFG Project", "DFG", r"(?i)\b(?:DFG|Deutsche\s+Forschungsgemeinschaft)\s*[-:]\s*(\d{6,9})\b"),
+    ("NSERC Grant", "NSERC", r"(?i)\b(?:NSERC)\s*[-]?\s*(?:grant\s*)?(\d{4,6}[-]?\d{0,4})\b"),
+    ("Generic Grant", "Unknown", r"(?i)(?:grant|award|funding|project|agreement|contract)\s*(?:number|no\.?|#|id)\s*[:.]?\s*([A-Z0-9][-A-Z0-9/]{4,20})"),
+    ("Funded Reference", "Unknown", r"(?i)funded\s+by\s+.*?\(([A-Z0-9][-A-Z0-9/]{4,20})\)"),
 ]
 
 
 def grants(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Grant numbers of each document; a number counts for the first agency whose pattern it fits."""
-    def of_agency(k: int) -> Column:
-        agency, pattern = GRANTS[k]
-        numbers = F.regexp_extract_all(text, F.lit(pattern), 1)
-        return F.transform(numbers, lambda x: F.struct(F.lit(k).alias("k"), F.lit(agency).alias("agency"), x.alias("number")))
-
-    found = F.flatten(F.array(*map(of_agency, range(len(GRANTS)))))
-    rows = docs.select(key, F.explode(found).alias("g")).select(key, F.upper(F.regexp_replace("g.number", r"[ \-]", "")).alias("norm"), "g.k", "g.agency", "g.number")
-    best = F.min(F.struct("k", "agency", "number"))
-    return rows.groupBy(key, "norm").agg(best.alias("b")).select(key, F.col("b.number").alias("number"), F.col("b.agency").alias("agency"))
+    """Grant numbers of each document: number, agency, pattern_name, and the start and end of the match.
+
+    Numbers that are equal without case, blanks and hyphens count once, for the first pattern and place. Matches part a text, so the
+    lengths of the parts and matches before one give its place.
+    """
+    def of_pattern(k: int) -> Column:
+        name, agency, pattern = GRANTS[k]
+        whole = F.regexp_extract_all(text, F.lit(pattern), 0)
+        groups = (1, 2, 3) if agency == "NIH" else (1,)
+        parts = F.transform(F.split(text, pattern, -1), F.length)
+        before = lambda i: F.aggregate(F.slice(parts, 1, i + 1), F.lit(0), lambda a, x: a + x) + F.aggregate(F.slice(whole, 1, i), F.lit(0), lambda a, x: a + F.length(x))
+        found = F.transform(whole, lambda x, i: F.struct(
+            F.lit(k).alias("k"), before(i).alias("start"), F.length(x).alias("length"), F.concat(*(F.regexp_extract(x, pattern, g) for g in groups)).alias("number"),
+            F.lit(agency).alias("agency"), F.lit(name).alias("pattern_name"),
+        ))
+        return F.when(F.size(whole) > 0, found)
+
+    none = F.array().cast("array<struct<k:int,start:int,length:int,number:string,agency:string,pattern_name:string>>")
+    found = F.flatten(F.array(*(F.coalesce(of_pattern(k), none) for k in range(len(GRANTS)))))
+    rows = docs.select(key, F.explode(found).alias("g")).withColumn("_same", F.upper(F.regexp_replace("g.number", r"[ \-]", "")))
+    best = rows.groupBy(key, "_same").agg(F.min("g").alias("g"))
+    return best.select(key, "g.number", "g.agency", "g.pattern_name", "g.start", (F.col("g.start") + F.col("g.length")).alias("end"))
 
 
 def field_counts(df: DataFrame, field: str) -> DataFrame:
@@ -71,3 +126,14 @@ def field_counts(df: DataFrame, field: str) -> DataFrame:
 
 def markup_labels(df: DataFrame, label: str) -> DataFrame:
     return df.where(F.col(label).rlike(r"</?[a-zA-Z]+[^>]*>|&[a-z]+;"))
+
+
+def distinct_journals(journals: DataFrame, order: list) -> DataFrame:
+    """The first row of each journal, which is known by its ISSNs (array) or, without any, by its title."""
+    key = F.coalesce(F.nullif(F.array_join("issn", "|"), F.lit("")), "title")
+    return first_by(journals.withColumn("journal_key", key), ["journal_key"], order)
+
+
+def subject_counts(journals: DataFrame) -> DataFrame:
+    """Journals of each subject (array ``subjects``)."""
+    return journals.select(F.explode("subjects").alias("subject")).groupBy("subject").agg(F.count("*").alias("journals"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocabloom.operators import edges as J
@@ -116,8 +116,7 @@ query("full_path", "kw", """SELECT a.id, concat_ws(' > ', c.label, b.label, a.la
   LEFT JOIN kw b ON a.parent_id = b.id LEFT JOIN kw c ON b.parent_id = c.id""")(lambda s, d: G.full_paths(S.keywords(s, d)))
 query("descendants", "kw closure", "SELECT id, hops FROM closure WHERE ancestor = 'R1'")(lambda s, d: G.descendants(S.keywords(s, d), "R1"))
 query("children", "kw", "SELECT parent_id AS id, count(*) AS children FROM kw WHERE parent_id IS NOT NULL GROUP BY 1")(lambda s, d: G.children(S.keywords(s, d)))
-query("siblings", "kw", "SELECT a.id, b.id AS sibling FROM kw a JOIN kw b ON a.parent_id = b.parent_id AND a.id <> b.id WHERE a.level < 2")(
-    lambda s, d: G.siblings(S.keywords(s, d).where("level < 2")))
+query("siblings", "kw", "SELECT parent_id, id, count(*) OVER (PARTITION BY parent_id) - 1 AS siblings FROM kw WHERE parent_id IS NOT NULL")(lambda s, d: G.sibling_groups(S.keywords(s, d)))
 query("subtree", "kw closure", "SELECT id, label, parent_id FROM kw WHERE id = 'R2' OR id IN (SELECT id FROM closure WHERE ancestor = 'R2')")(
     lambda s, d: G.subtree(S.keywords(s, d), "R2").select("id", "label", "parent_id"))
 query("depth", "kw", "SELECT id, level AS depth FROM kw")(lambda s, d: G.depths(S.keywords(s, d)))
@@ -135,12 +134,6 @@ query("bfs_levels", "kw", "SELECT level, count(*) AS n FROM kw GROUP BY 1")(
     lambda s, d: G.reach(S.keywords(s, d).where("parent_id IS NOT NULL").select(F.col("parent_id").alias("src"), F.col("id").alias("dst")), G.roots(S.keywords(s, d))).groupBy("level").agg(F.count("*").alias("n")))
 query("filtered_parent", "kw", """SELECT a.id, CASE WHEN a.level = 2 THEN b.parent_id WHEN a.level = 1 THEN a.parent_id END AS parent FROM kw a LEFT JOIN kw b ON a.parent_id = b.id""")(
     lambda s, d: G.filtered_parent(S.keywords(s, d).withColumn("rank", F.when(F.col("level") == 0, "top").otherwise("no rank")), ["top"]))
-query("rank_filter", "kw", "SELECT id, CASE level WHEN 0 THEN 0 ELSE 1 END AS rank_level FROM kw WHERE level IN (0, 2)")(
-    lambda s, d: S.keywords(s, d).where(F.col("level").isin(0, 2)).select("id", F.when(F.col("level") == 0, 0).otherwise(1).alias("rank_level")))
-query("envelope", "", """SELECT coalesce(o_orderpriority, 'all') || '/' || coalesce(o_orderstatus, 'all') AS node, count(*) AS pub_count FROM orders
-  GROUP BY ROLLUP (o_orderpriority, o_orderstatus)""")(
-    lambda s, d: t(s, d, "orders").rollup("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("pub_count")).select(
-        F.concat(F.coalesce("o_orderpriority", F.lit("all")), F.lit("/"), F.coalesce("o_orderstatus", F.lit("all"))).alias("node"), "pub_count"))
 query("orphans", "senses rels", "SELECT sense_id FROM senses WHERE sense_id NOT IN (SELECT source_sense_id FROM rels WHERE confidence > 0.5 UNION ALL SELECT target_sense_id FROM rels WHERE confidence > 0.5)")(
     lambda s, d: G.unconnected(S.senses(s, d).select("sense_id"), S.rels(s, d).where("confidence > 0.5")))
 query("density", "senses rels", "SELECT relationship_type, count(*) AS n, round(count(*) / (SELECT count(*) FROM senses), 6) AS per_sense FROM rels GROUP BY 1")(
@@ -208,9 +201,8 @@ query("containment", "", """SELECT DISTINCT a.label AS narrower, b.w AS broader
     lambda s, d: J.containment(t(s, d, "part").select(F.col("p_name").alias("label")).union(t(s, d, "part").select(F.split_part("p_name", F.lit(" "), F.lit(1))).distinct()).distinct()))
 PAIRS = "(SELECT a.label AS a, b.label AS b, count(*) AS pubs FROM (SELECT DISTINCT pub, label FROM pubkw WHERE relevance >= {0}) a JOIN (SELECT DISTINCT pub, label FROM pubkw WHERE relevance >= {0}) b ON a.pub = b.pub AND a.label < b.label GROUP BY 1, 2 HAVING count(*) >= {1})"
 query("cooccurrence", "pubkw", f"SELECT a, b, pubs FROM {PAIRS.format(0.3, 2)}")(lambda s, d: J.cooccurrence(S.pub_keywords(s, d), 2, 0.3))
-FINE = "fine AS (SELECT sense_id, label || ' ' || source AS label, discipline, confidence FROM senses)"
 for _name, _per, _step in (("cooccurrence_sets", 2, 0.02), ("cooccurrence_single", 1, 0.01)):
-    query(_name, "senses pubkw", f""", {FINE}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY confidence DESC, sense_id) AS rn FROM fine) WHERE rn <= {_per})
+    query(_name, "senses fine pubkw", f""", best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY confidence DESC, sense_id) AS rn FROM fine) WHERE rn <= {_per})
       SELECT x.sense_id AS source_sense_id, y.sense_id AS target_sense_id, pubs, round(least(0.9::DOUBLE, 0.5 + pubs * {_step}::DOUBLE), 6) AS edge_confidence, CASE WHEN x.discipline = y.discipline THEN 'toward' ELSE 'across' END AS direction
       FROM {PAIRS.format(0, 3)} p JOIN best x ON x.label = p.a JOIN best y ON y.label = p.b""")(
         lambda s, d, n=_per, step=_step: J.cooccurrence_edges(J.cooccurrence(S.pub_keywords(s, d), 3), S.fine_senses(s, d), F.least(F.lit(0.9), 0.5 + F.col("pubs") * step), n))
@@ -246,35 +238,95 @@ query("tfidf_edges", "", """WITH words AS (SELECT item_id, unnest(regexp_split_t
 # Lenses
 
 query("disciplines", "disc", "SELECT * FROM disc")(lambda s, d: S.disciplines(s, d))
-LENSES_SQL = "SELECT l.discipline_id AS lens, x.discipline_id AS discipline, CASE WHEN l.discipline_id = x.discipline_id THEN 0.95 WHEN l.tier = x.tier THEN 0.4 WHEN abs(l.tier - x.tier) = 1 THEN 0.25 ELSE 0.1 END::DOUBLE AS weight FROM disc l, disc x"
-query("template_lenses", "disc", LENSES_SQL)(lambda s, d: L.template_lenses(S.disciplines(s, d)))
-query("lens_list", "disc", "SELECT discipline_id, tier FROM disc WHERE tier >= 2")(lambda s, d: S.disciplines(s, d).where("tier >= 2").orderBy("discipline_id", F.desc("tier")))
-query("lens_query", "senses", f"SELECT sense_id, label, discipline, {SCORE_SQL} AS score FROM senses WHERE level IS NULL OR level <= 4 ORDER BY 4 DESC, 1 LIMIT 50")(
-    lambda s, d: L.lens_query(S.senses(s, d), LENS, 50, max_level=4).select("sense_id", "label", "discipline", "score"))
-query("lens_query_full", "senses rels", f""", deg AS (SELECT sense_id, count(*) AS degree FROM (SELECT source_sense_id AS sense_id FROM rels UNION ALL SELECT target_sense_id FROM rels) GROUP BY 1)
-  SELECT s.sense_id, score, coalesce(degree, 0) AS rel_count FROM (SELECT sense_id, {SCORE_SQL} AS score FROM senses WHERE discipline IN ('ECONOMY', 'STANDARD', 'PROMO') ORDER BY 2 DESC, 1 LIMIT 40) s LEFT JOIN deg USING (sense_id)""")(
-    lambda s, d: L.lens_query_full(S.senses(s, d), LENS, G.degrees(S.rels(s, d)), 40).select("sense_id", "score", "rel_count"))
+LENS_PAIRS = [("ECONOMY", "STANDARD", "Economy-Standard"), ("PROMO", "ECONOMY", "Promo-Economy")]
+LENSES_SQL = """roles AS (SELECT * FROM (VALUES ('director', 100000, 'Director'), ('program_mgr', 10000, 'Program Manager'), ('researcher', 1000, 'Researcher')) r(role, altitude, title)),
+  pairs AS (SELECT * FROM (VALUES ('ECONOMY', 'STANDARD', 'Economy-Standard'), ('PROMO', 'ECONOMY', 'Promo-Economy')) p(a, b, label)),
+  lw AS (SELECT 'hat:' || l.discipline_id || ':' || role AS lens_id, l.discipline_id || ' ' || title AS name, role, altitude, l.discipline_id AS discipline, x.discipline_id AS of,
+      CASE WHEN l.discipline_id = x.discipline_id THEN 0.95 WHEN l.tier = x.tier THEN 0.4 WHEN abs(l.tier - x.tier) = 1 THEN 0.25 ELSE 0.1 END::DOUBLE AS weight FROM disc l, disc x, roles
+    UNION ALL SELECT 'hat:' || a || '+' || b || ':' || role, label || ' ' || title, role, altitude, a, x.discipline_id, CASE x.discipline_id WHEN a THEN 0.9 WHEN b THEN 0.85 ELSE 0.1 END::DOUBLE FROM pairs, disc x, roles
+    UNION ALL SELECT 'hat:neutral', 'Neutral Lens', 'neutral', 10000, NULL, discipline_id, 1.0::DOUBLE FROM disc),
+  lens AS (SELECT lens_id, name, role, altitude, discipline, string_agg(of || '=' || CAST(weight AS VARCHAR), ',' ORDER BY of) AS weights FROM lw GROUP BY ALL)"""
+
+
+def _lenses(s: SparkSession, d: str) -> list[L.Lens]:
+    return L.template_lenses(L.discipline_rows(S.disciplines(s, d)), LENS_PAIRS)
+
+
+def _spelled(weights: str) -> Column:
+    return F.array_join(F.transform(F.array_sort(F.map_entries(weights)), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))), ",")
+
+
+query("template_lenses", "disc", f", {LENSES_SQL} SELECT * FROM lens")(
+    lambda s, d: L.lens_table(s, _lenses(s, d)).drop("secondary").withColumn("weights", _spelled("weights")))
+query("lens_list", "disc", f", {LENSES_SQL} SELECT lens_id, name, role, discipline, altitude FROM lens WHERE role = 'program_mgr'")(
+    lambda s, d: L.list_lenses(L.lens_table(s, _lenses(s, d)), role="program_mgr"))
+query("compose_lens", "disc", f""", {LENSES_SQL}, asked AS (SELECT p_partkey, p_brand, CASE WHEN p_size % 11 = 0 THEN p_brand ELSE p_type END AS discipline,
+    CASE p_size % 4 WHEN 0 THEN 'director' WHEN 1 THEN 'program_mgr' WHEN 2 THEN 'researcher' ELSE 'guest' END AS role FROM part)
+  SELECT p_partkey, coalesce(l.lens_id, 'composed:' || d.discipline_id || ':' || a.role) AS lens_id, coalesce(l.name, d.discipline_id || ' Guest') AS name,
+    coalesce(l.altitude, CASE WHEN d.discipline_id IS NOT NULL THEN 1000 END) AS altitude, coalesce(l.weights, d.discipline_id || '=0.95') AS weights, p_brand || '=1.0' AS interests
+  FROM asked a LEFT JOIN lens l ON l.lens_id = 'hat:' || a.discipline || ':' || a.role LEFT JOIN disc d ON d.discipline_id = a.discipline""")(
+    lambda s, d: L.compose_lenses(t(s, d, "part").select(
+        "p_partkey", F.when(F.col("p_size") % 11 == 0, F.col("p_brand")).otherwise(F.col("p_type")).alias("discipline"),
+        F.element_at(F.array(*map(F.lit, ("director", "program_mgr", "researcher", "guest"))), F.col("p_size") % 4 + 1).alias("role"), F.array("p_brand").alias("interests")),
+        _lenses(s, d), L.discipline_rows(S.disciplines(s, d))).select("p_partkey", "lens_id", "name", "altitude", _spelled("weights").alias("weights"), _spelled("interest_weights").alias("interests")))
+
+
+def _score_sql(default: float, bonus: str = "0.0") -> str:
+    own = LENS_SQL.replace("0.1 END", f"{default} END")
+    other = LENS_SQL.replace("CASE discipline", "CASE x").replace("0.1 END", "0.0 END")
+    return f"round(greatest(({own})::DOUBLE, coalesce(list_max(list_transform(secondary, lambda x: ({other})::DOUBLE * 0.7::DOUBLE)), 0.0::DOUBLE)) * coalesce(nullif(confidence, 0), 0.5) * ({BOOST_SQL})::DOUBLE + ({bonus})::DOUBLE, 6)"
+
+
+query("lens_query", "senses lsenses", f"""SELECT sense_id, label, discipline, {_score_sql(0.1)} AS score, list_has_any(secondary, ['ECONOMY', 'STANDARD', 'PROMO']) AS is_bridge
+  FROM lsenses WHERE level IS NULL OR level <= 4 ORDER BY 4 DESC, 1 LIMIT 50""")(
+    lambda s, d: L.lens_query(S.lens_senses(s, d), LENS, 50, altitude=10000).select("sense_id", "label", "discipline", "score", "is_bridge"))
+query("lens_query_search", "senses lsenses", f"""SELECT sense_id, {_score_sql(0.1)} AS score FROM lsenses WHERE contains(lower(label), 'gear') AND (level IS NULL OR level <= 2) ORDER BY 2 DESC, 1 LIMIT 50""")(
+    lambda s, d: L.lens_query(S.lens_senses(s, d), LENS, 50, search="GEAR", altitude=100000).select("sense_id", "score"))
+DEG = "deg AS (SELECT sense_id, count(*) AS degree FROM (SELECT source_sense_id AS sense_id FROM rels UNION ALL SELECT target_sense_id FROM rels) GROUP BY 1)"
+BONUS_SQL = "CASE WHEN in_abstracts THEN 0.1 ELSE 0.0 END::DOUBLE + CASE WHEN in_titles THEN 0.1 ELSE 0.0 END::DOUBLE"
+for _name, _where, _more in (
+    ("lens_query_full", "TRUE", {}),
+    ("lens_query_full_search", "contains(lower(label), 'e') AND source = 'Brand#3' AND (level IS NULL OR level <= 2)", {"search": "E", "source": "Brand#3", "altitude": 100000, "least_score": 0.3}),
+):
+    query(_name, "senses lsenses rels", f""", {DEG} SELECT s.sense_id, score, bridge_to, coalesce(degree, 0) AS rel_count FROM (SELECT * FROM (
+      SELECT sense_id, {_score_sql(0.05, BONUS_SQL)} AS score, array_to_string(list_filter(secondary, lambda x: x IN ('ECONOMY', 'STANDARD', 'PROMO') AND x <> discipline), ',') AS bridge_to
+      FROM lsenses WHERE discipline IN ('ECONOMY', 'STANDARD', 'PROMO') AND {_where}) WHERE score >= {_more.get('least_score', 0)} ORDER BY 2 DESC, 1 LIMIT 40) s LEFT JOIN deg USING (sense_id)""")(
+        lambda s, d, more=_more: L.lens_query_full(S.lens_senses(s, d), LENS, G.degrees(S.rels(s, d)), 40, **more).select("sense_id", "score", F.array_join("bridge_to", ",").alias("bridge_to"), "rel_count"))
 query("discipline_query", "senses", "SELECT sense_id, label, confidence FROM senses WHERE discipline = 'PROMO' ORDER BY confidence DESC, label, sense_id LIMIT 50")(
     lambda s, d: L.discipline_query(S.senses(s, d), "PROMO", 50).select("sense_id", "label", "confidence"))
 query("bridges", "senses", """SELECT sense_id FROM senses s WHERE (discipline = 'PROMO' AND EXISTS (SELECT 1 FROM (SELECT label, discipline, min(sense_id) AS f FROM senses GROUP BY 1, 2) x WHERE x.label = s.label AND x.discipline = 'ECONOMY' AND f >= s.sense_id))
   OR (discipline = 'ECONOMY' AND EXISTS (SELECT 1 FROM (SELECT label, discipline, min(sense_id) AS f FROM senses GROUP BY 1, 2) x WHERE x.label = s.label AND x.discipline = 'PROMO' AND f >= s.sense_id))""")(
     lambda s, d: L.bridges(S.senses(s, d).join(C.secondary_disciplines(S.senses(s, d)), "sense_id").withColumn("secondary", F.split("secondary", ",")), "PROMO", "ECONOMY").select("sense_id"))
-query("lens_summary", "senses", "SELECT source, CAST(sum(CASE WHEN discipline IN ('PROMO', 'ECONOMY') THEN 1 ELSE 0 END) AS BIGINT) AS visible, CAST(sum(CASE WHEN discipline IN ('PROMO', 'ECONOMY') AND level IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS without_level, count(*) AS n FROM senses GROUP BY 1")(
-    lambda s, d: L.lens_summary(S.senses(s, d), ["PROMO", "ECONOMY"]))
-query("explore", "senses rels", f""", centre AS (SELECT min(label) AS l FROM senses), c AS (SELECT sense_id FROM senses, centre WHERE lower(label) = lower(l)),
-  e AS (SELECT source_sense_id AS s, target_sense_id AS n, confidence AS ec FROM rels UNION ALL SELECT target_sense_id, source_sense_id, confidence FROM rels),
-  b AS (SELECT n, label, discipline, ec, row_number() OVER (PARTITION BY lower(label) || '|' || source ORDER BY ec DESC, n) AS rn FROM e JOIN senses x ON x.sense_id = e.n WHERE s IN (SELECT sense_id FROM c))
-  SELECT n AS neighbour, label, discipline, round(({LENS_SQL.replace('0.1 END', '0.05 END')})::DOUBLE * ec, 6) AS score FROM b WHERE rn = 1 ORDER BY 4 DESC, 1 LIMIT 15""")(
-    lambda s, d: L.explore(S.senses(s, d), S.rels(s, d), S.senses(s, d).agg(F.min("label")).first()[0], LENS, 15))
-query("compare_lenses", "senses disc", f""", lens AS ({LENSES_SQL})
-  SELECT lens, place, sense_id, score FROM (SELECT lens, sense_id, score, row_number() OVER (PARTITION BY lens ORDER BY score DESC, sense_id) AS place FROM (
-  SELECT lens, sense_id, round(weight * confidence * ({BOOST_SQL})::DOUBLE, 6) AS score FROM senses s JOIN lens l USING (discipline))) WHERE place <= 15""")(
-    lambda s, d: L.compare_lenses(S.senses(s, d), L.template_lenses(S.disciplines(s, d)), 15))
-query("papers_through_lens", "senses pubkw", f""", {FINE}, j AS (SELECT pub, sense_id, discipline, relevance * confidence AS rc FROM pubkw p JOIN fine f ON lower(p.label) = lower(f.label) WHERE relevance >= 0.3),
-  g AS (SELECT pub, count(DISTINCT sense_id) AS senses, sum(rc) AS raw FROM j GROUP BY 1 HAVING count(DISTINCT sense_id) >= 2),
-  w AS (SELECT pub, string_agg(discipline, ',' ORDER BY discipline) AS disciplines, avg(({LENS_SQL.replace('0.1 END', '0.05 END')})::DOUBLE) AS m FROM (SELECT DISTINCT pub, discipline FROM j) GROUP BY 1)
-  SELECT pub, senses, disciplines, round(raw * m, 6) AS score FROM g JOIN w USING (pub) ORDER BY 4 DESC, 1 LIMIT 50""")(
-    lambda s, d: L.papers_through_lens(S.pub_keywords(s, d), S.fine_senses(s, d), LENS, 0.3, 2, 50))
+query("lens_summary", "senses lsenses", """SELECT source, count(*) FILTER (discipline IN ('LARGE', 'ECONOMY') OR list_has_any(secondary, ['LARGE', 'ECONOMY'])) AS visible,
+  count(*) FILTER (discipline IN ('LARGE', 'ECONOMY')) AS by_primary, count(*) FILTER (discipline IN ('LARGE', 'ECONOMY') AND len(secondary) > 0) AS bridges FROM lsenses GROUP BY ROLLUP (source)""")(
+    lambda s, d: L.lens_summary(S.lens_senses(s, d), ["LARGE", "ECONOMY"]))
+NEAR_SQL = """, want AS (SELECT {0} AS l FROM fine), exact AS (SELECT sense_id FROM fine, want WHERE lower(label) = lower(l)),
+  c AS (SELECT sense_id FROM exact UNION ALL SELECT sense_id FROM (SELECT sense_id FROM fine, want WHERE contains(lower(label), lower(l)) ORDER BY confidence DESC, sense_id LIMIT 10) WHERE NOT EXISTS (SELECT 1 FROM exact)),
+  e AS (SELECT target_sense_id AS n, confidence AS ec FROM rels WHERE source_sense_id IN (SELECT sense_id FROM c)
+    UNION ALL SELECT source_sense_id, confidence FROM rels WHERE target_sense_id IN (SELECT sense_id FROM c) AND source_sense_id NOT IN (SELECT sense_id FROM c)),
+  b AS (SELECT n, label, discipline, ec FROM e JOIN fine x ON x.sense_id = n QUALIFY row_number() OVER (PARTITION BY lower(label) ORDER BY ec DESC, n) = 1)"""
+for _name, _sql, _label in (
+    ("explore", "min(label)", lambda f: f.agg(F.min("label")).scalar()),
+    ("explore_similar", "split_part(min(label), '#', 1)", lambda f: f.agg(F.split_part(F.min("label"), F.lit("#"), F.lit(1))).scalar()),
+):
+    query(_name, "senses fine rels", NEAR_SQL.format(_sql) + f" SELECT n AS neighbour, label, discipline, round(({LENS_SQL.replace('0.1 END', '0.05 END')})::DOUBLE * coalesce(nullif(ec, 0), 0.5), 6) AS score FROM b ORDER BY 4 DESC, 1 LIMIT 15")(
+        lambda s, d, label=_label: L.explore(S.fine_senses(s, d), S.rels(s, d), label(S.fine_senses(s, d)), LENS, 15))
+query("compare_lenses", "senses fine rels disc", NEAR_SQL.format("split_part(min(label), '#', 1)") + f""", {LENSES_SQL},
+  w AS (SELECT lens_id, n, label, b.discipline, round(weight * coalesce(nullif(ec, 0), 0.5), 6) AS score FROM b JOIN lw ON of = b.discipline),
+  best AS (SELECT *, row_number() OVER (PARTITION BY lens_id ORDER BY score DESC, n) AS place FROM w QUALIFY place <= 15),
+  spread AS (SELECT lens_id, discipline, count(*) AS k, row_number() OVER (PARTITION BY lens_id ORDER BY count(*) DESC, discipline) AS place FROM best GROUP BY 1, 2)
+  SELECT lens_id, 'neighbour' AS kind, place, label AS name, score AS value FROM best WHERE place <= 5
+  UNION ALL SELECT lens_id, 'discipline', place, discipline, k::DOUBLE FROM spread WHERE place <= 5
+  UNION ALL SELECT lens_id, 'senses', 0, NULL, (SELECT count(*) FROM c)::DOUBLE FROM lens
+  UNION ALL SELECT lens_id, 'connections', 0, NULL, (SELECT count(*) FROM e)::DOUBLE FROM lens""")(
+    lambda s, d: L.compare_lenses(S.fine_senses(s, d), S.rels(s, d), S.fine_senses(s, d).agg(F.split_part(F.min("label"), F.lit("#"), F.lit(1))).scalar(), _lenses(s, d)))
+for _name, _where, _search in (("papers_through_lens", "TRUE", None), ("papers_through_lens_search", "pub IN (SELECT pub FROM pubkw WHERE contains(lower(label), 'gear'))", "Gear")):
+    query(_name, "senses fine pubkw", f""", j AS (SELECT pub, sense_id, discipline, relevance * confidence AS rc FROM pubkw p JOIN fine f ON lower(p.label) = lower(f.label)
+        WHERE relevance >= 0.3 AND discipline IN ('ECONOMY', 'STANDARD', 'PROMO') AND {_where}),
+      g AS (SELECT pub, count(DISTINCT sense_id) AS senses, sum(rc) AS raw FROM j GROUP BY 1 HAVING count(DISTINCT sense_id) >= 2),
+      w AS (SELECT pub, string_agg(discipline, ',' ORDER BY discipline) AS disciplines, avg(({LENS_SQL})::DOUBLE) AS m FROM (SELECT DISTINCT pub, discipline FROM j) GROUP BY 1)
+      SELECT pub, senses, disciplines, round(raw * m, 6) AS score FROM g JOIN w USING (pub) ORDER BY 4 DESC, 1 LIMIT 50""")(
+        lambda s, d, search=_search: L.papers_through_lens(S.pub_keywords(s, d), S.fine_senses(s, d), LENS, 0.3, 2, 50, search))
 
 # Validation
 
@@ -298,10 +350,11 @@ query("sensitivity", "senses rels", """, b AS (SELECT discipline, sense_id, coun
 query("npmi", "pubkw", f""", one AS (SELECT label, count(DISTINCT pub) AS n FROM pubkw GROUP BY 1), tot AS (SELECT count(DISTINCT pub) AS t FROM pubkw)
   SELECT p.a, p.b, p.pubs, round(ln((p.pubs / t) / ((x.n / t) * (y.n / t))) / -ln(p.pubs / t), 6) AS npmi FROM {PAIRS.format(0, 3)} p JOIN one x ON x.label = p.a JOIN one y ON y.label = p.b, tot""")(
     lambda s, d: (lambda k: V.npmi(J.cooccurrence(k, 3), k.groupBy("label").agg(F.countDistinct("pub").alias("pubs")), F.lit(k.select("pub").distinct().count())))(S.pub_keywords(s, d)))
-query("lens_divergence", "senses disc", f""", lens AS ({LENSES_SQL}), sc AS (SELECT lens, label, round(sum(weight * confidence), 6) AS v FROM senses JOIN lens USING (discipline) GROUP BY 1, 2),
+query("lens_divergence", "senses disc", f""", {LENSES_SQL}, sc AS (SELECT lens_id AS lens, label, round(sum(weight * confidence), 6) AS v FROM senses s JOIN lw ON of = s.discipline WHERE role = 'researcher' GROUP BY 1, 2),
   r AS (SELECT lens, label, rank() OVER (PARTITION BY lens ORDER BY v) + (count(*) OVER (PARTITION BY lens, v) - 1) / 2 AS r FROM sc)
   SELECT x.lens AS a, y.lens AS b, round(corr(x.r, y.r), 6) AS spearman FROM r x JOIN r y ON x.label = y.label AND x.lens < y.lens GROUP BY 1, 2""")(
-    lambda s, d: V.spearman(S.senses(s, d).join(L.template_lenses(S.disciplines(s, d)), "discipline").groupBy("lens", "label").agg(F.round(F.sum(F.col("weight") * F.col("confidence")), 6).alias("v")), "lens", "label", "v"))
+    lambda s, d: V.spearman(S.senses(s, d).withColumn("_lens", F.explode(F.array(*(F.struct(F.lit(x.lens_id).alias("lens"), L.weight_map(x.weights).alias("w")) for x in _lenses(s, d) if x.role == "researcher")))).select(
+        "label", "confidence", "_lens.lens", F.element_at("_lens.w", F.col("discipline")).alias("weight")).groupBy("lens", "label").agg(F.round(F.sum(F.col("weight") * F.col("confidence")), 6).alias("v")), "lens", "label", "v"))
 query("paper_sets", "pubkw", "SELECT pub, string_agg(DISTINCT label, '|' ORDER BY label) AS labels FROM pubkw GROUP BY 1")(
     lambda s, d: S.pub_keywords(s, d).groupBy("pub").agg(F.array_join(F.array_sort(F.collect_set("label")), "|").alias("labels")))
 _SETS = "sets AS (SELECT pub, list_distinct(list(label)) AS items FROM pubkw GROUP BY 1)"
@@ -316,28 +369,61 @@ query("mann_whitney", "", """WITH c AS (SELECT p_retailprice AS v, count(*) AS t
 
 # Texts
 
-query("vocab_in_text", "", """WITH v AS (SELECT DISTINCT p_brand, lower(split_part(p_name, ' ', 1)) AS label FROM part UNION SELECT 'x', unnest(['license', 'the public', 'of the', 'under the', 'apache license'])),
-  tok AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9\\-]+'), lambda x: x <> '') AS ts FROM documents),
-  g AS (SELECT doc_id, unnest(list_distinct(list_concat(ts, list_transform(range(1, len(ts)), lambda i: ts[i] || ' ' || ts[i + 1])))) AS gram FROM tok)
-  SELECT label, count(DISTINCT doc_id) AS documents FROM g JOIN (SELECT DISTINCT label FROM v) ON label = gram GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2""")(
-    lambda s, d: T.vocabulary_matches(t(s, d, "documents"), "doc_id", "text", t(s, d, "part").select(F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("label")).union(
-        s.createDataFrame([(x,) for x in ("license", "the public", "of the", "under the", "apache license")], "label string")).distinct(), 2, 2))
+VOCABULARY = ["license", "the public", "of the", "under the", "apache license", "the terms of the", "sub"]
+_GRAMS = """tok AS (SELECT {0} AS id, list_filter(regexp_split_to_array(lower({1}), '[^a-z0-9\\-]+'), lambda x: x <> '') AS ts FROM {2}),
+  g AS (SELECT id, unnest(list_distinct(flatten(list_transform(range(1, {3}), lambda n: list_transform(range(1, len(ts) - n + 2), lambda i: array_to_string(ts[i:i + n - 1], ' ')))))) AS gram FROM tok)
+  SELECT label, {4} FROM g JOIN v ON label = gram GROUP BY 1 HAVING count(*) >= {5}"""
+query("vocab_in_text", "", f"""WITH v AS (SELECT label FROM (SELECT lower(split_part(p_name, ' ', 1)) AS label FROM part UNION SELECT lower(p_name) FROM part UNION SELECT unnest({VOCABULARY}))
+    WHERE CASE WHEN contains(label, ' ') THEN length(label) > 5 ELSE length(label) > 3 END), {_GRAMS.format('doc_id', 'text', 'documents', 5, 'count(*) AS documents', 5)}""")(
+    lambda s, d: T.vocabulary_matches(t(s, d, "documents"), "doc_id", "text", t(s, d, "part").select(F.explode(F.array(F.split_part("p_name", F.lit(" "), F.lit(1)), F.col("p_name"))).alias("label")).select(
+        F.lower("label").alias("label")).union(s.createDataFrame([(x,) for x in VOCABULARY], "label string")).distinct(), 4, 5))
+query("vocab_in_title", "", f"""WITH v AS (SELECT DISTINCT lower(p_name) AS label FROM part WHERE length(p_name) > 5),
+  {_GRAMS.format('p_partkey', "p_type || ': ' || p_name", 'part', 3, "'title_freq:' || count(*) AS tag", 3)}""")(
+    lambda s, d: T.frequency_tags(T.vocabulary_matches(t(s, d, "part").select("p_partkey", F.concat_ws(": ", "p_type", "p_name").alias("title")), "p_partkey", "title",
+        t(s, d, "part").select(F.lower("p_name").alias("label")).distinct(), 2, 3, single=False), "title"))
 query("pub_frequency", "pubkw", "SELECT label, 'pub_freq:' || count(DISTINCT pub) AS tag FROM pubkw GROUP BY 1")(
     lambda s, d: S.pub_keywords(s, d).groupBy("label").agg(F.concat(F.lit("pub_freq:"), F.countDistinct("pub").cast("string")).alias("tag")))
-query("new_terms", "", """WITH tok AS (SELECT DISTINCT item_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9\\-]+')) AS gram FROM benchmark)
-  SELECT gram, count(*) AS documents FROM tok WHERE length(gram) > 2 AND gram NOT IN ('the', 'and') GROUP BY 1 HAVING count(*) >= 3 AND count(*) <= (SELECT count(*) FROM benchmark) * 0.7 ORDER BY 2 DESC, 1 LIMIT 100""")(
-    lambda s, d: T.new_terms(t(s, d, "benchmark"), "item_id", "text", s.createDataFrame([("the",), ("and",)], "label string"), 3, 0.7, 100))
-query("grants", "", """SELECT doc_id, CAST(1000000 + doc_id AS VARCHAR) AS number, 'NSF' AS agency FROM documents
-  UNION ALL SELECT doc_id, 'R01GM' || (100000 + doc_id), 'NIH' FROM documents WHERE doc_id % 2 = 0""")(
-    lambda s, d: T.grants(t(s, d, "documents").select("doc_id", F.concat(
-        F.lit("Funded by NSF "), (1000000 + F.col("doc_id")).cast("string"),
-        F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" and NIH R01GM"), (100000 + F.col("doc_id")).cast("string"))).otherwise("")).alias("text")), "doc_id", "text"))
+query("new_terms", "", """WITH tok AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9\\-]+'), lambda x: x NOT IN ('', 'the', 'and', 'of')) AS ts FROM benchmark),
+  g AS (SELECT item_id, unnest(flatten(list_transform(range(1, 4), lambda n: list_transform(range(1, len(ts) - n + 2), lambda i: array_to_string(ts[i:i + n - 1], ' '))))) AS gram FROM tok),
+  c AS (SELECT gram, count(DISTINCT item_id) AS documents, count(*) AS tf FROM g WHERE length(gram) > 2 GROUP BY 1), n AS (SELECT count(*) AS n FROM benchmark),
+  f AS (SELECT * FROM c, n WHERE documents >= 3 AND documents <= n * 0.7 ORDER BY tf DESC, gram LIMIT 20000)
+  SELECT gram, documents, round(tf * (ln((1 + n) / (1 + documents)) + 1), 6) AS score FROM f WHERE gram NOT IN (SELECT lower(p_name) FROM part UNION SELECT 'that') ORDER BY 3 DESC, 1 LIMIT 100""")(
+    lambda s, d: T.new_terms(t(s, d, "benchmark"), "item_id", "text", t(s, d, "part").select(F.col("p_name").alias("label")).union(s.createDataFrame([("that",)], "label string")), 3, 0.7, 100, ["the", "and", "of"]))
+def _funded(s: SparkSession, d: str) -> DataFrame:
+    """Whole texts, each with an acknowledgement at its end."""
+    k, number, longer = F.col("doc_id") % 4, (100000 + F.col("doc_id")).cast("string"), (1000000 + F.col("doc_id")).cast("string")
+    more = F.when(k == 0, F.concat(F.lit(" Funded by NSF "), longer)).when(k == 1, F.concat(F.lit(" (NIH R01-GM-"), number, F.lit(")"))).when(
+        k == 2, F.concat(F.lit(" contract DE-FE"), longer)).otherwise(F.concat(F.lit(" grant agreement no. "), number, F.lit(" and EP/K"), number, F.lit("/1")))
+    return t(s, d, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), more).alias("text"))
+
+
+_GRANT_PARTS = " UNION ALL ".join(f"""SELECT doc_id, {k} AS k, '{name}' AS pattern_name, '{agency}' AS agency, i, w[i] AS whole,
+    {"regexp_replace(w[i], '[^A-Z0-9]', '', 'g')" if agency == 'NIH' else f"regexp_extract(w[i], '{pattern}', 1)"} AS number,
+    list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM (SELECT doc_id, w, parts, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}', 0) AS w, string_split_regex(text, '{pattern}') AS parts FROM funded))"""
+    for k, (name, agency, pattern) in enumerate(T.GRANTS))
+query("grants", "", f"""WITH funded AS (SELECT doc_id, coalesce(text, '') || CASE doc_id % 4 WHEN 0 THEN ' Funded by NSF ' || (1000000 + doc_id) WHEN 1 THEN ' (NIH R01-GM-' || (100000 + doc_id) || ')'
+    WHEN 2 THEN ' contract DE-FE' || (1000000 + doc_id) ELSE ' grant agreement no. ' || (100000 + doc_id) || ' and EP/K' || (100000 + doc_id) || '/1' END AS text FROM documents)
+  SELECT doc_id, number, agency, pattern_name, CAST(start AS BIGINT) AS start, CAST(start + length(whole) AS BIGINT) AS "end" FROM ({_GRANT_PARTS})
+  QUALIFY row_number() OVER (PARTITION BY doc_id, upper(regexp_replace(number, '[ -]', '', 'g')) ORDER BY k, start) = 1""")(
+    lambda s, d: T.grants(_funded(s, d), "doc_id", "text").withColumn("start", F.col("start").cast("long")).withColumn("end", F.col("end").cast("long")))
 query("field_counts", "pubs", "SELECT journal, count(*) AS n FROM pubs GROUP BY 1")(lambda s, d: T.field_counts(S.pubs(s, d), "journal"))
 query("markup_labels", "", "SELECT page_id FROM pages WHERE regexp_matches(html, '</?[a-zA-Z]+[^>]*>|&[a-z]+;')")(lambda s, d: T.markup_labels(t(s, d, "pages"), "html").select("page_id"))
 query("html_clean", "", "SELECT page_id, md5(trim(regexp_replace(html, '</?[a-zA-Z]+[^>]*>', '', 'g'))) AS clean_md5 FROM pages")(
     lambda s, d: t(s, d, "pages").select("page_id", F.md5(N.clean_markup("html")).alias("clean_md5")))
-query("journal_dedup", "", "SELECT coalesce(nullif(p_brand, ''), p_name) AS key, min(p_partkey) AS first_id, count(*) AS n FROM part GROUP BY 1")(
-    lambda s, d: t(s, d, "part").groupBy(F.coalesce(F.nullif("p_brand", F.lit("")), "p_name").alias("key")).agg(F.min("p_partkey").alias("first_id"), F.count("*").alias("n")))
+_JOURNALS = "j AS (SELECT *, CASE p_size % 3 WHEN 0 THEN [] WHEN 1 THEN [p_brand] ELSE [p_brand, p_type] END AS issn FROM part)"
+
+
+def _journals(s: SparkSession, d: str) -> DataFrame:
+    issn = F.when(F.col("p_size") % 3 == 1, F.array("p_brand")).when(F.col("p_size") % 3 == 2, F.array("p_brand", "p_type")).otherwise(F.array().cast("array<string>"))
+    journals = t(s, d, "part").select("p_partkey", issn.alias("issn"), F.col("p_name").alias("title"), F.array("p_type", "p_name").alias("subjects"))
+    return T.distinct_journals(journals, ["p_partkey"])
+
+
+query("journal_dedup", "", f"""WITH {_JOURNALS} SELECT min(p_partkey) AS p_partkey, CASE WHEN len(issn) > 0 THEN array_to_string(issn, '|') ELSE p_name END AS journal_key FROM j GROUP BY 2""")(
+    lambda s, d: _journals(s, d).select("p_partkey", "journal_key"))
+query("journal_subjects", "", f"""WITH {_JOURNALS}, f AS (SELECT * FROM j QUALIFY row_number() OVER (PARTITION BY CASE WHEN len(issn) > 0 THEN array_to_string(issn, '|') ELSE p_name END ORDER BY p_partkey) = 1)
+  SELECT subject, count(*) AS journals FROM (SELECT unnest([p_type, p_name]) AS subject FROM f) GROUP BY 1""")(lambda s, d: T.subject_counts(_journals(s, d)))
 
 # Projections
 

@@ -27,6 +27,21 @@ def senses(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def lens_senses(spark: SparkSession, d: str) -> DataFrame:
+    """Senses with secondary disciplines and tags."""
+    size, own = F.col("p_size"), F.col("p_type")
+    more = t(spark, d, "part").select(
+        F.col("p_partkey").cast("string").alias("keyword_id"),
+        F.when((size % 3 == 0) & (own != "PROMO"), F.array(F.lit("PROMO"))).when((size % 5 == 0) & (own != "ECONOMY"), F.array(F.lit("ECONOMY"), F.lit("LARGE")))
+        .otherwise(F.array().cast("array<string>")).alias("secondary"),
+        F.concat(
+            F.when(size % 2 == 0, F.array(F.concat(F.lit("abstract_freq:"), size.cast("string")))).otherwise(F.array().cast("array<string>")),
+            F.when(size % 7 == 0, F.array(F.lit("title_freq:3"), F.lit("pub_freq:2"))).otherwise(F.array().cast("array<string>")),
+        ).alias("tags"),
+    )
+    return senses(spark, d).join(more, "keyword_id")
+
+
 def fine_senses(spark: SparkSession, d: str) -> DataFrame:
     return senses(spark, d).withColumn("label", F.concat_ws(" ", "label", "source"))
 
@@ -95,6 +110,10 @@ SQL = {
              round((p_retailprice - 900) / 100, 5) AS confidence,
              CASE WHEN p_size % 10 <> 0 THEN p_size % 7 END AS level, 1 + p_size % 4 AS tier
       FROM part)""",
+    "lsenses": """lsenses AS (
+      SELECT s.*, CASE WHEN p_size % 3 = 0 AND p_type <> 'PROMO' THEN ['PROMO'] WHEN p_size % 5 = 0 AND p_type <> 'ECONOMY' THEN ['ECONOMY', 'LARGE'] ELSE [] END AS secondary,
+             p_size % 2 = 0 AS in_abstracts, p_size % 7 = 0 AS in_titles FROM senses s JOIN part ON CAST(p_partkey AS VARCHAR) = keyword_id)""",
+    "fine": "fine AS (SELECT * REPLACE (label || ' ' || source AS label) FROM senses)",
     "kw": """kw AS (
       SELECT 'R' || r_regionkey AS id, r_name AS label, CAST(NULL AS VARCHAR) AS parent_id, 'geo' AS source, 0 AS level FROM region
       UNION ALL SELECT 'N' || n_nationkey, n_name, 'R' || n_regionkey, 'geo', 1 FROM nation
