@@ -254,32 +254,6 @@ def test_stages_keep_every_group_once(spark):
         assert stage(df.limit(0)).count() == 0
 
 
-def test_toxicity_counts_all_labelled_rows(spark):
-    """Every n-gram of every labelled row is counted, whatever the bound on the rows of the curve."""
-    rows = [(i, f"the wörd{i} river{i * 7} 日本{i} the") for i in range(60)]
-    marks = [(i, int(i % 5 == 0)) for i in range(60)]
-    d, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
-    model = toxicity.fit(d, labels, F.lit(True), per_class=2)
-    curve = {r[0] for r in d.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).select("doc_id").collect()}
-    want, kinds = {}, {}
-    for (i, text), (_, toxic) in zip(rows, marks):
-        for w in set(text.split()) if i not in curve else ():
-            padded = "\x01" * 5 + w + "\x02"
-            for k in range(len(w) + 1):
-                want.setdefault(padded[k : k + 6], [0, 0])[toxic] += 1
-                for n in range(1, 6):
-                    kinds.setdefault(padded[k + 6 - n : k + 6], set()).add(padded[k + 5 - n : k + 6])
-    tables = toxicity.load(model.path)
-    assert len(tables.grams[5].keys) == len(want) and (tables.grams[5](toxicity.hashes(pa.array(list(want)))) == list(want.values())).all()
-    for n in range(1, 6):
-        some = {g: len(v) for g, v in kinds.items() if len(g) == n}
-        assert (tables.grams[n - 1](toxicity.hashes(pa.array(list(some))))[:, 0] == list(some.values())).all()
-    above = {}
-    for g, (a, b) in want.items():
-        above.setdefault(g[:5], np.zeros(5, int))[:] += [a, b, a > 0, b > 0, 1]
-    assert (tables.contexts[5](toxicity.hashes(pa.array(list(above)))) == np.array(list(above.values()))).all()
-
-
 def test_languages_train_on_whole_texts(spark):
     """A long text that opens in another language teaches its own, and texts that are null use up no quota."""
     en = "the river runs over the stone and through the quiet town while people are walking home "
