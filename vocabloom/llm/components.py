@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocabloom.llm._common import staged
 
 
+def _least(rows: DataFrame, least: Column) -> DataFrame:
+    """(_k, least) of each node. _k is an expression, so that a join with it has an exchange of its own, whose large parts
+    Spark can split: a hub's edges are then not one task's."""
+    return rows.groupBy("a").agg(least.alias("least")).select(F.bitwise_not(F.bitwise_not("a")).alias("_k"), "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the smallest of the node and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    least = _least(both, F.least(F.col("a"), F.min("b")))
+    return both.join(least, F.col("a") == F.col("_k")).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
-    moved = down.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return moved.union(least.select("a", F.col("least").alias("b")))
+    least = _least(down, F.min("b"))
+    moved = down.join(least, F.col("a") == F.col("_k")).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return moved.union(least.select(F.col("_k").alias("a"), F.col("least").alias("b")))
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

@@ -9,7 +9,8 @@
    spanning forest: connected points stay connected, and a crowd of near copies costs one
    row a point instead of one a pair.
 4. A crowd that no vantage point can split (a shard above ``crowd_rows``) is linked through
-   the balls of half the radius around its points, which is exact as well and linear.
+   the balls of half the radius around its points (:func:`crowd_links`), which gives the same
+   components for any radius and is linear.
 5. Star contraction joins the forests to components.
 
 Defined results: a null or blank text has no words and fingerprint 0, and is linked like any
@@ -22,13 +23,14 @@ from __future__ import annotations
 
 import functools
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vocabloom.llm._common import ship, staged, table, unused
@@ -42,6 +44,9 @@ SHARD_ROWS, CROWD_ROWS = 8192, 65536
 #: Sampled points for each shard of the top tree, and at most so many on the driver (8 bytes each).
 SAMPLE_PER_SHARD, SAMPLE_MOST = 64, 1 << 20
 LEAF = 768
+#: Words of a passage, on average and at least; of its passages that others have a document meets the rarest ones, and of
+#: each passage so many members. Bits in which fingerprints of near copies differ at most.
+PASSAGE, LEAST_PASSAGE, RAREST, CENTRES, NEAR_BITS = 24, 8, 4, 3, 14
 
 
 def fingerprint(raw: bytes, words: int = 3) -> int:
@@ -59,23 +64,19 @@ def fingerprint(raw: bytes, words: int = 3) -> int:
     return int(np.packbits(2 * set_bits > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3, hashed: bool = False) -> DataFrame:
-    """doc_id and fp (a long with the 64 bits) for every row, and text_hash (of the whole text) if ``hashed``."""
-    extra = ["text_hash"] if hashed else []
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+    """doc_id and fp (a long with the 64 bits) for every row."""
     ship(docs.sparkSession)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             fps = [fingerprint(t.as_buffer().to_pybytes(), words) if t.is_valid else 0 for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64)), *map(batch.column, extra)],
-                names=["doc_id", "fp", *extra],
+                [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"]
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    if hashed:
-        rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    return rows.mapInArrow(batches, "doc_id long, fp long" + (", text_hash long" if hashed else ""))
+    return rows.mapInArrow(batches, "doc_id long, fp long")
 
 
 def _distance(points: np.ndarray, centre: np.uint64) -> np.ndarray:
@@ -169,12 +170,24 @@ def forest(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return points[moved], points[root[moved]]
 
 
-def _flips(radius: int) -> list[int]:
-    """All masks of at most half the radius (rounded up) bits, as signed longs."""
-    masks = [0]
-    for _ in range(math.ceil(radius / 2)):
-        masks = list({m ^ (1 << j) if not m >> j & 1 else m for m in masks for j in range(64)} | set(masks))
-    return [m - (1 << 64) if m >> 63 else m for m in sorted(masks)]
+def _flips(bits: int) -> list[tuple[int, int]]:
+    """All masks of at most ``bits`` bits, as signed longs, each with its number of bits."""
+    masks = {0}
+    for _ in range(bits):
+        masks |= {m | 1 << j for m in masks for j in range(64)}
+    return [(m - (1 << 64) if m >> 63 else m, m.bit_count()) for m in sorted(masks)]
+
+
+def crowd_links(points: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b) that join exactly the points that chains of near points join, one for each point and centre.
+
+    Points within half the radius (rounded down) of a centre are near each other, and near all points within the other half (rounded up) of
+    it; and two near points have such a centre. So it is enough to link all to one of the former.
+    """
+    flips = F.array(*(F.struct(F.lit(m).alias("mask"), F.lit(n <= radius // 2).alias("inner")) for m, n in _flips(radius - radius // 2)))
+    balls = points.select("fp", F.explode(flips).alias("_f")).select("fp", "_f.inner", F.col("fp").bitwiseXOR(F.col("_f.mask")).alias("centre"))
+    least = balls.where("inner").groupBy("centre").agg(F.min("fp").alias("b"))
+    return balls.join(least, "centre").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
 def links(points: DataFrame, radius: int = 2, shard_rows: int = SHARD_ROWS, crowd_rows: int = CROWD_ROWS) -> DataFrame:
@@ -197,23 +210,12 @@ def links(points: DataFrame, radius: int = 2, shard_rows: int = SHARD_ROWS, crow
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     dealt = staged(points.select("fp").mapInArrow(deal, "fp long, shard long"), "vp-shards")
-    crowded = [r["shard"] for r in dealt.groupBy("shard").count().where(F.col("count") > crowd_rows).collect()]
-    found = dealt.where(~F.col("shard").isin(crowded)).groupBy("shard").applyInPandas(search, "a long, b long")
-    if crowded:
-        flips = F.array(*(F.lit(m) for m in _flips(radius)))
-        balls = (
-            dealt.where(F.col("shard").isin(crowded)).select("fp").distinct()
-            .select("fp", F.explode(flips).alias("flip"))
-            .select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("centre"))
-        )
-        # Points within half the radius of one centre are near each other for an even radius;
-        # for an odd one the pair is checked.
-        least = balls.groupBy("centre").agg(F.min("fp").alias("b"))
-        pairs = balls.join(least, "centre").where("fp <> b").select(F.col("fp").alias("a"), "b")
-        if radius % 2:
-            raise ValueError("crowds are linked exactly for even radii only")
-        found = found.union(pairs.distinct())
-    return found
+    crowded = staged(dealt.groupBy("shard").count().where(F.col("count") > crowd_rows).select("shard"), "vp-crowds")
+    if crowded.isEmpty():
+        return dealt.groupBy("shard").applyInPandas(search, "a long, b long")
+    crowded = F.broadcast(crowded)  # at most one row for crowd_rows points
+    found = dealt.join(crowded, "shard", "left_anti").groupBy("shard").applyInPandas(search, "a long, b long")
+    return found.union(crowd_links(dealt.join(crowded, "shard", "left_semi").select("fp").distinct(), radius))
 
 
 def _roots(prints: DataFrame, radius: int, **limits: int) -> DataFrame:
@@ -235,26 +237,107 @@ def neighbours_components(docs: DataFrame, radius: int = 2, words: int = 3, **li
     )
 
 
-def keep_one_of_each(docs: DataFrame, radius: int = 2) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest doc_id; all columns stay.
+def passages(words: list[bytes]) -> Iterator[list[bytes]]:
+    """A text's words in passages of some PASSAGE words, which end at words of a certain hash, so that an edit changes its own passage only."""
+    start = 0
+    if not words:
+        yield words
+    for k, word in enumerate(words, 1):
+        if k - start >= LEAST_PASSAGE and zlib.crc32(word) % PASSAGE == 0 or k == len(words):
+            yield words[start:k]
+            start = k
+
+
+def shingles(raw: bytes, words: int) -> np.ndarray:
+    """Hashes of the different word shingles of a text, in order."""
+    w = raw.lower().split()
+    runs = zip(*(w[i:] for i in range(words))) if len(w) >= words else [w]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(x), seed=SEED) for x in runs), np.uint64))
+
+
+def _described(docs: DataFrame) -> DataFrame:
+    """node (a hash of id and text), doc_id, text_hash, fp and the fingerprints of the passages of every row."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            fps, parts = [], []
+            for t in batch.column("text"):
+                raw = t.as_buffer().to_pybytes() if t.is_valid else b""
+                fps.append(fingerprint(raw))
+                parts.append(np.unique(np.array([fingerprint(b" ".join(p)) for p in passages(raw.lower().split())], np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*map(batch.column, ("node", "doc_id", "text_hash")), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(parts, pa.list_(pa.int64()))],
+                names=["node", "doc_id", "text_hash", "fp", "passages"],
+            )
+
+    return docs.select(*_named(docs), docs["text"].cast("string").alias("text")).mapInArrow(batches, "node long, doc_id long, text_hash long, fp long, passages array<long>")
 
-    Of rows that share that doc_id the one with the smallest fingerprint, then text hash, stays; a
-    null doc_id stays only where its group has no other.
+
+def _named(docs: DataFrame) -> list[Column]:
+    key, text = docs["doc_id"].cast("long"), F.xxhash64(docs["text"].cast("string"))
+    return [F.xxhash64(F.coalesce(key, F.lit(NO_ID)), text).alias("node"), key.alias("doc_id"), text.alias("text_hash")]
+
+
+def _candidates(described: DataFrame, near_bits: int) -> DataFrame:
+    """Pairs (a, b) of nodes that share one of their rarest passages and whose fingerprints differ in at most ``near_bits``.
+
+    Passages whose fingerprints are linked within two bits are one. A node meets CENTRES members of each passage, chosen by hash, so
+    a passage of many documents makes rows in proportion to them.
     """
-    prints = staged(fingerprints(docs, hashed=True), "fingerprints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_hash")).alias("first")
-    kept = prints.join(_roots(prints, radius), F.col("fp") == F.col("_fp")).groupBy("root").agg(first).select(
-        F.coalesce("first.doc_id", F.lit(NO_ID)).alias("_kept_key"), F.col("first.text_hash").alias("_kept_hash")
+    each = staged(described.select("node", "fp", F.explode("passages").alias("_p")), "passages")
+    points = staged(each.select(F.col("_p").alias("fp")).distinct(), "passage-points")
+    roots = components(links(points), "passage-links")
+    held = staged(
+        each.join(roots.select(F.col("node").alias("_of"), "root"), F.col("_p") == F.col("_of"), "left").select("node", "fp", F.coalesce("root", "_p").alias("passage")).distinct(), "held"
     )
-    own, text = unused(docs, "_own_key"), unused(docs, "_own_hash")
-    copy = unused(docs, "_own_copy")
-    keyed = docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(text, F.xxhash64(F.col("text").cast("string")))
-    return (
-        keyed.join(kept.hint("merge"), (keyed[own] == F.col("_kept_key")) & (keyed[text] == F.col("_kept_hash")), "left_semi")
-        .withColumn(copy, F.row_number().over(Window.partitionBy(own, text).orderBy(F.lit(0))))
-        .where(F.col(copy) == 1)
-        .select(*docs.columns)
+    centres = [F.min(F.struct(F.xxhash64("node", F.lit(k)), F.col("node").alias("b"), F.col("fp").alias("bf"))).alias(f"c{k}") for k in range(CENTRES)]
+    shared = held.groupBy("passage").agg(F.count("*").alias("documents"), *centres).where("documents > 1").select(
+        F.bitwise_not(F.bitwise_not("passage")).alias("_k"), "documents", F.array(*(F.struct(f"c{k}.b", f"c{k}.bf") for k in range(CENTRES))).alias("centres")
     )
+    rarest = Window.partitionBy("node").orderBy("documents", "passage")
+    met = held.join(shared, F.col("passage") == F.col("_k")).withColumn("_at", F.row_number().over(rarest)).where(F.col("_at") <= RAREST)
+    return met.select("node", "fp", F.explode(F.array_distinct("centres")).alias("c")).where(
+        (F.col("c.b") != F.col("node")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("c.bf"))) <= near_bits)
+    ).select(F.greatest("node", "c.b").alias("a"), F.least("node", "c.b").alias("b")).distinct()
+
+
+def alike(docs: DataFrame, pairs: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) of nodes whose texts' word shingles have at least that Jaccard similarity."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("_n")).distinct()
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            sets = [shingles(t.as_buffer().to_pybytes() if t.is_valid else b"", words).view(np.int64) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
+
+    named = docs.select(_named(docs)[0], docs["text"].cast("string").alias("text"))
+    sets = named.join(ends, F.col("node") == F.col("_n"), "left_semi").dropDuplicates(["node"]).mapInArrow(batches, "node long, set array<long>")
+    sets = staged(sets, "shingle-sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
+
+
+def keep_one_of_each(docs: DataFrame, similarity: float = 0.8, words: int = 5, near_bits: int = NEAR_BITS) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest doc_id; all columns stay.
+
+    Near copies have ``similarity`` of their word shingles. Fingerprints of whole texts of that similarity differ in more bits than
+    a vantage-point tree can prune by, so the tree finds passages that two texts share (within two bits); their pairs are held against the
+    fingerprints of the whole texts, and then exactly. Groups are chains of such pairs. Of rows that share the kept doc_id and text one stays;
+    a null doc_id stays only where its group has no other.
+    """
+    described = staged(_described(docs), "described")
+    pairs = alike(docs, staged(_candidates(described, near_bits), "near-pairs"), similarity, words)
+    roots = components(pairs, "near-links").select(F.col("node").alias("_n"), "root")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "node")
+    grouped = described.select("node", "doc_id", "text_hash").join(roots, F.col("node") == F.col("_n"))
+    gone = grouped.select("node", "root").distinct().join(
+        grouped.groupBy("root").agg(F.min(order)["node"].alias("_first")).select(F.bitwise_not(F.bitwise_not("root")).alias("_r"), "_first"), F.col("root") == F.col("_r")
+    ).where("node <> _first").select(F.col("node").alias("_gone")).distinct()
+    own, copy = unused(docs, "_own_node"), unused(docs, "_own_copy")
+    keyed = docs.withColumn(own, _named(docs)[0])
+    kept = keyed.join(gone, keyed[own] == F.col("_gone"), "left_anti")
+    return kept.withColumn(copy, F.row_number().over(Window.partitionBy(own).orderBy(F.lit(0)))).where(F.col(copy) == 1).select(*docs.columns)
 
 
 def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
