@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own_dirs: dict[str, str] = {}
@@ -48,8 +48,25 @@ def top_by(df: DataFrame, keys: list, order: list, n: int, name: str = "rank") -
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
 
 
-def average_rank(value: str, keys: list[str]) -> Column:
-    """Rank of ``value`` within ``keys``, ties sharing their mean rank."""
-    w = Window.partitionBy(*keys).orderBy(value)
-    ties = Window.partitionBy(*keys, value)
-    return F.rank().over(w) + (F.count("*").over(ties) - 1) / 2.0
+def sum_before(df: DataFrame, order: list[str], value: str, name: str = "before") -> DataFrame:
+    """Adds the sum of ``value`` over all earlier rows in ``order``, without a task that has all rows: tasks add up their own
+    range, and one start for each task is broadcast."""
+    placed = checkpointed(df.repartitionByRange(*order).withColumn("_task", F.spark_partition_id()))
+    own = Window.partitionBy("_task").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
+    starts = placed.groupBy(F.col("_task").alias("_at")).agg(F.sum(value).alias("_sum")).select("_at", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    summed = placed.withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0)))
+    return summed.join(F.broadcast(starts), F.col("_task") == F.col("_at")).withColumn(name, F.col("_start") + F.col("_own")).drop("_task", "_at", "_start", "_own")
+
+
+def average_ranks(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
+    """``df`` with the rank of ``value`` within ``group`` (a few different ones), ties sharing their mean rank.
+
+    Only different values are ranked, over all tasks.
+    """
+    counts = sum_before(df.groupBy(group, value).agg(F.count("*").alias("_t")), [group, value], "_t")
+    first = counts.groupBy(F.col(group).alias("_g")).agg(F.min("before").alias("_first"))
+    ranks = counts.join(F.broadcast(first), F.col(group).eqNullSafe(F.col("_g"))).select(
+        F.col(group).alias("_g"), F.col(value).alias("_v"), (F.col("before") - F.col("_first") + (F.col("_t") + 1) / 2.0).alias(name)
+    )
+    return df.join(ranks, F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))).drop("_g", "_v")

@@ -67,13 +67,36 @@ def cooccurrence_edges(pairs: DataFrame, senses: DataFrame, confidence: Column,
     )
 
 
+def _classes(senses: DataFrame, key: Column) -> DataFrame:
+    """(key, discipline, first, n): the senses of one key and discipline, by the smallest of them and their number."""
+    return senses.groupBy(key.alias("key"), "discipline").agg(F.min("sense_id").alias("first"), F.count("*").alias("n"))
+
+
 def polysemy_edges(senses: DataFrame, least_sources: int = 1) -> DataFrame:
-    """All pairs of senses of one label."""
-    labels = senses.groupBy("label").agg(F.countDistinct("source").alias("_n")).where(F.col("_n") >= least_sources)
-    s = senses.join(labels, "label").select("label", "sense_id", "discipline")
-    t = s.select("label", F.col("sense_id").alias("target_sense_id"), F.col("discipline").alias("_d"))
-    return s.join(t, "label").where("sense_id < target_sense_id").select(
-        F.col("sense_id").alias("source_sense_id"), "target_sense_id", *_typed(F.col("discipline") == F.col("_d"))
+    """The links between all senses of one label, by classes: senses of a label and discipline are equivalent, those of two disciplines bridge.
+
+    Each class is a star (its smallest sense to each other one, ``equivalent_sense``), and two classes of a label are one row
+    between their smallest senses; pairs is the number of pairs of senses that a bridge stands for, or the size of the star's class.
+    Rows grow with the senses, not with their square.
+    """
+    labels = senses.groupBy("label").agg(F.countDistinct("source").alias("_n")).where(F.col("_n") >= least_sources).select("label")
+    some = senses.join(labels, "label")
+    classes = _classes(some, F.col("label"))
+    members = some.select("sense_id", F.col("label").alias("key"), "discipline").join(classes, ["key", "discipline"]).where("sense_id <> first")
+    stars = members.select(F.col("first").alias("source_sense_id"), F.col("sense_id").alias("target_sense_id"), *_typed(F.lit(True)), F.col("n").alias("pairs"))
+    other = classes.select("key", F.col("first").alias("_first"), F.col("n").alias("_m"), F.col("discipline").alias("_d"))
+    bridges = classes.join(other, "key").where("first < _first").select(  # a row for each two disciplines of a label
+        F.col("first").alias("source_sense_id"), F.col("_first").alias("target_sense_id"), *_typed(F.lit(False)), (F.col("n") * F.col("_m")).alias("pairs")
+    )
+    return stars.unionByName(bridges)
+
+
+def label_links(new: DataFrame, senses: DataFrame) -> DataFrame:
+    """Links from new senses to those with an equal label, ignoring case, by classes of label and discipline: a row between the smallest
+    senses of two classes stands for ``pairs`` links, ``equivalent_sense`` within a discipline, else a bridge."""
+    other = _classes(senses, F.lower("label")).select("key", F.col("first").alias("target_sense_id"), F.col("discipline").alias("_d"), F.col("n").alias("_m"))
+    return _classes(new, F.lower("label")).join(other, "key").select(
+        F.col("first").alias("source_sense_id"), "target_sense_id", *_typed(F.col("discipline") == F.col("_d")), (F.col("n") * F.col("_m")).alias("pairs")
     )
 
 
@@ -142,10 +165,6 @@ def tfidf_edges(weights: DataFrame, key: str, least: float, most: int) -> DataFr
     return top_by(cosine.where(F.col("cosine") >= least), ["a"], [F.desc("cosine"), "b"], most)
 
 
-def surest(edges: DataFrame, n: int) -> DataFrame:
-    return first_by(edges, ["source_sense_id", "target_sense_id"], ["relationship_type"]).orderBy(F.desc("confidence"), "source_sense_id", "target_sense_id").limit(n)
-
-
 def orphan_links(orphans: DataFrame, senses: DataFrame, abbreviations: DataFrame) -> DataFrame:
     """One link for each orphan that any strategy can place; the first strategy wins.
 

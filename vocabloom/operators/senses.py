@@ -94,17 +94,6 @@ def pub_senses(pub_keywords: DataFrame) -> DataFrame:
     )
 
 
-def label_links(new: DataFrame, senses: DataFrame) -> DataFrame:
-    """Equal labels, ignoring case: ``equivalent_sense`` within a discipline, else a bridge."""
-    other = senses.select(F.col("sense_id").alias("target_sense_id"), F.lower("label").alias("_l"), F.col("discipline").alias("_d"))
-    same = F.col("discipline") == F.col("_d")
-    return new.join(other, F.lower("label") == F.col("_l")).select(
-        F.col("sense_id").alias("source_sense_id"), "target_sense_id",
-        F.when(same, "equivalent_sense").otherwise("cross_domain_bridge").alias("relationship_type"),
-        F.when(same, "toward").otherwise("across").alias("direction"),
-    )
-
-
 def modal_value(df: DataFrame, key: str, value: str) -> DataFrame:
     """The most frequent value of each key, the smallest of equals."""
     counted = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("n"))
@@ -150,10 +139,6 @@ def field_provenance(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
     )
 
 
-def capped_links(links: DataFrame, key: str, order: list, most: int) -> DataFrame:
-    return top_by(links, [key], order, most)
-
-
 def share_of_group(df: DataFrame, group: str, value: str) -> DataFrame:
     w = Window.partitionBy(group)
     return df.groupBy(group, value).agg(F.count("*").alias("n")).withColumn("share", F.round(F.col("n") / F.sum("n").over(w), 6))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabloom.functions.frame import average_rank, top_by
+from vocabloom.functions.frame import average_ranks, sum_before, top_by
 
 
 def stratified_sample(df: DataFrame, strata: list, key: str, per_stratum: int, seed: int = 1) -> DataFrame:
@@ -66,7 +68,7 @@ def npmi(pairs: DataFrame, singles: DataFrame, n: Column) -> DataFrame:
 
 def spearman(scores: DataFrame, group: str, item: str, value: str) -> DataFrame:
     """Spearman correlation of the items' values for each pair of groups (a few lenses)."""
-    r = scores.select(group, item, average_rank(value, [group]).alias("r"))
+    r = average_ranks(scores.select(group, item, value), group, value, "r").select(group, item, "r")
     b = r.select(F.col(group).alias("b"), item, F.col("r").alias("rb"))
     return r.select(F.col(group).alias("a"), item, F.col("r").alias("ra")).join(b, item).where("a < b").groupBy("a", "b").agg(
         F.round(F.corr("ra", "rb"), 6).alias("spearman")
@@ -86,16 +88,44 @@ def linked_similarity(sets: DataFrame, links: DataFrame) -> DataFrame:
     return links.join(a, "a").join(b, "b").select("a", "b", jaccard("_x", "_y").alias("similarity"))
 
 
+def similarity_summary(sets: DataFrame, links: dict[str, DataFrame]) -> DataFrame:
+    """Pairs, mean and median of the similarity of each kind of link, such as citing and random pairs."""
+    every = reduce(DataFrame.unionByName, (linked_similarity(sets, some).withColumn("kind", F.lit(kind)) for kind, some in links.items()))
+    return every.groupBy("kind").agg(F.count("*").alias("pairs"), F.round(F.avg("similarity"), 6).alias("mean"), F.round(F.median("similarity"), 6).alias("median"))
+
+
+def neighbourhood_coherence(senses: DataFrame, edges: DataFrame, pub_keywords: DataFrame, least_edges: int = 5, most_neighbours: int = 20, ahead: int = 4, least_confidence: float = 0.5) -> DataFrame:
+    """(sense_id, neighbours, pairs, npmi): the mean NPMI of the neighbour labels of each centre.
+
+    Centres are senses of ``least_confidence`` with ``least_edges`` outgoing edges and three different neighbour labels; of at most ``most_neighbours``
+    labels, in their order, each is paired with the ``ahead`` next ones. Pairs that never meet in a publication do not count.
+    """
+    out = edges.select(F.col("source_sense_id").alias("sense_id"), F.col("target_sense_id").alias("_n"))
+    centres = out.groupBy("sense_id").agg(F.count("*").alias("_e")).where(F.col("_e") >= least_edges).select("sense_id")
+    centres = centres.join(senses.where(F.col("confidence") >= least_confidence).select("sense_id"), "sense_id", "left_semi")
+    near = out.join(centres, "sense_id").join(senses.select(F.col("sense_id").alias("_n"), F.lower("label").alias("label")), "_n").select("sense_id", "label").distinct()
+    placed = top_by(near, ["sense_id"], ["label"], most_neighbours, "_at")
+    sizes = placed.groupBy("sense_id").agg(F.count("*").alias("neighbours")).where("neighbours >= 3")
+    a = placed.select("sense_id", F.col("label").alias("a"), "_at")
+    b = placed.select("sense_id", F.col("label").alias("b"), F.col("_at").alias("_bt"))
+    pairs = a.join(b, "sense_id").where((F.col("_bt") > F.col("_at")) & (F.col("_bt") <= F.col("_at") + ahead)).select("sense_id", "a", "b")  # at most 20 rows a centre
+    wanted = pairs.select("a", "b").distinct()
+    keywords = pub_keywords.select("pub", F.lower("label").alias("label")).distinct()
+    singles = keywords.groupBy("label").agg(F.count("*").alias("pubs"))
+    both = wanted.join(keywords.select("pub", F.col("label").alias("a")), "a").join(keywords.select("pub", F.col("label").alias("b")), ["pub", "b"])
+    met = both.groupBy("a", "b").agg(F.count("*").alias("pubs"))
+    scored = npmi(met, singles, keywords.agg(F.countDistinct("pub")).scalar()).select("a", "b", "npmi")
+    means = pairs.join(scored, ["a", "b"]).groupBy("sense_id").agg(F.count("*").alias("pairs"), F.round(F.avg("npmi"), 4).alias("npmi"))
+    return sizes.join(means, "sense_id", "left").select("sense_id", "neighbours", F.coalesce("pairs", F.lit(0)).alias("pairs"), F.coalesce("npmi", F.lit(0.0)).alias("npmi"))
+
+
 def mann_whitney(df: DataFrame, group: str, value: str) -> DataFrame:
     """U of the rows where ``group`` is true against the others, with z by the tie-corrected normal
-    approximation. Ranks come from counts of equal values, so ties cost no window rows."""
+    approximation. Ranks come from counts of equal values, added up over all tasks."""
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(
         F.count("*").alias("t"), F.sum(F.when(F.col(group), 1).otherwise(0)).alias("g")
     )
-    from pyspark.sql import Window
-
-    upto = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.withColumn("rank", F.coalesce(F.sum("t").over(upto), F.lit(0)) + (F.col("t") + 1) / 2.0)
+    ranked = sum_before(counts, [value], "t").withColumn("rank", F.col("before") + (F.col("t") + 1) / 2.0)
     s = ranked.agg(
         F.sum(F.col("g") * F.col("rank")).alias("r"), F.sum("g").cast("double").alias("n1"), F.sum("t").cast("double").alias("n"),
         F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("ties"),

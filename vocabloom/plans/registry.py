@@ -161,9 +161,10 @@ query("secondary_disciplines", "senses", """SELECT s.sense_id, coalesce(string_a
 query("pub_senses", "pubkw", """SELECT label, count(DISTINCT pub) AS pubs, CAST(sum(CASE WHEN kind = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS kind_r,
   CAST(sum(CASE WHEN kind <> 'R' THEN 1 ELSE 0 END) AS BIGINT) AS kind_other, round(least(0.95::DOUBLE, 0.5 + count(DISTINCT pub) / 100), 6) AS pub_confidence FROM pubkw GROUP BY 1""")(
     lambda s, d: C.pub_senses(S.pub_keywords(s, d)))
-query("label_links", "senses", f"""SELECT a.sense_id AS source_sense_id, b.sense_id AS target_sense_id, {TYPED_SQL.format('a.discipline = b.discipline')}
-  FROM senses a JOIN senses b ON lower(a.label) = lower(b.label) WHERE a.level = 0 AND b.level = 1""")(
-    lambda s, d: C.label_links(S.senses(s, d).where("level = 0"), S.senses(s, d).where("level = 1")))
+_CLASS = "SELECT lower(label) AS l, discipline, min(sense_id) AS first, count(*) AS n FROM senses WHERE CAST(keyword_id AS INT) % 2 = {0} GROUP BY 1, 2"
+query("label_links", "senses", f"""SELECT a.first AS source_sense_id, b.first AS target_sense_id, {TYPED_SQL.format('a.discipline = b.discipline')}, a.n * b.n AS pairs
+  FROM ({_CLASS.format(1)}) a JOIN ({_CLASS.format(0)}) b ON a.l = b.l""")(
+    lambda s, d: J.label_links(*(S.senses(s, d).where(F.col("keyword_id").cast("int") % 2 == k) for k in (1, 0))))
 query("category_senses", "", "SELECT value, count(*) AS n FROM (SELECT DISTINCT o_orderkey, unnest([o_orderpriority, o_orderstatus]) AS value FROM orders) GROUP BY 1")(
     lambda s, d: C.unpivot_fields(t(s, d, "orders"), "o_orderkey", ["o_orderpriority", "o_orderstatus"]).groupBy("value").agg(F.count("*").alias("n")))
 query("modal_category", "pubs", "SELECT journal, category, n FROM (SELECT journal, category, count(*) AS n, row_number() OVER (PARTITION BY journal ORDER BY count(*) DESC, category) AS rn FROM pubs GROUP BY 1, 2) WHERE rn = 1")(
@@ -206,9 +207,11 @@ for _name, _per, _step in (("cooccurrence_sets", 2, 0.02), ("cooccurrence_single
       SELECT x.sense_id AS source_sense_id, y.sense_id AS target_sense_id, pubs, round(least(0.9::DOUBLE, 0.5 + pubs * {_step}::DOUBLE), 6) AS edge_confidence, CASE WHEN x.discipline = y.discipline THEN 'toward' ELSE 'across' END AS direction
       FROM {PAIRS.format(0, 3)} p JOIN best x ON x.label = p.a JOIN best y ON y.label = p.b""")(
         lambda s, d, n=_per, step=_step: J.cooccurrence_edges(J.cooccurrence(S.pub_keywords(s, d), 3), S.fine_senses(s, d), F.least(F.lit(0.9), 0.5 + F.col("pubs") * step), n))
-POLY = f"SELECT a.sense_id AS source_sense_id, b.sense_id AS target_sense_id, {TYPED_SQL.format('a.discipline = b.discipline')} FROM senses a JOIN senses b ON a.label = b.label AND a.sense_id < b.sense_id"
-query("polysemy_edges", "senses", POLY)(lambda s, d: J.polysemy_edges(S.senses(s, d)))
-query("polysemy_edges_v2", "senses", POLY + " WHERE a.label IN (SELECT label FROM senses GROUP BY 1 HAVING count(DISTINCT source) >= 2)")(lambda s, d: J.polysemy_edges(S.senses(s, d), 2))
+POLY = """, sn AS (SELECT * FROM senses {0}), c AS (SELECT label, discipline, min(sense_id) AS first, count(*) AS n FROM sn GROUP BY 1, 2)
+  SELECT first AS source_sense_id, sense_id AS target_sense_id, 'equivalent_sense' AS relationship_type, 'toward' AS direction, n AS pairs FROM sn JOIN c USING (label, discipline) WHERE sense_id <> first
+  UNION ALL SELECT a.first, b.first, 'cross_domain_bridge', 'across', a.n * b.n FROM c a JOIN c b ON a.label = b.label AND a.first < b.first"""
+query("polysemy_edges", "senses", POLY.format(""))(lambda s, d: J.polysemy_edges(S.senses(s, d)))
+query("polysemy_edges_v2", "senses", POLY.format("WHERE label IN (SELECT label FROM senses GROUP BY 1 HAVING count(DISTINCT source) >= 2)"))(lambda s, d: J.polysemy_edges(S.senses(s, d), 2))
 query("category_pairs", "pubs", "SELECT category, status, count(*) AS pubs FROM pubs GROUP BY 1, 2 HAVING count(*) >= 5")(lambda s, d: J.category_pairs(S.pubs(s, d), "category", "status", 5))
 query("doi_bridge", "", "SELECT o_orderkey AS our_id, o_orderkey + 1 AS work_id, '10.1/a' || o_orderkey AS doi FROM orders WHERE o_orderkey % 2 = 0")(
     lambda s, d: J.doi_bridge(t(s, d, "orders").select(F.col("o_orderkey").alias("our_id"), F.concat(F.lit("https://doi.org/10.1/A"), "o_orderkey").alias("doi")),
@@ -330,6 +333,13 @@ for _name, _where, _search in (("papers_through_lens", "TRUE", None), ("papers_t
 
 # Validation
 
+
+def _linked(s: SparkSession, d: str) -> DataFrame:
+    """Edges between senses of one label whose keyword ids agree modulo five."""
+    side = lambda c: S.senses(s, d).select("label", F.col("sense_id").alias(c), (F.col("keyword_id").cast("int") % 5).alias("_k"))
+    return side("source_sense_id").join(side("target_sense_id"), ["label", "_k"]).where("source_sense_id <> target_sense_id").select("source_sense_id", "target_sense_id")
+
+
 query("stratified_sample")(lambda s, d: V.stratified_sample(S.senses(s, d), [F.col("discipline"), F.floor(F.col("confidence") * 3)], "sense_id", 5).select("sense_id", "discipline", "confidence"))
 query("edge_sample")(lambda s, d: V.edge_sample(S.rels(s, d), ["source_sense_id", "target_sense_id"], 0.1))
 query("kappa", "", """WITH c AS (SELECT quality AS a, toxic AS b, count(*) AS n FROM labels GROUP BY 1, 2), s AS (SELECT sum(n) AS n, sum(n) FILTER (a = b) AS agree FROM c),
@@ -349,7 +359,7 @@ query("sensitivity", "senses rels", """, b AS (SELECT discipline, sense_id, coun
         lambda r: V.top_by(S.senses(s, d).join(r.select(F.col("source_sense_id").alias("sense_id")), "sense_id").groupBy("discipline", "sense_id").agg(F.count("*").alias("k")), ["discipline"], [F.desc("k"), "sense_id"], 50)))
 query("npmi", "pubkw", f""", one AS (SELECT label, count(DISTINCT pub) AS n FROM pubkw GROUP BY 1), tot AS (SELECT count(DISTINCT pub) AS t FROM pubkw)
   SELECT p.a, p.b, p.pubs, round(ln((p.pubs / t) / ((x.n / t) * (y.n / t))) / -ln(p.pubs / t), 6) AS npmi FROM {PAIRS.format(0, 3)} p JOIN one x ON x.label = p.a JOIN one y ON y.label = p.b, tot""")(
-    lambda s, d: (lambda k: V.npmi(J.cooccurrence(k, 3), k.groupBy("label").agg(F.countDistinct("pub").alias("pubs")), F.lit(k.select("pub").distinct().count())))(S.pub_keywords(s, d)))
+    lambda s, d: (lambda k: V.npmi(J.cooccurrence(k, 3), k.groupBy("label").agg(F.countDistinct("pub").alias("pubs")), k.agg(F.countDistinct("pub")).scalar()))(S.pub_keywords(s, d)))
 query("lens_divergence", "senses disc", f""", {LENSES_SQL}, sc AS (SELECT lens_id AS lens, label, round(sum(weight * confidence), 6) AS v FROM senses s JOIN lw ON of = s.discipline WHERE role = 'researcher' GROUP BY 1, 2),
   r AS (SELECT lens, label, rank() OVER (PARTITION BY lens ORDER BY v) + (count(*) OVER (PARTITION BY lens, v) - 1) / 2 AS r FROM sc)
   SELECT x.lens AS a, y.lens AS b, round(corr(x.r, y.r), 6) AS spearman FROM r x JOIN r y ON x.label = y.label AND x.lens < y.lens GROUP BY 1, 2""")(
@@ -361,6 +371,22 @@ _SETS = "sets AS (SELECT pub, list_distinct(list(label)) AS items FROM pubkw GRO
 query("citation_coherence", "pubkw cites", f""", {_SETS}
   SELECT citing AS a, cited AS b, round(len(list_intersect(x.items, y.items)) / len(list_distinct(list_concat(x.items, y.items))), 6) AS similarity FROM cites JOIN sets x ON x.pub = citing JOIN sets y ON y.pub = cited""")(
     lambda s, d: V.linked_similarity(S.pub_keywords(s, d).groupBy("pub").agg(F.collect_set("label").alias("items")), S.cites(s, d).select(F.col("citing").alias("a"), F.col("cited").alias("b"))))
+query("coherence_summary", "pubkw cites", f""", {_SETS}, l AS (SELECT 'citing' AS kind, citing AS a, cited AS b FROM cites UNION ALL SELECT 'random', citing, (SELECT max(o_orderkey) FROM orders) - citing FROM cites)
+  SELECT kind, count(*) AS pairs, round(avg(s), 6) AS mean, round(median(s), 6) AS median FROM (
+    SELECT kind, round(len(list_intersect(x.items, y.items)) / len(list_distinct(list_concat(x.items, y.items))), 6) AS s FROM l JOIN sets x ON x.pub = a JOIN sets y ON y.pub = b) GROUP BY 1""")(
+    lambda s, d: V.similarity_summary(S.pub_keywords(s, d).groupBy("pub").agg(F.collect_set("label").alias("items")), {
+        "citing": S.cites(s, d).select(F.col("citing").alias("a"), F.col("cited").alias("b")),
+        "random": S.cites(s, d).select(F.col("citing").alias("a"), (t(s, d, "orders").agg(F.max("o_orderkey")).scalar() - F.col("citing")).alias("b"))}))
+query("neighbourhood_coherence", "senses fine pubkw", """, e AS (SELECT a.sense_id AS s, b.sense_id AS n FROM senses a JOIN senses b ON a.label = b.label AND a.sense_id <> b.sense_id AND CAST(a.keyword_id AS INT) % 5 = CAST(b.keyword_id AS INT) % 5),
+  c AS (SELECT s FROM e GROUP BY 1 HAVING count(*) >= 5), near AS (SELECT DISTINCT s, lower(label) AS label FROM e JOIN fine ON sense_id = n WHERE s IN (SELECT s FROM c) AND s IN (SELECT sense_id FROM senses WHERE confidence >= 0.5)),
+  p AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY label) AS r FROM near QUALIFY r <= 20), k AS (SELECT DISTINCT pub, lower(label) AS label FROM pubkw),
+  one AS (SELECT label, count(*) AS n FROM k GROUP BY 1), tot AS (SELECT count(DISTINCT pub) AS t FROM k),
+  pr AS (SELECT x.s, x.label AS a, y.label AS b FROM p x JOIN p y ON x.s = y.s AND y.r > x.r AND y.r <= x.r + 4),
+  m AS (SELECT a, b, count(*) AS n FROM (SELECT DISTINCT a, b FROM pr) JOIN k x ON x.label = a JOIN k y ON y.label = b AND x.pub = y.pub GROUP BY 1, 2),
+  sc AS (SELECT m.a, m.b, round(ln((m.n / t) / ((x.n / t) * (y.n / t))) / -ln(m.n / t), 6) AS v FROM m JOIN one x ON x.label = m.a JOIN one y ON y.label = m.b, tot)
+  SELECT z.s AS sense_id, z.neighbours, coalesce(q.pairs, 0) AS pairs, coalesce(q.v, 0) AS npmi FROM (SELECT s, count(*) AS neighbours FROM p GROUP BY 1 HAVING count(*) >= 3) z
+  LEFT JOIN (SELECT s, count(*) AS pairs, round(avg(v), 4) AS v FROM pr JOIN sc USING (a, b) GROUP BY 1) q ON q.s = z.s""")(
+    lambda s, d: V.neighbourhood_coherence(S.fine_senses(s, d), _linked(s, d), S.pub_keywords(s, d)))
 query("mann_whitney", "", """WITH c AS (SELECT p_retailprice AS v, count(*) AS t, count(*) FILTER (p_type = 'PROMO') AS g FROM part GROUP BY 1),
   r AS (SELECT *, coalesce(sum(t) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (t + 1) / 2 AS rk FROM c),
   s AS (SELECT sum(g * rk)::DOUBLE AS r, sum(g)::DOUBLE AS n1, sum(t)::DOUBLE AS n, sum(t::DOUBLE ** 3 - t) AS ties FROM r)
@@ -432,8 +458,8 @@ query("path_build", "", "SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN p_type
         "p_partkey", N.path_of(["p_type", "b", "c"]).alias("path")))
 query("synthetic_ancestors", "", "SELECT substr(sha256(path), 1, 16) AS id, path, parts FROM (SELECT DISTINCT p_type AS path, 1 AS parts FROM part UNION SELECT DISTINCT p_type || ' > ' || p_brand, 2 FROM part)")(
     lambda s, d: N.synthetic_ancestors(t(s, d, "part").select(F.concat_ws(" > ", "p_type", "p_brand", "p_name").alias("path"))))
-query("parent_by_path", "kw", """SELECT id, path, parent_id FROM (SELECT a.id, concat_ws(' > ', c.label, b.label, a.label) AS path, a.parent_id FROM kw a LEFT JOIN kw b ON a.parent_id = b.id LEFT JOIN kw c ON b.parent_id = c.id WHERE a.level < 2)""")(
-    lambda s, d: N.parent_by_path(G.full_paths(S.keywords(s, d).where("level < 2")).withColumnRenamed("full_path", "path")))
+query("parent_by_path", "kw", """SELECT id, path, parent_id FROM (SELECT a.id, concat_ws(' > ', c.label, b.label, a.label) AS path, a.parent_id FROM kw a LEFT JOIN kw b ON a.parent_id = b.id LEFT JOIN kw c ON b.parent_id = c.id)""")(
+    lambda s, d: N.parent_by_path(G.full_paths(S.keywords(s, d)).withColumnRenamed("full_path", "path")))
 query("alias_list", "", "SELECT p_partkey, p_brand || CASE WHEN p_size % 2 = 0 THEN '' ELSE ',' || p_type END AS aliases FROM part")(
     lambda s, d: t(s, d, "part").withColumn("x", F.when(F.col("p_size") % 2 == 0, "NOT PROVIDED").otherwise(F.col("p_type"))).select("p_partkey", F.array_join(N.alias_list("p_name", ["p_brand", "p_name", "x", "p_brand"]), ",").alias("aliases")))
 query("split_comma", "", "SELECT o_orderkey, o_orderstatus || '|' || o_orderpriority AS parts FROM orders")(

@@ -134,8 +134,8 @@ query("slim_records", "", "SELECT '10.1/a' || o_orderkey AS doi, 'order ' || o_o
         '{"DOI":"10.1/A%s","title":["order %s"],%s"issued":{"date-parts":[[%s,1]]}}', "o_orderkey", "o_orderkey",
         F.when(F.col("o_orderkey") % 2 == 0, '"published-online":{"date-parts":[[1900]]},').otherwise(""), F.year("o_orderdate")).alias("value"))), scans.RECORD_JSON)))
 query("json_documents", "kw", """SELECT CASE WHEN level = 0 THEN '' ELSE parent_id END AS parent_id, '{"children":[' || string_agg('{"id":"' || id || '","label":"' || label || '"}', ',' ORDER BY id) || ']}' AS document
-  FROM kw WHERE level < 2 GROUP BY 1""")(
-    lambda s, d: scans.json_documents(S.keywords(s, d).where("level < 2").select(F.coalesce("parent_id", F.lit("")).alias("parent_id"), "id", "label"), "parent_id", "id", "children"))
+  FROM kw GROUP BY 1""")(
+    lambda s, d: scans.json_documents(S.keywords(s, d).select(F.coalesce("parent_id", F.lit("")).alias("parent_id"), "id", "label"), "parent_id", "id", "children"))
 
 
 def experts(s: SparkSession, d: str) -> DataFrame:
