@@ -48,25 +48,70 @@ TEMPLATES: dict[str, list[str]] = {
         "This project is distributed under the terms of the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise",
+        "SPDX-License-Identifier: MIT",
     ],
     "apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS",
+        "SPDX-License-Identifier: Apache-2.0",
     ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "either version 2 of the License, or (at your option) any later version of the GNU General Public License.",
+        "You should have received a copy of the GNU General Public License along with this program.",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
     ],
     "lgpl": [
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
     ],
+    "agpl": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    ],
     "bsd": [
         "Licensed under the BSD 3-Clause License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "SPDX-License-Identifier: BSD-3-Clause",
+    ],
+    "isc": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "zlib": [
+        "Licensed under the zlib License.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely",
+    ],
+    "unlicense": [
+        "Released into the public domain under the Unlicense.",
+        "This is free and unencumbered software released into the public domain.",
+    ],
+    "epl": [
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License",
+    ],
+    "bsl": [
+        "Licensed under the Boost Software License, Version 1.0.",
+        "Distributed under the Boost Software License, Version 1.0.",
+    ],
+    "ofl": [
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    ],
+    "wtfpl": [
+        "This program is free software. It comes without any warranty, to the extent permitted by applicable law. You can redistribute it under the terms of the Do What The Fuck You Want To Public License",
+    ],
+    "cc0": [
+        "Licensed under CC0 1.0 Universal.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -84,6 +129,10 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "cc-by-nd": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
     "proprietary": [
         "All rights reserved. No part of this publication may be reproduced without the prior written permission of the publisher.",
         "Copyright. All rights reserved.",
@@ -201,7 +250,7 @@ def train(negatives: list[str], steps: int = 300, rate: float = 0.5, frequencies
     frequent, paragraphs = frequencies or (Counter(x for w in plain for x in set(w)), len(plain))
     # A word that is common in the corpus tells nothing by itself and starts no feature.
     common = {x for x, n in frequent.items() if n > 0.01 * paragraphs}
-    pool = [x for w in plain[:2000] for x in w] or ["text"]
+    pool = [x for w in plain for x in w] or ["text"]
     known = frozenset(g for _, t in templates for g in t)
     samples: list[tuple[set, int]] = [(known.intersection(grams_of(w)), len(families)) for w in plain]
     for k, f in enumerate(families):
