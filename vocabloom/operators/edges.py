@@ -56,14 +56,14 @@ def cooccurrence(pub_keywords: DataFrame, least_pubs: int, relevance: float = 0.
     return pairs.groupBy("a", "b").agg(F.count("*").alias("pubs")).where(F.col("pubs") >= least_pubs)
 
 
-def cooccurrence_edges(pairs: DataFrame, senses: DataFrame, confidence: Column, per_label: int) -> DataFrame:
-    """Pairs as edges between the ``per_label`` surest senses of each label."""
+def cooccurrence_edges(pairs: DataFrame, senses: DataFrame, confidence: Column, per_label: int, direction: str | None = None) -> DataFrame:
+    """Pairs as edges between the ``per_label`` surest senses of each label; toward within a discipline and across between two, or ``direction``."""
     best = top_by(senses, ["label"], [F.desc("confidence"), "sense_id"], per_label).select("label", "sense_id", "discipline")
     a = best.select(F.col("label").alias("a"), F.col("sense_id").alias("source_sense_id"), F.col("discipline").alias("_a"))
     b = best.select(F.col("label").alias("b"), F.col("sense_id").alias("target_sense_id"), F.col("discipline").alias("_b"))
     return pairs.join(a, "a").join(b, "b").select(
         "source_sense_id", "target_sense_id", "pubs", F.round(confidence, 6).alias("edge_confidence"),
-        F.when(F.col("_a") == F.col("_b"), "toward").otherwise("across").alias("direction"),
+        (F.lit(direction) if direction else F.when(F.col("_a") == F.col("_b"), "toward").otherwise("across")).alias("direction"),
     )
 
 
@@ -117,16 +117,24 @@ def citation_edges(references: DataFrame, corpus: DataFrame) -> DataFrame:
     )
 
 
-def citation_tree(cites: DataFrame, pubs: DataFrame, centre: int) -> DataFrame:
-    """Works that the centre cites (roots) and works that cite it (branches), with what is known of them."""
+def citation_tree(cites: DataFrame, centre: int | Column, *known: DataFrame) -> DataFrame:
+    """Works that the centre cites (roots) and works that cite it (branches): side, pub, year, cited_by and found.
+
+    Year and citations come from the first of the tables ``known`` that has them; found is the number of the first one
+    with the work, null if none has it.
+    """
     roots = cites.where(F.col("citing") == centre).select(F.lit("root").alias("side"), F.col("cited").alias("pub"))
     branches = cites.where(F.col("cited") == centre).select(F.lit("branch").alias("side"), F.col("citing").alias("pub"))
-    return roots.union(branches).join(pubs.select("pub", "year", "cited_by"), "pub", "left")
+    tree = roots.union(branches)
+    for k, table in enumerate(known):
+        tree = tree.join(table.select(F.col("pub"), F.col("year").alias(f"_y{k}"), F.col("cited_by").alias(f"_c{k}"), F.lit(k).alias(f"_f{k}")), "pub", "left")
+    first = lambda c: F.coalesce(*(f"_{c}{k}" for k in range(len(known))))
+    return tree.select("side", "pub", first("y").alias("year"), first("c").alias("cited_by"), first("f").alias("found"))
 
 
-def citation_tree_2hop(cites: DataFrame, pubs: DataFrame, centre: int, first: int, second: int) -> DataFrame:
+def citation_tree_2hop(cites: DataFrame, pubs: DataFrame, centre: int | Column, first: int, second: int) -> DataFrame:
     """The most cited roots and branches of a centre, and of each the most cited next ones."""
-    one = citation_tree(cites, pubs, centre)
+    one = citation_tree(cites, centre, pubs)
     top = top_by(one, ["side"], [F.desc_nulls_last("cited_by"), "pub"], first).select("side", F.col("pub").alias("via"))
     step = cites.select(F.lit("root").alias("side"), F.col("citing").alias("via"), F.col("cited").alias("pub")).union(
         cites.select(F.lit("branch").alias("side"), F.col("cited").alias("via"), F.col("citing").alias("pub"))
@@ -135,11 +143,30 @@ def citation_tree_2hop(cites: DataFrame, pubs: DataFrame, centre: int, first: in
     return top_by(near, ["side", "via"], [F.desc_nulls_last("cited_by"), "pub"], second).select("side", "via", "pub", "cited_by")
 
 
+def citation_list(tree: DataFrame, most: int) -> DataFrame:
+    """Of a :func:`citation_tree` the references by year (unknown first) and the ``most`` most cited citing works, with their places."""
+    references = top_by(tree.where("side = 'root'"), ["side"], [F.asc_nulls_first("year"), "pub"], 2**31 - 1, "place")
+    citing = top_by(tree.where("side = 'branch'"), ["side"], [F.desc_nulls_last("cited_by"), "pub"], most, "place")
+    return references.unionByName(citing).select("side", "place", "pub", "year", "cited_by")
+
+
+def citation_totals(tree: DataFrame) -> DataFrame:
+    """Works, known works and range of years of each side of a :func:`citation_tree`."""
+    return tree.groupBy("side").agg(F.count("*").alias("works"), F.count("found").alias("known"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+
+
 def year_anomalies(cites: DataFrame, pubs: DataFrame) -> DataFrame:
     """Citations of a work that is younger than the citing one."""
     a = pubs.select(F.col("pub").alias("citing"), F.col("year").alias("citing_year"))
     b = pubs.select(F.col("pub").alias("cited"), F.col("year").alias("cited_year"))
-    return cites.join(a, "citing").join(b, "cited").where("cited_year > citing_year").select("citing", "cited", "citing_year", "cited_year")
+    return cites.join(a, "citing").join(b, "cited").where("cited_year > citing_year").select(*cites.columns, "citing_year", "cited_year")
+
+
+def anomaly_counts(cites: DataFrame, pubs: DataFrame) -> DataFrame:
+    """For each level of a crawl (column level of ``cites``): its citations, and those of younger works."""
+    odd = year_anomalies(cites, pubs).groupBy("level").agg(F.count("*").alias("_n"))
+    every = cites.groupBy("level").agg(F.count("*").alias("citations"))
+    return every.join(odd, "level", "left").select("level", "citations", F.coalesce("_n", F.lit(0)).alias("anomalies"))
 
 
 def category_pairs(pubs: DataFrame, first: str, second: str, least: int) -> DataFrame:

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocabloom.functions.frame import top_by
 
 
-def source_flow(senses: DataFrame) -> DataFrame:
-    return senses.groupBy("source", "discipline").agg(F.countDistinct("label").alias("labels"))
+def source_flow(*derivations: DataFrame) -> DataFrame:
+    """Different labels of each source and discipline; of several derivations (source, discipline, label) the one that has more counts."""
+    counts = reduce(DataFrame.unionByName, (
+        x.groupBy("source", "discipline").agg(F.countDistinct("label").alias("labels")) for x in derivations
+    ))
+    return counts.groupBy("source", "discipline").agg(F.max("labels").alias("labels"))
 
 
 def shared_labels(senses: DataFrame, by: str) -> DataFrame:
@@ -18,11 +24,11 @@ def shared_labels(senses: DataFrame, by: str) -> DataFrame:
     return one.join(one.select("l", F.col("a").alias("b")), "l").where("a < b").groupBy("a", "b").agg(F.count("*").alias("labels"))
 
 
-def subcategories(senses: DataFrame, part: int, least: int, most: int) -> DataFrame:
-    """The commonest words at a place of the label, for each discipline."""
-    sub = F.split_part("label", F.lit(" "), F.lit(part))
-    counted = senses.withColumn("sub", sub).where("sub <> ''").groupBy("discipline", "sub").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return top_by(counted, ["discipline"], [F.desc("n"), "sub"], most, "place")
+def subcategories(rows: DataFrame, path: str, group: str, part: int, least: int, most: int) -> DataFrame:
+    """The commonest parts at a place of the path (parts are set off by " > ") of each group, those of at least ``least`` rows."""
+    sub = F.try_element_at(F.split(path, " > "), F.lit(part))
+    counted = rows.withColumn("sub", sub).where("sub IS NOT NULL AND sub <> ''").groupBy(group, "sub").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return top_by(counted, [group], [F.desc("n"), "sub"], most, "place")
 
 
 def polysemy_counts(senses: DataFrame) -> DataFrame:

@@ -250,3 +250,9 @@ def degrees(edges: DataFrame) -> DataFrame:
     """Relationships of each sense; a loop counts once."""
     ends = F.explode(F.array_distinct(F.array("source_sense_id", "target_sense_id")))
     return edges.select(ends.alias("sense_id")).groupBy("sense_id").agg(F.count("*").alias("degree"))
+
+
+def density(senses: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame:
+    """Relationships of each kind (type, provenance), and how many there are for a sense."""
+    every = senses.agg(F.count("*")).scalar()
+    return edges.groupBy(*by).agg(F.count("*").alias("n")).select(*by, "n", F.round(F.col("n") / every, 6).alias("per_sense"))

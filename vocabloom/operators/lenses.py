@@ -270,6 +270,15 @@ def compare_lenses(senses: DataFrame, edges: DataFrame, label: str | Column, len
     return reduce(DataFrame.unionByName, parts)
 
 
+def lens_members(senses: DataFrame, lenses: list[Lens], least: float) -> DataFrame:
+    """(lens_id, discipline, members): the labels of each discipline that a lens weighs at ``least``; a label's discipline is that of its
+    first sense."""
+    own = senses.groupBy("label").agg(F.min_by("discipline", "sense_id").alias("discipline")).groupBy("discipline").agg(F.count("*").alias("members"))
+    sees = [(x.lens_id, d) for x in lenses for d, w in x.weights.items() if w >= least]
+    table = senses.sparkSession.createDataFrame(sees, "lens_id string, discipline string")
+    return own.join(table, "discipline").select("lens_id", "discipline", "members")  # one row for each discipline and lens
+
+
 def papers_through_lens(
     pub_keywords: DataFrame, senses: DataFrame, weights: dict[str, float], relevance: float, least: int, n: int, search: str | None = None, least_weight: float = 0.2
 ) -> DataFrame:

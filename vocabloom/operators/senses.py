@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocabloom.functions.frame import first_by, top_by
+from vocabloom.operators.normalize import split_list
 
 
 def classify(text: str, rules: list[tuple[str, list[str]]], default: str) -> Column:
@@ -104,6 +105,17 @@ def top_counts(df: DataFrame, value: str, n: int) -> DataFrame:
     return df.groupBy(value).agg(F.count("*").alias("mentions")).orderBy(F.desc("mentions"), value).limit(n)
 
 
+def agency_senses(rows: DataFrame, names: str, n: int, rules: list[tuple[str, list[str]]], default: str) -> DataFrame:
+    """The ``n`` names that most comma lists mention, with the class of the first rule one of whose words is in the name."""
+    each = rows.select(F.explode(split_list(names)).alias("label"))
+    return top_counts(each, "label", n).withColumn("discipline", classify("label", rules, default))
+
+
+def top_modal(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
+    """The ``n`` most frequent keys, each with its most frequent value."""
+    return modal_value(df, key, value).join(F.broadcast(top_counts(df.where(F.col(key).isNotNull()), key, n)), key)  # n rows
+
+
 def missing_labels(vocabulary: DataFrame, senses: DataFrame) -> DataFrame:
     """Vocabulary labels without a sense, ignoring case."""
     have = senses.select(F.lower("label").alias("_l")).distinct()

@@ -136,9 +136,9 @@ query("filtered_parent", "kw", """SELECT a.id, CASE WHEN a.level = 2 THEN b.pare
     lambda s, d: G.filtered_parent(S.keywords(s, d).withColumn("rank", F.when(F.col("level") == 0, "top").otherwise("no rank")), ["top"]))
 query("orphans", "senses rels", "SELECT sense_id FROM senses WHERE sense_id NOT IN (SELECT source_sense_id FROM rels WHERE confidence > 0.5 UNION ALL SELECT target_sense_id FROM rels WHERE confidence > 0.5)")(
     lambda s, d: G.unconnected(S.senses(s, d).select("sense_id"), S.rels(s, d).where("confidence > 0.5")))
-query("density", "senses rels", "SELECT relationship_type, count(*) AS n, round(count(*) / (SELECT count(*) FROM senses), 6) AS per_sense FROM rels GROUP BY 1")(
-    lambda s, d: S.rels(s, d).groupBy("relationship_type").agg(F.count("*").alias("n")).crossJoin(F.broadcast(S.senses(s, d).agg(F.count("*").alias("_n")))).select(
-        "relationship_type", "n", F.round(F.col("n") / F.col("_n"), 6).alias("per_sense")))
+query("density", "senses rels", """SELECT relationship_type, provenance, count(*) AS n, round(count(*) / (SELECT count(*) FROM senses), 6) AS per_sense FROM (
+  SELECT *, CASE WHEN confidence > 0.5 THEN 'label' ELSE 'guess' END AS provenance FROM rels) GROUP BY 1, 2""")(
+    lambda s, d: G.density(S.senses(s, d), S.rels(s, d).withColumn("provenance", F.when(F.col("confidence") > 0.5, "label").otherwise("guess")), ["relationship_type", "provenance"]))
 query("degree", "senses rels", "SELECT sense_id, count(*) AS degree FROM (SELECT source_sense_id AS sense_id FROM rels UNION ALL SELECT target_sense_id FROM rels WHERE target_sense_id <> source_sense_id) GROUP BY 1")(
     lambda s, d: G.degrees(S.rels(s, d)))
 
@@ -167,10 +167,12 @@ query("label_links", "senses", f"""SELECT a.first AS source_sense_id, b.first AS
     lambda s, d: J.label_links(*(S.senses(s, d).where(F.col("keyword_id").cast("int") % 2 == k) for k in (1, 0))))
 query("category_senses", "", "SELECT value, count(*) AS n FROM (SELECT DISTINCT o_orderkey, unnest([o_orderpriority, o_orderstatus]) AS value FROM orders) GROUP BY 1")(
     lambda s, d: C.unpivot_fields(t(s, d, "orders"), "o_orderkey", ["o_orderpriority", "o_orderstatus"]).groupBy("value").agg(F.count("*").alias("n")))
-query("modal_category", "pubs", "SELECT journal, category, n FROM (SELECT journal, category, count(*) AS n, row_number() OVER (PARTITION BY journal ORDER BY count(*) DESC, category) AS rn FROM pubs GROUP BY 1, 2) WHERE rn = 1")(
-    lambda s, d: C.modal_value(S.pubs(s, d), "journal", "category"))
-query("agency_senses", "pubkw", "SELECT label, count(*) AS mentions FROM pubkw GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100")(
-    lambda s, d: C.top_counts(S.pub_keywords(s, d), "label", 100))
+query("modal_category", "pubs", """SELECT journal, category, n, mentions FROM (SELECT journal, category, count(*) AS n FROM pubs GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY journal ORDER BY count(*) DESC, category) = 1)
+  JOIN (SELECT journal, count(*) AS mentions FROM pubs GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20) USING (journal)""")(
+    lambda s, d: C.top_modal(S.pubs(s, d), "journal", "category", 20))
+query("agency_senses", "", """SELECT label, count(*) AS mentions, CASE WHEN contains(lower(label), 'economy') THEN 'economy' WHEN contains(lower(label), 'promo') OR contains(lower(label), 'standard') THEN 'premium' ELSE 'other' END AS discipline
+  FROM (SELECT unnest([p_type, p_brand]) AS label FROM part) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25""")(
+    lambda s, d: C.agency_senses(t(s, d, "part").select(F.concat("p_type", F.lit(" , "), "p_brand", F.lit(",")).alias("names")), "names", 25, RULES, "other"))
 query("vocab_gap", "senses", "SELECT DISTINCT p_brand AS label FROM part WHERE lower(p_brand) NOT IN (SELECT lower(label) FROM senses)")(
     lambda s, d: C.missing_labels(t(s, d, "part").select(F.col("p_brand").alias("label")).distinct(), S.senses(s, d)))
 query("new_pub_senses", "pubkw", """SELECT label, count(DISTINCT pub) AS pubs, round(avg(relevance), 6) AS avg_relevance, round(least(avg(relevance) * 0.8, 0.9), 6) AS new_confidence
@@ -204,9 +206,9 @@ PAIRS = "(SELECT a.label AS a, b.label AS b, count(*) AS pubs FROM (SELECT DISTI
 query("cooccurrence", "pubkw", f"SELECT a, b, pubs FROM {PAIRS.format(0.3, 2)}")(lambda s, d: J.cooccurrence(S.pub_keywords(s, d), 2, 0.3))
 for _name, _per, _step in (("cooccurrence_sets", 2, 0.02), ("cooccurrence_single", 1, 0.01)):
     query(_name, "senses fine pubkw", f""", best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY confidence DESC, sense_id) AS rn FROM fine) WHERE rn <= {_per})
-      SELECT x.sense_id AS source_sense_id, y.sense_id AS target_sense_id, pubs, round(least(0.9::DOUBLE, 0.5 + pubs * {_step}::DOUBLE), 6) AS edge_confidence, CASE WHEN x.discipline = y.discipline THEN 'toward' ELSE 'across' END AS direction
+      SELECT x.sense_id AS source_sense_id, y.sense_id AS target_sense_id, pubs, round(least(0.9::DOUBLE, 0.5 + pubs * {_step}::DOUBLE), 6) AS edge_confidence, {"'across'" if _per == 1 else "CASE WHEN x.discipline = y.discipline THEN 'toward' ELSE 'across' END"} AS direction
       FROM {PAIRS.format(0, 3)} p JOIN best x ON x.label = p.a JOIN best y ON y.label = p.b""")(
-        lambda s, d, n=_per, step=_step: J.cooccurrence_edges(J.cooccurrence(S.pub_keywords(s, d), 3), S.fine_senses(s, d), F.least(F.lit(0.9), 0.5 + F.col("pubs") * step), n))
+        lambda s, d, n=_per, step=_step: J.cooccurrence_edges(J.cooccurrence(S.pub_keywords(s, d), 3), S.fine_senses(s, d), F.least(F.lit(0.9), 0.5 + F.col("pubs") * step), n, "across" if n == 1 else None))
 POLY = """, sn AS (SELECT * FROM senses {0}), c AS (SELECT label, discipline, min(sense_id) AS first, count(*) AS n FROM sn GROUP BY 1, 2)
   SELECT first AS source_sense_id, sense_id AS target_sense_id, 'equivalent_sense' AS relationship_type, 'toward' AS direction, n AS pairs FROM sn JOIN c USING (label, discipline) WHERE sense_id <> first
   UNION ALL SELECT a.first, b.first, 'cross_domain_bridge', 'across', a.n * b.n FROM c a JOIN c b ON a.label = b.label AND a.first < b.first"""
@@ -218,18 +220,37 @@ query("doi_bridge", "", "SELECT o_orderkey AS our_id, o_orderkey + 1 AS work_id,
                               t(s, d, "orders").select((F.col("o_orderkey") + 1).alias("work_id"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("10.1/a"), "o_orderkey")).otherwise("").alias("doi"))))
 query("citation_edges", "cites pubs", "SELECT citing, cited, cited IN (SELECT pub FROM pubs WHERE status = 'F') AS in_corpus FROM cites")(
     lambda s, d: J.citation_edges(S.cites(s, d), S.pubs(s, d).where("status = 'F'")))
-query("citation_tree", "cites pubs", """SELECT side, x.pub, year, cited_by FROM (SELECT 'root' AS side, cited AS pub FROM cites WHERE citing = (SELECT max(citing) FROM cites)
-  UNION ALL SELECT 'branch', citing FROM cites WHERE cited = (SELECT max(citing) FROM cites)) x LEFT JOIN pubs p ON p.pub = x.pub""")(
-    lambda s, d: (lambda c: J.citation_tree(c, S.pubs(s, d), c.agg(F.max("citing")).first()[0]))(S.cites(s, d)))
+TREE_SQL = """, centre AS (SELECT max(citing) AS c FROM cites WHERE citing IN (SELECT cited FROM cites)), x AS (SELECT 'root' AS side, cited AS pub FROM cites, centre WHERE citing = c UNION ALL SELECT 'branch', citing FROM cites, centre WHERE cited = c),
+  tree AS (SELECT side, x.pub, coalesce(p.year, w.year) AS year, coalesce(p.cited_by, w.cited_by) AS cited_by, CASE WHEN p.pub IS NOT NULL THEN 0 WHEN w.pub IS NOT NULL THEN 1 END AS found
+    FROM x LEFT JOIN (SELECT * FROM pubs WHERE status = 'F') p ON p.pub = x.pub LEFT JOIN (SELECT * FROM pubs WHERE pub % 2 = 0) w ON w.pub = x.pub)"""
+
+
+def _centre(c: DataFrame) -> Column:
+    return c.join(c.select(F.col("cited").alias("citing")), "citing", "left_semi").agg(F.max("citing")).scalar()
+
+
+def _tree(s: SparkSession, d: str) -> DataFrame:
+    """The tree of a work, known from its own corpus (finished orders) or from another table (even ones)."""
+    return J.citation_tree(S.cites(s, d), _centre(S.cites(s, d)), S.pubs(s, d).where("status = 'F'"), S.pubs(s, d).where("pub % 2 = 0"))
+
+
+query("citation_tree", "cites pubs", TREE_SQL + " SELECT * FROM tree")(_tree)
+query("citation_list", "cites pubs", TREE_SQL + """ SELECT side, row_number() OVER (ORDER BY year NULLS FIRST, pub) AS place, pub, year, cited_by FROM tree WHERE side = 'root'
+  UNION ALL SELECT side, row_number() OVER (ORDER BY cited_by DESC NULLS LAST, pub) AS place, pub, year, cited_by FROM tree WHERE side = 'branch' QUALIFY place <= 20""")(
+    lambda s, d: J.citation_list(_tree(s, d), 20))
+query("citation_totals", "cites pubs", TREE_SQL + " SELECT side, count(*) AS works, count(found) AS known, min(year) AS first_year, max(year) AS last_year FROM tree GROUP BY 1")(lambda s, d: J.citation_totals(_tree(s, d)))
 query("citation_tree_2hop", "cites pubs", """, mid AS (SELECT min(cited) AS m FROM cites WHERE cited IN (SELECT citing FROM cites)),
   one AS (SELECT 'root' AS side, cited AS via FROM cites, mid WHERE citing = m UNION ALL SELECT 'branch', citing FROM cites, mid WHERE cited = m)
   SELECT o.side, via, CASE o.side WHEN 'root' THEN r.cited ELSE b.citing END AS pub, p.cited_by FROM one o LEFT JOIN cites r ON o.side = 'root' AND r.citing = via LEFT JOIN cites b ON o.side = 'branch' AND b.cited = via
   LEFT JOIN pubs p ON p.pub = CASE o.side WHEN 'root' THEN r.cited ELSE b.citing END WHERE CASE o.side WHEN 'root' THEN r.cited ELSE b.citing END IS NOT NULL""")(
-    lambda s, d: (lambda c: J.citation_tree_2hop(c, S.pubs(s, d), c.join(c.select(F.col("citing").alias("cited")), "cited", "left_semi").agg(F.min("cited")).first()[0], 50, 20))(S.cites(s, d)))
+    lambda s, d: (lambda c: J.citation_tree_2hop(c, S.pubs(s, d), c.join(c.select(F.col("citing").alias("cited")), "cited", "left_semi").agg(F.min("cited")).scalar(), 50, 20))(S.cites(s, d)))
 query("year_anomaly", "cites pubs", """SELECT cited AS citing, citing AS cited, a.year AS citing_year, b.year AS cited_year FROM cites JOIN pubs a ON a.pub = cited JOIN pubs b ON b.pub = citing WHERE b.year > a.year""")(
     lambda s, d: J.year_anomalies(S.cites(s, d).select(F.col("cited").alias("citing"), F.col("citing").alias("cited")), S.pubs(s, d)))
-query("citation_list", "cites pubs", "SELECT cited, count(*) AS citing_works, min(year) AS first_year, max(year) AS last_year FROM cites JOIN pubs ON pub = citing GROUP BY 1")(
-    lambda s, d: S.cites(s, d).join(S.pubs(s, d), F.col("citing") == F.col("pub")).groupBy("cited").agg(F.count("*").alias("citing_works"), F.min("year").alias("first_year"), F.max("year").alias("last_year")))
+query("year_anomaly_counts", "cites pubs", """SELECT citing % 4 AS level, count(*) AS citations, count(*) FILTER (a.year > b.year) AS anomalies FROM (SELECT citing, CASE WHEN citing % 4 = 3 THEN cited ELSE citing END AS x, CASE WHEN citing % 4 = 3 THEN citing ELSE cited END AS y FROM cites) c
+  JOIN pubs a ON a.pub = y JOIN pubs b ON b.pub = x GROUP BY 1""")(
+    lambda s, d: (lambda c: J.anomaly_counts(c.select(
+        F.when(F.col("citing") % 4 == 3, F.col("cited")).otherwise(F.col("citing")).alias("citing"), F.when(F.col("citing") % 4 == 3, F.col("citing")).otherwise(F.col("cited")).alias("cited"),
+        (F.col("citing") % 4).alias("level")), S.pubs(s, d)))(S.cites(s, d)))
 query("tfidf_edges", "", """WITH words AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM benchmark),
   tf AS (SELECT item_id, term, count(*) AS tf FROM words WHERE length(term) > 1 GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM benchmark),
   df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), w AS (SELECT item_id, tf.term, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM tf JOIN df USING (term), n WHERE df <= greatest(n * 0.5, 2)),
@@ -483,12 +504,15 @@ query("tree_facts", "", "SELECT p_partkey, 1 AS depth, 'A' || p_size || ',B.' ||
 
 # Charts
 
-query("source_flow", "senses", "SELECT source, discipline, count(DISTINCT label) AS labels FROM senses GROUP BY 1, 2")(lambda s, d: A.source_flow(S.senses(s, d)))
+query("source_flow", "senses lsenses", """SELECT source, discipline, max(labels) AS labels FROM (SELECT source, discipline, count(DISTINCT label) AS labels FROM senses GROUP BY 1, 2
+  UNION ALL SELECT source, d, count(DISTINCT label) FROM (SELECT source, unnest(secondary) AS d, label FROM lsenses) GROUP BY 1, 2) GROUP BY 1, 2""")(
+    lambda s, d: A.source_flow(S.senses(s, d), S.lens_senses(s, d).select("source", F.explode("secondary").alias("discipline"), "label")))
 _SHARED = "SELECT x.{0} AS a, y.{0} AS b, count(*) AS labels FROM (SELECT DISTINCT lower(label) AS l, {0} FROM senses) x JOIN (SELECT DISTINCT lower(label) AS l, {0} FROM senses) y ON x.l = y.l AND x.{0} < y.{0} GROUP BY 1, 2"
 query("discipline_links", "senses", _SHARED.format("discipline"))(lambda s, d: A.shared_labels(S.senses(s, d), "discipline"))
 query("source_links", "senses", _SHARED.format("source"))(lambda s, d: A.shared_labels(S.senses(s, d), "source"))
-query("subcategories", "senses", """SELECT discipline, sub, n, place FROM (SELECT discipline, split_part(label, ' ', 2) AS sub, count(*) AS n, row_number() OVER (PARTITION BY discipline ORDER BY count(*) DESC, split_part(label, ' ', 2)) AS place
-  FROM senses WHERE split_part(label, ' ', 2) <> '' GROUP BY 1, 2 HAVING count(*) >= 5) WHERE place <= 3""")(lambda s, d: A.subcategories(S.senses(s, d), 2, 5, 3))
+query("subcategories", "senses", """SELECT source, sub, n, place FROM (SELECT discipline AS source, split_part(label, ' ', 2) AS sub, count(*) AS n, row_number() OVER (PARTITION BY discipline ORDER BY count(*) DESC, split_part(label, ' ', 2)) AS place
+  FROM senses WHERE split_part(label, ' ', 2) <> '' GROUP BY 1, 2 HAVING count(*) >= 50) WHERE place <= 3""")(
+    lambda s, d: A.subcategories(S.senses(s, d).select(F.col("discipline").alias("source"), F.concat_ws(" > ", "source", F.replace("label", F.lit(" "), F.lit(" > "))).alias("path")), "path", "source", 3, 50, 3))
 query("polysemy_counts", "senses", "SELECT CAST(sum(CASE WHEN dn > 1 THEN 1 ELSE 0 END) AS BIGINT) AS multi_discipline, CAST(sum(CASE WHEN sn > 1 THEN 1 ELSE 0 END) AS BIGINT) AS multi_source, count(*) AS labels FROM (SELECT lower(label) AS l, count(DISTINCT discipline) AS dn, count(DISTINCT source) AS sn FROM senses GROUP BY 1)")(
     lambda s, d: A.polysemy_counts(S.senses(s, d)))
 query("flow_matrix", "senses", f", x AS ({_SHARED.format('discipline')}) SELECT a, b, labels FROM x UNION ALL SELECT b, a, labels FROM x")(
@@ -498,8 +522,9 @@ query("top_per_group", "senses rels", """, deg AS (SELECT sense_id, count(*) AS
     lambda s, d: A.top_labels(S.senses(s, d), G.degrees(S.rels(s, d)), 100))
 query("cross_edges", "senses rels", """SELECT DISTINCT least(a.discipline || '/' || a.label, b.discipline || '/' || b.label) AS a, greatest(a.discipline || '/' || a.label, b.discipline || '/' || b.label) AS b
   FROM rels JOIN senses a ON a.sense_id = source_sense_id JOIN senses b ON b.sense_id = target_sense_id WHERE a.discipline <> b.discipline""")(lambda s, d: A.cross_edges(S.rels(s, d), S.senses(s, d)))
-query("lens_members", "senses", "SELECT label, min(discipline) AS discipline, count(*) AS n FROM senses GROUP BY 1")(
-    lambda s, d: S.senses(s, d).groupBy("label").agg(F.min("discipline").alias("discipline"), F.count("*").alias("n")))
+query("lens_members", "senses fine disc", f""", {LENSES_SQL}, m AS (SELECT label, min_by(discipline, sense_id) AS discipline FROM fine GROUP BY 1)
+  SELECT lens_id, discipline, count(*) AS members FROM m JOIN (SELECT lens_id, of AS discipline FROM lw WHERE weight >= 0.25) USING (discipline) GROUP BY 1, 2""")(
+    lambda s, d: L.lens_members(S.fine_senses(s, d), _lenses(s, d), 0.25))
 query("program_flow", "pubs", "SELECT journal, category, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY journal), 6) AS share FROM pubs GROUP BY 1, 2")(
     lambda s, d: C.share_of_group(S.pubs(s, d), "journal", "category"))
 query("radial_layout")(lambda s, d: A.radial_layout(S.senses(s, d), 100))
