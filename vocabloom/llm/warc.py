@@ -42,21 +42,22 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_uri(page_id: int | None) -> str:
-    return f"<urn:x-page:{'null' if page_id is None else page_id}>"
+def record_uri(page_id: int | None, copy: int = 0) -> str:
+    """The name of a page's record; further records of one page_id are numbered, as a record's name is its own."""
+    return f"<urn:x-page:{'null' if page_id is None else page_id}{f'#{copy}' if copy else ''}>"
 
 
 def _page_of(uri: str) -> int | None:
-    tail = uri.strip("<>").rpartition(":")[2]
+    tail = uri.strip("<>").rpartition(":")[2].partition("#")[0]
     return None if tail == "null" else int(tail)
 
 
-def make_record(page_id, url, payload: bytes, kind: str, refers_to, date: str) -> bytes:
+def make_record(page_id, url, payload: bytes, kind: str, refers_to, date: str, copy: int = 0) -> bytes:
     """One WARC/1.1 record; all headers and digests come from the arguments."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + payload if kind == "response" else http
     heads = [
-        ("WARC-Type", kind), ("WARC-Record-ID", record_uri(page_id)), ("WARC-Date", date),
+        ("WARC-Type", kind), ("WARC-Record-ID", record_uri(page_id, copy)), ("WARC-Date", date),
         ("WARC-Target-URI", " ".join((url or "").split())), ("WARC-Payload-Digest", "sha1:" + payload_digest(payload)),
         ("WARC-Block-Digest", "sha1:" + payload_digest(block)), ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(len(block))),
@@ -94,23 +95,12 @@ def records_in(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         raise ValueError("truncated archive")
 
 
-def _page_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        digests, sizes = [], []
-        for html in batch.column("html"):
-            raw = html.as_buffer() if html.is_valid else b""
-            digests.append(hashlib.sha1(raw).digest())
-            sizes.append(len(raw))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())],
-            names=["page_id", "digest", "bytes"],
-        )
-
-
 def _decide(pages: DataFrame, least: int) -> DataFrame:
     """page_id, digest, kind and target for each page, without its payload."""
-    light = staged(pages.select("page_id", "html").mapInArrow(_page_digests, "page_id long, digest binary, bytes long"), "page-digests")
-    target = light.groupBy(F.col("digest").alias("_d")).agg(F.max("page_id").alias("target"))
+    html = F.coalesce("html", F.lit(""))
+    light = staged(pages.select("page_id", F.unhex(F.sha1(html)).alias("digest"), F.octet_length(html).cast("long").alias("bytes")), "page-digests")
+    # _d is an expression, so that the join has an exchange of its own, whose large parts Spark can split.
+    target = light.groupBy("digest").agg(F.max("page_id").alias("target")).select(F.substring("digest", 1, 20).alias("_d"), "target")
     joined = light.join(target, F.col("digest") == F.col("_d"))
     first = (F.col("bytes") < least) | F.col("page_id").eqNullSafe(F.col("target"))
     return joined.select(
@@ -177,13 +167,13 @@ def write_archive(
 
         known: dict[bytes, list] = {}
         written: set[bytes] = set()
-        last = object()
+        last, copy = object(), 0
         for batch in batches:
             cols = [batch.column(c) for c in ("shard", "page_id", "part", "url", "html", "digest", "kind", "target", "shared")]
             for i in range(batch.num_rows):
                 at, page_id, part = (c[i].as_py() for c in cols[:3])
                 if page_id != last:
-                    known, written, last = {}, set(), page_id
+                    known, written, last, copy = {}, set(), page_id, 0
                 if part == 0:
                     known[cols[5][i].as_py()] = [cols[6][i].as_py(), cols[7][i].as_py(), cols[8][i].as_py()]
                     continue
@@ -201,7 +191,8 @@ def write_archive(
                     files.append(now)
                     store.create_dir(place, recursive=True)
                     out = store.open_output_stream(f"{place}/{at}-{number}", compression=None)
-                member = gzip_member(make_record(page_id, cols[3][i].as_py(), payload, kind, target, date))
+                member = gzip_member(make_record(page_id, cols[3][i].as_py(), payload, kind, target, date, copy))
+                copy += 1
                 out.write(member)
                 now["bytes"] += len(member)
                 now["records"] += 1
