@@ -134,3 +134,12 @@ def test_classes(spark):
     pubs = spark.createDataFrame([("Nature ", "P"), ("Nature", "P"), ("Nature", "Q"), (None, "Q")], "journal string, category string")
     found = senses.journal_disciplines(pubs, lambda label, category: F.concat(F.lit("of "), category))
     assert {r.source: r.discipline for r in senses.update_disciplines(s, found, ["journal"]).collect()} == {"journal": "of P", "lab": "x"}
+
+
+def test_quota_sample(spark):
+    """Each stratum gives its quota, a small one all it has, and the rest is filled in order."""
+    from vocabloom.operators import validation
+
+    df = spark.createDataFrame([(i, "a") for i in range(20)] + [(100 + i, "b") for i in range(2)] + [(200 + i, None) for i in range(9)], "k long, g string")
+    got = [r.k for r in validation.quota_sample(df, [F.col("g")], "k", 16, F.col("k")).collect()]
+    assert sorted(got) == [*range(9), 100, 101, *range(200, 205)] and len(validation.quota_sample(df, [F.col("g")], "k", 99).collect()) == 31

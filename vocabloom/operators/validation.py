@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocabloom.functions.frame import average_ranks, sum_before, top_by
@@ -16,6 +16,16 @@ def stratified_sample(df: DataFrame, strata: list, key: str, per_stratum: int, s
     return top_by(named, [f"_s{i}" for i in range(len(strata))], [F.xxhash64(key, F.lit(seed)), key], per_stratum, "_place").drop("_place")
 
 
+def quota_sample(df: DataFrame, strata: list, key: str, n: int, order: Column | None = None) -> DataFrame:
+    """``n`` rows: an equal quota of each stratum, and what is left of ``n`` from all other rows, both in ``order`` (the hash of the key by default)."""
+    order = F.xxhash64(key, F.lit(1)) if order is None else order
+    names = [f"_s{i}" for i in range(len(strata))]
+    named = df.select("*", *(c.alias(s) for c, s in zip(strata, names)), order.alias("_o"))
+    quota = named.select(*names).distinct().agg(F.floor(F.lit(n) / F.count("*"))).scalar()
+    placed = named.withColumn("_place", F.row_number().over(Window.partitionBy(*names).orderBy("_o", key)))
+    return placed.orderBy(F.col("_place") > quota, "_o", key).limit(n).drop(*names, "_o", "_place")
+
+
 def edge_sample(edges: DataFrame, key: list[str], share: float, seed: int = 1) -> DataFrame:
     """A repeatable share of the edges, chosen by hash."""
     return edges.where(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))

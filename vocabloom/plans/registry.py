@@ -362,6 +362,10 @@ def _linked(s: SparkSession, d: str) -> DataFrame:
 
 
 query("stratified_sample")(lambda s, d: V.stratified_sample(S.senses(s, d), [F.col("discipline"), F.floor(F.col("confidence") * 3)], "sense_id", 5).select("sense_id", "discipline", "confidence"))
+query("quota_sample", "senses", """, q AS (SELECT *, CASE WHEN confidence >= 0.7 THEN 2 WHEN confidence >= 0.4 THEN 1 ELSE 0 END AS bucket FROM senses),
+  k AS (SELECT floor(100 / count(*)) AS quota FROM (SELECT DISTINCT discipline, bucket FROM q)), p AS (SELECT *, row_number() OVER (PARTITION BY discipline, bucket ORDER BY sense_id) AS place FROM q)
+  SELECT sense_id, discipline, confidence FROM p, k ORDER BY place > quota, sense_id LIMIT 100""")(
+    lambda s, d: V.quota_sample(S.senses(s, d), [F.col("discipline"), F.when(F.col("confidence") >= 0.7, 2).when(F.col("confidence") >= 0.4, 1).otherwise(0)], "sense_id", 100, F.col("sense_id")).select("sense_id", "discipline", "confidence"))
 query("edge_sample")(lambda s, d: V.edge_sample(S.rels(s, d), ["source_sense_id", "target_sense_id"], 0.1))
 query("kappa", "", """WITH c AS (SELECT quality AS a, toxic AS b, count(*) AS n FROM labels GROUP BY 1, 2), s AS (SELECT sum(n) AS n, sum(n) FILTER (a = b) AS agree FROM c),
   e AS (SELECT sum(na * nb) AS e FROM (SELECT a, sum(n) AS na FROM c GROUP BY 1) x JOIN (SELECT b, sum(n) AS nb FROM c GROUP BY 1) y ON a = b)
