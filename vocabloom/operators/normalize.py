@@ -93,11 +93,28 @@ def load_new(rows: DataFrame, key: str, order: list, present: DataFrame) -> Data
     return first_by(rows.where(F.col(key).isNotNull()), [key], order).join(present.select(key).distinct(), key, "left_anti")
 
 
+#: Names of the top categories of descriptor trees (fixed values).
+TREE_ROOTS = {
+    "A": "Anatomy", "B": "Organisms", "C": "Diseases", "D": "Chemicals and Drugs", "E": "Analytical, Diagnostic and Therapeutic Techniques, and Equipment",
+    "F": "Psychiatry and Psychology", "G": "Phenomena and Processes", "H": "Disciplines and Occupations", "I": "Anthropology, Education, Sociology, and Social Phenomena",
+    "J": "Technology, Industry, and Agriculture", "K": "Humanities", "L": "Information Science", "M": "Named Groups", "N": "Health Care",
+    "V": "Publication Characteristics", "Z": "Geographicals",
+}
+
+
+def tree_category(number: Column) -> Column:
+    """Letter and name of a tree number's category, like ``A (Anatomy)``."""
+    letter = F.substring(number, 1, 1)
+    names = F.create_map(*(F.lit(x) for kv in TREE_ROOTS.items() for x in kv))
+    return F.concat(letter, F.lit(" ("), F.coalesce(F.element_at(names, letter), F.lit("Unknown")), F.lit(")"))
+
+
 def tree_facts(c: str) -> list[Column]:
-    """Depth, parents and categories of a list of dotted tree numbers."""
+    """Depth, parents and category (that of the first one) of a list of dotted tree numbers; without any, 0, none and ``Unknown``."""
     dots = F.array_min(F.transform(c, lambda x: F.size(F.split(x, r"\.")) - 1))
     parents = F.filter(F.transform(c, lambda x: F.regexp_extract(x, r"^(.*)\.[^.]*$", 1)), lambda x: x != "")
-    return [dots.alias("depth"), F.array_join(parents, ",").alias("parents"), F.substring(F.element_at(c, 1), 1, 1).alias("category")]
+    category = F.coalesce(tree_category(F.try_element_at(c, F.lit(1))), F.lit("Unknown"))
+    return [F.coalesce(dots, F.lit(0)).alias("depth"), F.coalesce(F.array_join(parents, ","), F.lit("")).alias("parents"), category.alias("category")]
 
 
 def alias_merge(stored: DataFrame, found: DataFrame, key: str) -> DataFrame:

@@ -102,3 +102,28 @@ def category_gaps(full: DataFrame, ours: DataFrame, category: str, index: str) -
         F.count("*").alias("categories"), F.count("_in").alias("in_our_data"),
         F.round(F.count("_in") / F.count("*"), 6).alias("covered"),
     )
+
+
+def category_breakdown(rows: DataFrame, trees: str, synonyms: str) -> DataFrame:
+    """Rows (measure, n) of a poly-hierarchy: tree numbers by first letter, and descriptors, those in several categories, those without a tree, and synonyms."""
+    none = F.array().cast("array<string>")
+    given = rows.select(F.coalesce(trees, none).alias("_t"), F.coalesce(synonyms, none).alias("_s"))
+    letters = F.array_distinct(F.transform("_t", lambda x: F.substring(x, 1, 1)))
+    totals = given.agg(
+        F.count("*").alias("descriptors"), F.count_if(F.size(letters) > 1).alias("multi_category"), F.count_if(F.size("_t") == 0).alias("no_tree"), F.sum(F.size("_s")).alias("synonyms")
+    )
+    measures = F.explode(F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).cast("long").alias("n")) for c in totals.columns)))
+    by_letter = given.select(F.explode("_t").alias("x")).groupBy(F.substring("x", 1, 1).alias("measure")).agg(F.count("*").alias("n"))
+    return by_letter.unionByName(totals.select(measures.alias("m")).select("m.*"))
+
+
+def coverage_stats(rows: DataFrame, group: str, fields: list[str], year: str, key: str, other: DataFrame) -> DataFrame:
+    """Per group, and over all (null): rows, the share of each field that is filled, the share of all rows, first and last year, and how many keys ``other`` has too."""
+    have = other.select(F.col(key).alias("_k")).distinct().withColumn("_in", F.lit(True))
+    joined = rows.join(have, F.col(key) == F.col("_k"), "left")
+    every = rows.agg(F.count("*")).scalar()
+    filled = lambda c: F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
+    return joined.rollup(group).agg(
+        F.count("*").alias("n"), *(F.round(F.count_if(filled(c)) / F.count("*"), 6).alias(f"share_{c}") for c in fields),
+        F.min(year).alias("first_year"), F.max(year).alias("last_year"), F.count("_in").alias("overlap"),
+    ).withColumn("share", F.round(F.col("n") / every, 6))

@@ -76,11 +76,12 @@ query("field_audit", "senses", """SELECT field, filled, round(filled / n, 6) AS
   SELECT 'label' AS field, count(label) AS filled, count(*) AS n FROM senses UNION ALL SELECT 'level', count(level), count(*) FROM senses
   UNION ALL SELECT 'tier', count(tier), count(*) FROM senses)""")(
     lambda s, d: Q.field_audit(S.senses(s, d), ["label", "level", "tier"], 0.9))
-query("coverage_stats", "pubs", """SELECT journal, count(*) AS pubs, round(count(*) FILTER (status = 'F') / count(*), 6) AS share_f,
-  min(year) AS first_year, max(year) AS last_year FROM pubs GROUP BY 1""")(
-    lambda s, d: S.pubs(s, d).groupBy("journal").agg(
-        F.count("*").alias("pubs"), F.round(F.sum(F.when(F.col("status") == "F", 1).otherwise(0)) / F.count("*"), 6).alias("share_f"),
-        F.min("year").alias("first_year"), F.max("year").alias("last_year")))
+query("coverage_stats", "pubs", """, p AS (SELECT *, CASE WHEN pub % 3 = 0 THEN NULL ELSE journal END AS j, CASE WHEN pub % 5 = 0 THEN ' ' ELSE category END AS c FROM pubs)
+  SELECT status, count(*) AS n, round(count(j) / count(*), 6) AS share_j, round(count(*) FILTER (trim(c) <> '') / count(*), 6) AS share_c, min(year) AS first_year, max(year) AS last_year,
+    count(*) FILTER (pub IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')) AS overlap, round(count(*) / (SELECT count(*) FROM pubs), 6) AS share FROM p GROUP BY ROLLUP (status)""")(
+    lambda s, d: Q.coverage_stats(
+        S.pubs(s, d).select("pub", "status", "year", F.when(F.col("pub") % 3 != 0, F.col("journal")).alias("j"), F.when(F.col("pub") % 5 == 0, " ").otherwise(F.col("category")).alias("c")),
+        "status", ["j", "c"], "year", "pub", t(s, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("pub"))))
 query("insert_new_edges", "senses rels", """SELECT DISTINCT source_sense_id, target_sense_id, relationship_type FROM rels
   WHERE NOT (relationship_type = 'equivalent_sense')""")(
     lambda s, d: (lambda r: Q.insert_new_edges(r.where("relationship_type = 'equivalent_sense'"), r.union(r), ["source_sense_id", "target_sense_id", "relationship_type"]))(
@@ -99,8 +100,12 @@ query("true_orphans", "", """SELECT id, label, 'true_orphan:' || CASE WHEN lengt
     lambda s, d: Q.true_orphans(t(s, d, "part").select(
         F.col("p_partkey").alias("id"),
         F.concat(F.col("p_size").cast("string"), F.when(F.col("p_size") % 3 == 0, ".10").when(F.col("p_size") % 3 == 1, "").otherwise(" kg")).alias("label"))))
-query("category_breakdown", "kw", "SELECT substr(id, 1, 1) AS letter, count(*) AS n FROM kw GROUP BY 1")(
-    lambda s, d: T.field_counts(S.keywords(s, d).select(F.substring("id", 1, 1).alias("letter")), "letter"))
+query("category_breakdown", "", """WITH d AS (SELECT CASE p_size % 4 WHEN 0 THEN [] WHEN 1 THEN ['A0' || p_size] WHEN 2 THEN ['A1', 'B' || p_size] ELSE ['Q1', 'Q2'] END AS trees, CASE WHEN p_size % 3 = 0 THEN NULL ELSE string_split(p_name, ' ') END AS words FROM part)
+  SELECT substr(x, 1, 1) AS measure, count(*) AS n FROM (SELECT unnest(trees) AS x FROM d) GROUP BY 1 UNION ALL SELECT 'descriptors', count(*) FROM d UNION ALL SELECT 'multi_category', count(*) FROM d WHERE len(trees) = 2 AND trees[1] = 'A1'
+  UNION ALL SELECT 'no_tree', count(*) FROM d WHERE len(trees) = 0 UNION ALL SELECT 'synonyms', CAST(sum(len(words)) AS BIGINT) FROM d""")(
+    lambda s, d: Q.category_breakdown(t(s, d, "part").select(
+        F.when(F.col("p_size") % 4 == 1, F.array(F.concat(F.lit("A0"), "p_size"))).when(F.col("p_size") % 4 == 2, F.array(F.lit("A1"), F.concat(F.lit("B"), "p_size")))
+        .when(F.col("p_size") % 4 == 3, F.array(F.lit("Q1"), F.lit("Q2"))).alias("trees"), F.when(F.col("p_size") % 3 != 0, F.split("p_name", " ")).alias("words")), "trees", "words"))
 query("category_gaps", "", """SELECT c.p_brand AS idx, count(*) AS categories, count(o.p_type) AS in_our_data, round(count(o.p_type) / count(*), 6) AS covered
   FROM (SELECT DISTINCT p_brand, p_type FROM part) c LEFT JOIN (SELECT DISTINCT p_type FROM part WHERE p_size = 1) o USING (p_type) GROUP BY 1""")(
     lambda s, d: Q.category_gaps(t(s, d, "part").select(F.col("p_brand").alias("idx"), "p_type").distinct(), t(s, d, "part").where("p_size = 1"), "p_type", "idx"))
@@ -503,7 +508,7 @@ query("backfill", "", "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey %
     lambda s, d: N.backfill(t(s, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), t(s, d, "orders").where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("NEW").alias("o_orderpriority")), "o_orderkey", ["o_orderpriority"]))
 query("dedup_anti_load", "", "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1")(
     lambda s, d: N.load_new(t(s, d, "orders").select("o_custkey", "o_orderkey"), "o_custkey", ["o_orderkey"], t(s, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))))
-query("tree_facts", "", "SELECT p_partkey, 1 AS depth, 'A' || p_size || ',B.' || p_size AS parents, 'A' AS category FROM part")(
+query("tree_facts", "", "SELECT p_partkey, 1 AS depth, 'A' || p_size || ',B.' || p_size AS parents, 'A (Anatomy)' AS category FROM part")(
     lambda s, d: t(s, d, "part").withColumn("x", F.array(F.concat(F.lit("A"), "p_size", F.lit(".1")), F.concat(F.lit("B."), "p_size", F.lit(".22")))).select("p_partkey", *N.tree_facts("x")))
 
 # Charts
