@@ -173,10 +173,16 @@ def category_pairs(pubs: DataFrame, first: str, second: str, least: int) -> Data
     return pubs.where(F.col(first).isNotNull() & F.col(second).isNotNull()).groupBy(first, second).agg(F.count("*").alias("pubs")).where(F.col("pubs") >= least)
 
 
-def tfidf(docs: DataFrame, key: str, text: str, max_share: float = 0.5) -> DataFrame:
-    """L2-normalised weights tf * (ln((1+n)/(1+df)) + 1) of words; words above ``max_share`` of documents are dropped."""
-    words = docs.select(key, F.explode(F.split(F.lower(text), r"[^a-z0-9]+")).alias("term")).where("length(term) > 1")
-    tf = words.groupBy(key, "term").agg(F.count("*").alias("tf"))
+def tfidf(docs: DataFrame, key: str, text: str, max_share: float = 0.5, stops: list[str] = ()) -> DataFrame:
+    """L2-normalised weights tf * (ln((1+n)/(1+df)) + 1) of words and pairs of words; those in more than ``max_share`` of documents are dropped.
+
+    Words have two characters or more; stop words are taken out before pairs are made.
+    """
+    words = F.filter(F.split(F.lower(text), r"[^a-z0-9]+"), lambda x: (F.length(x) > 1) & ~x.isin(["", *stops]))
+    both = F.arrays_zip(F.col("_w").alias("x"), F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0))).alias("y"))
+    each = docs.select(key, words.alias("_w")).select(key, F.explode(both).alias("_p"))
+    grams = each.select(key, F.explode(F.array(F.col("_p.x"), F.concat("_p.x", F.lit(" "), "_p.y"))).alias("term")).where("term IS NOT NULL")
+    tf = grams.groupBy(key, "term").agg(F.count("*").alias("tf"))
     n = docs.agg(F.count("*").alias("n"))
     df = tf.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).where(F.col("df") <= F.greatest(F.col("n") * max_share, F.lit(2)))  # n is one row
     w = tf.join(df, "term").select(key, "term", (F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"))
@@ -184,12 +190,13 @@ def tfidf(docs: DataFrame, key: str, text: str, max_share: float = 0.5) -> DataF
     return w.join(norm, key).select(key, "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def tfidf_edges(weights: DataFrame, key: str, least: float, most: int) -> DataFrame:
-    """Cosine of documents through their common terms; the ``most`` nearest of each."""
+def tfidf_edges(weights: DataFrame, key: str, least: float, most: int, n: int | None = None) -> DataFrame:
+    """Cosine of documents through their common terms; the ``most`` nearest of each, and of those the ``n`` nearest of all."""
     a = weights.select(F.col(key).alias("a"), "term", F.col("w").alias("wa"))
     b = weights.select(F.col(key).alias("b"), "term", F.col("w").alias("wb"))
     cosine = a.join(b, "term").where("a <> b").groupBy("a", "b").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("cosine"))
-    return top_by(cosine.where(F.col("cosine") >= least), ["a"], [F.desc("cosine"), "b"], most)
+    near = top_by(cosine.where(F.col("cosine") >= least), ["a"], [F.desc("cosine"), "b"], most)
+    return near if n is None else near.orderBy(F.desc("cosine"), "a", "b").limit(n)
 
 
 def orphan_links(orphans: DataFrame, senses: DataFrame, abbreviations: DataFrame) -> DataFrame:

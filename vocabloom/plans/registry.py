@@ -256,13 +256,14 @@ query("year_anomaly_counts", "cites pubs", """SELECT citing % 4 AS level, count(
     lambda s, d: (lambda c: J.anomaly_counts(c.select(
         F.when(F.col("citing") % 4 == 3, F.col("cited")).otherwise(F.col("citing")).alias("citing"), F.when(F.col("citing") % 4 == 3, F.col("citing")).otherwise(F.col("cited")).alias("cited"),
         (F.col("citing") % 4).alias("level")), S.pubs(s, d)))(S.cites(s, d)))
-query("tfidf_edges", "", """WITH words AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM benchmark),
-  tf AS (SELECT item_id, term, count(*) AS tf FROM words WHERE length(term) > 1 GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM benchmark),
+query("tfidf_edges", "", """WITH words AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: length(x) > 1 AND x NOT IN ('the', 'and', 'of')) AS ws FROM benchmark),
+  g AS (SELECT item_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS term FROM words),
+  tf AS (SELECT item_id, term, count(*) AS tf FROM g GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM benchmark),
   df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), w AS (SELECT item_id, tf.term, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM tf JOIN df USING (term), n WHERE df <= greatest(n * 0.5, 2)),
   nw AS (SELECT item_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS w FROM w),
   c AS (SELECT a.item_id AS a, b.item_id AS b, round(sum(a.w * b.w), 6) AS cosine FROM nw a JOIN nw b ON a.term = b.term AND a.item_id <> b.item_id GROUP BY 1, 2)
-  SELECT a, b, cosine, rank FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY cosine DESC, b) AS rank FROM c WHERE cosine >= 0.2) WHERE rank <= 20""")(
-    lambda s, d: J.tfidf_edges(J.tfidf(t(s, d, "benchmark"), "item_id", "text"), "item_id", 0.2, 20))
+  SELECT a, b, cosine, rank FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY cosine DESC, b) AS rank FROM c WHERE cosine >= 0.1) WHERE rank <= 20 ORDER BY cosine DESC, a, b LIMIT 30000""")(
+    lambda s, d: J.tfidf_edges(J.tfidf(t(s, d, "benchmark"), "item_id", "text", stops=["the", "and", "of"]), "item_id", 0.1, 20, 30_000))
 
 # Lenses
 
