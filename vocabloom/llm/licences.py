@@ -176,10 +176,24 @@ def _templates() -> list[tuple[int, frozenset]]:
     return [(k, frozenset(grams_of(words_in(t)))) for k, f in enumerate(TEMPLATES) for t in TEMPLATES[f]]
 
 
+@lru_cache(maxsize=1)
+def _gram_words() -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each template word, the words of every n-gram (the last number stands for none), where a template's n-grams start, and
+    how many of them explain it."""
+    grams = [[g.split(" ") for g in t] for _, t in _templates()]
+    number = {w: i for i, w in enumerate(sorted({w for t in grams for g in t for w in g}))}
+    words = np.array([[number[w] for w in g] + [len(number)] * (3 - len(g)) for t in grams for g in t])
+    sizes = np.array([len(t) for t in grams])
+    return number, words, np.cumsum(sizes) - sizes, CONFIRMED * sizes
+
+
 @lru_cache(maxsize=1 << 16)
 def _explainable(known: frozenset) -> bool:
     """Whether the template words that a paragraph has can make up most n-grams of a template."""
-    return any(sum(known.issuperset(g.split(" ")) for g in t) >= CONFIRMED * len(t) for _, t in _templates())
+    number, words, starts, least = _gram_words()
+    has = np.zeros(len(number) + 1, bool)
+    has[[len(number), *(number[w] for w in known)]] = True
+    return bool((np.add.reduceat(has[words].all(axis=1), starts, dtype=np.int64) >= least).any())
 
 
 def _explained(templates: list[tuple[int, frozenset]], vocabulary: frozenset, words: list[str]) -> bool:
@@ -297,6 +311,8 @@ def confirmed_spans(model: LicenceModel, words: list[str]) -> list[tuple[int, in
 
     Spans grow word by word up to twice a template's words; of spans that overlap the most similar one stays.
     """
+    if not words:
+        return []
     all_grams, spans = grams_of(words), []
     for k, t in model.templates:
         if len(t & all_grams) < CONFIRMED * len(t):
