@@ -13,11 +13,13 @@ from vocabloom.llm import (
     kd_shards,
     language_id,
     licences,
+    line_dedup,
     piece_codec,
     simhash_native,
     simhash_neardup,
     toxicity,
     warc,
+    whitening,
 )
 
 
@@ -25,10 +27,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         licences.op1_license_scan, warc.op2_warc_archive, toxicity.op3_toxicity, simhash_neardup.op4_simhash_neardup,
         simhash_native.op5_document_fingerprints, language_id.op6_language_id, kd_shards.op7_kd_shards,
-        curve_packing.op8_curve_packing, piece_codec.op9_piece_codec, exact_dedup.op10_exact_dedup,
+        curve_packing.op8_curve_packing, piece_codec.op9_piece_codec, exact_dedup.op10_exact_dedup, whitening.op11_embedding_whitening, line_dedup.op13_line_dedup,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_archive": warc.OP2_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL}
+    return {"op2_warc_archive": warc.OP2_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL, "op13_line_dedup": line_dedup.OP13_SQL}
