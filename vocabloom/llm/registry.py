@@ -14,6 +14,7 @@ from vocabloom.llm import (
     language_id,
     licences,
     line_dedup,
+    phrase_tiles,
     piece_codec,
     simhash_native,
     simhash_neardup,
@@ -27,10 +28,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         licences.op1_license_scan, warc.op2_warc_archive, toxicity.op3_toxicity, simhash_neardup.op4_simhash_neardup,
         simhash_native.op5_document_fingerprints, language_id.op6_language_id, kd_shards.op7_kd_shards,
-        curve_packing.op8_curve_packing, piece_codec.op9_piece_codec, exact_dedup.op10_exact_dedup, whitening.op11_embedding_whitening, line_dedup.op13_line_dedup,
+        curve_packing.op8_curve_packing, piece_codec.op9_piece_codec, exact_dedup.op10_exact_dedup, whitening.op11_embedding_whitening, phrase_tiles.op12_phrase_collocations, line_dedup.op13_line_dedup,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_archive": warc.OP2_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL, "op13_line_dedup": line_dedup.OP13_SQL}
+    return {"op2_warc_archive": warc.OP2_SQL, "op10_exact_dedup": exact_dedup.OP10_SQL, "op12_phrase_collocations": phrase_tiles.OP12_SQL, "op13_line_dedup": line_dedup.OP13_SQL}
