@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -9,6 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own_dirs: dict[str, str] = {}
+_PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def with_package(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package where the cluster has not installed it."""
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(":")
+    if _PACKAGE_ROOT not in paths:
+        env["PYTHONPATH"] = ":".join([_PACKAGE_ROOT, *filter(None, paths)])
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vocabloom.functions.automaton import Rule, classified
 from vocabloom.functions.frame import first_by, top_by
 from vocabloom.operators.normalize import split_list
+from vocabloom.operators.rule_tables import CATEGORIES, keyword_rules, source_rules
 
 
 def classify(text: str, rules: list[tuple[str, list[str]]], default: str) -> Column:
@@ -42,6 +44,91 @@ def classify_keyword(
     return F.coalesce(sets, first(low, rules), known, first(cat, category_rules), F.lit(default))
 
 
+def source_disciplines(keywords: DataFrame, name: str = "discipline") -> DataFrame:
+    """Keywords (source, path, label, kind) with the discipline that the rules of their source give; the table is :func:`source_rules`.
+
+    A path's parts are parted by `` > ``; blank ones do not count.
+    """
+    parts = F.filter(F.transform(F.split(F.coalesce("path", F.lit("")), " > ", -1), F.trim), lambda x: x != "")
+    part = lambda k: F.get(parts, F.lit(k))
+    of = {
+        "part1": part(0), "part2": part(1), "topic": F.when(F.col("kind") == "sciencekeywords", part(1)), "path": F.lower("path"), "label": F.lower("label"),
+        "kind": F.col("kind"), "letter": F.substring("kind", 1, 1),
+    }
+    return classified(keywords, source_rules(), of, F.col("source"), name)
+
+
+def keyword_disciplines(keywords: DataFrame, label: str = "label", category: str = "category", name: str = "discipline") -> DataFrame:
+    """Publication keywords with their discipline, by :func:`keyword_rules`: the keyword itself goes before its publication's category."""
+    low = F.lower(F.trim(F.col(label)))
+    return classified(keywords, keyword_rules(), {"label": low, "category": F.col(category), "category_low": F.lower(category)}, name=name)
+
+
+def publication_senses(mentions: DataFrame, senses: DataFrame, disciplines: DataFrame, prefix: str = "wos", source: str = "WoS_publication") -> DataFrame:
+    """A sense of each different keyword of publications, from ``mentions`` (pub, label, kind, category), with kinds ``author`` and ``plus``.
+
+    Keywords are trimmed and in lower case; the category is that of the first publication that has one; tags say where the keyword comes from, that
+    ten publications or more have it, and that ``senses`` has its label. Of keywords whose shortened ids collide the first in order stays, as do
+    ids that ``senses`` has already.
+    """
+    low = F.lower(F.trim("label"))
+    n = lambda kind: F.count(F.when(F.col("kind") == kind, 1))
+    counted = mentions.select("pub", low.alias("label"), "kind", "category").where("label <> ''").groupBy("label").agg(
+        F.countDistinct("pub").alias("pubs"), n("author").alias("author"), n("plus").alias("plus"), F.expr("min_by(category, pub) FILTER (WHERE category IS NOT NULL)").alias("category")
+    )
+    sense_id = F.concat(F.lit(f"{prefix}:"), F.substring(F.replace("label", F.lit(" "), F.lit("_")), 1, 60), F.lit(f"@{source}#0"))
+    unique = first_by(counted.withColumn("sense_id", sense_id), ["sense_id"], ["label"]).join(senses.select("sense_id"), "sense_id", "left_anti")
+    known = senses.select(F.lower("label").alias("label")).distinct().withColumn("_known", F.lit(True))
+    tag = lambda hit, name: F.when(hit, F.lit(name))
+    tags = F.array_compact(F.array(
+        tag(F.col("author") > 0, "author_keyword"), tag(F.col("plus") > 0, "keywords_plus"), tag(F.col("pubs") >= 10, "high_frequency"), tag(F.col("_known"), "pillar_overlap")
+    ))
+    named = keyword_disciplines(unique.join(known, "label", "left"))
+    return with_tier(named, disciplines).select(
+        "sense_id", F.concat(F.lit(f"{prefix}:"), "label").alias("keyword_id"), F.lit(source).alias("source"), "label", "category", "discipline", "resolution_tier", "pubs", "author", "plus",
+        F.array_join(tags, ",").alias("tags"), F.round(F.least(F.lit(0.95), 0.5 + F.col("pubs") / 100), 6).alias("confidence"),
+    )
+
+
+def _value_senses(values: DataFrame, prefix: str, source: str, drop: str = "") -> DataFrame:
+    """(label, ...) with sense_id, keyword_id and source; a label's id is its lower-case form without ``drop``, with underscores and cut to 60 characters, and of
+    labels with one id the first in order stays."""
+    slug = F.substring(F.replace(F.translate(F.lower("label"), drop, ""), F.lit(" "), F.lit("_")), 1, 60)
+    named = values.withColumns({"sense_id": F.concat(F.lit(f"{prefix}:"), slug, F.lit(f"@{source}#0")), "keyword_id": F.concat(F.lit(f"{prefix}:"), "label"), "source": F.lit(source)})
+    return first_by(named, ["sense_id"], ["label"])
+
+
+def category_senses(pubs: DataFrame, key: str, fields: list[str], disciplines: DataFrame, prefix: str = "woscat", source: str = "WoS_category") -> DataFrame:
+    """A sense of each different category in ``fields`` of publications, with the number of publications that have it in any of them; its discipline is
+    that of the exact category."""
+    each = unpivot_fields(pubs, key, fields).select(key, F.trim("value").alias("label")).where("label <> ''").distinct()
+    counted = each.groupBy("label").agg(F.count("*").alias("pubs"))
+    exact = [Rule(name, "is", "label", c) for name, some in CATEGORIES for c in some] + [Rule("math_physics", "any")]
+    placed = with_tier(classified(_value_senses(counted, prefix, source, ","), exact, {"label": F.col("label")}), disciplines)
+    return placed.select("sense_id", "keyword_id", "source", "label", "discipline", "resolution_tier", "pubs", F.lit(0.9).alias("confidence"))
+
+
+def field_senses(rows: DataFrame, key: str, groups: list[tuple[list[str], str, str, float, int | None]], senses: DataFrame, disciplines: DataFrame) -> DataFrame:
+    """Senses of the different values, longer than two characters, of groups of fields (fields, prefix, source, confidence, tier).
+
+    A group without a tier is classified as keywords that are their own category; the others are about policy, in the given tier. Labels and
+    ids that ``senses`` has are left out.
+    """
+    known = senses.select(F.lower("label").alias("_l")).distinct()
+    every = None
+    for fields, prefix, source, confidence, tier in groups:
+        values = unpivot_fields(rows, key, fields).select(F.trim("value").alias("label")).where("length(label) > 2").distinct()
+        fresh = values.join(known, F.lower("label") == F.col("_l"), "left_anti")
+        named = _value_senses(fresh, prefix, source, "," if tier is None else "").join(senses.select("sense_id"), "sense_id", "left_anti")
+        if tier is None:
+            placed = with_tier(keyword_disciplines(named, "label", "label"), disciplines)
+        else:
+            placed = named.withColumn("discipline", F.lit("policy_economics")).withColumn("resolution_tier", F.lit(tier))
+        part = placed.select("sense_id", "source", "label", "discipline", "resolution_tier", F.lit(confidence).alias("confidence"))
+        every = part if every is None else every.unionByName(part)
+    return every
+
+
 def journal_disciplines(pubs: DataFrame, classifier: Callable[[str, str], Column]) -> DataFrame:
     """(journal, category, discipline): the class of each journal by its name and its commonest category."""
     named = pubs.where("journal IS NOT NULL AND category IS NOT NULL").select(F.trim("journal").alias("journal"), F.trim("category").alias("category"))
