@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocabloom.functions.frame import first_by, top_by
+from vocabloom.functions.pairs import tiled_pairs
 
 
 def _typed(same: Column) -> list[Column]:
@@ -50,10 +51,9 @@ def containment(labels: DataFrame, least: int = 4) -> DataFrame:
 
 
 def cooccurrence(pub_keywords: DataFrame, least_pubs: int, relevance: float = 0.0) -> DataFrame:
-    """Label pairs (a < b) by the publications they share."""
+    """Label pairs (a < b) by the publications they share. The labels of a publication meet in tiles, so that one with very many is dealt to many tasks."""
     rows = pub_keywords.where(F.col("relevance") >= relevance).select("pub", "label").distinct()
-    pairs = rows.select("pub", F.col("label").alias("a")).join(rows.select("pub", F.col("label").alias("b")), "pub").where("a < b")
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("pubs")).where(F.col("pubs") >= least_pubs)
+    return tiled_pairs(rows, "pub", "label").groupBy("a", "b").agg(F.count("*").alias("pubs")).where(F.col("pubs") >= least_pubs)
 
 
 def cooccurrence_edges(pairs: DataFrame, senses: DataFrame, confidence: Column, per_label: int, direction: str | None = None) -> DataFrame:
