@@ -3,46 +3,18 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocabloom.functions.frame import first_by
-
-QUERY_BLOCK, ROW_BLOCK = 512, 4096
+from vocabloom.operators.cells import CellIndex
 
 
 def similar(queries: DataFrame, rows: DataFrame, key: str, vector: str, least: float) -> DataFrame:
-    """(source, target, cosine) of each query and each row at or above ``least``; exact.
-
-    Both sides are dealt into blocks, and every pair of blocks is one small matrix product in a task of
-    its own; work grows with queries x rows, as the definition asks. Null and zero vectors have no edges.
-    """
-    q = queries.where(F.col(vector).isNotNull()).select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"))
-    r = rows.where(F.col(vector).isNotNull()).select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"))
-    across, down = -(-q.count() // QUERY_BLOCK) or 1, -(-r.count() // ROW_BLOCK) or 1
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    dealt = lambda n: F.pmod(F.xxhash64("k"), F.lit(n)).cast("int")
-    q = q.withColumn("a", dealt(across)).withColumn("b", every(down))
-    r = r.withColumn("b", dealt(down)).withColumn("a", every(across))
-    kind = dict(q.dtypes)["k"]
-
-    def unit(f: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        m = np.array(f["v"].tolist(), dtype=np.float64)
-        n = np.linalg.norm(m, axis=1)
-        return f["k"].to_numpy()[n > 0], m[n > 0] / n[n > 0, None]
-
-    def product(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
-            return pd.DataFrame({"source": [], "target": [], "cosine": []})
-        (kx, mx), (ky, my) = unit(x), unit(y)
-        c = mx @ my.T
-        i, j = np.nonzero((c >= least) & (kx[:, None] != ky[None, :]))
-        return pd.DataFrame({"source": kx[i], "target": ky[j], "cosine": c[i, j]})
-
-    return q.groupBy("a", "b").cogroup(r.groupBy("a", "b")).applyInPandas(product, f"source {kind}, target {kind}, cosine double")
+    """(source, target, cosine) of each query and each row at or above ``least``; exact, by a :class:`CellIndex`. Null and zero vectors have no edges."""
+    return CellIndex(rows, key, vector).search(queries, key, vector, least)
 
 
 def nearest(queries: DataFrame, rows: DataFrame, key: str, vector: str, least: float) -> DataFrame:
