@@ -47,6 +47,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` as a table to the shared folder and reads it back. A loop's table then has no past: a checkpoint keeps what is known
+    about its columns, and that knowledge grows with every round."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def first_by(df: DataFrame, keys: list, order: list) -> DataFrame:
     """The first row of each group in ``order``."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabloom.functions.frame import checkpointed
+from vocabloom.functions.frame import written
 from vocabloom.operators.hierarchy import build_graph
 
 
@@ -18,14 +18,14 @@ def tops(parents: DataFrame) -> DataFrame:
 
     A node whose way up is a cycle has a null top and null hops.
     """
-    now = checkpointed(parents.select("id", F.col("parent").alias("top"), F.lit(1).cast("long").alias("hops"), F.lit(True).alias("_open")))
+    now = written(parents.select("id", F.col("parent").alias("top"), F.lit(1).cast("long").alias("hops"), F.lit(True).alias("_open")), "lifting")
     ids, most = now.count(), 1
     while True:
         next_ = now.select(F.col("id").alias("_at"), F.col("top").alias("_top"), F.col("hops").alias("_hops"))
         moved = now.join(next_, F.col("top") == F.col("_at"), "left").select(
             "id", F.coalesce("_top", "top").alias("top"), (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"), F.col("_at").isNotNull().alias("_open")
         )
-        now = checkpointed(moved)
+        now = written(moved, "lifting")
         most *= 2
         if not now.where("_open").limit(1).count() or most > 2 * ids:
             break
@@ -47,14 +47,14 @@ def tree_depths(nodes: DataFrame) -> DataFrame:
 
 def ladders(nodes: DataFrame) -> DataFrame:
     """(id, depth, root, up): up[k] is the 2^k-th ancestor, null above the root; nodes on and below a cycle are left out."""
-    known = checkpointed(tree_depths(nodes).where("depth IS NOT NULL"))
+    known = written(tree_depths(nodes).where("depth IS NOT NULL"), "lifting")
     deepest = known.agg(F.max("depth")).first()[0] or 0
     rungs = known.join(single_parents(nodes), "id", "left").select("id", "depth", "root", F.array("parent").alias("up"))
     for k in range(1, max(1, deepest).bit_length()):
-        rungs = checkpointed(rungs)
+        rungs = written(rungs, "lifting")
         above = rungs.select(F.col("id").alias("_at"), F.get("up", F.lit(k - 1)).alias("_far"))
         rungs = rungs.join(above, F.get("up", F.lit(k - 1)) == F.col("_at"), "left").select("id", "depth", "root", F.array_append("up", F.col("_far")).alias("up"))
-    return checkpointed(rungs)
+    return written(rungs, "lifting")
 
 
 def lowest_common(nodes: DataFrame, pairs: DataFrame, rungs: DataFrame | None = None) -> DataFrame:
@@ -76,13 +76,13 @@ def lowest_common(nodes: DataFrame, pairs: DataFrame, rungs: DataFrame | None =
 
     x = pairs.select("a", "b").distinct()
     x = at(at(x, F.col("a"), "p"), F.col("b"), "q").where("p_root = q_root")
-    x = checkpointed(x)
+    x = written(x, "lifting")
     for k in reversed(range(top)):
         for name, other in (("p", "q"), ("q", "p")):
             x = at(x, F.when(F.col(f"{name}_depth") - F.col(f"{other}_depth") >= 1 << k, F.get(f"{name}_up", F.lit(k))).otherwise(F.col(name)), name)
-        x = checkpointed(x)
+        x = written(x, "lifting")
     for k in reversed(range(top)):
         apart = F.coalesce(F.get("p_up", F.lit(k)) != F.get("q_up", F.lit(k)), F.lit(False))
         step = lambda name: F.when(F.col("_go"), F.get(f"{name}_up", F.lit(k))).otherwise(F.col(name))  # noqa: E731, B023
-        x = checkpointed(at(at(x.withColumn("_go", apart), step("p"), "p"), step("q"), "q").drop("_go"))
+        x = written(at(at(x.withColumn("_go", apart), step("p"), "p"), step("q"), "q").drop("_go"), "lifting")
     return x.select("a", "b", F.when(F.col("p") == F.col("q"), F.col("p")).otherwise(F.get("p_up", F.lit(0))).alias("ancestor"))

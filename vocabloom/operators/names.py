@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabloom.functions.frame import checkpointed, first_by
+from vocabloom.functions.frame import first_by, written
 from vocabloom.functions.pairs import tiled_pairs
 from vocabloom.operators.lifting import tops
 
@@ -48,14 +48,14 @@ def connected(edges: DataFrame) -> DataFrame:
     In each round every node with a smaller neighbour points to the smallest one, pointers are followed to their ends by doubling, and the edges are
     drawn anew between the ends; their number falls until none is left.
     """
-    left = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    of = checkpointed(left.select(F.col("a").alias("node")).union(left.select("b")).distinct().select("node", F.col("node").alias("root")))
+    left = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "names")
+    of = written(left.select(F.col("a").alias("node")).union(left.select("b")).distinct().select("node", F.col("node").alias("root")), "names")
     while not left.isEmpty():
         ends = tops(left.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("parent"))).select("id", "top")
         to = lambda df, c: df.join(ends, df[c] == ends["id"], "left").withColumn(c, F.coalesce("top", c)).drop("id", "top")  # noqa: E731, B023
-        of = checkpointed(to(of, "root"))
+        of = written(to(of, "root"), "names")
         drawn = to(to(left, "a"), "b")
-        left = checkpointed(drawn.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+        left = written(drawn.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "names")
     return of
 
 
@@ -64,7 +64,7 @@ def variant_groups(names: DataFrame, most: int = 2, share: float = SHARE) -> Dat
 
     ``names`` has name and n, the number of its mentions; the canonical name of a group is the most frequent one (of equals the first in order).
     """
-    keyed = checkpointed(names.where("name IS NOT NULL").groupBy("name").agg(F.sum("n").alias("n")).withColumn("key", name_key("name")))
+    keyed = written(names.where("name IS NOT NULL").groupBy("name").agg(F.sum("n").alias("n")).withColumn("key", name_key("name")), "names")
     near = near_names(keyed.where("key <> ''"), "key", most).where(F.col("distance") <= F.least(F.length("a"), F.length("b")) * F.lit(share))
     groups = connected(near.select("a", "b"))
     placed = keyed.join(groups, keyed["key"] == groups["node"], "left").select("name", "n", "key", F.coalesce("root", "key").alias("_group"))
