@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from vocabloom.llm._common import gapless, ship, staged, table, text_slices
 
 #: Text of a chunk, and of what is taken apart at once.
-CHUNK_BYTES, SLICE_BYTES = 12 << 20, 4 << 20
+CHUNK_BYTES, SLICE_BYTES = 8 << 20, 2 << 20
 #: Ids on a side of a tile, and tiles on a side of the part of the id space that is counted by tiles.
 TILE, HEAD = 512, 32
 #: Words of the corpus for each bucket of other pairs, and chunks for each share of a tile.
