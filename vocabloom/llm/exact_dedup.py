@@ -116,9 +116,9 @@ def digest_groups(rows: DataFrame) -> DataFrame:
 
     Counting is combined before the shuffle, so a group of copies of any size costs one row for each task.
     """
-    best = F.max(F.struct("chars", (-F.col("doc_id")).alias("back")))
+    best = F.max(F.struct("chars", F.bitwise_not("doc_id").alias("back")))  # the complement falls as the id grows, without an overflow
     return rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size")).select(
-        "digest", "group_size", (-F.col("best.back")).alias("keep_id"), F.col("best.chars").alias("keep_chars")
+        "digest", "group_size", F.bitwise_not("best.back").alias("keep_id"), F.col("best.chars").alias("keep_chars")
     )
 
 
@@ -145,14 +145,15 @@ def keep_first_copies(docs: DataFrame) -> DataFrame:
     """
     names = [unused(docs, n) for n in ("_own_key", "_own_digest", "_own_copy")]
     key, digest, copy = names
-    kept = exact_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_kept_key"), F.col("text_sha256").alias("_kept_digest"))
+    kept_key, kept_digest = unused(docs, "_kept_key"), unused(docs, "_kept_digest")
+    kept = exact_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias(kept_key), F.col("text_sha256").alias(kept_digest))
     text = _whole(docs)
     keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(
         digest, text_digest(text)
     )
     order = [F.desc(F.char_length(text)), F.xxhash64(text)]
     return (
-        keyed.join(kept.hint("merge"), (keyed[key] == F.col("_kept_key")) & (keyed[digest] == F.col("_kept_digest")), "left_semi")
+        keyed.join(kept.hint("merge"), (keyed[key] == F.col(kept_key)) & (keyed[digest] == F.col(kept_digest)), "left_semi")
         .withColumn(copy, F.row_number().over(Window.partitionBy(key, digest).orderBy(*order)))
         .where(F.col(copy) == 1)
         .select(*docs.columns)

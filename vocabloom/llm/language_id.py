@@ -140,7 +140,8 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, landma
                         names=["doc_id", "lang", "grams"],
                     )
 
-    sample = rows.where("mark").select("doc_id", "lang", "text").mapInArrow(packed, "doc_id long, lang string, grams binary").toPandas()
+    one = rows.where("mark").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # rows that repeat an id give one landmark
+    sample = one.mapInArrow(packed, "doc_id long, lang string, grams binary").toPandas()
     sample = sample.sort_values(["lang", "doc_id", "grams"]).groupby("lang").head(share)
     marks = np.stack([np.frombuffer(g, np.uint8) for g in sample["grams"]])
 

@@ -376,13 +376,11 @@ def find_licences(model: LicenceModel, text: str) -> list[tuple[int, int, str, f
 
 
 def sample_paragraphs(docs: DataFrame, documents: int = NEGATIVES) -> list[str]:
-    """Paragraphs of at most ``documents`` documents, chosen by the hash of doc_id."""
-    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"))
-    ids = [(r[0],) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents).collect()]
-    picked = docs.sparkSession.createDataFrame(ids, "_id long").distinct()
-    lines = docs.join(F.broadcast(picked), F.col("doc_id").cast("long") == F.col("_id")).select(
-        "_id", F.split(F.col("text").cast("string"), "\n").alias("lines")
-    )
+    """Paragraphs of at most ``documents`` documents, chosen by the hash of doc_id; of rows that repeat an id the first text in order counts."""
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    ids = [(r[0],) for r in rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents).collect()]
+    picked = docs.sparkSession.createDataFrame(ids, "_id long")
+    lines = rows.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).groupBy("_id").agg(F.min("text").alias("text")).select("_id", F.split("text", "\n").alias("lines"))
     return [line for r in sorted(lines.collect(), key=lambda r: (r["_id"], r["lines"] or [])) for line in r["lines"] or []]
 
 

@@ -270,6 +270,7 @@ def _described(docs: DataFrame) -> DataFrame:
                 names=["node", "doc_id", "text_hash", "fp", "passages"],
             )
 
+    ship(docs.sparkSession)
     return docs.select(*_named(docs), docs["text"].cast("string").alias("text")).mapInArrow(batches, "node long, doc_id long, text_hash long, fp long, passages array<long>")
 
 
@@ -310,6 +311,7 @@ def alike(docs: DataFrame, pairs: DataFrame, similarity: float, words: int) -> D
             sets = [shingles(t.as_buffer().to_pybytes() if t.is_valid else b"", words).view(np.int64) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
 
+    ship(docs.sparkSession)
     named = docs.select(_named(docs)[0], docs["text"].cast("string").alias("text"))
     sets = named.join(ends, F.col("node") == F.col("_n"), "left_semi").dropDuplicates(["node"]).mapInArrow(batches, "node long, set array<long>")
     sets = staged(sets, "shingle-sets")
@@ -333,10 +335,11 @@ def keep_one_of_each(docs: DataFrame, similarity: float = 0.8, words: int = 5, n
     grouped = described.select("node", "doc_id", "text_hash").join(roots, F.col("node") == F.col("_n"))
     gone = grouped.select("node", "root").distinct().join(
         grouped.groupBy("root").agg(F.min(order)["node"].alias("_first")).select(F.bitwise_not(F.bitwise_not("root")).alias("_r"), "_first"), F.col("root") == F.col("_r")
-    ).where("node <> _first").select(F.col("node").alias("_gone")).distinct()
-    own, copy = unused(docs, "_own_node"), unused(docs, "_own_copy")
+    ).where("node <> _first")
+    own, copy, left = unused(docs, "_own_node"), unused(docs, "_own_copy"), unused(docs, "_gone")
+    gone = gone.select(F.col("node").alias(left)).distinct()
     keyed = docs.withColumn(own, _named(docs)[0])
-    kept = keyed.join(gone, keyed[own] == F.col("_gone"), "left_anti")
+    kept = keyed.join(gone, keyed[own] == F.col(left), "left_anti")
     return kept.withColumn(copy, F.row_number().over(Window.partitionBy(own).orderBy(F.lit(0)))).where(F.col(copy) == 1).select(*docs.columns)
 
 
