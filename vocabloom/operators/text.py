@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabloom.functions.frame import first_by
+from vocabloom.functions.frame import first_by, with_package
 
 TOKEN_BREAK = r"[^a-z0-9\-]+"
 
@@ -95,29 +99,54 @@ GRANTS = [
 ]
 
 
+#: What a text must have for a pattern to match at all, by the pattern's name; in lower case for those that ignore case.
+_NEEDS = {
+    "NSF Award": re.compile(r"\d{7}"), "NIH Grant": re.compile(r"[RKUPFTSDM]\d{2}"), "DOE Contract": re.compile("DE-"), "DOE Award": re.compile("DE-"), "NASA Grant": re.compile("NN[XGHM]"),
+    "NASA Award": re.compile("80NSSC"), "EU Grant": re.compile("grant|project"), "EPSRC Grant": re.compile("EP/"), "DFG Project": re.compile("dfg|deutsche"), "NSERC Grant": re.compile("nserc"),
+    "Generic Grant": re.compile("grant|award|funding|project|agreement|contract"), "Funded Reference": re.compile("funded"),
+}
+
+
+_GAPS = str.maketrans("", "", " -")
+
+
+def find_grants(text: str, patterns: list[tuple]) -> list[tuple[str, str, str, int, int]]:
+    """(number, agency, pattern_name, start, end) of each grant number of a text; of equal ones the first pattern's first."""
+    low, plain = text.lower(), text.isascii()
+    first: dict[str, tuple[str, str, str, int, int]] = {}
+    for name, agency, pattern, need in patterns:
+        any_case = bool(pattern.flags & re.IGNORECASE)
+        # Beyond ASCII some letters equal others only without case, so such texts are searched by every pattern that ignores case.
+        if need.search(low if any_case else text) or any_case and not plain:
+            for m in pattern.finditer(text):
+                number = "".join(m.groups())
+                first.setdefault(number.upper().translate(_GAPS), (number, agency, name, *m.span()))
+    return list(first.values())
+
+
 def grants(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Grant numbers of each document: number, agency, pattern_name, and the start and end of the match.
+    """Grant numbers of each document: number, agency, pattern_name, and the start and end of the match in characters.
 
-    Numbers that are equal without case, blanks and hyphens count once, for the first pattern and place. Matches part a text, so the
-    lengths of the parts and matches before one give its place.
+    Numbers that are equal without case, blanks and hyphens count once, for the first pattern and place. The patterns are those of a language whose
+    blanks, digits and letters are Unicode's, so a no-break space before a number is a blank; Python searches whole texts in batches.
     """
-    def of_pattern(k: int) -> Column:
-        name, agency, pattern = GRANTS[k]
-        whole = F.regexp_extract_all(text, F.lit(pattern), 0)
-        groups = (1, 2, 3) if agency == "NIH" else (1,)
-        parts = F.transform(F.split(text, pattern, -1), F.length)
-        before = lambda i: F.aggregate(F.slice(parts, 1, i + 1), F.lit(0), lambda a, x: a + x) + F.aggregate(F.slice(whole, 1, i), F.lit(0), lambda a, x: a + F.length(x))
-        found = F.transform(whole, lambda x, i: F.struct(
-            F.lit(k).alias("k"), before(i).alias("start"), F.length(x).alias("length"), F.concat(*(F.regexp_extract(x, pattern, g) for g in groups)).alias("number"),
-            F.lit(agency).alias("agency"), F.lit(name).alias("pattern_name"),
-        ))
-        return F.when(F.size(whole) > 0, found)
-
-    none = F.array().cast("array<struct<k:int,start:int,length:int,number:string,agency:string,pattern_name:string>>")
-    found = F.flatten(F.array(*(F.coalesce(of_pattern(k), none) for k in range(len(GRANTS)))))
-    rows = docs.select(key, F.explode(found).alias("g")).withColumn("_same", F.upper(F.regexp_replace("g.number", r"[ \-]", "")))
-    best = rows.groupBy(key, "_same").agg(F.min("g").alias("g"))
-    return best.select(key, "g.number", "g.agency", "g.pattern_name", "g.start", (F.col("g.start") + F.col("g.length")).alias("end"))
+    kind = dict(docs.dtypes)[key]
+    patterns = [(name, agency, re.compile(pattern), _NEEDS[name]) for name, agency, pattern in GRANTS]
+    find, names = find_grants, ["number", "agency", "pattern_name", "start", "end"]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, rows = [], []
+            for k, x in enumerate(batch.column("_text").to_pylist()):
+                for row in find(x, patterns):
+                    at.append(k)
+                    rows.append(row)
+            columns = [pa.array([r[i] for r in rows], pa.int32() if i > 2 else pa.string()) for i in range(5)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns], names=[key, *names])
+
+    with_package(docs.sparkSession)
+    rows = docs.select(F.col(key), F.col(text).cast("string").alias("_text")).where("_text IS NOT NULL")
+    return rows.mapInArrow(search, f"`{key}` {kind}, number string, agency string, pattern_name string, start int, end int")
 
 
 def field_counts(df: DataFrame, field: str) -> DataFrame:
