@@ -15,7 +15,8 @@ def search_label(keywords: DataFrame, text: str, source: str | None = None) -> D
 
 
 def by_source(keywords: DataFrame, source: str) -> DataFrame:
-    return keywords.where(F.col("source") == source).orderBy("label", "id")
+    """The keywords of a source in the order of their full path (where there is one), label and id."""
+    return keywords.where(F.col("source") == source).orderBy(*(c for c in ("full_path", "label", "id") if c in keywords.columns))
 
 
 def upsert_replace(stored: DataFrame, records: DataFrame) -> DataFrame:

@@ -17,13 +17,17 @@ def stratified_sample(df: DataFrame, strata: list, key: str, per_stratum: int, s
 
 
 def quota_sample(df: DataFrame, strata: list, key: str, n: int, order: Column | None = None) -> DataFrame:
-    """``n`` rows: an equal quota of each stratum, and what is left of ``n`` from all other rows, both in ``order`` (the hash of the key by default)."""
+    """``n`` rows: an equal quota of each stratum, and what is left of ``n`` from all other rows, both in ``order`` (the hash of the key by default).
+
+    No row of the sample lies beyond the first 2 * n of its stratum, and so of its share of the stratum: shares are cut to that before a stratum is put in order.
+    """
     order = F.xxhash64(key, F.lit(1)) if order is None else order
     names = [f"_s{i}" for i in range(len(strata))]
     named = df.select("*", *(c.alias(s) for c, s in zip(strata, names)), order.alias("_o"))
     quota = named.select(*names).distinct().agg(F.floor(F.lit(n) / F.count("*"))).scalar()
-    placed = named.withColumn("_place", F.row_number().over(Window.partitionBy(*names).orderBy("_o", key)))
-    return placed.orderBy(F.col("_place") > quota, "_o", key).limit(n).drop(*names, "_o", "_place")
+    few = top_by(named.withColumn("_share", F.pmod(F.xxhash64(key, F.lit(2)), F.lit(64))), [*names, "_share"], ["_o", key], 2 * n, "_place")
+    placed = few.withColumn("_place", F.row_number().over(Window.partitionBy(*names).orderBy("_o", key)))
+    return placed.orderBy(F.col("_place") > quota, "_o", key).limit(n).drop(*names, "_o", "_place", "_share")
 
 
 def edge_sample(edges: DataFrame, key: list[str], share: float, seed: int = 1) -> DataFrame:

@@ -35,6 +35,10 @@ _DATE = "STRUCT<`date-parts`: ARRAY<ARRAY<INT>>>"
 RECORD_JSON = f"DOI STRING, title ARRAY<STRING>, `published-print` {_DATE}, `published-online` {_DATE}, issued {_DATE}"
 
 
+#: A line of N-Triples: subject, predicate, and as object an address or a text with its language.
+TRIPLE = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<[^>]*>)?)\s*\.\s*$'
+
+
 def hierarchy_columns(header: list[str]) -> list[str]:
     """The columns of a keyword file that form its hierarchy, in order."""
     return [c for c in header if c.strip().upper() not in METADATA]
@@ -61,16 +65,59 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return parse_csv(lines, head[1], head[0])
 
 
+def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(value, pos, file): lines of text files with a place that orders them the same way however the files are split: by path, start of
+    the block in the file, and order in the block (whose rows are read by one task, one after the other)."""
+    lines = spark.read.text(paths)
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    return lines.select("value", F.struct(file.alias("file"), block.alias("block"), F.monotonically_increasing_id().alias("at")).alias("pos"), file.alias("file"))
+
+
+def version_of(line: Column) -> Column:
+    """The version that a metadata line names: its first field, if the line speaks of a version."""
+    return F.when(line.contains("Version"), F.trim(F.translate(F.split_part(line, F.lit(","), F.lit(1)), '"', "")))
+
+
+def file_versions(lines: DataFrame) -> DataFrame:
+    """(file, version) of the first line of each file (of :func:`read_lines`)."""
+    first = lines.groupBy("file").agg(F.min_by("value", "pos").alias("_line"))
+    return first.select("file", version_of(F.col("_line")).alias("version"))
+
+
+def read_versioned_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The rows of several keyword files, each with its ``file`` and the version that its metadata line names; columns that a file lacks are null.
+
+    A file of fewer than three lines has no rows. Only the first three lines of each file reach the driver.
+    """
+    every = None
+    for path in paths:
+        head = [r["value"] for r in spark.read.text(path).take(3)]
+        if len(head) == 3:
+            rows = parse_csv(spark.read.text(path), head[1], head[0]).withColumns({"file": F.lit(path), "version": version_of(F.lit(head[0]))})
+            every = rows if every is None else every.unionByName(rows, allowMissingColumns=True)
+    return spark.createDataFrame([], "file string, version string") if every is None else every
+
+
+def broken_triples(lines: DataFrame) -> DataFrame:
+    """(value, pos, reason) of the lines that are neither a triple, a comment nor blank: ``subject``, ``predicate``, ``object`` or ``end``, the first part that is wrong."""
+    iri, text = r"<[^>]*>", r'"(?:[^"\\]|\\.)*"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?'
+    parts = [("subject", rf"^\s*{iri}\s"), ("predicate", rf"^\s*{iri}\s+{iri}\s"), ("object", rf"^\s*{iri}\s+{iri}\s+(?:{iri}|{text})")]
+    reason = F.lit("end")
+    for name, pattern in reversed(parts):
+        reason = F.when(~F.col("value").rlike(pattern), name).otherwise(reason)
+    some = lines.where(~F.col("value").rlike(r"^\s*(?:#.*)?$") & ~F.col("value").rlike(TRIPLE))
+    return some.select("value", "pos", reason.alias("reason"))
+
+
 def parse_triples(lines: DataFrame) -> DataFrame:
     """(subject, predicate, object, lang, pos) of N-Triples lines; ``pos`` keeps the order of lines.
 
-    A column ``pos`` that the lines already have is kept.
+    A column ``pos`` that the lines already have, such as that of :func:`read_lines`, is kept; else the order is that of one read of the files.
     """
-    line = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<[^>]*>)?)\s*\.\s*$'
-    part = lambda k: F.regexp_extract("value", line, k)
+    part = lambda k: F.regexp_extract("value", TRIPLE, k)
     text = F.replace(F.replace(part(4), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
     pos = F.col("pos") if "pos" in lines.columns else F.monotonically_increasing_id()
-    return lines.where(F.col("value").rlike(line)).select(
+    return lines.where(F.col("value").rlike(TRIPLE)).select(
         part(1).alias("subject"), part(2).alias("predicate"), F.when(part(3) != "", part(3)).otherwise(text).alias("object"), F.nullif(part(5), F.lit("")).alias("lang"), pos.alias("pos")
     )
 
