@@ -9,8 +9,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from vocabloom.functions.automaton import NONE, RULE_COLUMNS, Rule, RuleAutomaton, classified, rule_rows, rules_of
-from vocabloom.operators.rule_tables import keyword_rules, source_rules
+from vocabloom.operators.rule_tables import keyword_rules, source_rules, sub_category_rules
 from vocabloom.operators.senses import keyword_disciplines, publication_senses, source_disciplines
+from vocabloom.operators.vectors import sub_categories
 
 
 def one_by_one(rules, row, scope=None):
@@ -106,3 +107,10 @@ def test_publication_senses(spark):
     assert (got["x y"]["sense_id"], got["x y"]["category"], got["x y"]["resolution_tier"]) == ("wos:x_y@WoS_publication#0", "Optics", 4)
     again = publication_senses(mentions, got["x y"] and spark.createDataFrame([("wos:x_y@WoS_publication#0", "z")], "sense_id string, label string"), tiers)
     assert {r["label"] for r in again.collect()} == {"coal"}
+
+
+def test_sub_categories(spark):
+    senses = spark.createDataFrame([(1, "Coal Combustion in air"), (2, "combustion"), (3, "hot air"), (4, "far"), (5, "no vector"), (6, "hydrogen"), (7, None)], "id long, label string")
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.9, 0.1]), (4, [-1.0, -1.0]), (6, [0.0, 0.0]), (7, [0.0, 0.0])], "id long, v array<double>")
+    got = {r["id"]: (r["sub_category"], r["strategy"]) for r in sub_categories(senses, vectors, "id", "v", sub_category_rules(), 0.5).collect()}
+    assert got == {1: ("coal_combustion", "pattern"), 2: ("combustion", "pattern"), 3: ("coal_combustion", "centroid"), 6: ("hydrogen", "pattern")}

@@ -224,6 +224,12 @@ CATEGORY_PARTS = [
     ("nuclear_particle", ["nuclear"]),
 ]
 
+#: Sub-categories of fossil energy, in order; the words of its name are a sub-category's first pattern.
+SUB_CATEGORIES = [
+    "carbon_capture", "combustion", "gasification", "fuel_cells", "co2_storage", "hydrogen", "turbines_power", "co2_utilization", "emissions", "power_systems",
+    "coal_chemistry", "coal_processing", "coal_combustion", "coal_conversion", "shale_gas", "methane_hydrates", "natural_gas_processing", "methane_emissions",
+]
+
 
 def _is(field: str, table: list[tuple[str, list[str]]], scope: str | None = None) -> list[Rule]:
     return [Rule(name, "is", field, value, scope) for name, values in table for value in values]
@@ -257,3 +263,9 @@ def keyword_rules() -> list[Rule]:
         rules += _is("label", [(name, labels)]) + _has("label", [(name, parts)])
     rules += _has("label", KEYWORD_PARTS) + _is("category", CATEGORIES) + _has("category_low", CATEGORY_PARTS)
     return [*rules, Rule("ee_me_engineering", "any")]
+
+
+def sub_category_rules(more: list[tuple[str, list[str]]] = ()) -> list[Rule]:
+    """Rules for the sub-category of a lower-case ``label``: longer names before the shorter ones that they hold, then the patterns of ``more`` (name, texts)."""
+    named = sorted(SUB_CATEGORIES, key=lambda n: -len(n))
+    return [Rule(n, "has", "label", n.replace("_", " ")) for n in named] + _has("label", list(more))

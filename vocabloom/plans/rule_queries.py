@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vocabloom.functions.automaton import Rule
 from vocabloom.operators import rule_tables as R
 from vocabloom.operators import senses as C
+from vocabloom.operators import vectors as V
 from vocabloom.plans import standins as S
 from vocabloom.plans.registry import query
 from vocabloom.plans.standins import t
@@ -143,3 +144,22 @@ query("field_sense_rows", "", f"""WITH {_LABELS_SQL}, {_TIERS_SQL}, {_KNOWN},
     CASE g WHEN 0 THEN coalesce(tier, 4) WHEN 1 THEN 3 ELSE 4 END AS resolution_tier, CASE g WHEN 0 THEN 0.6 WHEN 1 THEN 0.5 ELSE 0.4 END::DOUBLE AS confidence FROM n JOIN found USING (sense_id) LEFT JOIN tiers ON discipline = name""")(
     lambda s, d: C.field_senses(_labels(s, d).join(t(s, d, "part").select("p_partkey", "p_type", "p_brand", F.col("p_size").cast("string").alias("p_size")), "p_partkey"), "p_partkey", _GROUPS,
                                 _labels(s, d).where("p_partkey % 5 = 0").select(F.concat("p_partkey", F.lit("#0")).alias("sense_id"), "label"), _tiers(s)))
+
+# Sub-categories: a third of the labels hold the words of one
+
+_SUBS = R.sub_category_rules([("steel_parts", ["steel"])])
+_SUB_TEXTS = [r.text for r in _SUBS]
+
+
+def _sub_labels(s: SparkSession, d: str) -> DataFrame:
+    return t(s, d, "part").select(F.col("p_partkey").alias("vec_id"), F.when(F.expr("p_partkey % 3 = 0"), F.concat(F.upper(_pick(_SUB_TEXTS, "p_partkey * 5")), F.lit(" "), "p_name")).otherwise(F.col("p_name")).alias("label"))
+
+
+query("sub_categories", "", f"""WITH l AS (SELECT p_partkey AS vec_id, lower(CASE WHEN p_partkey % 3 = 0 THEN {_sql_pick(_SUB_TEXTS, 'p_partkey * 5')} || ' ' || p_name ELSE p_name END) AS label FROM part),
+  {_sql_first(_SUBS, 'l', 'vec_id', 'NULL', {'label': 'label'})},
+  e AS (SELECT vec_id, name, embedding::DOUBLE[] AS v FROM embeddings JOIN l USING (vec_id) LEFT JOIN found USING (vec_id)),
+  m AS (SELECT name, list(m ORDER BY i) AS m FROM (SELECT name, i, avg(x) AS m FROM (SELECT name, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e WHERE name IS NOT NULL) GROUP BY 1, 2) GROUP BY 1),
+  c AS (SELECT vec_id, m.name, round(list_cosine_similarity(v, m), 6) AS cosine FROM e CROSS JOIN m WHERE e.name IS NULL)
+  SELECT vec_id, name AS sub_category, 'pattern' AS strategy, CAST(NULL AS DOUBLE) AS cosine FROM found
+  UNION ALL SELECT vec_id, name, 'centroid', cosine FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, name) AS rn FROM c) WHERE rn = 1 AND cosine >= 0.1""")(
+    lambda s, d: V.sub_categories(_sub_labels(s, d), t(s, d, "embeddings"), "vec_id", "embedding", _SUBS, 0.1))
