@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from vocabloom.functions.frame import average_ranks, sum_before, top_by
 
 
-def stratified_sample(df: DataFrame, strata: list, key: str, per_stratum: int, seed: int = 1) -> DataFrame:
-    """``per_stratum`` rows of each stratum in the order of a seeded hash."""
+def stratified_sample(df: DataFrame, strata: list, key: str, per_stratum: int, seed: int = 1, order: Column | None = None) -> DataFrame:
+    """``per_stratum`` rows of each stratum in ``order``, a seeded hash of the key by default."""
+    order = F.xxhash64(key, F.lit(seed)) if order is None else order
     named = df.select("*", *(c.alias(f"_s{i}") for i, c in enumerate(strata)))
-    return top_by(named, [f"_s{i}" for i in range(len(strata))], [F.xxhash64(key, F.lit(seed)), key], per_stratum, "_place").drop("_place")
+    return top_by(named, [f"_s{i}" for i in range(len(strata))], [order, key], per_stratum, "_place").drop("_place")
 
 
 def quota_sample(df: DataFrame, strata: list, key: str, n: int, order: Column | None = None) -> DataFrame:
@@ -30,9 +31,10 @@ def quota_sample(df: DataFrame, strata: list, key: str, n: int, order: Column |
     return placed.orderBy(F.col("_place") > quota, "_o", key).limit(n).drop(*names, "_o", "_place", "_share")
 
 
-def edge_sample(edges: DataFrame, key: list[str], share: float, seed: int = 1) -> DataFrame:
-    """A repeatable share of the edges, chosen by hash."""
-    return edges.where(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+def edge_sample(edges: DataFrame, key: list[str], share: float, seed: int = 1, hashed: Column | None = None) -> DataFrame:
+    """A repeatable share of the edges, chosen by a hash: a whole number, that of the key and seed by default."""
+    hashed = F.xxhash64(*key, F.lit(seed)) if hashed is None else hashed
+    return edges.where(F.pmod(hashed, F.lit(1_000_000)) < int(share * 1_000_000))
 
 
 def kappa(df: DataFrame, a: str, b: str) -> DataFrame:

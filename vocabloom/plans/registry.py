@@ -367,12 +367,14 @@ def _linked(s: SparkSession, d: str) -> DataFrame:
     return side("source_sense_id").join(side("target_sense_id"), ["label", "_k"]).where("source_sense_id <> target_sense_id").select("source_sense_id", "target_sense_id")
 
 
-query("stratified_sample")(lambda s, d: V.stratified_sample(S.senses(s, d), [F.col("discipline"), F.floor(F.col("confidence") * 3)], "sense_id", 5).select("sense_id", "discipline", "confidence"))
+query("stratified_sample", "senses", "SELECT sense_id, discipline, confidence FROM senses QUALIFY row_number() OVER (PARTITION BY discipline, floor(confidence * 3) ORDER BY md5('1:' || sense_id), sense_id) <= 5")(
+    lambda s, d: V.stratified_sample(S.senses(s, d), [F.col("discipline"), F.floor(F.col("confidence") * 3)], "sense_id", 5, order=F.md5(F.concat(F.lit("1:"), "sense_id"))).select("sense_id", "discipline", "confidence"))
 query("quota_sample", "senses", """, q AS (SELECT *, CASE WHEN confidence >= 0.7 THEN 2 WHEN confidence >= 0.4 THEN 1 ELSE 0 END AS bucket FROM senses),
   k AS (SELECT floor(100 / count(*)) AS quota FROM (SELECT DISTINCT discipline, bucket FROM q)), p AS (SELECT *, row_number() OVER (PARTITION BY discipline, bucket ORDER BY sense_id) AS place FROM q)
   SELECT sense_id, discipline, confidence FROM p, k ORDER BY place > quota, sense_id LIMIT 100""")(
     lambda s, d: V.quota_sample(S.senses(s, d), [F.col("discipline"), F.when(F.col("confidence") >= 0.7, 2).when(F.col("confidence") >= 0.4, 1).otherwise(0)], "sense_id", 100, F.col("sense_id")).select("sense_id", "discipline", "confidence"))
-query("edge_sample")(lambda s, d: V.edge_sample(S.rels(s, d), ["source_sense_id", "target_sense_id"], 0.1))
+query("edge_sample", "senses rels", "SELECT * FROM rels WHERE ('0x' || substr(md5(source_sense_id || ' ' || target_sense_id), 1, 8))::BIGINT % 1000000 < 100000")(
+    lambda s, d: V.edge_sample(S.rels(s, d), ["source_sense_id", "target_sense_id"], 0.1, hashed=F.conv(F.substring(F.md5(F.concat_ws(" ", "source_sense_id", "target_sense_id")), 1, 8), 16, 10).cast("long")))
 query("kappa", "", """WITH c AS (SELECT quality AS a, toxic AS b, count(*) AS n FROM labels GROUP BY 1, 2), s AS (SELECT sum(n) AS n, sum(n) FILTER (a = b) AS agree FROM c),
   e AS (SELECT sum(na * nb) AS e FROM (SELECT a, sum(n) AS na FROM c GROUP BY 1) x JOIN (SELECT b, sum(n) AS nb FROM c GROUP BY 1) y ON a = b)
   SELECT CAST(n AS BIGINT) AS n, round(agree / n, 6) AS observed, round(e / (n * n), 6) AS expected, round((agree / n - e / (n * n)) / (1 - e / (n * n)), 6) AS kappa FROM s, e""")(
@@ -537,4 +539,7 @@ query("lens_members", "senses fine disc", f""", {LENSES_SQL}, m AS (SELECT label
     lambda s, d: L.lens_members(S.fine_senses(s, d), _lenses(s, d), 0.25))
 query("program_flow", "pubs", "SELECT journal, category, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY journal), 6) AS share FROM pubs GROUP BY 1, 2")(
     lambda s, d: C.share_of_group(S.pubs(s, d), "journal", "category"))
-query("radial_layout")(lambda s, d: A.radial_layout(S.senses(s, d), 100))
+query("radial_layout", "senses", """, sec AS (SELECT discipline, row_number() OVER (ORDER BY discipline) - 1 AS sector, count(*) OVER () AS k FROM (SELECT DISTINCT discipline FROM senses)),
+  p AS (SELECT *, row_number() OVER (PARTITION BY discipline ORDER BY confidence DESC, sense_id) AS place FROM senses QUALIFY place <= 100),
+  a AS (SELECT p.sense_id, p.discipline, 2 * 3.141592653589793::DOUBLE * (sector + place / 101) / k AS angle, least(tanh((coalesce(level, 0) + 1) / 2), 0.97::DOUBLE) AS r FROM p JOIN sec USING (discipline))
+  SELECT sense_id, discipline, round(r * cos(angle), 6) AS x, round(r * sin(angle), 6) AS y FROM a""")(lambda s, d: A.radial_layout(S.senses(s, d), 100))
