@@ -362,9 +362,9 @@ for _name, _where, _search in (("papers_through_lens", "TRUE", None), ("papers_t
 
 
 def _linked(s: SparkSession, d: str) -> DataFrame:
-    """Edges between senses of one label whose keyword ids agree modulo five."""
-    side = lambda c: S.senses(s, d).select("label", F.col("sense_id").alias(c), (F.col("keyword_id").cast("int") % 5).alias("_k"))
-    return side("source_sense_id").join(side("target_sense_id"), ["label", "_k"]).where("source_sense_id <> target_sense_id").select("source_sense_id", "target_sense_id")
+    """Edges from each sense to those with the six next keyword ids."""
+    side = lambda c: S.senses(s, d).select(F.col("sense_id").alias(c), F.col("keyword_id").cast("int").alias("_k"))
+    return side("source_sense_id").withColumn("_k", F.explode(F.sequence(F.col("_k") + 1, F.col("_k") + 6))).join(side("target_sense_id"), "_k").select("source_sense_id", "target_sense_id")
 
 
 query("stratified_sample", "senses", "SELECT sense_id, discipline, confidence FROM senses QUALIFY row_number() OVER (PARTITION BY discipline, floor(confidence * 3) ORDER BY md5('1:' || sense_id), sense_id) <= 5")(
@@ -410,7 +410,7 @@ query("coherence_summary", "pubkw cites", f""", {_SETS}, l AS (SELECT 'citing' A
     lambda s, d: V.similarity_summary(S.pub_keywords(s, d).groupBy("pub").agg(F.collect_set("label").alias("items")), {
         "citing": S.cites(s, d).select(F.col("citing").alias("a"), F.col("cited").alias("b")),
         "random": S.cites(s, d).select(F.col("citing").alias("a"), (t(s, d, "orders").agg(F.max("o_orderkey")).scalar() - F.col("citing")).alias("b"))}))
-query("neighbourhood_coherence", "senses fine pubkw", """, e AS (SELECT a.sense_id AS s, b.sense_id AS n FROM senses a JOIN senses b ON a.label = b.label AND a.sense_id <> b.sense_id AND CAST(a.keyword_id AS INT) % 5 = CAST(b.keyword_id AS INT) % 5),
+query("neighbourhood_coherence", "senses fine pubkw", """, e AS (SELECT a.sense_id AS s, b.sense_id AS n FROM senses a JOIN senses b ON CAST(b.keyword_id AS INT) BETWEEN CAST(a.keyword_id AS INT) + 1 AND CAST(a.keyword_id AS INT) + 6),
   c AS (SELECT s FROM e GROUP BY 1 HAVING count(*) >= 5), near AS (SELECT DISTINCT s, lower(label) AS label FROM e JOIN fine ON sense_id = n WHERE s IN (SELECT s FROM c) AND s IN (SELECT sense_id FROM senses WHERE confidence >= 0.5)),
   p AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY label) AS r FROM near QUALIFY r <= 20), k AS (SELECT DISTINCT pub, lower(label) AS label FROM pubkw),
   one AS (SELECT label, count(*) AS n FROM k GROUP BY 1), tot AS (SELECT count(DISTINCT pub) AS t FROM k),
