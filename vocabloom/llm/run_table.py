@@ -119,7 +119,7 @@ class RunTable:
     ``encode`` takes new words and returns their runs end to end and the length of each.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000, most_tokens: int = 16_000_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 400_000, most_tokens: int = 8_000_000):
         self.encode, self.most, self.most_tokens = encode, most, most_tokens
         self._clear()
 
