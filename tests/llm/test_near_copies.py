@@ -83,3 +83,12 @@ def test_one_of_each_group_stays(spark):
     for i, g in group.items():
         first.setdefault(g, i)
     assert kept == set(first.values())
+
+
+def test_the_trees_sample_is_chosen_in_tasks(spark):
+    """The driver gets a sample of about the size asked for, and no more, from all tasks together."""
+    points = spark.range(40000).selectExpr("xxhash64(id) AS fp").repartition(8)
+    every = {r.fp & (2**64 - 1) for r in points.collect()}
+    fps = simhash_neardup.sampled(points, 40000, 4000)
+    assert 3500 < len(fps) < 4500 and len(set(fps.tolist())) == len(fps) and set(fps.tolist()) <= every
+    assert len(simhash_neardup.sampled(points, 40000, 0)) == 0

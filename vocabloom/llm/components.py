@@ -10,8 +10,8 @@ from vocabloom.llm._common import staged
 
 def _least(rows: DataFrame, least: Column) -> DataFrame:
     """(_k, least) of each node. _k is an expression, so that a join with it has an exchange of its own, whose large parts
-    Spark can split: a hub's edges are then not one task's."""
-    return rows.groupBy("a").agg(least.alias("least")).select(F.bitwise_not(F.bitwise_not("a")).alias("_k"), "least")
+    Spark can split: a hub's edges are then not one task's. It is never broadcast, since the driver would hold it anew in every round."""
+    return rows.groupBy("a").agg(least.alias("least")).select(F.bitwise_not(F.bitwise_not("a")).alias("_k"), "least").hint("merge")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

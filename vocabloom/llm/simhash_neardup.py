@@ -190,14 +190,26 @@ def crowd_links(points: DataFrame, radius: int) -> DataFrame:
     return balls.join(least, "centre").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
+def sampled(points: DataFrame, n: int, most: int) -> np.ndarray:
+    """About ``most`` of the ``n`` different fingerprints, in the order of a hash. Tasks choose them by another hash and pack them to 8 bytes each, so
+    that the driver gets no more than that (an ordered limit would send it so many rows of every task)."""
+
+    def pack(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column("fp").to_numpy(zero_copy_only=False).tobytes()], pa.binary())], names=["packed"])
+
+    chosen = points.where(F.pmod(F.xxhash64("fp"), F.lit(max(1, n))) < most).select("fp")
+    packed = chosen.mapInArrow(pack, "packed binary").collect() if most else []
+    fps = np.frombuffer(b"".join(bytes(r["packed"]) for r in packed), np.uint64)
+    return fps[np.argsort(fps * np.uint64(0x9E3779B97F4A7C15))]
+
+
 def links(points: DataFrame, radius: int = 2, shard_rows: int = SHARD_ROWS, crowd_rows: int = CROWD_ROWS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints of ``points`` (column fp) that span the components."""
     spark = ship(points.sparkSession)
     n = points.count()
     shards = max(1, math.ceil(n / shard_rows))
-    most = min(SAMPLE_MOST, shards * SAMPLE_PER_SHARD)
-    sample = points.orderBy(F.xxhash64("fp"), "fp").limit(most if shards > 1 else 0).toPandas()["fp"]
-    nodes = build_tree(sample.to_numpy(np.int64).view(np.uint64), shards, radius)
+    nodes = build_tree(sampled(points, n, min(SAMPLE_MOST, shards * SAMPLE_PER_SHARD) if shards > 1 else 0), shards, radius)
 
     def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -222,7 +234,7 @@ def _roots(prints: DataFrame, radius: int, **limits: int) -> DataFrame:
     """fp, its component's root (a fingerprint) and component_id for each distinct fingerprint of ``prints``."""
     points = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "points")
     roots = components(links(points, radius, **limits), "near-links")
-    named = points.join(roots, points["fp"] == roots["node"], "left").select(
+    named = points.join(roots.hint("merge"), points["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
