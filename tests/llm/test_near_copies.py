@@ -92,3 +92,27 @@ def test_the_trees_sample_is_chosen_in_tasks(spark):
     fps = simhash_neardup.sampled(points, 40000, 4000)
     assert 3500 < len(fps) < 4500 and len(set(fps.tolist())) == len(fps) and set(fps.tolist()) <= every
     assert len(simhash_neardup.sampled(points, 40000, 0)) == 0
+
+
+def test_near_copies_without_a_common_passage(spark):
+    """Texts of one passage each, a word of which an edit changes, and groups whose rarest passages they share with others."""
+    import zlib
+
+    rng = np.random.default_rng(8)
+    plain = [w for w in (f"w{k}" for k in range(3000)) if zlib.crc32(w.encode()) % simhash_neardup.PASSAGE]
+    stop = next(w for w in (f"z{k}" for k in range(999)) if zlib.crc32(w.encode()) % simhash_neardup.PASSAGE == 0)
+    some = lambda n: [str(w) for w in rng.choice(plain, n)]
+    texts = []
+    for _ in range(30):
+        words = some(60)
+        texts += [words, [*words[:29], "other", *words[30:]], [*words[:20], *some(3), *words[25:]]]
+    for k in range(12):  # 12 texts of other ends share each passage, so that near copies are seldom among its chosen members
+        shared = [*some(20), stop]
+        for _ in range(12):
+            end = some(100)
+            texts += [[*shared, *end], [*shared, *end[:50], f"x{k}", *end[51:]]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)] + [(5000, None), (5001, " ")]
+    sets = {i: set(simhash_neardup.shingles((t or "").encode(), 5).tolist()) for i, t in rows}
+    near = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    kept = simhash_neardup.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots_of(list(sets), near).values()))

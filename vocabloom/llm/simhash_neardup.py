@@ -29,11 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.dataset as ds
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vocabloom.llm._common import ship, staged, table, unused
+from vocabloom.llm._common import filesystem, scratch_path, ship, staged, table, unused
 from vocabloom.llm.components import components
 
 SEED = 42
@@ -47,6 +48,8 @@ LEAF = 768
 #: Words of a passage, on average and at least; of its passages that others have a document meets the rarest ones, and of
 #: each passage so many members. Bits in which fingerprints of near copies differ at most.
 PASSAGE, LEAST_PASSAGE, RAREST, CENTRES, NEAR_BITS = 24, 8, 4, 3, 14
+#: One text of so many is in the sample of usual shingles, of which so many are kept at most.
+USUAL_SHARE, USUAL_MOST = 16, 1 << 20
 
 
 def fingerprint(raw: bytes, words: int = 3) -> int:
@@ -295,7 +298,7 @@ def _candidates(described: DataFrame, near_bits: int) -> DataFrame:
     """Pairs (a, b) of nodes that share one of their rarest passages and whose fingerprints differ in at most ``near_bits``.
 
     Passages whose fingerprints are linked within two bits are one. A node meets CENTRES members of each passage, chosen by hash, so
-    a passage of many documents makes rows in proportion to them.
+    a passage of many documents makes rows in proportion to them; pairs left out here are :func:`remaining_pairs`' to find.
     """
     each = staged(described.select("node", "fp", F.explode("passages").alias("_p")), "passages")
     points = staged(each.select(F.col("_p").alias("fp")).distinct(), "passage-points")
@@ -332,17 +335,139 @@ def alike(docs: DataFrame, pairs: DataFrame, similarity: float, words: int) -> D
     return both.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+@functools.lru_cache(maxsize=1)
+def _usual(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The usual shingles at ``path``, sorted, and how usual each is; once for each Python worker."""
+    store, place = filesystem(path)
+    held = ds.dataset(place, filesystem=store, format="parquet").to_table()
+    order = np.argsort(keys := held.column("h").to_numpy().view(np.uint64))
+    return keys[order], held.column("n").to_numpy()[order]
+
+
+def usual_shingles(docs: DataFrame, words: int) -> str:
+    """Where the shingles (h, n) lie that several texts of a sample share, the most frequent USUAL_MOST at most.
+
+    They only decide in which order shingles are looked at: whatever they are, the same pairs are found.
+    """
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for t in batch.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(t.as_buffer().to_pybytes() if t.is_valid else b"", words).view(np.int64))], names=["h"])
+
+    some = docs.select(docs["text"].cast("string").alias("text")).where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(USUAL_SHARE)) == 0)
+    path = scratch_path(docs.sparkSession, "usual-shingles")
+    counted = some.mapInArrow(batches, "h long").groupBy("h").agg(F.count("*").cast("int").alias("n")).where("n > 1")
+    counted = staged(counted, "usual-counts")
+    if counted.count() > USUAL_MOST:  # 12 bytes each in every worker
+        least = counted.groupBy("n").agg(F.count("*").alias("_c")).select("n", F.sum("_c").over(Window.orderBy(F.desc("n"))).alias("_upto")).where(F.col("_upto") <= USUAL_MOST).agg(F.min("n")).first()[0]
+        counted = counted.where(F.col("n") >= least) if least is not None else counted.limit(0)
+    counted.write.parquet(path)
+    return path
+
+
+def _rare_first(docs: DataFrame, similarity: float, words: int) -> DataFrame:
+    """node and, packed to 8 bytes each, the first of its shingles in one order of all, rare ones first, and their number (size).
+
+    A pair of that similarity has ``similarity`` of either's shingles in common, so its first common one is among the first 1 - ``similarity`` of both.
+    """
+    path = usual_shingles(docs, words)
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, often = _usual(path)
+        for batch in it:
+            sizes, firsts = [], []
+            for t in batch.column("text"):
+                own = shingles(t.as_buffer().to_pybytes() if t.is_valid else b"", words)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                    own = own[np.lexsort((own, np.where(keys[at] == own, often[at], 0)))]
+                sizes.append(len(own))
+                firsts.append(own[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=["node", "size", "firsts"])
+
+    named = docs.select(_named(docs)[0], docs["text"].cast("string").alias("text"))
+    return named.mapInArrow(batches, "node long, size int, firsts array<long>")
+
+
+def first_pairs(h: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, at: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes of different roots that share a hash (``h``, sorted), and whose shingles from there on could be enough in common."""
+    if not len(h):
+        return
+    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    mixed = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
+    some = np.repeat(mixed, np.diff(np.concatenate([starts, [len(h)]])))
+    h, node, root, size, at = h[some], node[some], root[some], size[some], at[some]
+    i, d = np.arange(len(h)), 0
+    while len(i):
+        d += 1
+        i = i[i + d < len(h)]
+        i = i[h[i] == h[i + d]]
+        j = i + d
+        most = np.minimum(size[i] - at[i], size[j] - at[j])  # the shared one and those after it
+        fits = (root[i] != root[j]) & (most * (1 + similarity) >= similarity * (size[i] + size[j]) - 1e-6)
+        if fits.any():
+            a, b = node[i[fits]], node[j[fits]]
+            yield np.maximum(a, b), np.minimum(a, b)
+
+
+def remaining_pairs(docs: DataFrame, roots: DataFrame, similarity: float, words: int) -> DataFrame:
+    """(a, b): candidates for every pair of that similarity whose nodes do not have one root in ``roots`` (node, root) yet.
+
+    The rare shingles of each text meet those of all other texts, whatever passages they stand in. Tasks read them in order, hold one shingle's
+    texts at a time and give pairs out as they find them.
+    """
+    ship(docs.sparkSession)
+    known = roots.select(F.col("node").alias("_n"), "root").hint("merge")
+    firsts = _rare_first(docs, similarity, words).dropDuplicates(["node"])
+    met = firsts.join(known, F.col("node") == F.col("_n"), "left").select("node", "root", "size", F.posexplode("firsts").alias("at", "h"))
+
+    def pairs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 5
+
+        def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for a, b in first_pairs(*columns, similarity):
+                both = np.unique(np.stack([a, b], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+        for batch in it:
+            new = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("h", "node", "root", "size", "at")]
+            held = [np.concatenate(x) for x in zip(held, new)]
+            if not len(held[0]) or held[0][0] == held[0][-1]:
+                continue
+            last = int(np.searchsorted(held[0], held[0][-1]))
+            yield from found([x[:last] for x in held])
+            held = [x[last:] for x in held]
+        yield from found(held)
+
+    ordered = met.select("h", "node", F.coalesce("root", "node").alias("root"), "size", "at").repartition("h").sortWithinPartitions("h")
+    return ordered.mapInArrow(pairs, "a long, b long").distinct()
+
+
+def near_copies(docs: DataFrame, described: DataFrame, similarity: float, words: int, near_bits: int) -> DataFrame:
+    """(node, root): the groups of all pairs of texts with that similarity, chains included.
+
+    Shared passages join most of a group at little cost; what they leave apart is compared by its rare shingles, which misses no pair.
+    """
+    pairs = alike(docs, staged(_candidates(described, near_bits), "near-pairs"), similarity, words)
+    roots = staged(components(pairs, "near-links"), "near-roots")
+    more = staged(alike(docs, staged(remaining_pairs(docs, roots, similarity, words), "remaining-pairs"), similarity, words), "remaining-links")
+    if more.isEmpty():
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), "near-links")
+
+
 def keep_one_of_each(docs: DataFrame, similarity: float = 0.8, words: int = 5, near_bits: int = NEAR_BITS) -> DataFrame:
     """One document of each group of near copies, the one with the smallest doc_id; all columns stay.
 
     Near copies have ``similarity`` of their word shingles. Fingerprints of whole texts of that similarity differ in more bits than
-    a vantage-point tree can prune by, so the tree finds passages that two texts share (within two bits); their pairs are held against the
-    fingerprints of the whole texts, and then exactly. Groups are chains of such pairs. Of rows that share the kept doc_id and text one stays;
+    a vantage-point tree can prune by, so the tree finds passages that two texts share (within two bits); some of their pairs are held against the
+    fingerprints of the whole texts, and then exactly. All other pairs of that similarity are found by their rare shingles (:func:`remaining_pairs`).
+    Groups are chains of such pairs. Of rows that share the kept doc_id and text one stays;
     a null doc_id stays only where its group has no other.
     """
     described = staged(_described(docs), "described")
-    pairs = alike(docs, staged(_candidates(described, near_bits), "near-pairs"), similarity, words)
-    roots = components(pairs, "near-links").select(F.col("node").alias("_n"), "root")
+    roots = near_copies(docs, described, similarity, words, near_bits).select(F.col("node").alias("_n"), "root")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "node")
     grouped = described.select("node", "doc_id", "text_hash").join(roots, F.col("node") == F.col("_n"))
     gone = grouped.select("node", "root").distinct().join(
