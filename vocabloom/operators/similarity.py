@@ -1,12 +1,17 @@
 """Similar texts: TF-IDF weights, and all pairs of at least a given cosine without comparing all pairs.
 
-The search keeps an index of the rare and heavy terms of each text only. In one order of all terms, the frequent ones first, a text's terms stay out of the index
+Where few pairs share anything the search keeps an index of the rare and heavy terms of each text only. In one order of all terms, the frequent ones first, a text's terms stay out of the index
 as long as even the heaviest text could not reach the threshold by them alone. Two texts that reach it share an indexed term of both; pairs
 that could not reach it by what they share in the index are dropped, and the others are compared by their whole vectors.
+
+Where texts are written in one small vocabulary the index would give out most pairs, and each with two vectors. There blocks of texts are multiplied with each
+other instead (:func:`tile_pairs`): every pair is computed where two blocks meet, and only the pairs that are alike leave a task. Both ways find the same pairs;
+a sample tells which is cheaper.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,11 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vocabloom.functions.frame import checkpointed, top_by, with_package
+from vocabloom.functions.frame import checkpointed, top_by, with_package, written
 from vocabloom.functions.pairs import tiled_pairs
 
 #: Slack of bounds for sums of doubles in another order.
 SLACK = 1e-9
+#: Texts and entries of a block at most, and products of a term in two blocks from which it is multiplied densely.
+BLOCK_ROWS, BLOCK_ENTRIES, DENSE = 1536, 1 << 20, 60_000
+#: Texts of the sample that tells how many pairs the index gives out, and the share of all pairs above which blocks are cheaper.
+PROBE, PROBE_SHARE = 2000, 0.01
 
 
 def representatives(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -34,15 +43,45 @@ def tfidf_weights(docs: DataFrame, key: str, text: str, features: int = 10_000,
     Of all terms the ``features`` most frequent in all texts count (of equals the first in order); that list is of bounded size and is broadcast. n is
     the number of rows of ``docs``, also of those without a term.
     """
+    vectors, terms = tfidf_vectors(docs, key, text, features, stops)
+    names = docs.sparkSession.createDataFrame(list(enumerate(terms)), "_n int, term string")  # ``features`` rows
+    each = vectors.select(key, F.explode(F.arrays_zip("t", "w")).alias("_e")).select(key, F.col("_e.t").alias("_t"), F.col("_e.w").alias("w"))
+    return each.join(F.broadcast(names), F.col("_t") == F.col("_n")).select(key, "term", "w")
+
+
+def tfidf_vectors(docs: DataFrame, key: str, text: str, features: int = 10_000, stops: list[str] = ()) -> tuple[DataFrame, list[str]]:
+    """The vectors of :func:`tfidf_weights` as (key, t, w), t being numbers of terms in order, and the terms; texts without a term have none.
+
+    A text's vector is made where the text is read. Only counts of different terms are shuffled.
+    """
+    with_package(docs.sparkSession)
     words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}_]+"), lambda x: (F.length(x) > 1) & ~x.isin(["", *stops]))
     both = F.zip_with(F.slice("_w", F.lit(1), F.greatest(F.size("_w") - 1, F.lit(0))), F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0))), lambda x, y: F.concat(x, F.lit(" "), y))
-    grams = docs.select(F.col(key), words.alias("_w")).where("size(_w) > 0").select(key, F.explode(F.concat("_w", both)).alias("term"))
-    tf = checkpointed(grams.groupBy(key, "term").agg(F.count("*").alias("tf")))
-    n = F.lit(docs.count())
-    kept = tf.groupBy("term").agg(F.sum("tf").alias("all"), F.count("*").alias("df")).orderBy(F.desc("all"), "term").limit(features)
-    w = tf.join(F.broadcast(kept), "term").select(key, "term", (F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1)).alias("w"))  # ``features`` rows
-    norm = Window.partitionBy(key)
-    return w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(norm)))
+    grams = docs.select(F.col(key), words.alias("_w")).where("size(_w) > 0").select(key, "_w", F.concat("_w", both).alias("_g"))
+    n = docs.count()
+    every = grams.select(F.explode("_g").alias("term")).groupBy("term").agg(F.count("*").alias("all"))
+    kept = checkpointed(every.orderBy(F.desc("all"), "term").limit(features).select("term"))
+    found = grams.select(F.explode(F.array_distinct("_g")).alias("term")).join(F.broadcast(kept), "term").groupBy("term").agg(F.count("*").alias("df")).collect()  # ``features`` rows
+    found.sort(key=lambda r: r["term"])
+    number = {r["term"]: k for k, r in enumerate(found)}
+    idf = np.log((1 + n) / (1 + np.array([r["df"] for r in found], np.float64))) + 1
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, ts, ws = [], [], []
+            for k, row in enumerate(batch.column("_w")):
+                w = row.as_py()
+                tf = Counter(t for t in map(number.get, [*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))]) if t is not None)
+                if tf:
+                    t = np.array(sorted(tf), np.int32)
+                    x = np.array([tf[i] for i in t.tolist()]) * idf[t]
+                    at.append(k)
+                    ts.append(t)
+                    ws.append(x / np.sqrt(x @ x))
+            columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(ts, pa.list_(pa.int32())), pa.array(ws, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "t", "w"])
+
+    return grams.select(key, "_w").mapInArrow(vectors, f"`{key}` {dict(docs.dtypes)[key]}, t array<int>, w array<double>"), [r["term"] for r in found]
 
 
 def indexed_terms(weights: DataFrame, key: str, least: float) -> DataFrame:
@@ -84,23 +123,119 @@ def _dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(dot)], names=["a", "b", "cosine"])
 
 
-def all_pairs(weights: DataFrame, key: str, least: float) -> DataFrame:
-    """(a, b, cosine), a < b: every pair of unit vectors (key, term, w) with a cosine of ``least`` or more, rounded to six places."""
-    with_package(weights.sparkSession)
+def all_pairs(weights: DataFrame, key: str, least: float, tiles: bool | None = None) -> DataFrame:
+    """(a, b, cosine), a < b: every pair of unit vectors (key, term, w) with a cosine of ``least`` or more, rounded to six places.
+
+    ``tiles`` says whether blocks are multiplied or the index is asked; a sample decides by default.
+    """
     weights = checkpointed(weights)
-    kind = dict(weights.dtypes)[key]
     terms = weights.select("term").distinct().select("term", F.xxhash64("term").alias("_h"))
     numbers = checkpointed(terms.select(F.element_at(F.array("term"), F.lit(1)).alias("_t"), (F.row_number().over(Window.partitionBy(F.pmod("_h", F.lit(1024))).orderBy("term")) * 1024 + F.pmod("_h", F.lit(1024))).cast("int").alias("_n")))
     vectors = weights.join(numbers, F.col("term") == F.col("_t")).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_n", "w"))).alias("v"))
-    vectors = checkpointed(vectors.select(F.col(key), F.transform("v", lambda x: x["_n"]).alias("t"), F.transform("v", lambda x: x["w"]).alias("w")))
+    return vector_pairs(vectors.select(F.col(key), F.transform("v", lambda x: x["_n"]).alias("t"), F.transform("v", lambda x: x["w"]).alias("w")), key, least, tiles)
+
+
+def vector_pairs(vectors: DataFrame, key: str, least: float, tiles: bool | None = None) -> DataFrame:
+    """:func:`all_pairs` of vectors (key, t, w), t being different numbers in order."""
+    with_package(vectors.sparkSession)
+    vectors = written(vectors, "vectors")
+    kind = dict(vectors.dtypes)[key]
+    of = lambda some: some.select(key, F.explode(F.arrays_zip("t", "w")).alias("_e")).select(key, F.col("_e.t").alias("term"), F.col("_e.w").alias("w"))
+    if tiles is None:
+        n = vectors.count()
+        some = vectors.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(5)), F.lit(max(1, n))) < PROBE) if n > PROBE else vectors
+        met = indexed_terms(of(some), key, least).groupBy("term").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
+        tiles = met > PROBE_SHARE * min(n, PROBE) ** 2 / 2
+    if tiles:
+        return tile_pairs(vectors, key, least)
     side = lambda k: vectors.select(F.col(key).alias(k), F.col("t").alias(f"t_{k}"), F.col("w").alias(f"w_{k}"))
-    found = candidate_pairs(weights, key, least).join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "w_a", "t_b", "w_b")
+    found = candidate_pairs(of(vectors), key, least).join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "w_a", "t_b", "w_b")
     return found.mapInArrow(_dots, f"a {kind}, b {kind}, cosine double").withColumn("cosine", F.round("cosine", 6)).where(F.col("cosine") >= least)
 
 
+def vector_blocks(vectors: DataFrame, key: str) -> DataFrame:
+    """(block, keys, terms, rows, weights): the vectors in blocks, each with its entries by term."""
+    sizes = vectors.agg(F.count("*"), F.sum(F.size("t"))).first()
+    parts = max(1, -(-sizes[0] // BLOCK_ROWS), -(-(sizes[1] or 0) // BLOCK_ENTRIES))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, entries = [], 0, 0
+
+        def block() -> pa.RecordBatch:
+            keys, t, w = (pa.concat_arrays([x.column(c).combine_chunks() if isinstance(x.column(c), pa.ChunkedArray) else x.column(c) for x in held]) for c in (0, 1, 2))
+            row = np.repeat(np.arange(len(keys), dtype=np.int32), np.diff(t.offsets.to_numpy()))
+            t, w = t.flatten().to_numpy(), w.flatten().to_numpy()
+            order = np.argsort(t, kind="stable")
+            raw = [pa.array([x[order].tobytes()], pa.binary()) for x in (t.astype(np.int32), row, w)]
+            return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), *raw], names=["keys", "terms", "rows", "weights"])
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                some = batch.slice(start, 64)
+                held.append(some)
+                rows, entries = rows + some.num_rows, entries + len(some.column(1).flatten())
+                if rows >= BLOCK_ROWS or entries >= BLOCK_ENTRIES:
+                    yield block()
+                    held, rows, entries = [], 0, 0
+        if held:
+            yield block()
+
+    kind = dict(vectors.dtypes)[key]
+    packed = vectors.select(key, "t", "w").repartition(parts, F.xxhash64(key)).mapInArrow(pack, f"keys array<{kind}>, terms binary, rows binary, weights binary")
+    return written(packed.withColumn("block", F.monotonically_increasing_id()), "vector-blocks")
+
+
+def _product(x: tuple, y: tuple) -> np.ndarray:
+    """The dot products of two blocks (rows, terms, row of each entry, weights), entries by term."""
+    (m, tx, rx, wx), (n, ty, ry, wy) = x, y
+    out = np.zeros((m, n))
+    terms, i, j = np.intersect1d(tx, ty, return_indices=True)
+    ends = lambda t, k: (k, np.searchsorted(t, terms, side="right"))
+    (xs, xe), (ys, ye) = ends(tx, i), ends(ty, j)
+    dense = np.flatnonzero((xe - xs) * (ye - ys) > DENSE)
+    for k in range(0, len(dense), 1024):
+        some = dense[k : k + 1024]
+        sides = []
+        for size, s, e, r, w in ((m, xs, xe, rx, wx), (n, ys, ye, ry, wy)):
+            a = np.zeros((size, len(some)))
+            for c, at in enumerate(some.tolist()):
+                a[r[s[at] : e[at]], c] = w[s[at] : e[at]]
+            sides.append(a)
+        out += sides[0] @ sides[1].T
+    for at in np.setdiff1d(np.arange(len(terms)), dense).tolist():
+        a, b = slice(xs[at], xe[at]), slice(ys[at], ye[at])
+        out[rx[a][:, None], ry[b][None, :]] += wx[a][:, None] * wy[b][None, :]
+    return out
+
+
+def tile_pairs(vectors: DataFrame, key: str, least: float) -> DataFrame:
+    """:func:`vector_pairs` by products of blocks. Tasks read the blocks' files; no vector is shuffled again, and a task holds two blocks and their products."""
+    blocks = vector_blocks(vectors, key)
+    kind = dict(vectors.dtypes)[key]
+    side = lambda k: blocks.select(*(F.col(c).alias(f"{c}_{k}") for c in ("block", "keys", "terms", "rows", "weights")))
+    tiles = side("x").hint("shuffle_replicate_nl").join(side("y"), F.col("block_x") <= F.col("block_y"))
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tile in (batch.slice(k, 1) for k in range(batch.num_rows)):
+                keys = [tile.column(f"keys_{k}").flatten() for k in "xy"]
+                raw = lambda c, kind: np.frombuffer(tile.column(c)[0].as_buffer(), kind)  # noqa: E731, B023
+                dots = _product(*((len(keys[k == "y"]), raw(f"terms_{k}", np.int32), raw(f"rows_{k}", np.int32), raw(f"weights_{k}", np.float64)) for k in "xy"))
+                if tile.column("block_x")[0] == tile.column("block_y")[0]:
+                    dots[np.tril_indices(len(dots))] = -1
+                for start in range(0, len(dots), 256):
+                    i, j = np.nonzero(dots[start : start + 256] >= least - 1e-6)
+                    ends = [keys[0].take(pa.array(i + start)), keys[1].take(pa.array(j))]
+                    yield pa.RecordBatch.from_arrays([*ends, pa.array(dots[i + start, j])], names=["a", "b", "cosine"])
+
+    found = tiles.select(*(f"{c}_{k}" for k in "xy" for c in ("block", "keys", "terms", "rows", "weights"))).mapInArrow(products, f"a {kind}, b {kind}, cosine double")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.round("cosine", 6).alias("cosine")).where(F.col("cosine") >= least)
+
+
 def nearest_texts(pairs: DataFrame, most: int, n: int | None = None) -> DataFrame:
     """(a, b, cosine, rank): of :func:`all_pairs` the ``most`` nearest of each text, and of those the ``n`` nearest of all."""
-    both = pairs.select("a", "b", "cosine").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
+    ways = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = pairs.select(F.explode(ways).alias("_p"), "cosine").select("_p.a", "_p.b", "cosine")  # the pairs are found once
     near = top_by(both, ["a"], [F.desc("cosine"), "b"], most)
     return near if n is None else near.orderBy(F.desc("cosine"), "a", "b").limit(n)
 
@@ -112,7 +247,7 @@ def text_edges(senses: DataFrame, least: float = 0.4, most: int = 20, n: int | N
     """
     told = senses.where(F.length("definition") >= least_chars).withColumn("_text", F.concat("label", F.lit(". "), "definition"))
     first = told.groupBy("_text").agg(F.min(F.struct("sense_id", "discipline")).alias("s")).select("_text", "s.sense_id", "s.discipline")
-    near = nearest_texts(all_pairs(tfidf_weights(first, "sense_id", "_text", features, stops), "sense_id", least), most, n)
+    near = nearest_texts(vector_pairs(tfidf_vectors(first, "sense_id", "_text", features, stops)[0], "sense_id", least), most, n)
     of = lambda k, d: first.select(F.col("sense_id").alias(k), F.col("discipline").alias(d))
     direction: Column = F.when(F.col("_a") == F.col("_b"), "toward").otherwise("across")
     edges = near.join(of("a", "_a"), "a").join(of("b", "_b"), "b").select(
