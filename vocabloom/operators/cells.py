@@ -94,9 +94,12 @@ class CellIndex:
         near = self._routed(queries, probes, reach).join(self.blocks, "cell")
         return near.where((F.col("angle") - reach <= F.col("high")) & (F.col("angle") + reach >= F.col("low"))).select("block", "k", "v")
 
-    def search(self, queries: DataFrame, key: str, vector: str, least: float, probes: int | None = None) -> DataFrame:
+    def search(self, queries: DataFrame, key: str, vector: str, least: float, probes: int | None = None, places: int | None = None) -> DataFrame:
         """(source, target, cosine): the rows at or above ``least`` of each query but the query itself; exact, or with ``probes`` those of the
-        nearest cells only."""
+        nearest cells only. With ``places`` cosines are rounded to so many, and the rounded ones are held against ``least``."""
+        if places is not None:
+            found = self.search(queries, key, vector, least - 0.6 * 10.0**-places, probes)
+            return found.withColumn("cosine", F.round("cosine", places)).where(F.col("cosine") >= least)
         asked = checkpointed(unit_rows(queries, key, vector))
         q = self.visits(asked, least, probes).withColumn("_q", F.lit(1))
         met = self.rows.select("block", "k", "v", F.lit(0).alias("_q")).unionByName(q.select("block", "k", "v", "_q"))

@@ -14,13 +14,14 @@ from vocabloom.operators.cells import CellIndex
 
 
 def similar(queries: DataFrame, rows: DataFrame, key: str, vector: str, least: float) -> DataFrame:
-    """(source, target, cosine) of each query and each row at or above ``least``; exact, by a :class:`CellIndex`. Null and zero vectors have no edges."""
-    return CellIndex(rows, key, vector).search(queries, key, vector, least)
+    """(source, target, cosine) of each query and each row whose cosine, rounded to six places, is ``least`` or more; exact, by a :class:`CellIndex`. Null and zero
+    vectors have no edges."""
+    return CellIndex(rows, key, vector).search(queries, key, vector, least, places=6)
 
 
 def nearest(queries: DataFrame, rows: DataFrame, key: str, vector: str, least: float) -> DataFrame:
     """The most similar other row of each query, the smallest key of equals."""
-    return first_by(similar(queries, rows, key, vector, least).withColumn("cosine", F.round("cosine", 6)), ["source"], [F.desc("cosine"), "target"])
+    return first_by(similar(queries, rows, key, vector, least), ["source"], [F.desc("cosine"), "target"])
 
 
 def centroid_assign(rows: DataFrame, key: str, vector: str, label: str) -> DataFrame:
