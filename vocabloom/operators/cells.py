@@ -18,8 +18,8 @@ from vocabloom.functions.frame import checkpointed, top_by, with_package
 
 #: Rows of a block, rows of the sample for each centre, and centres at most (every task holds them all).
 BLOCK, SAMPLE, MOST_CELLS = 4096, 32, 1024
-#: Rows of queries multiplied with a block at once.
-QUERIES = 1024
+#: Rows of queries multiplied with a block at once, and rows with vectors that a task gives out at once.
+QUERIES, GIVEN = 256, 2048
 #: Slack of angles for rounding.
 SLACK = 1e-6
 
@@ -72,8 +72,8 @@ class CellIndex:
         low, high = (np.array([self.ranges.get(c, (np.inf, -np.inf))[i] for c in range(d)]) for i in (0, 1)) if reach is not None else (None, None)
 
         def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for x in batches:
-                if not len(x) or not d:
+            for x in (batch.iloc[k : k + QUERIES] for batch in batches for k in range(0, len(batch), QUERIES)):
+                if not d:
                     continue
                 angles = np.arccos(np.clip(_matrix(x["v"]) @ centres.T, -1, 1))
                 chosen = np.zeros(angles.shape, bool)
@@ -81,7 +81,9 @@ class CellIndex:
                 if reach is not None:
                     chosen &= (angles - reach <= high) & (angles + reach >= low)
                 row, cell = np.nonzero(chosen)
-                yield x.iloc[row].assign(cell=cell, angle=angles[row, cell])
+                for k in range(0, len(row), GIVEN):  # a query may go to every cell, each time with its vector
+                    r, c = row[k : k + GIVEN], cell[k : k + GIVEN]
+                    yield x.iloc[r].assign(cell=c, angle=angles[r, c])
 
         return units.mapInPandas(near, f"k {dict(units.dtypes)['k']}, v array<double>, cell int, angle double")
 
