@@ -1,7 +1,8 @@
 """Deep trees: depth, roots and common ancestors in a number of rounds that grows with the logarithm of the depth.
 
 Every node keeps its 1st, 2nd, 4th, 8th, ... ancestor (a row for each node, not for each node and ancestor). A chain of n nodes takes log2(n) rounds and
-n * log2(n) entries, where a table of all ancestors has n * n / 2 rows. Of several parents the first in order counts.
+n * log2(n) entries, where a table of all ancestors has n * n / 2 rows. Of several parents the first in order counts. Tables of
+all nodes are joined by shuffles at every size: a broadcast would send them to the driver anew in every round.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ def tops(parents: DataFrame) -> DataFrame:
     now = written(parents.select("id", F.col("parent").alias("top"), F.lit(1).cast("long").alias("hops"), F.lit(True).alias("_open")), "lifting")
     ids, most = now.count(), 1
     while True:
-        next_ = now.select(F.col("id").alias("_at"), F.col("top").alias("_top"), F.col("hops").alias("_hops"))
+        next_ = now.select(F.col("id").alias("_at"), F.col("top").alias("_top"), F.col("hops").alias("_hops")).hint("merge")
         moved = now.join(next_, F.col("top") == F.col("_at"), "left").select(
             "id", F.coalesce("_top", "top").alias("top"), (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"), F.col("_at").isNotNull().alias("_open")
         )
@@ -40,7 +41,7 @@ def single_parents(nodes: DataFrame) -> DataFrame:
 def tree_depths(nodes: DataFrame) -> DataFrame:
     """(id, depth, root) of every node, also of parents without a record; both are null on and below a cycle."""
     found = tops(single_parents(nodes)).select("id", F.lit(True).alias("_child"), "top", "hops")
-    every = build_graph(nodes).select("id").join(found, "id", "left")
+    every = build_graph(nodes).select("id").join(found.hint("merge"), "id", "left")
     child = F.coalesce("_child", F.lit(False))
     return every.select("id", F.when(child, F.col("hops")).otherwise(F.lit(0)).alias("depth"), F.when(child, F.col("top")).otherwise(F.col("id")).alias("root"))
 
@@ -49,10 +50,10 @@ def ladders(nodes: DataFrame) -> DataFrame:
     """(id, depth, root, up): up[k] is the 2^k-th ancestor, null above the root; nodes on and below a cycle are left out."""
     known = written(tree_depths(nodes).where("depth IS NOT NULL"), "lifting")
     deepest = known.agg(F.max("depth")).first()[0] or 0
-    rungs = known.join(single_parents(nodes), "id", "left").select("id", "depth", "root", F.array("parent").alias("up"))
+    rungs = known.join(single_parents(nodes).hint("merge"), "id", "left").select("id", "depth", "root", F.array("parent").alias("up"))
     for k in range(1, max(1, deepest).bit_length()):
         rungs = written(rungs, "lifting")
-        above = rungs.select(F.col("id").alias("_at"), F.get("up", F.lit(k - 1)).alias("_far"))
+        above = rungs.select(F.col("id").alias("_at"), F.get("up", F.lit(k - 1)).alias("_far")).hint("merge")
         rungs = rungs.join(above, F.get("up", F.lit(k - 1)) == F.col("_at"), "left").select("id", "depth", "root", F.array_append("up", F.col("_far")).alias("up"))
     return written(rungs, "lifting")
 
@@ -68,7 +69,7 @@ def lowest_common(nodes: DataFrame, pairs: DataFrame, rungs: DataFrame | None =
 
     def at(df: DataFrame, place: Column, name: str) -> DataFrame:
         """Fetches the ladder of the node at ``place`` into ``name`` and ``name``_up."""
-        other = rungs.select(F.col("id").alias("_at"), F.col("depth").alias("_d"), F.col("root").alias("_r"), F.col("up").alias("_u"))
+        other = rungs.select(F.col("id").alias("_at"), F.col("depth").alias("_d"), F.col("root").alias("_r"), F.col("up").alias("_u")).hint("merge")
         rest = [c for c in df.columns if c not in (name, f"{name}_up", f"{name}_depth", f"{name}_root")]
         return df.withColumn("_place", place).join(other, F.col("_place") == F.col("_at")).select(
             *rest, F.col("_place").alias(name), F.col("_u").cast(kind).alias(f"{name}_up"), F.col("_d").alias(f"{name}_depth"), F.col("_r").alias(f"{name}_root")
