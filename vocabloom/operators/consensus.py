@@ -24,7 +24,7 @@ def consensus(votes: DataFrame, rounds: int = 20, smooth: float = SMOOTH) -> tup
     labels = cast.select("label").distinct().count()
     confusions = None
     for _ in range(rounds):
-        met = cast.join(beliefs, "item")
+        met = cast.join(beliefs.hint("merge"), "item")  # grows with the items, so never broadcast
         said = met.groupBy("rater", "class", "label").agg(F.sum(F.col("n") * F.col("p")).alias("_w"))
         whole = said.groupBy("rater", "class").agg(F.sum("_w").alias("_all"))
         total = F.col("_all") + F.lit(smooth * labels)
