@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabloom.functions.frame import first_by
+from vocabloom.functions.frame import first_by, written
 
 
 def triples_to_concepts(triples: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def topic_keywords(topics: DataFrame) -> DataFrame:
 
 def tree_parents(descriptors: DataFrame) -> DataFrame:
     """(ui, parent_ui) of every tree number whose parent number a descriptor owns."""
-    own = descriptors.select("ui", F.explode("tree_numbers").alias("tree"))
+    own = written(descriptors.select("ui", F.explode("tree_numbers").alias("tree")), "tree-numbers")  # both sides of the join, parsed once
     up = own.select("ui", F.regexp_extract("tree", r"^(.*)\.[^.]*$", 1).alias("tree")).where("tree <> ''")
     return up.join(own.select(F.col("ui").alias("parent_ui"), "tree"), "tree").select("ui", "parent_ui").distinct()
 
