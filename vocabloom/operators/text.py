@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vocabloom.functions.frame import first_by, with_package
+from vocabloom.functions.frame import first_by, with_package, written
 
 TOKEN_BREAK = r"[^a-z0-9\-]+"
+#: Labels of a vocabulary that is sent to every task, some 100 bytes each; a larger one is shuffled.
+SENT_LABELS = 200_000
 
 
 def tokens(text: str) -> Column:
@@ -40,7 +42,11 @@ def vocabulary_matches(docs: DataFrame, key: str, text: str, labels: DataFrame,
     vocabulary = labels.where(fits & (F.size(words) <= most_words)).select(
         F.array_join(words, " ").alias("_gram"), "label", words[0].alias("_w1"), F.size(words).alias("_n")
     ).distinct()
+    # Left to itself Spark shuffles every token of every text before it knows how small the vocabulary is.
+    vocabulary = written(vocabulary, "vocabulary")
     starts = vocabulary.select("_w1", "_n").distinct()
+    if vocabulary.count() <= SENT_LABELS:
+        vocabulary, starts = F.broadcast(vocabulary), F.broadcast(starts)
     run = F.concat_ws(" ", *(F.when(F.col("_n") >= k, F.col(f"_w{k}")) for k in range(1, most_words + 1)))
     long_enough = F.lit(True)
     for k in range(2, most_words + 1):
