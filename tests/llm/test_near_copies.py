@@ -116,3 +116,35 @@ def test_near_copies_without_a_common_passage(spark):
     near = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     kept = simhash_neardup.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots_of(list(sets), near).values()))
+
+
+def test_sketches_never_differ_more_than_sets():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (0, 1, 15, 16, 17, 140, 900, 3000)]
+    sets += [np.concatenate([x[: len(x) * 9 // 10], rng.integers(0, 2**63, len(x) // 5).astype(np.uint64)]) for x in sets]
+    sketches = [simhash_neardup.parities(np.unique(x)) for x in sets]
+    a, b = np.array(list(itertools.product(range(len(sets)), repeat=2))).T
+    real = np.array([len(set(sets[i].tolist()) ^ set(sets[j].tolist())) for i, j in zip(a, b)])
+    got = simhash_neardup.differing(sketches, a, b)
+    assert (got <= real).all() and (got[a == b] == 0).all()
+    assert got[(a == 5) & (b == 13)][0] > 0.85 * real[(a == 5) & (b == 13)][0]
+
+
+def test_nearly_similar_texts_do_not_make_all_pairs(spark):
+    """A large group of edits of one text, most pairs of which are just below the similarity: candidates stay near the true pairs, and none of those is missed."""
+    rng = np.random.default_rng(11)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for i in range(160):
+        words = list(base)
+        for at in rng.choice(150, 3 + i % 3, replace=False):
+            words[at] = f"x{i}y{at}"
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    nodes = {r.doc_id: r.node for r in docs.select(*simhash_neardup._named(docs)).collect()}
+    sets = {nodes[i]: set(simhash_neardup.shingles(t.encode(), 5).tolist()) for i, t in texts}
+    near = {(max(a, b), min(a, b)) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    roots = spark.createDataFrame([], "node long, root long")
+    found = [(r.a, r.b) for r in simhash_neardup.remaining_pairs(docs, roots, 0.8, 5).collect()]
+    assert len(found) == len(set(found)) and near <= set(found)
+    assert 0 < len(near) < 2500 and len(found) < len(near) + 1500, (len(near), len(found))

@@ -50,6 +50,8 @@ LEAF = 768
 PASSAGE, LEAST_PASSAGE, RAREST, CENTRES, NEAR_BITS = 24, 8, 4, 3, 14
 #: One text of so many is in the sample of usual shingles, of which so many are kept at most.
 USUAL_SHARE, USUAL_MOST = 16, 1 << 20
+#: Bits of a text's sketch at most; longer texts' pairs are ruled out less often.
+SKETCH_MOST = 4096
 
 
 def fingerprint(raw: bytes, words: int = 3) -> int:
@@ -390,57 +392,120 @@ def _rare_first(docs: DataFrame, similarity: float, words: int) -> DataFrame:
     return named.mapInArrow(batches, "node long, size int, firsts array<long>")
 
 
-def first_pairs(h: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, at: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of nodes of different roots that share a hash (``h``, sorted), and whose shingles from there on could be enough in common."""
-    if not len(h):
-        return
-    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    mixed = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
-    some = np.repeat(mixed, np.diff(np.concatenate([starts, [len(h)]])))
-    h, node, root, size, at = h[some], node[some], root[some], size[some], at[some]
+def meeting(h: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, at: np.ndarray, similarity: float) -> np.ndarray:
+    """Which rows (``h``, sorted) share their hash with one of another root, and could have enough in common with some text of its group. Takes one pass for each of two looks, not one for each pair."""
+    some = np.arange(len(h))
+    for _ in range(2):
+        if not len(some):
+            break
+        starts = np.flatnonzero(np.concatenate([[True], h[some][1:] != h[some][:-1]]))
+        rows = np.diff(np.concatenate([starts, [len(some)]]))
+        mixed = np.minimum.reduceat(root[some], starts) != np.maximum.reduceat(root[some], starts)
+        least = np.maximum(np.repeat(np.minimum.reduceat(size[some], starts), rows), similarity * size[some])  # of the other text
+        some = some[np.repeat(mixed, rows) & ((size[some] - at[some]) * (1 + similarity) >= similarity * (size[some] + least) - 1e-6)]
+    return some
+
+
+def parities(own: np.ndarray) -> np.ndarray:
+    """For each bit whether an odd number of the hashes ``own`` fall on it; four bits a hash or more, SKETCH_MOST at most.
+
+    The sketches of two sets differ in no more bits than the sets have different members, whatever falls together.
+    """
+    bits = min(SKETCH_MOST, max(64, 1 << max(0, 4 * len(own) - 1).bit_length()))
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def differing(sketches: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many bits the sketches ``a`` and ``b`` differ, the longer one folded to the shorter one's bits."""
+    words = np.array([len(x) for x in sketches])
+    short, out = np.minimum(words[a], words[b]), np.zeros(len(a), np.int64)
+    for n in np.unique(short):
+        pairs = np.flatnonzero(short == n)
+        used, at = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
+        folded = np.stack([np.bitwise_xor.reduce(sketches[k].reshape(-1, n), axis=0) for k in used])
+        for i in range(0, len(pairs), step := max(1, (1 << 20) // n)):
+            x, y = at[: len(pairs)][i : i + step], at[len(pairs) :][i : i + step]
+            out[pairs[i : i + step]] = np.bitwise_count(folded[x] ^ folded[y]).sum(axis=1)
+    return out
+
+
+def first_pairs(
+    h: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, at: np.ndarray, sketches: list[np.ndarray], similarity: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes of different roots that share a hash (``h``, sorted), whose shingles from there on could be enough in common, and whose sketches do not rule that out."""
     i, d = np.arange(len(h)), 0
     while len(i):
         d += 1
         i = i[i + d < len(h)]
         i = i[h[i] == h[i + d]]
         j = i + d
+        both = size[i] + size[j]
         most = np.minimum(size[i] - at[i], size[j] - at[j])  # the shared one and those after it
-        fits = (root[i] != root[j]) & (most * (1 + similarity) >= similarity * (size[i] + size[j]) - 1e-6)
-        if fits.any():
+        fits = np.flatnonzero((root[i] != root[j]) & (most * (1 + similarity) >= similarity * both - 1e-6))
+        if len(fits):
+            fits = fits[differing(sketches, i[fits], j[fits]) * (1 + similarity) <= (1 - similarity) * both[fits] + 1e-6]
             a, b = node[i[fits]], node[j[fits]]
             yield np.maximum(a, b), np.minimum(a, b)
 
 
+def by_hash(it: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by h, cut where h changes, so that no hash is in two of them."""
+    held: list[pa.RecordBatch] = []
+    for batch in it:
+        batch = batch.select(columns)
+        if not batch.num_rows:
+            continue
+        h = batch.column("h").to_numpy(zero_copy_only=False)
+        first = held[0].column("h")[0].as_py() if held else h[0]
+        if first == h[-1]:
+            held.append(batch)
+            continue
+        last = int(np.searchsorted(h, h[-1]))
+        yield pa.concat_batches([*held, batch.slice(0, last)])
+        held = [batch.slice(last)]
+    if held:
+        yield pa.concat_batches(held)
+
+
 def remaining_pairs(docs: DataFrame, roots: DataFrame, similarity: float, words: int) -> DataFrame:
     """(a, b): candidates for every pair of that similarity whose nodes do not have one root in ``roots`` (node, root) yet.
 
-    The rare shingles of each text meet those of all other texts, whatever passages they stand in. Tasks read them in order, hold one shingle's
-    texts at a time and give pairs out as they find them.
+    The rare shingles of each text meet those of all other texts, whatever passages they stand in. Tasks read them in order and hold some shingles'
+    texts at a time. What meets texts of another root gets a sketch of all its shingles; pairs whose sketches differ in too many bits cannot be that similar and are
+    never given out, so that a large group of texts that are nearly similar enough does not make a row for each of its pairs.
     """
     ship(docs.sparkSession)
+    columns = ["h", "node", "root", "size", "at"]
     known = roots.select(F.col("node").alias("_n"), "root").hint("merge")
     firsts = _rare_first(docs, similarity, words).dropDuplicates(["node"])
     met = firsts.join(known, F.col("node") == F.col("_n"), "left").select("node", "root", "size", F.posexplode("firsts").alias("at", "h"))
 
-    def pairs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 5
+    def numbers(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
 
-        def found(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            for a, b in first_pairs(*columns, similarity):
+    def meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_hash(it, columns):
+            yield batch.take(pa.array(meeting(*numbers(batch), similarity)))
+
+    def pairs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_hash(it, [*columns, "sketch"]):
+            sketches = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("sketch")]
+            for a, b in first_pairs(*numbers(batch), sketches, similarity):
                 both = np.unique(np.stack([a, b], axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
+    def sketch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            new = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("h", "node", "root", "size", "at")]
-            held = [np.concatenate(x) for x in zip(held, new)]
-            if not len(held[0]) or held[0][0] == held[0][-1]:
-                continue
-            last = int(np.searchsorted(held[0], held[0][-1]))
-            yield from found([x[:last] for x in held])
-            held = [x[last:] for x in held]
-        yield from found(held)
+            each = [parities(shingles(t.as_buffer().to_pybytes() if t.is_valid else b"", words)).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(each, pa.binary())], names=["node", "sketch"])
 
     ordered = met.select("h", "node", F.coalesce("root", "node").alias("root"), "size", "at").repartition("h").sortWithinPartitions("h")
+    some = staged(ordered.mapInArrow(meet, "h long, node long, root long, size int, at int"), "meeting")
+    named = docs.select(_named(docs)[0], docs["text"].cast("string").alias("text"))
+    named = named.join(some.select(F.col("node").alias("_n")).distinct(), F.col("node") == F.col("_n"), "left_semi").dropDuplicates(["node"])
+    sketches = named.mapInArrow(sketch, "node long, sketch binary").withColumnRenamed("node", "_n")
+    ordered = some.join(sketches, F.col("node") == F.col("_n")).select(*columns, "sketch").repartition("h").sortWithinPartitions("h")
     return ordered.mapInArrow(pairs, "a long, b long").distinct()
 
 
