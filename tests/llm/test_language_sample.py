@@ -37,3 +37,25 @@ def test_a_text_in_two_languages(spark):
     asked = spark.createDataFrame([(0, en * 20 + de * 80), (1, de * 20 + en * 80), (2, en * 60 + de * 20 + en * 5)], "doc_id long, text string")
     got = language_id.predict(asked, model, ["doc_id"]).orderBy("doc_id").collect()
     assert [r.lang_pred for r in got] == ["de", "en", "en"] and all(0 < r.score < 1 for r in got)
+
+
+def test_driver_gets_one_matrix_a_language(spark, monkeypatch):
+    """However many tasks sum over the sampled texts, the driver gets as much, and the model is the same."""
+    rows = [(i, f"{'river stone town' if i % 2 else 'Fuchs springt Hund'} {i * 7919 % 101} {i}", "en" if i % 2 else "de") for i in range(80)]
+    train, frame, sent = spark.createDataFrame(rows, "doc_id long, text string, lang string"), type(spark.range(0)), []
+    collect = frame.collect
+
+    def counted(self):
+        got = collect(self)
+        if "sums" in self.columns:
+            sent.append(sum(len(r["sums"]) for r in got))
+        return got
+
+    monkeypatch.setattr(frame, "collect", counted)
+    models = []
+    for tasks in (1, 24):
+        monkeypatch.setattr(language_id, "SUM_TASKS", tasks)
+        models.append(language_id.fit(train, F.lit(True), landmarks=20))
+    one, many = models
+    assert sent[0] == sent[1] <= 2 * 21 * 21 * 8, sent
+    assert np.array_equal(one.landmarks, many.landmarks) and np.allclose(one.weights, many.weights) and np.allclose(one.bias, many.bias)

@@ -9,7 +9,7 @@ length, so a passage in another language weighs as much as it takes up; the whol
 
 The model is fitted on at most ``per_language`` labelled rows with a text of each language (chosen by the
 hash of doc_id). Every window of such a text is a training row, weighted by its length, so a text counts once; tasks
-return only sums over their rows. Each language gives an equal share of the landmarks, one window of a text each. The model
+return only sums over their rows, and other tasks add them up, so the driver gets one small matrix a language. Each language gives an equal share of the landmarks, one window of a text each. The model
 is a few hundred kilobytes whatever the size of the corpus.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0. Languages are compared
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +37,8 @@ BINS, LENGTHS = 1 << 14, (2, 3, 4)
 #: Rows of each language for the fit, landmarks in all, ridge, and the softness of the score.
 PER_LANGUAGE, LANDMARKS, RIDGE, SOFTNESS = 1000, 128, 0.05, 8.0
 WINDOW = 2000
-#: Tasks that sum over the sampled texts.
-SUM_TASKS = 32
+#: Tasks that sum over the sampled texts, and rows of a language's sums that are added up together.
+SUM_TASKS, SUM_ROWS = 32, 16
 UNKNOWN = "und"
 
 
@@ -173,15 +174,23 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, landma
                     for lang in set(langs):
                         mine = x[of == lang]
                         total[lang] = total.get(lang, 0) + (mine * weights[of == lang][:, None]).T @ mine
-        if total:
+        task = TaskContext.get().partitionId()
+        parts = [(lang, k, task, v[k : k + SUM_ROWS].tobytes()) for lang, v in total.items() for k in range(0, size + 1, SUM_ROWS)]
+        if parts:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.string()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["lang", "sums"]
+                [pa.array(x, kind) for x, kind in zip(zip(*parts), (pa.string(), pa.int32(), pa.int32(), pa.binary()))], names=["lang", "first", "task", "sums"]
             )
 
+    def added(part: pa.Table) -> pa.Table:
+        """The sum of the tasks' rows ``first`` and after of a language's products, in the order of tasks, which float sums depend on."""
+        total = sum(np.frombuffer(x.as_buffer()) for x in part.sort_by("task").column("sums"))
+        return part.select(["lang", "first"]).slice(0, 1).append_column("sums", pa.array([total.tobytes()], pa.binary()))
+
     gathered = {lang: np.zeros((size + 1, size + 1)) for lang in languages}
-    # The sampled texts go to a fixed number of tasks, so the driver gets as many sums whatever the size of the corpus.
-    for r in rows.repartition(SUM_TASKS, "doc_id").select("lang", "text").mapInArrow(sums, "lang string, sums binary").collect():
-        gathered[r["lang"]] += np.frombuffer(bytes(r["sums"])).reshape(size + 1, size + 1)
+    # Tasks add up what the tasks have summed, so the driver gets one matrix a language, however many tasks there are.
+    each = rows.repartition(SUM_TASKS, "doc_id").select("lang", "text").mapInArrow(sums, "lang string, first int, task int, sums binary")
+    for r in each.groupBy("lang", "first").applyInArrow(added, "lang string, first int, sums binary").collect():
+        gathered[r["lang"]][r["first"] : r["first"] + SUM_ROWS] = np.frombuffer(bytes(r["sums"])).reshape(-1, size + 1)
     centre = sum(g[0, 1:] for g in gathered.values()) / sum(g[0, 0] for g in gathered.values())
     y = 2 * np.eye(len(languages)) - 1
     # Languages weigh the same, so that a rare one is not lost.
