@@ -38,7 +38,7 @@ BINS, LENGTHS = 1 << 14, (2, 3, 4)
 PER_LANGUAGE, LANDMARKS, RIDGE, SOFTNESS = 1000, 128, 0.05, 8.0
 WINDOW = 2000
 #: Tasks that sum over the sampled texts, and rows of a language's sums that are added up together.
-SUM_TASKS, SUM_ROWS = 32, 16
+SUM_TASKS, SUM_ROWS = 32, 4
 UNKNOWN = "und"
 
 
