@@ -148,3 +148,36 @@ def test_nearly_similar_texts_do_not_make_all_pairs(spark):
     found = [(r.a, r.b) for r in simhash_neardup.remaining_pairs(docs, roots, 0.8, 5).collect()]
     assert len(found) == len(set(found)) and near <= set(found)
     assert 0 < len(near) < 2500 and len(found) < len(near) + 1500, (len(near), len(found))
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3])
+def test_points_without_company_stay_out_of_the_tree(spark, radius):
+    """Random points, which nothing is near, go; every point that has another one within the radius stays."""
+    rng = np.random.default_rng(10 + radius)
+    alone = {int(x) for x in rng.integers(-(2**63), 2**63, 4000)}
+    base = [int(x) for x in rng.integers(-(2**63), 2**63, 40)]
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    near = {signed((b & (2**64 - 1)) ^ sum(1 << int(j) for j in rng.choice(64, int(rng.integers(1, radius + 1)), replace=False))) for b in base for _ in range(3)} | set(base)
+    kept = {r.fp for r in simhash_neardup.with_company(spark.createDataFrame([(p,) for p in alone | near], "fp long"), radius).collect()}
+    assert near <= kept <= alone | near
+    assert len(kept) < len(near) + 200
+
+
+def test_the_tree_of_passages_gets_linear_work(spark, monkeypatch):
+    """Of texts with no passage in common hardly a passage reaches the tree, which copies its points more often the more there are."""
+    rng = np.random.default_rng(12)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 120)) for _ in range(150)]
+    texts += [t + " and one more end" for t in texts[:10]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    routed, links = [], simhash_neardup.links
+    monkeypatch.setattr(simhash_neardup, "links", lambda points, **limits: (routed.append(points.count()), links(points, **limits))[1])
+    assert {r.doc_id for r in simhash_neardup.keep_one_of_each(docs).collect()} == set(range(150))
+    assert len(routed) == 1 and routed[0] < 60
+
+
+def test_shingles_of_the_same_texts_count_once(spark):
+    """Texts that share a passage meet once for all of its shingles, and every pair of the similarity is still found."""
+    h = np.array([1, 1, 2, 2, 3, 3, 3])
+    node = np.array([7, 9, 7, 9, 7, 9, 11])
+    company = simhash_neardup.same_company(h, node)
+    assert len(set(company[:4].tolist())) == 1 and len(set(company.tolist())) == 2 and len(simhash_neardup.same_company(h[:0], node[:0])) == 0

@@ -22,6 +22,7 @@ unless the component has no other (then null). Empty tables give no rows. Only `
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -183,6 +184,21 @@ def _flips(bits: int) -> list[tuple[int, int]]:
     return [(m - (1 << 64) if m >> 63 else m, m.bit_count()) for m in sorted(masks)]
 
 
+def with_company(points: DataFrame, radius: int = 2) -> DataFrame:
+    """Those of the distinct fingerprints ``points`` (column fp) that may have another one within the radius, and few others.
+
+    Two fingerprints that differ in ``radius`` bits have all but ``radius`` of radius + 2 blocks of their bits in common. A point has a row for each choice
+    of so many blocks, and stays if another point has the same bits there. So a point without company costs six rows (radius 2) and never enters a tree,
+    whose overlaps would copy it more often the more points there are.
+    """
+    ends = [64 * k // (radius + 2) for k in range(radius + 3)]
+    blocks = [(1 << high) - (1 << low) for low, high in itertools.pairwise(ends)]
+    masks = [sum(some) for some in itertools.combinations(blocks, 2)]
+    keys = F.array(*(F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m))) for k, m in enumerate(masks)))
+    each = points.select("fp", F.explode(keys).alias("_key"))
+    return each.withColumn("_n", F.count("*").over(Window.partitionBy("_key"))).where("_n > 1").select("fp").distinct()
+
+
 def crowd_links(points: DataFrame, radius: int) -> DataFrame:
     """Links (a, b) that join exactly the points that chains of near points join, one for each point and centre.
 
@@ -304,7 +320,7 @@ def _candidates(described: DataFrame, near_bits: int) -> DataFrame:
     """
     each = staged(described.select("node", "fp", F.explode("passages").alias("_p")), "passages")
     points = staged(each.select(F.col("_p").alias("fp")).distinct(), "passage-points")
-    roots = components(links(points), "passage-links")
+    roots = components(links(staged(with_company(points), "passage-company")), "passage-links")
     held = staged(
         each.join(roots.select(F.col("node").alias("_of"), "root"), F.col("_p") == F.col("_of"), "left").select("node", "fp", F.coalesce("root", "_p").alias("passage")).distinct(), "held"
     )
@@ -406,6 +422,17 @@ def meeting(h: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray,
     return some
 
 
+def same_company(h: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """For each row a hash of all nodes of its ``h`` (sorted): the shingles of a passage that the same texts share get one."""
+    if not len(h):
+        return h
+    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    mixed = node.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    sums = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), starts)
+    return np.repeat(sums, np.diff(np.concatenate([starts, [len(h)]]))).view(np.int64)
+
+
 def parities(own: np.ndarray) -> np.ndarray:
     """For each bit whether an odd number of the hashes ``own`` fall on it; four bits a hash or more, SKETCH_MOST at most.
 
@@ -472,7 +499,7 @@ def remaining_pairs(docs: DataFrame, roots: DataFrame, similarity: float, words:
     """(a, b): candidates for every pair of that similarity whose nodes do not have one root in ``roots`` (node, root) yet.
 
     The rare shingles of each text meet those of all other texts, whatever passages they stand in. Tasks read them in order and hold some shingles'
-    texts at a time. What meets texts of another root gets a sketch of all its shingles; pairs whose sketches differ in too many bits cannot be that similar and are
+    texts at a time. Shingles that the same texts share count once, at the earliest place of each text (with it pairs are ruled out less often, never more). What meets texts of another root gets a sketch of all its shingles; pairs whose sketches differ in too many bits cannot be that similar and are
     never given out, so that a large group of texts that are nearly similar enough does not make a row for each of its pairs.
     """
     ship(docs.sparkSession)
@@ -486,7 +513,9 @@ def remaining_pairs(docs: DataFrame, roots: DataFrame, similarity: float, words:
 
     def meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_hash(it, columns):
-            yield batch.take(pa.array(meeting(*numbers(batch), similarity)))
+            batch = batch.take(pa.array(meeting(*numbers(batch), similarity)))
+            h, node = numbers(batch)[:2]
+            yield batch.set_column(0, "h", pa.array(same_company(h, node)))
 
     def pairs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_hash(it, [*columns, "sketch"]):
@@ -501,7 +530,8 @@ def remaining_pairs(docs: DataFrame, roots: DataFrame, similarity: float, words:
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(each, pa.binary())], names=["node", "sketch"])
 
     ordered = met.select("h", "node", F.coalesce("root", "node").alias("root"), "size", "at").repartition("h").sortWithinPartitions("h")
-    some = staged(ordered.mapInArrow(meet, "h long, node long, root long, size int, at int"), "meeting")
+    met = ordered.mapInArrow(meet, "h long, node long, root long, size int, at int")
+    some = staged(met.groupBy("h", "node").agg(F.min("root").alias("root"), F.min("size").alias("size"), F.min("at").alias("at")), "meeting")
     named = docs.select(_named(docs)[0], docs["text"].cast("string").alias("text"))
     named = named.join(some.select(F.col("node").alias("_n")).distinct(), F.col("node") == F.col("_n"), "left_semi").dropDuplicates(["node"])
     sketches = named.mapInArrow(sketch, "node long, sketch binary").withColumnRenamed("node", "_n")
