@@ -181,3 +181,13 @@ def test_shingles_of_the_same_texts_count_once(spark):
     node = np.array([7, 9, 7, 9, 7, 9, 11])
     company = simhash_neardup.same_company(h, node)
     assert len(set(company[:4].tolist())) == 1 and len(set(company.tolist())) == 2 and len(simhash_neardup.same_company(h[:0], node[:0])) == 0
+
+
+def test_nothing_that_grows_is_broadcast(spark):
+    """A crowd's balls are 65 times its points, which Spark's estimate of the join does not know; the driver would hold them all."""
+    docs = spark.createDataFrame([(k, f"text {k % 7}") for k in range(40)], "doc_id long, text string")
+    crowd = simhash_neardup.crowd_links(spark.createDataFrame([(1 << k,) for k in range(60)], "fp long"), 2)
+    for df in (crowd, simhash_neardup.neighbours_components(docs)):
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert len({r.b for r in crowd.collect()}) >= 1

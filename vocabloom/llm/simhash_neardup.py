@@ -204,11 +204,12 @@ def crowd_links(points: DataFrame, radius: int) -> DataFrame:
 
     Points within half the radius (rounded down) of a centre are near each other, and near all points within the other half (rounded up) of
     it; and two near points have such a centre. So it is enough to link all to one of the former.
+    The join is never broadcast: what Spark knows of the points' size is that before they are exploded, and the driver would hold all of the balls.
     """
     flips = F.array(*(F.struct(F.lit(m).alias("mask"), F.lit(n <= radius // 2).alias("inner")) for m, n in _flips(radius - radius // 2)))
     balls = points.select("fp", F.explode(flips).alias("_f")).select("fp", "_f.inner", F.col("fp").bitwiseXOR(F.col("_f.mask")).alias("centre"))
     least = balls.where("inner").groupBy("centre").agg(F.min("fp").alias("b"))
-    return balls.join(least, "centre").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    return balls.join(least.hint("merge"), "centre").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
 def sampled(points: DataFrame, n: int, most: int) -> np.ndarray:
@@ -252,20 +253,21 @@ def links(points: DataFrame, radius: int = 2, shard_rows: int = SHARD_ROWS, crow
 
 
 def _roots(prints: DataFrame, radius: int, **limits: int) -> DataFrame:
-    """fp, its component's root (a fingerprint) and component_id for each distinct fingerprint of ``prints``."""
+    """fp, its component's root (a fingerprint) and component_id for each distinct fingerprint of ``prints``. Joins are never broadcast: files of many equal
+    fingerprints are much smaller than their rows."""
     points = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "points")
     roots = components(links(points, radius, **limits), "near-links")
     named = points.join(roots.hint("merge"), points["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return named.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
+    return named.join(least.hint("merge"), "root").select(F.col("fp").alias("_fp"), "root", "component_id")
 
 
 def neighbours_components(docs: DataFrame, radius: int = 2, words: int = 3, **limits: int) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (its smallest doc_id) for every row."""
     prints = staged(fingerprints(docs, words), "fingerprints")
-    return prints.join(_roots(prints, radius, **limits), F.col("fp") == F.col("_fp")).select(
+    return prints.join(_roots(prints, radius, **limits).hint("merge"), F.col("fp") == F.col("_fp")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
