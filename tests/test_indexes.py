@@ -207,3 +207,68 @@ def test_a_chain_of_many_nodes(spark):
     assert rungs.where("depth <> id OR root <> 0").isEmpty()
     pairs = spark.createDataFrame([(99_999, 3), (70_000, 70_001), (12_345, 99_000)], "a long, b long")
     assert {tuple(r) for r in lifting.lowest_common(chain, pairs, rungs).collect()} == {(99_999, 3, 3), (70_000, 70_001, 70_000), (12_345, 99_000, 12_345)}
+
+
+def test_bounds_are_never_less_than_the_cosines(spark, monkeypatch):
+    """Pairs of a high cosine are found in the columns of bounds, whether few or many pairs are left to be computed."""
+    monkeypatch.setattr(similarity, "HEADS", 10)
+    monkeypatch.setattr(similarity, "GROUPS", 6)
+    monkeypatch.setattr(similarity, "BOUND_ROWS", 60)
+    rng = np.random.default_rng(21)
+    rows = []
+    for k in range(200):
+        t = np.sort(rng.choice(90, 14, replace=False))
+        rows.append((k, t.tolist(), rng.random(14)))
+    rows += [(200 + k, rows[k][1], rows[k][2] + rng.random(14) * 0.1) for k in range(40)]
+    rows = [(k, t, (w / np.linalg.norm(w)).tolist()) for k, t, w in rows]
+    dense = np.zeros((len(rows), 90))
+    for k, t, w in rows:
+        dense[k, t] = w
+    dots = dense @ dense.T
+
+    def block(some):
+        terms, at, w = (np.concatenate(x) for x in zip(*((t, np.full(14, i, np.int32), w) for i, (_, t, w) in enumerate(some))))
+        order = np.argsort(terms, kind="stable")
+        return len(some), terms[order], at[order], w[order]
+
+    blocks = block(rows[:120]), block(rows[120:])
+    assert (similarity.bounds(*blocks) >= dots[:120, 120:] - similarity.FLOATS).all()
+    assert (similarity.bounds(*blocks) >= 0.9).mean() < 0.05
+    df = spark.createDataFrame(rows, "id long, t array<int>, w array<double>").repartition(3)
+    for few in (1.0, 0.0):
+        monkeypatch.setattr(similarity, "FEW", few)
+        found = {(r["a"], r["b"]): r["cosine"] for r in similarity.vector_pairs(df, "id", 0.9, tiles=True).collect()}
+        assert found == pytest.approx({(a, b): dots[a, b] for a, b in combinations(range(len(rows)), 2) if round(dots[a, b], 6) >= 0.9}, abs=2e-6)
+        assert len(found) >= 40
+
+
+def test_nearest_texts_stop_at_a_high_cosine(spark, monkeypatch):
+    """Where enough pairs are very near, pairs of the least cosine are never asked for; the rows are those of all pairs."""
+    rng = np.random.default_rng(22)
+    words = [f"wort{k}" for k in range(60)]
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(60)]
+    texts += [f"{t} {words[k % 60]}" for t in texts[:25] for k in range(3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    vectors = similarity.tfidf_vectors(df, "id", "text")[0]
+    every = [tuple(r) for n in (30, 269) for r in similarity.nearest_texts(similarity.vector_pairs(vectors, "id", 0.1), 2, n).collect()]
+    asked, pairs = [], similarity._pairs_of
+    monkeypatch.setattr(similarity, "_pairs_of", lambda v, key, least, tiles=None: (asked.append(least), pairs(v, key, least, tiles))[1])
+    got = [tuple(r) for n in (30, 269) for r in similarity.nearest_vectors(vectors, "id", 0.1, 2, n).collect()]
+    assert got == every
+    assert asked in ([0.98, *similarity.FIRST_TRIES, 0.1], [0.98, 0.9, *similarity.FIRST_TRIES, 0.1])
+    asked.clear()
+    assert similarity.nearest_vectors(vectors, "id", 0.1, 2, 2 * len(texts)).count() == similarity.nearest_vectors(vectors, "id", 0.1, 2).count() and asked == [0.1, 0.1]  # no limit can be met early
+
+
+def test_frequent_terms_are_those_of_all_pairs(spark, monkeypatch):
+    """Pairs of rare words are never counted, and ties go to the first in order, whichever way is taken."""
+    rng = np.random.default_rng(23)
+    share = 1 / np.arange(1, 401)
+    texts = [[f"w{k}" for k in rng.choice(400, 30, p=share / share.sum())] for _ in range(80)]
+    total = Counter(x for w in texts for x in [*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))])
+    df = spark.createDataFrame([(w,) for w in texts], "_w array<string>").repartition(3)
+    for features in (5, 60, 390, 10_000):
+        want = sorted(total, key=lambda x: (-total[x], x))[:features]
+        for most in (4, 0):
+            monkeypatch.setattr(similarity, "MOST_WORDS", most)
+            assert [r["term"] for r in similarity.frequent_terms(df, features).collect()] == want
