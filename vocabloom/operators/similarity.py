@@ -68,7 +68,7 @@ def tfidf_vectors(docs: DataFrame, key: str, text: str, features: int = 10_000,
     words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}_]+"), lambda x: (F.length(x) > 1) & ~x.isin(["", *stops]))
     every = written(docs.select(F.col(key), words.alias("_w")), "words")  # texts are read and cut once
     n, said = every.count(), every.where("size(_w) > 0")
-    terms = [r["term"] for r in frequent_terms(said, features).collect()]  # ``features`` rows
+    terms = sorted(r["term"] for r in frequent_terms(said, features).collect())  # ``features`` rows
     names = pa.array(sorted({w for t in terms for w in t.split(" ")}), pa.string())
     place = {w: k for k, w in enumerate(names.to_pylist())}
     coded = np.array([(-1 if " " not in t else place[t.split(" ")[0]]) * (len(names) + 1) + place[t.split(" ")[-1]] for t in terms], np.int64)
