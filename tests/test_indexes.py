@@ -272,3 +272,12 @@ def test_frequent_terms_are_those_of_all_pairs(spark, monkeypatch):
         for most in (4, 0):
             monkeypatch.setattr(similarity, "MOST_WORDS", most)
             assert [r["term"] for r in similarity.frequent_terms(df, features).collect()] == want
+
+
+def test_blocks_are_full(spark, monkeypatch):
+    """Hardly a partition holds more than a block, so that few small blocks are left over, each of which would be multiplied with all others."""
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 128)
+    vectors = spark.range(2560).select("id", F.array(F.lit(1)).alias("t"), F.array(F.lit(1.0)).alias("w"))
+    sizes = [r["n"] for r in similarity.vector_blocks(vectors, "id").select(F.size("keys").alias("n")).collect()]
+    assert sum(sizes) == 2560 and max(sizes) <= 128
+    assert len(sizes) <= 26

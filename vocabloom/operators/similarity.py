@@ -28,7 +28,7 @@ from vocabloom.functions.pairs import tiled_pairs
 #: Slack of bounds for sums of doubles in another order.
 SLACK = 1e-9
 #: Texts and entries of a block at most, and products of a term in two blocks from which it is multiplied densely.
-BLOCK_ROWS, BLOCK_ENTRIES, DENSE = 1536, 1 << 20, 60_000
+BLOCK_ROWS, BLOCK_ENTRIES, DENSE = 3072, 1 << 20, 20_000
 #: Cosine from which pairs are bounded first, texts of a block then, columns of the bounds for a frequent term each and for all others together, slack for sums
 #: of floats, and the share of a tile's pairs up to which the pairs left are computed one by one, so many at once.
 BOUNDED, BOUND_ROWS, HEADS, GROUPS, FLOATS, FEW, DOTS = 0.7, 4096, 256, 256, 1e-4, 0.002, 4096
